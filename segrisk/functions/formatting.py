@@ -64,6 +64,10 @@ def prompt_text(value: Column) -> Column:
     return _or(value, strip(value), "N/A", "string")
 
 
+def prompt_kind(row_type: Column) -> Column:
+    return F.upper(prompt_text(row_type))
+
+
 def prompt_any(value: Column, kind: str) -> Column:
     """Any column as text: digits written out, never in exponent form."""
     if kind == "double":

@@ -13,6 +13,7 @@ from segrisk.functions.formatting import (
     log_label,
     prompt_any,
     prompt_int,
+    prompt_kind,
     prompt_money,
     prompt_number,
     prompt_text,
@@ -32,7 +33,7 @@ from segrisk.schemas import MANIFEST
 # --- fixed values: the prompt -------------------------------------------------
 
 STATE_LINES = [
-    ("Row type", "row_type", prompt_text),
+    ("Row type", "row_type", prompt_kind),
     ("State", "state", prompt_text),
     ("Total contract value", "total_contract_value", prompt_money),
     ("Recipient count", "recipient_count", prompt_int),
@@ -42,7 +43,7 @@ STATE_LINES = [
     ("Risk tier", "risk_tier", prompt_text),
 ]
 SECTOR_LINES = [
-    ("Row type", "row_type", prompt_text),
+    ("Row type", "row_type", prompt_kind),
     ("NAICS code", "naics_code", prompt_text),
     ("NAICS label", "naics_label", prompt_text),
     ("Export value", "export_value", prompt_money),
@@ -106,7 +107,7 @@ def prompt(df: DataFrame) -> Column:
     A row of another type lists all its columns. Numbers and codes are written
     as plain digits.
     """
-    kind = F.upper(prompt_text(F.col("row_type")))
+    kind = prompt_kind(F.col("row_type"))
     state, code, label = (prompt_text(F.col(c)) for c in ("state", "naics_code", "naics_label"))
 
     def text(header: Column, bullets: list[Column]) -> Column:

@@ -39,8 +39,6 @@ DISPLAY_NAMES = {
 }
 TIERS = ["High", "Medium", "Low", "Minimal"]
 
-BY_SCORE = descending("composite_risk_score", "row_type", "state", "naics_code")
-
 
 def filtered_view(
     segments: DataFrame,
@@ -52,7 +50,8 @@ def filtered_view(
     keep = in_tiers(F.col("risk_tier"), tiers) & at_least(F.col("composite_risk_score"), minimum)
     if row_type is not None:
         keep = keep & (F.col("row_type") == row_type)
-    return segments.where(keep).orderBy(*BY_SCORE)
+    order = descending("composite_risk_score", "row_type", "state", "naics_code")
+    return segments.where(keep).orderBy(*order)
 
 
 def display_view(view: DataFrame) -> DataFrame:

@@ -9,9 +9,7 @@ from segrisk.operators.shape import conform
 from segrisk.plans.explore import display_view
 from segrisk.plans.scoring import canonical, canonical_order
 from segrisk.schemas import MANIFEST, SEGMENTS
-
-CSV_OUT = {"header": True, "nullValue": "", "emptyValue": "", "escape": '"'}
-
+from segrisk.sources.tables import CSV_OPTIONS
 
 def write_raw(bodies: DataFrame, path: str) -> None:
     """Bronze: the responses exactly as received, one JSON string field per line."""
@@ -19,7 +17,7 @@ def write_raw(bodies: DataFrame, path: str) -> None:
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_OUT).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_clean(df: DataFrame, path: str, *partition_by: str) -> None:
@@ -39,7 +37,7 @@ def export_segments(segments: DataFrame, path: str) -> DataFrame:
     as needed for a large one; nothing is forced into a single task.
     """
     table = canonical(segments)
-    canonical_order(table).write.mode("overwrite").options(**CSV_OUT).csv(path)
+    canonical_order(table).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return table
 
 
@@ -66,4 +64,4 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 
 def write_view_csv(view: DataFrame, path: str) -> None:
     """The filtered view under its display headings."""
-    display_view(view).write.mode("overwrite").options(**CSV_OUT).csv(path)
+    display_view(view).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)

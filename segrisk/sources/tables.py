@@ -12,8 +12,16 @@ from segrisk.functions.values import parse_number
 from segrisk.operators.shape import conform
 from segrisk.schemas import AWARDS, BRIEFS, EMPLOYMENT, MANIFEST, SEGMENTS, TRADE, all_strings
 
-# Only an empty field is missing: a name such as "NA" stays a name.
-CSV_OPTIONS = {"header": True, "nullValue": "", "emptyValue": "", "multiLine": False, "escape": '"'}
+# Only an empty field is missing: a name such as "NA" stays a name. Blanks around
+# a value belong to it, in both directions (Spark's writer trims them by default).
+CSV_OPTIONS = {
+    "header": True,
+    "nullValue": "",
+    "emptyValue": "",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def read_csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
