@@ -69,11 +69,20 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def pad_missing(df: DataFrame, present: DataFrame, required: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
-    """Add one row per required key that is not among ``present``."""
-    absent = missing_keys(present, required, key)
-    extra = absent.select(key, *[v.alias(c) for c, v in values.items()])
-    return df.unionByName(extra, allowMissingColumns=True)
+def pad_missing(df: DataFrame, required: DataFrame, key: str, values: Mapping[str, Column]) -> DataFrame:
+    """Add one row per required key without a row; ``values`` fill it, the rest is NULL.
+
+    A full outer join reads the table once; an anti join plus union would
+    compute it twice. Rows without a key match nothing and stay.
+    """
+    joined = df.withColumn("_present", F.lit(True)).join(required.select(key), key, "full_outer")
+    added = F.col("_present").isNull()
+    return joined.select(
+        *[
+            F.when(added, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+            for c in df.columns
+        ]
+    )
 
 
 def split_by_existing(df: DataFrame, existing: DataFrame, key: str, flag: str = "cached") -> DataFrame:

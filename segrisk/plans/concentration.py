@@ -21,31 +21,33 @@ def clean_keys(awards: DataFrame) -> DataFrame:
     )
 
 
-def recipient_totals(awards: DataFrame, amount: str = "award_amount") -> DataFrame:
-    """The one pass over the awards: a row per (industry, state, recipient).
+def award_parts(awards: DataFrame, amount: str = "award_amount") -> DataFrame:
+    """Awards in the additive form every later sum works on: one part per award.
 
-    NULL keys are kept. Contract values, award counts and the concentration
-    index all come from this table.
+    Parts may be summed to any coarser grain first, for instance below a join;
+    what is computed from them stays the same.
     """
-    return (
-        clean_keys(awards)
-        .groupBy(*TOTAL_KEYS)
-        .agg(F.sum(money(F.col(amount))).alias("award_total"), F.count(amount).alias("award_count"))
+    value = money(F.col(amount))
+    return clean_keys(awards).select(
+        *TOTAL_KEYS,
+        value.alias("award_total"),
+        value.isNotNull().cast("long").alias("award_count"),
     )
 
 
-def merge_totals(partial: DataFrame) -> DataFrame:
-    """Combine totals that were aggregated in parts, for instance below a join."""
-    return (
-        clean_keys(partial)
-        .groupBy(*TOTAL_KEYS)
-        .agg(F.sum("award_total").alias("award_total"), F.sum("award_count").alias("award_count"))
+def recipient_totals(parts: DataFrame) -> DataFrame:
+    """A row per (industry, state, recipient), NULL keys kept."""
+    return parts.groupBy(*TOTAL_KEYS).agg(
+        F.sum("award_total").alias("award_total"), F.sum("award_count").alias("award_count")
     )
 
 
-def state_profile(totals: DataFrame) -> DataFrame:
-    """Contract value, award count, named recipients and index per state."""
-    entities = totals.groupBy("state", "recipient_name").agg(
+def state_profile(parts: DataFrame) -> DataFrame:
+    """Contract value, award count, named recipients and index per state.
+
+    Two combining aggregations: per (state, recipient), then per state.
+    """
+    entities = parts.groupBy("state", "recipient_name").agg(
         F.sum("award_total").alias("award_total"), F.sum("award_count").alias("award_count")
     )
     return group_profile(entities, "state", "recipient_name", "award_total", "award_count").select(
@@ -57,10 +59,10 @@ def state_profile(totals: DataFrame) -> DataFrame:
     )
 
 
-def hhi_by_state(totals: DataFrame) -> DataFrame:
+def hhi_by_state(parts: DataFrame) -> DataFrame:
     """Index and label of the states with at least one named recipient."""
     return (
-        state_profile(totals)
+        state_profile(parts)
         .where(F.col("distinct_recipients") > 0)
         .select(
             "state",

@@ -101,17 +101,17 @@ def panel_row(
 ) -> DataFrame:
     """The row shown in detail: a picked table row, else a clicked state, else the default.
 
-    A choice that matches nothing falls back to the default as well.
+    A choice that matches nothing falls back to the default as well. Choice and
+    default are candidates of one top-1 selection, so the table is read once.
     """
-    default = default_selection(segments)
     if picked is not None:
-        chosen = find_segment(segments, *picked)
+        chosen = same_row(dict(zip(("row_type", "state", "naics_code"), picked)))
     elif clicked_state is not None:
-        chosen = find_segment(segments, "STATE", clicked_state, None)
+        chosen = same_row({"row_type": "STATE", "state": clicked_state})
     else:
-        return default
-    ranked = chosen.withColumn("_order", F.lit(0)).unionByName(default.withColumn("_order", F.lit(1)))
-    return ranked.orderBy("_order").limit(1).drop("_order")
+        return default_selection(segments)
+    candidates = segments.where(chosen | (F.col("row_type") == "STATE"))
+    return candidates.orderBy(chosen.desc(), *descending("composite_risk_score", "state")).limit(1)
 
 
 def _tier_or_na() -> Column:

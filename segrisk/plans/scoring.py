@@ -13,8 +13,8 @@ from segrisk.plans import geographic, workforce
 from segrisk.plans.composite import Dimension, Registry, score_composite
 from segrisk.plans.concentration import (
     apply_concentration,
+    award_parts,
     hhi_by_state,
-    recipient_totals,
     state_profile,
 )
 from segrisk.plans.unify import contracts_by_industry, segment_rows, unify
@@ -24,26 +24,26 @@ from segrisk.schemas import ROUNDED_ON_EXPORT, SEGMENTS
 def score_segments(awards: DataFrame, trade: DataFrame, employment: DataFrame) -> DataFrame:
     """Segments with all scores, one lazy plan over the three silver tables."""
     return score_from_totals(
-        recipient_totals(awards),
+        award_parts(awards),
         geographic.destination_totals(trade),
         workforce.employment_by_year(employment),
     )
 
 
-def score_from_totals(award_totals: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
-    """Scored segments from the reduced tables, each of them read once.
+def score_from_totals(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
+    """Scored segments from award parts and the two reduced tables, each read once.
 
     Measures and scores of a key come out of the same aggregation, so nothing
     is scanned again or joined back just to add a score column. Same result as
     ``score_stepwise``.
     """
-    spark = award_totals.sparkSession
+    spark = parts.sparkSession
     products = geographic.product_profile(trade_totals)
     exports = geographic.industry_profile(products, hs_crosswalk(spark))
     stress = workforce.industry_profile(workforce.stress_scores(yearly), series_crosswalk(spark))
     industries = align(
         [
-            contracts_by_industry(award_totals),
+            contracts_by_industry(parts),
             exports.select("naics_code", "export_value", "geo_risk_score"),
             stress,
         ],
@@ -51,7 +51,7 @@ def score_from_totals(award_totals: DataFrame, trade_totals: DataFrame, yearly:
     )
     # A state without a named recipient has no index row and takes the default.
     index = F.when(F.col("distinct_recipients") > 0, F.col("hhi_score")).otherwise(0.0)
-    states = state_profile(award_totals).select(
+    states = state_profile(parts).select(
         "state",
         "total_contract_value",
         F.col("award_count").alias("recipient_count"),
@@ -63,14 +63,14 @@ def score_from_totals(award_totals: DataFrame, trade_totals: DataFrame, yearly:
     return conform(score_composite(rows), SEGMENTS)
 
 
-def score_stepwise(award_totals: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
+def score_stepwise(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
     """Segments first, then one keyed update per score.
 
     For rescoring one dimension of a stored segments table; peers' columns
     survive each update.
     """
-    spark = award_totals.sparkSession
-    segments = apply_concentration(unify(award_totals, trade_totals, yearly), hhi_by_state(award_totals))
+    spark = parts.sparkSession
+    segments = apply_concentration(unify(parts, trade_totals, yearly), hhi_by_state(parts))
     risk = geographic.industry_risk(trade_totals, hs_crosswalk(spark), naics_labels(spark))
     segments = geographic.apply_geographic(segments, risk)
     stress = workforce.industry_stress(workforce.stress_scores(yearly), series_crosswalk(spark))
@@ -78,12 +78,12 @@ def score_stepwise(award_totals: DataFrame, trade_totals: DataFrame, yearly: Dat
     return conform(score_composite(segments), SEGMENTS)
 
 
-def standard_dimensions(award_totals: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> Registry:
+def standard_dimensions(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> Registry:
     """The three built-in scores as registered dimensions."""
-    spark = award_totals.sparkSession
+    spark = parts.sparkSession
 
     def concentration() -> DataFrame:
-        hhi = hhi_by_state(award_totals)
+        hhi = hhi_by_state(parts)
         return hhi.select("state", (F.col("hhi_score") / 100.0).alias("score"))
 
     def destinations() -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from segrisk.dims import hs_crosswalk, naics_labels, required_states, series_crosswalk
 from segrisk.operators.filters import drop_orphans
-from segrisk.operators.keyed import align, missing_keys, pad_missing
+from segrisk.operators.keyed import align, pad_missing
 from segrisk.operators.shape import map_codes
 from segrisk.operators.totals import sum_and_count
 from segrisk.plans.concentration import clean_keys, state_profile
@@ -43,10 +43,10 @@ def awards_by_key(awards: DataFrame) -> DataFrame:
     )
 
 
-def contracts_by_industry(totals: DataFrame) -> DataFrame:
+def contracts_by_industry(parts: DataFrame) -> DataFrame:
     """Contract value and award count per industry, where awards carry one."""
     return (
-        totals.where(F.col("naics_code").isNotNull())
+        parts.where(F.col("naics_code").isNotNull())
         .groupBy("naics_code")
         .agg(
             F.coalesce(F.sum("award_total"), F.lit(0)).cast("double").alias("total_contract_value"),
@@ -55,8 +55,8 @@ def contracts_by_industry(totals: DataFrame) -> DataFrame:
     )
 
 
-def contracts_by_state(totals: DataFrame) -> DataFrame:
-    return state_profile(totals).select(
+def contracts_by_state(parts: DataFrame) -> DataFrame:
+    return state_profile(parts).select(
         "state", "total_contract_value", F.col("award_count").alias("recipient_count")
     )
 
@@ -89,11 +89,10 @@ def segment_rows(
     industries: DataFrame, states: DataFrame, padding: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """Tagged union of both kinds of rows, every required state present."""
-    spark = states.sparkSession
-    labelled = map_codes(industries, naics_labels(spark), "naics_code", "naics_label")
-    rows = labelled.unionByName(states, allowMissingColumns=True)
-    tagged = tag_rows(drop_orphans(rows, ["naics_code", "state"]))
-    return pad_states(tagged, states, padding)
+    labels = naics_labels(states.sparkSession)
+    labelled = map_codes(industries, labels, "naics_code", "naics_label")
+    rows = labelled.unionByName(pad_states(states, padding), allowMissingColumns=True)
+    return tag_rows(drop_orphans(rows, ["naics_code", "state"]))
 
 
 def unscored(segments: DataFrame) -> DataFrame:
@@ -106,69 +105,54 @@ def unscored(segments: DataFrame) -> DataFrame:
     )
 
 
-def unify(award_totals: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
+def unify(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
     """Segments without scores.
 
     Awards are summed per state and, separately, per industry, so that exactly
     one key is set on each row.
     """
-    spark = award_totals.sparkSession
+    spark = parts.sparkSession
     industries = align(
         [
-            contracts_by_industry(award_totals),
+            contracts_by_industry(parts),
             exports_by_industry(trade_totals, hs_crosswalk(spark)),
             employment_by_industry(yearly, series_crosswalk(spark)),
         ],
         "naics_code",
     )
-    rows = segment_rows(industries, contracts_by_state(award_totals))
+    rows = segment_rows(industries, contracts_by_state(parts))
     return unscored(rows).select(*BASE_COLUMNS)
 
 
-def pad_states(
-    segments: DataFrame, present: DataFrame, padding: Mapping[str, Column] | None = None
-) -> DataFrame:
+def pad_states(states: DataFrame, padding: Mapping[str, Column] | None = None) -> DataFrame:
     """Required states without a row get one with value and count 0."""
-    return pad_missing(
-        segments,
-        present,
-        required_states(segments.sparkSession),
-        "state",
-        {
-            "row_type": F.lit("STATE"),
-            "total_contract_value": F.lit(0.0),
-            "recipient_count": F.lit(0).cast("long"),
-            **(padding or {}),
-        },
-    )
+    zero = {"total_contract_value": F.lit(0.0), "recipient_count": F.lit(0).cast("long")}
+    required = required_states(states.sparkSession)
+    return pad_missing(states, required, "state", {**zero, **(padding or {})})
 
 
 def coverage_report(segments: DataFrame) -> DataFrame:
     """Row counts by kind and the required states without a row, as one record.
 
-    The missing states join the input as tagged rows, so a single aggregation
-    gives everything. The list holds at most the 50 required states.
+    Missing states come out of an outer join, so the input is read once. Their
+    list holds at most the 50 required states.
     """
     code, state = F.col("naics_code"), F.col("state")
-    kind = (
-        F.when(code.isNotNull(), "naics").when(state.isNotNull(), "state").otherwise("orphan")
+    kind = F.when(code.isNotNull(), "naics").when(state.isNotNull(), "state").otherwise("orphan")
+    rows = segments.select(kind.alias("kind"), F.when(code.isNull(), state).alias("state"))
+    tagged = pad_missing(
+        rows, required_states(segments.sparkSession), "state", {"kind": F.lit("missing")}
     )
-    rows = segments.select(kind.alias("kind"), "state")
-    states = segments.where(code.isNull() & state.isNotNull())
-    absent = missing_keys(states, required_states(segments.sparkSession), "state")
-    tagged = rows.unionByName(absent.select(F.lit("missing").alias("kind"), "state"))
 
-    def having(name: str):
+    def having(name: str) -> Column:
         return F.count_if(F.col("kind") == name)
 
-    listed = F.array_join(
-        F.sort_array(F.collect_set(F.when(F.col("kind") == "missing", F.col("state")))), ","
-    )
+    listed = F.collect_set(F.when(F.col("kind") == "missing", F.col("state")))
     return tagged.agg(
         F.count_if(F.col("kind") != "missing").alias("total_rows"),
         having("naics").alias("naics_rows"),
         having("state").alias("state_rows"),
         having("orphan").alias("orphan_rows"),
         having("missing").alias("missing_states"),
-        listed.alias("missing_list"),
+        F.array_join(F.sort_array(listed), ",").alias("missing_list"),
     )

@@ -20,11 +20,12 @@ from segrisk.dims import (
 )
 from segrisk.functions.values import money
 from segrisk.operators.shape import conform, map_codes, map_codes_or
-from segrisk.plans.concentration import merge_totals
+from segrisk.plans.concentration import clean_keys
 from segrisk.plans.geographic import destination_totals
 from segrisk.plans.scoring import canonical, score_from_totals
 from segrisk.plans.workforce import employment_by_year
 from segrisk.schemas import AWARDS, EMPLOYMENT, TRADE
+from segrisk.session import stored
 
 # Which code each nation, event type and part type stands for.
 STATE_OF_NATION = dict(enumerate(VALID_STATES[-25:]))
@@ -82,11 +83,11 @@ def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(joined.withColumn("state", _written_state(F.col("form"), F.col("code"))), AWARDS)
 
 
-def award_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``recipient_totals(awards)``, with the sums taken below the join.
+def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of the same awards, summed below the join.
 
     Line items shrink to a few rows per supplier before they meet the supplier
-    table; the join then reuses the partitioning of the aggregation.
+    table, so the join and all that follows handle the reduced rows only.
     """
     items = (
         table(spark, sf_dir, "lineitem")
@@ -95,7 +96,7 @@ def award_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.sum(money(F.col("amount"))).alias("award_total"), F.count("amount").alias("award_count"))
     )
     joined = items.join(_recipients(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
-    return merge_totals(
+    return clean_keys(
         joined.select(
             F.lit(None).cast("string").alias("naics_code"),
             _written_state(F.col("form"), F.col("code")).alias("state"),
@@ -175,12 +176,23 @@ def employment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reduced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three tables in the reduced form the scores are computed from."""
     return (
-        award_totals(spark, sf_dir),
+        award_parts(spark, sf_dir),
         destination_totals(trade(spark, sf_dir)),
         employment_by_year(employment(spark, sf_dir)),
     )
 
 
+def stored_reduced(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The same, written once, for plans that use each of them several times."""
+    names = ("parts", "trade-totals", "employment-years")
+    return [stored(df, name) for df, name in zip(reduced(spark, sf_dir), names)]
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored segments in export form."""
     return canonical(score_from_totals(*reduced(spark, sf_dir)))
+
+
+def stored_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written once, for queries that read the table several times."""
+    return stored(segments(spark, sf_dir), "segments")

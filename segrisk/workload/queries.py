@@ -269,7 +269,7 @@ def awards_by_key(spark, sf_dir):
 
 @query
 def recipient_profile(spark, sf_dir):
-    return rounded(concentration.state_profile(facts.award_totals(spark, sf_dir)), 4)
+    return rounded(concentration.state_profile(facts.award_parts(spark, sf_dir)), 4)
 
 
 @query
@@ -303,13 +303,13 @@ def scored_segments(spark, sf_dir):
 
 @query
 def scored_stepwise(spark, sf_dir):
-    return scoring.canonical(scoring.score_stepwise(*facts.reduced(spark, sf_dir)))
+    return scoring.canonical(scoring.score_stepwise(*facts.stored_reduced(spark, sf_dir)))
 
 
 @query
 def registry_scores(spark, sf_dir):
     """The built-in dimensions and one more, the rate of suppressed trade cells."""
-    reduced = facts.reduced(spark, sf_dir)
+    reduced = facts.stored_reduced(spark, sf_dir)
     registry = scoring.standard_dimensions(*reduced)
 
     def suppression() -> DataFrame:
@@ -420,7 +420,7 @@ def top20_states(spark, sf_dir):
 
 @query
 def score_histogram(spark, sf_dir):
-    return rounded(eda.score_distribution(facts.segments(spark, sf_dir)))
+    return rounded(eda.score_distribution(facts.stored_segments(spark, sf_dir)))
 
 
 @query
@@ -477,7 +477,7 @@ def award_grand_total(spark, sf_dir):
 
 @query
 def top_recipients(spark, sf_dir):
-    totals_ = facts.award_totals(spark, sf_dir)
+    totals_ = facts.award_parts(spark, sf_dir)
     return summaries.top_by_total(totals_, ["recipient_name"], "award_total", 5)
 
 
@@ -538,7 +538,7 @@ def fiscal_year_totals(spark, sf_dir):
 
 @query
 def brief_selection(spark, sf_dir):
-    batch = briefs.select_batch(facts.segments(spark, sf_dir), 10)
+    batch = briefs.select_batch(facts.stored_segments(spark, sf_dir), 10)
     return whole_numbers(
         briefs.identified(batch, strict=True).select(
             "branch", "identifier", "composite_risk_score", "risk_tier"
@@ -567,13 +567,14 @@ def segment_prompts(spark, sf_dir):
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Industry briefs exist; state briefs are new, their token count the award count."""
-    segments = briefs.identified(facts.segments(spark, sf_dir))
+    table_ = facts.stored_segments(spark, sf_dir)
+    segments = briefs.identified(table_)
     day = F.lit("2024-01-31 10:20:30").cast("timestamp")
     existing = segments.where(F.col("row_type") == "NAICS").select("identifier", day.alias("modified_at"))
     written = segments.where(F.col("row_type") == "STATE").select(
         "identifier", F.col("recipient_count").alias("tokens_used"), day.alias("generated_at")
     )
-    batch = briefs.select_batch(facts.segments(spark, sf_dir), 10)
+    batch = briefs.select_batch(table_, 10)
     return briefs.manifest(batch, existing, written)
 
 
@@ -792,7 +793,7 @@ def exported_view(spark, sf_dir):
 def brief_store(spark, sf_dir):
     """Briefs by key: all are written, the industries' are replaced, then all are loaded."""
     path = scratch_path(spark, "briefs")
-    prompts = briefs.prompts(facts.segments(spark, sf_dir))
+    prompts = briefs.prompts(facts.stored_segments(spark, sf_dir))
     first = prompts.select("identifier", F.col("label").alias("brief_text"))
     sinks.write_briefs(first.where(F.col("label") != "STATE WY"), path)
     again = prompts.where(F.col("label").startswith("NAICS")).select(
