@@ -16,8 +16,6 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-MONEY = "decimal(28,2)"
-
 
 def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
@@ -45,9 +43,22 @@ def parse_number(text: Column) -> Column:
     return F.when(~text.rlike(r"[dDfF]\s*$"), finite(text.try_cast("double")))
 
 
-def money(amount: Column) -> Column:
-    """Amount as exact cents, so that sums do not depend on row order."""
-    return finite(amount).cast(MONEY)
+def cents(amount: Column) -> Column:
+    """Amount as a whole number of cents: exact sums, whatever the row order.
+
+    Summing 64-bit integers stays in generated code, unlike wide decimals. A
+    sum past 9.2e16 dollars stops with an overflow error, it never wraps.
+    """
+    return F.rint(finite(amount) * 100.0).cast("long")
+
+
+def wide(total: Column) -> Column:
+    """A total that is summed again over many groups: no overflow at any size."""
+    return total.cast("decimal(20,0)")
+
+
+def dollars(total_cents: Column) -> Column:
+    return total_cents.cast("double") / 100.0
 
 
 def blank_to_null(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -22,13 +22,14 @@ def select_present(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the schema's columns in order; absent ones become typed NULLs."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(name: str, kind: DataType) -> Column | str:
+        if name not in have:
+            return F.lit(None).cast(kind).alias(name)
+        return name if have[name] == kind else F.col(name).cast(kind).alias(name)
+
+    return df.select(*[column(f.name, f.dataType) for f in schema.fields])
 
 
 def round_columns(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.functions.scores import geo_risk, hhi_from_sums
-from segrisk.functions.values import money
+from segrisk.functions.values import cents, dollars, wide
 
 
 def sum_and_count(df: DataFrame, keys: Sequence[str], amount: str, total: str, count: str) -> DataFrame:
     """Sum and number of known amounts per key; NULL keys form a group, no amounts sum to 0."""
     return df.groupBy(*keys).agg(
-        F.coalesce(F.sum(money(F.col(amount))), F.lit(0)).alias(total),
+        dollars(F.coalesce(F.sum(cents(F.col(amount))), F.lit(0))).alias(total),
         F.count(amount).alias(count),
     )
 
@@ -24,7 +24,7 @@ def group_profile(
 ) -> DataFrame:
     """Value, entities and Herfindahl-Hirschman index per group.
 
-    Expects one row per (group, entity). The index uses sum(x^2) / sum(x)^2,
+    Expects one row per (group, entity) with a whole-number total. The index uses sum(x^2) / sum(x)^2,
     so a group holding a third of all entities is still combined map-side; no
     group is ever gathered in one task. Nameless entities count towards the
     value but not the index, which is NULL for a group without any name.
@@ -32,10 +32,10 @@ def group_profile(
     x = F.col(total).cast("double")
     named = F.col(entity).isNotNull()
     aggregates = [
-        F.coalesce(F.sum(total), F.lit(0)).cast("double").alias("group_value"),
+        F.coalesce(F.sum(wide(F.col(total))), F.lit(0)).cast("double").alias("group_value"),
         F.count(entity).alias("entities"),
         F.sum(F.when(named, F.coalesce(x * x, F.lit(0.0)))).alias("squares"),
-        F.sum(F.when(named, F.coalesce(total, F.lit(0)))).cast("double").alias("named_total"),
+        F.sum(F.when(named, wide(F.coalesce(total, F.lit(0))))).cast("double").alias("named_total"),
     ]
     if count is not None:
         aggregates.append(F.sum(count).alias("row_count"))
@@ -57,7 +57,7 @@ def share_of_total(df: DataFrame, group: str, value: str, share: str = "share")
     execution: broadcast when the measured totals are small, else a sort-merge
     join whose skewed partitions are split.
     """
-    totals = df.groupBy(group).agg(F.sum(value).cast("double").alias("group_total"))
+    totals = df.groupBy(group).agg(F.sum(wide(F.col(value))).cast("double").alias("group_total"))
     return df.join(totals, group).withColumn(
         share, F.try_divide(F.col(value).cast("double"), F.col("group_total"))
     )
@@ -66,7 +66,7 @@ def share_of_total(df: DataFrame, group: str, value: str, share: str = "share")
 def destination_profile(totals: DataFrame, product: str, destination: str, value: str) -> DataFrame:
     """Dependence of each product on its largest destination, one aggregation.
 
-    Expects one row per (product, destination). Ties for the largest go to the
+    Expects one row per (product, destination) with a whole-number value. Ties for the largest go to the
     first name. A product without any value has no share and no score.
     """
     v = F.col(value).cast("double")
@@ -75,7 +75,7 @@ def destination_profile(totals: DataFrame, product: str, destination: str, value
         totals.where(F.col(product).isNotNull() & F.col(destination).isNotNull())
         .groupBy(product)
         .agg(
-            F.sum(value).cast("double").alias("total_value"),
+            F.sum(wide(F.col(value))).cast("double").alias("total_value"),
             largest.alias("largest"),
             F.count(F.lit(1)).alias("country_count"),
         )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.functions.scores import classify_hhi
-from segrisk.functions.values import blank_to_null, money, normalize_state
+from segrisk.functions.values import blank_to_null, cents, dollars, normalize_state
 from segrisk.operators.keyed import upsert
 from segrisk.operators.ranking import descending, top_k
 from segrisk.operators.totals import group_profile
@@ -27,10 +27,10 @@ def award_parts(awards: DataFrame, amount: str = "award_amount") -> DataFrame:
     Parts may be summed to any coarser grain first, for instance below a join;
     what is computed from them stays the same.
     """
-    value = money(F.col(amount))
+    value = cents(F.col(amount))
     return clean_keys(awards).select(
         *TOTAL_KEYS,
-        value.alias("award_total"),
+        value.alias("award_cents"),
         value.isNotNull().cast("long").alias("award_count"),
     )
 
@@ -38,7 +38,7 @@ def award_parts(awards: DataFrame, amount: str = "award_amount") -> DataFrame:
 def recipient_totals(parts: DataFrame) -> DataFrame:
     """A row per (industry, state, recipient), NULL keys kept."""
     return parts.groupBy(*TOTAL_KEYS).agg(
-        F.sum("award_total").alias("award_total"), F.sum("award_count").alias("award_count")
+        F.sum("award_cents").alias("award_cents"), F.sum("award_count").alias("award_count")
     )
 
 
@@ -48,11 +48,11 @@ def state_profile(parts: DataFrame) -> DataFrame:
     Two combining aggregations: per (state, recipient), then per state.
     """
     entities = parts.groupBy("state", "recipient_name").agg(
-        F.sum("award_total").alias("award_total"), F.sum("award_count").alias("award_count")
+        F.sum("award_cents").alias("award_cents"), F.sum("award_count").alias("award_count")
     )
-    return group_profile(entities, "state", "recipient_name", "award_total", "award_count").select(
+    return group_profile(entities, "state", "recipient_name", "award_cents", "award_count").select(
         "state",
-        F.col("group_value").alias("total_contract_value"),
+        dollars(F.col("group_value")).alias("total_contract_value"),
         F.col("row_count").alias("award_count"),
         F.col("entities").alias("distinct_recipients"),
         "hhi_score",

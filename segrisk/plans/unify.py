@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.dims import hs_crosswalk, naics_labels, required_states, series_crosswalk
+from segrisk.functions.values import dollars, wide
 from segrisk.operators.filters import drop_orphans
 from segrisk.operators.keyed import align, pad_missing
 from segrisk.operators.shape import map_codes
@@ -49,7 +50,7 @@ def contracts_by_industry(parts: DataFrame) -> DataFrame:
         parts.where(F.col("naics_code").isNotNull())
         .groupBy("naics_code")
         .agg(
-            F.coalesce(F.sum("award_total"), F.lit(0)).cast("double").alias("total_contract_value"),
+            dollars(F.coalesce(F.sum(wide(F.col("award_cents"))), F.lit(0))).alias("total_contract_value"),
             F.sum("award_count").alias("recipient_count"),
         )
     )

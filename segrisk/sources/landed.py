@@ -81,6 +81,17 @@ SERIES_RESPONSE = StructType(
 )
 
 
+def _entries(df: DataFrame, array: Column, *keep: str) -> DataFrame:
+    """One row per array entry, with its position from 0.
+
+    The outer form, filtered afterwards: for a plain explode the optimizer adds
+    a non-empty check that would evaluate the JSON parser a second time.
+    """
+    return df.select(*keep, F.posexplode_outer(array).alias("position", "entry")).where(
+        F.col("position").isNotNull()
+    )
+
+
 def read_bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All responses of a folder; empty ones (no content) are skipped."""
     texts = spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
@@ -102,7 +113,7 @@ def read_award_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def award_records(bodies: DataFrame) -> DataFrame:
     """Records of all pages, every field as text."""
     pages = non_empty(bodies).select(F.from_json("body", ArrayType(AWARD_RECORD)).alias("records"))
-    return pages.select(F.inline("records"))
+    return _entries(pages, F.col("records")).select("entry.*")
 
 
 def clean_awards(records: DataFrame) -> DataFrame:
@@ -140,9 +151,10 @@ def trade_matrix(
     at its first place.
     """
     matrices = non_empty(bodies).select(F.from_json("body", "array<array<string>>").alias("matrix"))
-    rows = matrices.select(
-        F.col("matrix")[0].alias("header"), F.posexplode("matrix").alias("position", "row")
-    ).where(F.col("position") > 0)
+    rows = _entries(
+        matrices.withColumn("header", F.try_element_at("matrix", F.lit(1))), F.col("matrix"), "header"
+    )
+    rows = rows.where(F.col("position") > 0).withColumnRenamed("entry", "row")
     return rows.select(*[_cell(name, name in optional).alias(ours) for name, ours in fields.items()])
 
 
@@ -176,16 +188,15 @@ def series_observations(bodies: DataFrame) -> DataFrame:
         F.lit("response status "), status, F.lit(": "), F.coalesce(F.array_join("r.message", "; "), F.lit(""))
     )
     series = F.when(status == SUCCESS, F.col("r.Results.series")).otherwise(F.raise_error(problem))
-    return (
-        answers.select(F.inline(series))
-        .select("seriesID", F.inline("data"))
-        .select(
-            F.col("seriesID").alias("series_id"),
-            F.col("year").cast("int").alias("year"),
-            "period",
-            F.col("periodName").alias("period_name"),
-            F.col("value").cast("double").alias("value"),
-        )
+    one = _entries(answers, series).select(
+        F.col("entry.seriesID").alias("series_id"), F.col("entry.data").alias("data")
+    )
+    return _entries(one, F.col("data"), "series_id").select(
+        "series_id",
+        F.col("entry.year").cast("int").alias("year"),
+        F.col("entry.period").alias("period"),
+        F.col("entry.periodName").alias("period_name"),
+        F.col("entry.value").cast("double").alias("value"),
     )
 
 

@@ -18,13 +18,13 @@ from segrisk.dims import (
     mapping_table,
     values_table,
 )
-from segrisk.functions.values import money
-from segrisk.operators.shape import conform, map_codes, map_codes_or
+from segrisk.functions.values import cents
+from segrisk.operators.shape import conform, map_codes
 from segrisk.plans.concentration import clean_keys
 from segrisk.plans.geographic import destination_totals
 from segrisk.plans.scoring import canonical, score_from_totals
 from segrisk.plans.workforce import employment_by_year
-from segrisk.schemas import AWARDS, EMPLOYMENT, TRADE
+from segrisk.schemas import AWARDS, TRADE
 from segrisk.session import stored
 
 # Which code each nation, event type and part type stands for.
@@ -34,8 +34,26 @@ SERIES_OF_TYPE = dict(zip(["ECONOMY", "LARGE", "MEDIUM"], SERIES_LABELS))
 LAST_MONTH = "2001-08-01"
 
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "pages": "page_id long, url string, html string",
+    "labels": "doc_id long, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan with the known schema; no file is opened before the query runs."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _state_form() -> Column:
@@ -93,7 +111,7 @@ def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .select("l_suppkey", _state_form().alias("form"), _award_amount().alias("amount"))
         .groupBy("l_suppkey", "form")
-        .agg(F.sum(money(F.col("amount"))).alias("award_total"), F.count("amount").alias("award_count"))
+        .agg(F.sum(cents(F.col("amount"))).alias("award_cents"), F.count("amount").alias("award_count"))
     )
     joined = items.join(_recipients(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
     return clean_keys(
@@ -101,7 +119,7 @@ def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("naics_code"),
             _written_state(F.col("form"), F.col("code")).alias("state"),
             "recipient_name",
-            "award_total",
+            "award_cents",
             "award_count",
         )
     )
@@ -149,28 +167,30 @@ def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_employment(counts, "o_orderpriority")
 
 
-def as_employment(monthly: DataFrame, series: str) -> DataFrame:
+def as_employment(monthly: DataFrame, series: str, label: str | None = None) -> DataFrame:
     start = F.make_date("year", "month", F.lit(1))
-    return conform(
-        monthly.select(
-            F.col(series).alias("series_id"),
-            "year",
-            F.format_string("M%02d", "month").alias("period"),
-            F.date_format(start, "MMMM").alias("period_name"),
-            "value",
-            F.col(series).alias("series_label"),
-        ),
-        EMPLOYMENT,
+    return monthly.select(
+        F.col(series).alias("series_id"),
+        "year",
+        F.format_string("M%02d", "month").alias("period"),
+        F.date_format(start, "MMMM").alias("period_name"),
+        "value",
+        F.col(label or series).alias("series_label"),
     )
 
 
 def employment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three part types stand for the known series, the others keep their name."""
-    series = mapping_table(spark, SERIES_OF_TYPE, "p_type", "series_id")
-    labels = mapping_table(spark, SERIES_LABELS, "series_id", "series_label")
-    named = map_codes_or(monthly_quantity(spark, sf_dir), series, "p_type", "series_id", F.col("p_type"))
-    plain = as_employment(named, "series_id").drop("series_label")
-    return conform(map_codes_or(plain, labels, "series_id", "series_label", F.col("series_id")), EMPLOYMENT)
+    known = values_table(
+        spark,
+        ["p_type", "series_id", "series_label"],
+        [(kind, sid, SERIES_LABELS[sid]) for kind, sid in SERIES_OF_TYPE.items()],
+    )
+    named = monthly_quantity(spark, sf_dir).join(known, "p_type", "left")
+    named = named.withColumns(
+        {c: F.coalesce(c, "p_type") for c in ("series_id", "series_label")}
+    )
+    return as_employment(named, "series_id", "series_label")
 
 
 def reduced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -22,7 +22,7 @@ from segrisk.dims import (
     series_crosswalk,
 )
 from segrisk.functions.scores import classify_hhi, classify_tier, composite_sector, composite_state
-from segrisk.functions.values import fiscal_year, money
+from segrisk.functions.values import cents, dollars, fiscal_year
 from segrisk.operators import filters, keyed, ranking, series, totals
 from segrisk.operators.shape import rename
 from segrisk.plans import (
@@ -68,7 +68,7 @@ def _supplier_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_suppkey")
-        .agg(F.sum(money(F.col("l_extendedprice"))).alias("entity_total"))
+        .agg(F.sum(cents(F.col("l_extendedprice"))).alias("entity_cents"))
     )
 
 
@@ -81,13 +81,13 @@ def _nation_suppliers(spark: SparkSession, sf_dir: str, richer_than: float | Non
         _supplier_totals(spark, sf_dir)
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("n_name", "s_name", "entity_total")
+        .select("n_name", "s_name", "entity_cents")
     )
 
 
 def _nation_hhi(spark: SparkSession, sf_dir: str, richer_than: float | None = None) -> DataFrame:
     profile = totals.group_profile(
-        _nation_suppliers(spark, sf_dir, richer_than), "n_name", "s_name", "entity_total"
+        _nation_suppliers(spark, sf_dir, richer_than), "n_name", "s_name", "entity_cents"
     )
     return profile.select("n_name", F.round("hhi_score", 4).alias("hhi_score")).withColumn(
         "concentration_risk_label", classify_hhi(F.col("hhi_score"))
@@ -101,9 +101,9 @@ def hhi_by_nation(spark, sf_dir):
 
 @query
 def entity_shares(spark, sf_dir):
-    shares = totals.share_of_total(_nation_suppliers(spark, sf_dir), "n_name", "entity_total")
+    shares = totals.share_of_total(_nation_suppliers(spark, sf_dir), "n_name", "entity_cents")
     return rounded(
-        shares.select("n_name", "s_name", F.col("entity_total").cast("double").alias("entity_total"), "share"),
+        shares.select("n_name", "s_name", dollars(F.col("entity_cents")).alias("entity_total"), "share"),
         6,
     )
 
@@ -159,7 +159,7 @@ def dest_dependence_capped(spark, sf_dir):
         items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_custkey", "p_type")
-        .agg(F.sum(money(F.col("l_extendedprice"))).alias("value"))
+        .agg(F.sum(cents(F.col("l_extendedprice"))).alias("value"))
     )
     per_nation = (
         per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -180,7 +180,7 @@ def _brand_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(
             F.col("p_brand").alias("hs_code"), F.col("o_custkey").cast("string").alias("country_name")
         )
-        .agg(F.sum(money(F.col("l_extendedprice"))).alias("export_total"))
+        .agg(F.sum(cents(F.col("l_extendedprice"))).alias("export_total"))
     )
 
 
@@ -191,7 +191,8 @@ def dest_rollup_worst(spark, sf_dir):
     crosswalk = mapping_table(spark, groups, "hs_code", "naics_code")
     products = geographic.product_profile(_brand_totals(spark, sf_dir))
     rolled = geographic.industry_profile(products, crosswalk)
-    return rounded(rename(rolled, {"naics_code": "brand_group", "export_value": "total_value"}), 2)
+    named = rename(rolled, {"naics_code": "brand_group", "export_value": "total_value"})
+    return rounded(named.withColumn("total_value", dollars(F.col("total_value"))), 2)
 
 
 @query
@@ -263,8 +264,7 @@ def missing_states(spark, sf_dir):
 
 @query
 def awards_by_key(spark, sf_dir):
-    grouped = unify.awards_by_key(facts.awards(spark, sf_dir))
-    return grouped.withColumn("total_contract_value", F.col("total_contract_value").cast("double"))
+    return unify.awards_by_key(facts.awards(spark, sf_dir))
 
 
 @query
@@ -477,22 +477,29 @@ def award_grand_total(spark, sf_dir):
 
 @query
 def top_recipients(spark, sf_dir):
-    totals_ = facts.award_parts(spark, sf_dir)
-    return summaries.top_by_total(totals_, ["recipient_name"], "award_total", 5)
+    per_recipient = (
+        facts.award_parts(spark, sf_dir).groupBy("recipient_name").agg(F.sum("award_cents").alias("value"))
+    )
+    totals_ = per_recipient.select("recipient_name", dollars(F.col("value")).alias("total_value"))
+    return summaries.rank_totals(totals_, ["recipient_name"], 5)
 
 
 @query
 def top_destinations(spark, sf_dir):
     """Buyer nations by order value, summed per customer before the join."""
     per_customer = (
-        table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(money(F.col("o_totalprice"))).alias("value"))
+        table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(cents(F.col("o_totalprice"))).alias("value"))
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    rows = per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey")
+    keys = ["n_nationkey", "n_name"]
+    per_nation = (
+        per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(*keys)
+        .agg(dollars(F.sum("value")).alias("total_value"))
     )
-    return summaries.top_by_total(rows, ["n_nationkey", "n_name"], "value", 10)
+    return summaries.rank_totals(per_nation, keys, 10)
 
 
 @query
@@ -526,7 +533,7 @@ def fiscal_year_totals(spark, sf_dir):
         .groupBy(fiscal_year(F.col("o_orderdate")).cast("long").alias("fiscal_year"))
         .agg(
             F.count(F.lit(1)).alias("row_count"),
-            F.sum(money(F.col("o_totalprice"))).cast("double").alias("total_value"),
+            dollars(F.sum(cents(F.col("o_totalprice")))).alias("total_value"),
             F.min("o_orderdate").cast("date").cast("string").alias("first_day"),
             F.max("o_orderdate").cast("date").cast("string").alias("last_day"),
         )
@@ -632,7 +639,7 @@ def ingest_awards(spark, sf_dir):
         .agg(
             F.count(F.lit(1)).alias("row_count"),
             F.count("award_amount").alias("amount_count"),
-            F.sum(money(F.col("award_amount"))).cast("double").alias("total_value"),
+            dollars(F.sum(cents(F.col("award_amount")))).alias("total_value"),
             F.count_distinct("recipient_name").alias("recipients"),
             F.min("start_date").cast("string").alias("first_start"),
             F.max("start_date").cast("string").alias("last_start"),
@@ -648,7 +655,7 @@ def _trade_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice")
     per_customer = orders.groupBy(
         "o_custkey", "o_orderpriority", F.year("o_orderdate").alias("year")
-    ).agg(F.sum(money(F.col("o_totalprice"))).alias("value"))
+    ).agg(F.sum(cents(F.col("o_totalprice"))).alias("value"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     per_nation = (
@@ -670,7 +677,7 @@ def _trade_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = (
         per_nation.select("o_orderpriority", "year", "value", place)
         .groupBy("o_orderpriority", "year", "code", "name")
-        .agg(F.sum("value").cast("decimal(38,0)").alias("value"))
+        .agg(F.round(dollars(F.sum("value"))).cast("long").alias("value"))
     )
     code = F.substring("o_orderpriority", 1, 1)
     product = F.concat(F.lit("880"), code)
@@ -746,7 +753,7 @@ def clean_csv(spark, sf_dir):
     return typed.groupBy("state").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count("recipient_name").alias("named"),
-        F.sum(money(F.col("award_amount"))).cast("double").alias("total_value"),
+        dollars(F.sum(cents(F.col("award_amount")))).alias("total_value"),
         F.max("start_date").cast("string").alias("last_start"),
     )
 
