@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.dims import hs_crosswalk, naics_labels, series_crosswalk
-from segrisk.functions.scores import classify_hhi
+from segrisk.functions.scores import classify_hhi, composite_state
 from segrisk.operators.keyed import align
 from segrisk.operators.shape import conform, round_columns
 from segrisk.plans import geographic, workforce
@@ -84,7 +84,7 @@ def standard_dimensions(parts: DataFrame, trade_totals: DataFrame, yearly: DataF
 
     def concentration() -> DataFrame:
         hhi = hhi_by_state(parts)
-        return hhi.select("state", (F.col("hhi_score") / 100.0).alias("score"))
+        return hhi.select("state", composite_state(F.col("hhi_score")).alias("score"))
 
     def destinations() -> DataFrame:
         risk = geographic.industry_risk(trade_totals, hs_crosswalk(spark), naics_labels(spark))
