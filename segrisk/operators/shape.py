@@ -68,3 +68,14 @@ def map_codes_or(
 ) -> DataFrame:
     mapped = map_codes(df, mapping, key, value)
     return mapped.withColumn(value, F.coalesce(F.col(value), fallback))
+
+
+def entries(df: DataFrame, array: Column, *keep: str) -> DataFrame:
+    """One row per array entry, with its position from 0.
+
+    The outer form, filtered afterwards: for a plain explode the optimizer adds
+    a check for non-empty arrays that would compute the array a second time.
+    """
+    return df.select(*keep, F.posexplode_outer(array).alias("position", "entry")).where(
+        F.col("position").isNotNull()
+    )

@@ -23,11 +23,18 @@ from segrisk.functions.formatting import (
     report_title,
     segment_identifier,
 )
-from segrisk.functions.text import clean_markup, line_kind, line_payload, split_lines
+from segrisk.functions.text import (
+    clean_markup,
+    is_title,
+    line_kind,
+    line_payload,
+    single_line_ends,
+    split_lines,
+)
 from segrisk.functions.values import code_text, iso_utc
 from segrisk.operators.keyed import only_new, split_by_existing
 from segrisk.operators.ranking import descending, top_k_plus_all
-from segrisk.operators.shape import conform
+from segrisk.operators.shape import conform, entries
 from segrisk.schemas import MANIFEST
 
 # --- fixed values: the prompt -------------------------------------------------
@@ -223,8 +230,9 @@ def clean_texts(df: DataFrame, text: str) -> DataFrame:
 
 def document_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     """Every line of every text with its kind and payload; title lines are left out."""
-    lines = df.select(key, F.posexplode(split_lines(F.col(text))).alias("position", "line"))
-    kinds = lines.withColumn("kind", line_kind(F.col("line"))).where(F.col("kind") != "title")
+    plain = df.select(key, single_line_ends(F.col(text)).alias("text"))
+    lines = entries(plain, split_lines(F.col("text")), key).withColumnRenamed("entry", "line")
+    kinds = lines.where(~is_title(F.col("line"))).withColumn("kind", line_kind(F.col("line")))
     return kinds.select(
         key,
         (F.col("position") + 1).cast("long").alias("line_no"),

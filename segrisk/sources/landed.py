@@ -21,7 +21,7 @@ from pyspark.sql.types import (
 from segrisk.dims import SERIES_LABELS, mapping_table
 from segrisk.functions.values import parse_number, year_of_period
 from segrisk.operators.filters import individual_destination
-from segrisk.operators.shape import conform, map_codes_or, rename, select_present
+from segrisk.operators.shape import conform, entries, map_codes_or, rename, select_present
 from segrisk.schemas import AWARDS, EMPLOYMENT, TRADE
 
 # --- fixed values: field names in the responses -----------------------------
@@ -81,17 +81,6 @@ SERIES_RESPONSE = StructType(
 )
 
 
-def _entries(df: DataFrame, array: Column, *keep: str) -> DataFrame:
-    """One row per array entry, with its position from 0.
-
-    The outer form, filtered afterwards: for a plain explode the optimizer adds
-    a non-empty check that would evaluate the JSON parser a second time.
-    """
-    return df.select(*keep, F.posexplode_outer(array).alias("position", "entry")).where(
-        F.col("position").isNotNull()
-    )
-
-
 def read_bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All responses of a folder; empty ones (no content) are skipped."""
     texts = spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")
@@ -113,7 +102,7 @@ def read_award_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def award_records(bodies: DataFrame) -> DataFrame:
     """Records of all pages, every field as text."""
     pages = non_empty(bodies).select(F.from_json("body", ArrayType(AWARD_RECORD)).alias("records"))
-    return _entries(pages, F.col("records")).select("entry.*")
+    return entries(pages, F.col("records")).select("entry.*")
 
 
 def clean_awards(records: DataFrame) -> DataFrame:
@@ -151,7 +140,7 @@ def trade_matrix(
     at its first place.
     """
     matrices = non_empty(bodies).select(F.from_json("body", "array<array<string>>").alias("matrix"))
-    rows = _entries(
+    rows = entries(
         matrices.withColumn("header", F.try_element_at("matrix", F.lit(1))), F.col("matrix"), "header"
     )
     rows = rows.where(F.col("position") > 0).withColumnRenamed("entry", "row")
@@ -188,10 +177,10 @@ def series_observations(bodies: DataFrame) -> DataFrame:
         F.lit("response status "), status, F.lit(": "), F.coalesce(F.array_join("r.message", "; "), F.lit(""))
     )
     series = F.when(status == SUCCESS, F.col("r.Results.series")).otherwise(F.raise_error(problem))
-    one = _entries(answers, series).select(
+    one = entries(answers, series).select(
         F.col("entry.seriesID").alias("series_id"), F.col("entry.data").alias("data")
     )
-    return _entries(one, F.col("data"), "series_id").select(
+    return entries(one, F.col("data"), "series_id").select(
         "series_id",
         F.col("entry.year").cast("int").alias("year"),
         F.col("entry.period").alias("period"),
