@@ -17,6 +17,9 @@ WHITESPACE = (
 )
 
 
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
 
@@ -37,10 +40,10 @@ def finite(number: Column) -> Column:
 def parse_number(text: Column) -> Column:
     """Text to double, NULL where it is no plain number.
 
-    A trailing ``d`` or ``f`` is a numeric suffix to the JVM's parser only, so
-    it is refused here.
+    The pattern keeps out what only the JVM reads as a number (``5d``) and the
+    words for NaN and infinity.
     """
-    return F.when(~text.rlike(r"[dDfF]\s*$"), finite(text.try_cast("double")))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def cents(amount: Column) -> Column:
@@ -75,8 +78,9 @@ def is_missing(value: Column, kind: str) -> Column:
 
 
 def normalize_state(text: Column, valid: Sequence[str] = VALID_STATES) -> Column:
+    """Valid code of any spelling, else NULL. Clean codes skip the costly trimming."""
     code = F.upper(strip(text))
-    return F.when(code.isin(*valid), code)
+    return F.when(text.isin(*valid), text).when(code.isin(*valid), code)
 
 
 def month_of_period(period: Column) -> Column:

@@ -27,14 +27,14 @@ def employment_by_year(employment: DataFrame) -> DataFrame:
     return yearly_summary(with_month(employment))
 
 
-def stress_scores(yearly: DataFrame, series: str = "series_id") -> DataFrame:
+def stress_scores(yearly: DataFrame) -> DataFrame:
     """Metrics, component scores and the final score per series.
 
     A series with a single observation has no changes and no score.
     """
     c = F.col
     return (
-        series_metrics(yearly, series)
+        series_metrics(yearly)
         .withColumn("peak_to_current_ratio", percent_drop(c("peak_employment"), c("latest_employment")))
         .withColumns(
             {
@@ -44,7 +44,7 @@ def stress_scores(yearly: DataFrame, series: str = "series_id") -> DataFrame:
             }
         )
         .select(
-            series,
+            "series_id",
             "series_label",
             "observations",
             "value_sum",

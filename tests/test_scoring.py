@@ -169,6 +169,20 @@ def test_stress_equals_brute_force(spark, values):
     assert row.series_label == "label CEU3133641101"
 
 
+def test_copies_count_as_unchanged_observations(spark):
+    values = [100.0, 103.0, 99.0, 120.0, 90.0] * 6
+    df = employment(spark, values)
+    copied = df.unionByName(df.where("period = 'M03'")).unionByName(df.where("period in ('M03', 'M12')"))
+    rows = copied.orderBy("year", "period", "value").collect()
+    row = workforce.stress_scores(workforce.employment_by_year(copied)).first()
+    latest, peak, _, sd, score = expected_stress([r.value for r in rows])
+    assert (row.latest_employment, row.peak_employment, row.observations) == (latest, peak, len(rows))
+    assert row.volatility == pytest.approx(sd) and row.workforce_risk_score == pytest.approx(score, abs=0.0051)
+    assert row.value_sum == pytest.approx(sum(r.value for r in rows))
+    found = series.changes(workforce.with_month(copied))
+    assert found.count() == len(values) and found.agg(F.sum("copies")).first()[0] == len(rows)
+
+
 def test_single_observation_has_no_score(spark):
     row = workforce.stress_scores(workforce.employment_by_year(employment(spark, [5.0]))).first()
     assert row.workforce_risk_score is None and row.volatility is None and row.latest_employment == 5.0
