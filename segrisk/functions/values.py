@@ -104,8 +104,9 @@ def clip(value: Column, low: float, high: float) -> Column:
 
 
 def iso_utc(moment: Column) -> Column:
-    """ISO text in UTC. The session time zone must be UTC for the digits to be UTC."""
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    """ISO text in UTC, whatever the session's time zone."""
+    utc = F.to_utc_timestamp(moment, F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def code_text(code: Column) -> Column:

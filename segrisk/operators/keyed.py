@@ -48,8 +48,8 @@ def upsert(
 
 
 def missing_keys(df: DataFrame, required: DataFrame, key: str) -> DataFrame:
-    """Required keys without a row."""
-    return required.join(df.select(key), key, "left_anti")
+    """Required keys without a row. Only distinct keys are shuffled."""
+    return required.join(df.select(key).distinct(), key, "left_anti")
 
 
 def require_keys(df: DataFrame, required: DataFrame, key: str) -> DataFrame:
@@ -97,7 +97,8 @@ def split_by_existing(df: DataFrame, existing: DataFrame, key: str, flag: str =
 
 
 def only_new(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    return df.join(existing.select(key), key, "left_anti")
+    """Rows whose key does not exist yet; a NULL key never exists."""
+    return df.join(existing.select(key).distinct(), key, "left_anti")
 
 
 def same_row(keys: Mapping[str, object]) -> Column:

@@ -40,15 +40,18 @@ def number_rows(df: DataFrame, order: Sequence[Column], rank: str = "rank") -> D
     The sorted table is written to the shared folder once, so that the part
     files, and with them the row numbers, stay the same if an executor is lost.
     Numbers are a per-part offset plus the position within the part; only the
-    part sizes, one row per file, meet in a window.
+    part sizes, one row per file, meet in a window. Rows that are equal in all
+    sort columns are spread over parts by a random last one.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "numbered")
     part = F.spark_partition_id()
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
     (
-        df.orderBy(*order)
+        df.withColumn("_spread", F.rand(11))
+        .orderBy(*order, "_spread")
         .withColumns({"_part": part, "_position": position})
+        .drop("_spread")
         .write.parquet(path)
     )
     rows = spark.read.parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.dims import hs_crosswalk, naics_labels, series_crosswalk
@@ -109,7 +109,16 @@ def canonical(segments: DataFrame) -> DataFrame:
     return round_columns(conform(segments, SEGMENTS), ROUNDED_ON_EXPORT)
 
 
-def canonical_order(segments: DataFrame) -> DataFrame:
+def canonical_keys() -> list[Column]:
     """Industries by code, then states with awards A-Z, then states added as empty."""
     no_awards = F.when(F.col("row_type") == "STATE", F.col("recipient_count") == 0)
-    return segments.orderBy("row_type", "naics_code", no_awards, "state")
+    return [F.col("row_type"), F.col("naics_code"), no_awards, F.col("state")]
+
+
+def canonical_order(segments: DataFrame) -> DataFrame:
+    return segments.orderBy(*canonical_keys())
+
+
+def preview(segments: DataFrame, n: int = 10) -> DataFrame:
+    """The first rows of the canonical order, as a top-n."""
+    return canonical_order(segments).limit(n)

@@ -286,6 +286,9 @@ SELECT (SELECT count(*) FROM keyed) AS total_rows, CAST(0 AS BIGINT) AS naics_ro
        (SELECT coalesce(string_agg(state, ',' ORDER BY state), '') FROM missing) AS missing_list"""
 ORACLE["scored_segments"] = ON_SEGMENTS + " SELECT * FROM segment"
 ORACLE["scored_stepwise"] = ON_SEGMENTS + " SELECT * FROM segment"
+ORACLE["segment_preview"] = ON_SEGMENTS + """
+SELECT row_type, naics_code, state, composite_risk_score, risk_tier FROM segment
+ORDER BY row_type, naics_code, CASE WHEN recipient_count = 0 THEN 1 ELSE 0 END, state LIMIT 6"""
 ORACLE["registry_scores"] = ON_SEGMENTS + """,
 hidden AS (
   SELECT naics_code, CAST(count(*) - count(CASE WHEN shown THEN 1 END) AS DOUBLE) / count(*) * 100 AS suppression

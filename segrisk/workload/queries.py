@@ -306,6 +306,13 @@ def scored_stepwise(spark, sf_dir):
     return scoring.canonical(scoring.score_stepwise(*facts.stored_reduced(spark, sf_dir)))
 
 
+@query
+def segment_preview(spark, sf_dir):
+    return scoring.preview(facts.segments(spark, sf_dir), 6).select(
+        "row_type", "naics_code", "state", "composite_risk_score", "risk_tier"
+    )
+
+
 @query
 def registry_scores(spark, sf_dir):
     """The built-in dimensions and one more, the rate of suppressed trade cells."""
