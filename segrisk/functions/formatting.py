@@ -26,6 +26,12 @@ def _plain(value: Column, pattern: str = "0.00") -> Column:
     return F.call_function("format_number", value, F.lit(pattern))
 
 
+def plain_number(value: Column) -> Column:
+    """All digits of a double, without an exponent for everyday sizes."""
+    everyday = (value == 0) | F.abs(value).between(1e-3, 1e15)
+    return F.when(everyday, _plain(value, "0.0" + "#" * 16)).otherwise(value.cast("string"))
+
+
 def _whole(value: Column) -> Column:
     """Fraction cut off, not rounded."""
     return F.format_number(value.cast("double").cast("long"), 0)
@@ -71,7 +77,7 @@ def prompt_kind(row_type: Column) -> Column:
 def prompt_any(value: Column, kind: str) -> Column:
     """Any column as text: digits written out, never in exponent form."""
     if kind == "double":
-        return _or(value, _plain(value, "0.0###############"), "N/A")
+        return _or(value, plain_number(value), "N/A")
     return prompt_text(value.cast("string"))
 
 

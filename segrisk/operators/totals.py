@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.functions.scores import geo_risk, hhi_from_sums
-from segrisk.functions.values import cents, dollars, wide
+from segrisk.functions.values import cents, wide
 
 
 def sum_and_count(df: DataFrame, keys: Sequence[str], amount: str, total: str, count: str) -> DataFrame:
-    """Sum and number of known amounts per key; NULL keys form a group, no amounts sum to 0."""
+    """Cents and number of known amounts per key; NULL keys form a group, no amounts sum to 0."""
     return df.groupBy(*keys).agg(
-        dollars(F.coalesce(F.sum(cents(F.col(amount))), F.lit(0))).alias(total),
+        F.coalesce(F.sum(cents(F.col(amount))), F.lit(0)).alias(total),
         F.count(amount).alias(count),
     )
 

@@ -32,15 +32,19 @@ BASE_COLUMNS = [
 def awards_by_key(awards: DataFrame) -> DataFrame:
     """Contract value and award count per (industry, state), NULL keys included.
 
-    ``recipient_count`` counts awards with a known amount, as its source does;
-    it is not a number of recipients.
+    Summed per key as written first: the keys are then normalised once per
+    spelling instead of once per award. ``recipient_count`` counts awards with
+    a known amount, as its source does; it is not a number of recipients.
     """
-    return sum_and_count(
-        clean_keys(awards),
-        ["naics_code", "state"],
-        "award_amount",
-        "total_contract_value",
-        "recipient_count",
+    keys = ["naics_code", "state"]
+    spelled = sum_and_count(awards, keys, "award_amount", "value_cents", "recipient_count")
+    return (
+        clean_keys(spelled)
+        .groupBy(*keys)
+        .agg(
+            dollars(F.sum(wide(F.col("value_cents")))).alias("total_contract_value"),
+            F.sum("recipient_count").alias("recipient_count"),
+        )
     )
 
 

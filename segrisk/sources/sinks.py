@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segrisk.functions.formatting import plain_number
 from segrisk.operators.shape import conform
 from segrisk.plans.explore import display_view
 from segrisk.plans.scoring import canonical, canonical_order
@@ -17,7 +18,9 @@ def write_raw(bodies: DataFrame, path: str) -> None:
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """CSV with a header; NULL is an empty field, numbers are written in full digits."""
+    numbers = {name: plain_number(F.col(f"`{name}`")) for name, kind in df.dtypes if kind == "double"}
+    df.withColumns(numbers).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_clean(df: DataFrame, path: str, *partition_by: str) -> None:
@@ -37,7 +40,7 @@ def export_segments(segments: DataFrame, path: str) -> DataFrame:
     as needed for a large one; nothing is forced into a single task.
     """
     table = canonical(segments)
-    canonical_order(table).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    write_clean_csv(canonical_order(table), path)
     return table
 
 
@@ -64,4 +67,4 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 
 def write_view_csv(view: DataFrame, path: str) -> None:
     """The filtered view under its display headings."""
-    display_view(view).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    write_clean_csv(display_view(view), path)

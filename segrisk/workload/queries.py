@@ -177,10 +177,13 @@ def _brand_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(
-            F.col("p_brand").alias("hs_code"), F.col("o_custkey").cast("string").alias("country_name")
-        )
+        .groupBy("p_brand", "o_custkey")
         .agg(F.sum(cents(F.col("l_extendedprice"))).alias("export_total"))
+        .select(
+            F.col("p_brand").alias("hs_code"),
+            F.col("o_custkey").cast("string").alias("country_name"),
+            "export_total",
+        )
     )
 
 

@@ -131,6 +131,13 @@ def test_prompt_formats(spark):
     ]
 
 
+def test_plain_numbers(spark):
+    inputs = [10002227966.0, 0.0, -2.5, 93609999.83, 1e-9, 1e300, None, 0.1 + 0.2]
+    assert many(spark, fmt.plain_number(F.col("x")), inputs) == [
+        "10002227966.0", "0.0", "-2.5", "93609999.83", "1.0E-9", "1.0E300", None, "0.30000000000000004",
+    ]
+
+
 def test_dashboard_formats(spark):
     assert many(spark, fmt.dashboard_number(F.col("x")), [1234.5, None]) == ["1,234.50", "—"]
     assert many(spark, fmt.dashboard_metric(F.col("x")), [1234.5, None]) == ["1,234.50", "N/A"]

@@ -172,7 +172,7 @@ def test_export(spark, tmp_path):
     files = sorted(f for f in os.listdir(path) if f.endswith(".csv"))
     lines = "".join((tmp_path / "segments.csv" / f).read_text() for f in files).splitlines()
     assert lines[0] == ",".join(SEGMENTS.names)
-    assert lines[1] == "NAICS,336411,Aircraft Manufacturing,,,,1.0002227966E10,240989,,N/A,60.42,32.44,46.43,Medium"
+    assert lines[1] == "NAICS,336411,Aircraft Manufacturing,,,,10002227966.0,240989,,N/A,60.42,32.44,46.43,Medium"
     assert [line.split(",")[3] for line in lines[2:]] == ["AL", "WI", "WY"]
     back = tables.read_segments_csv(spark, path)
     assert back.dtypes == kinds(SEGMENTS)
