@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from segrisk.functions.values import clip
+from segrisk.functions.values import clip, round_even, round_exact
 
 # --- fixed values: score model -------------------------------------------
 
@@ -54,7 +54,7 @@ def geo_risk(
 ) -> Column:
     """Dependence on the largest destination plus a term that falls with breadth."""
     raw = share_percent * share_weight + F.try_divide(F.lit(breadth), destinations)
-    return F.when(raw.isNotNull(), F.bround(F.least(F.lit(100.0), raw), 2))
+    return F.when(raw.isNotNull(), round_even(F.least(F.lit(100.0), raw)))
 
 
 def interpolate(x: Column, corners: Sequence[tuple[float, float]]) -> Column:
@@ -86,7 +86,7 @@ def workforce_risk(
 ) -> Column:
     """Weighted blend, bounded to 0..100; NULL as soon as one part is unknown."""
     blend = peak * weights[0] + volatility * weights[1] + penalty * weights[2]
-    return F.bround(clip(blend, 0.0, 100.0), 2)
+    return round_exact(clip(blend, 0.0, 100.0))
 
 
 def composite_sector(geo: Column, workforce: Column) -> Column:

@@ -55,6 +55,18 @@ def cents(amount: Column) -> Column:
     return F.rint(finite(amount) * 100.0).cast("long")
 
 
+def round_even(value: Column, digits: int = 2) -> Column:
+    """Scaled to whole numbers, rounded with ties to even, scaled back."""
+    scale = 10.0**digits
+    return F.rint(value * scale) / scale
+
+
+def round_exact(value: Column, digits: int = 2) -> Column:
+    """The decimal nearest to the exact binary value; only true ties go to even."""
+    pattern = "0." + "0" * digits
+    return F.call_function("format_number", value, F.lit(pattern)).cast("double")
+
+
 def wide(total: Column) -> Column:
     """A total that is summed again over many groups: no overflow at any size."""
     return total.cast("decimal(20,0)")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from segrisk.functions.values import round_even
+
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
@@ -33,7 +35,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def round_columns(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
-    return df.withColumns({c: F.bround(F.col(c), digits) for c in columns})
+    return df.withColumns({c: round_even(F.col(c), digits) for c in columns})
 
 
 def blank_text(df: DataFrame) -> DataFrame:

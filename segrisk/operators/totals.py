@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.functions.scores import geo_risk, hhi_from_sums
-from segrisk.functions.values import cents, wide
+from segrisk.functions.values import cents, round_even, wide
 
 
 def sum_and_count(df: DataFrame, keys: Sequence[str], amount: str, total: str, count: str) -> DataFrame:
@@ -85,7 +85,7 @@ def destination_profile(totals: DataFrame, product: str, destination: str, value
         product,
         "total_value",
         F.col("largest.name").alias("top_country"),
-        F.bround(share, 2).alias("top_country_share"),
+        round_even(share).alias("top_country_share"),
         "country_count",
         geo_risk(share, F.col("country_count")).alias("geo_risk_score"),
     )

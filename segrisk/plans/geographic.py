@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segrisk.functions.values import round_even
 from segrisk.operators.keyed import upsert
 from segrisk.operators.shape import map_codes
 from segrisk.operators.totals import destination_profile, worst_member
@@ -38,7 +39,7 @@ def industry_profile(products: DataFrame, crosswalk: DataFrame) -> DataFrame:
         mapped.groupBy("naics_code")
         .agg(
             F.sum("total_value").alias("export_value"),
-            F.bround(F.avg("geo_risk_score"), 2).alias("geo_risk_score"),
+            round_even(F.avg("geo_risk_score")).alias("geo_risk_score"),
             worst_member("hs_code", "top_country_share", CARRIED).alias("worst"),
         )
         .select(

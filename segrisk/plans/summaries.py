@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrisk.functions.values import cents, dollars, wide
+from segrisk.functions.values import cents, dollars, round_even, wide
 from segrisk.operators.ranking import descending, top_k
 from segrisk.operators.series import mean_and_peak
 from segrisk.plans.workforce import with_month
@@ -17,7 +17,7 @@ def grand_totals(df: DataFrame, amount: str) -> DataFrame:
     """Row count and total, the total also in billions with two digits."""
     total = F.coalesce(F.sum(wide(cents(F.col(amount)))), F.lit(0))
     return df.agg(F.count(F.lit(1)).alias("row_count"), dollars(total).alias("total_value")).withColumn(
-        "total_bn", F.bround(F.col("total_value") / 1e9, 2)
+        "total_bn", round_even(F.col("total_value") / 1e9)
     )
 
 
@@ -29,7 +29,7 @@ def top_by_total(df: DataFrame, keys: Sequence[str], amount: str, k: int) -> Dat
 
 def rank_totals(totals: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
     ranked = top_k(totals, k, descending("total_value", *keys), rank="rank")
-    return ranked.withColumn("total_bn", F.bround(F.col("total_value") / 1e9, 2))
+    return ranked.withColumn("total_bn", round_even(F.col("total_value") / 1e9))
 
 
 def award_summary(awards: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.dims import hs_crosswalk, naics_labels, required_states, series_crosswalk
-from segrisk.functions.values import dollars, wide
+from segrisk.functions.values import dollars, round_even, wide
 from segrisk.operators.filters import drop_orphans
 from segrisk.operators.keyed import align, pad_missing
 from segrisk.operators.shape import map_codes
@@ -78,7 +78,7 @@ def employment_by_industry(yearly: DataFrame, crosswalk: DataFrame) -> DataFrame
     mapped = map_codes(yearly, crosswalk, "series_id", "naics_code", keep_unmapped=False)
     mean = F.sum("value_sum") / F.sum("n")
     return mapped.groupBy("naics_code").agg(
-        F.bround(mean * 1000.0, 0).cast("long").alias("employment_count")
+        round_even(mean * 1000.0, 0).cast("long").alias("employment_count")
     )
 
 

@@ -12,7 +12,7 @@ from segrisk.functions.scores import (
     volatility_score,
     workforce_risk,
 )
-from segrisk.functions.values import month_of_period
+from segrisk.functions.values import month_of_period, round_even, round_exact
 from segrisk.operators.keyed import require_keys, upsert
 from segrisk.operators.series import series_metrics, yearly_summary
 from segrisk.operators.shape import map_codes
@@ -52,8 +52,8 @@ def stress_scores(yearly: DataFrame) -> DataFrame:
             "peak_employment",
             "peak_to_current_ratio",
             "volatility",
-            F.bround("peak_score", 2).alias("peak_score"),
-            F.bround("volatility_score", 2).alias("volatility_score"),
+            round_exact(c("peak_score")).alias("peak_score"),
+            round_exact(c("volatility_score")).alias("volatility_score"),
             "trend_penalty",
             workforce_risk(c("peak_score"), c("volatility_score"), c("trend_penalty")).alias(
                 "workforce_risk_score"
@@ -70,7 +70,7 @@ def industry_profile(scores: DataFrame, crosswalk: DataFrame) -> DataFrame:
     mapped = map_codes(scores, crosswalk, "series_id", "naics_code", keep_unmapped=False)
     mean = F.sum("value_sum") / F.sum("observations")
     return mapped.groupBy("naics_code").agg(
-        F.bround(mean * 1000.0, 0).cast("long").alias("employment_count"),
+        round_even(mean * 1000.0, 0).cast("long").alias("employment_count"),
         F.max_by("workforce_risk_score", "series_id").alias("workforce_risk_score"),
     )
 

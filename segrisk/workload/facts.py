@@ -141,7 +141,7 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_type").alias("hs_description"),
             F.lpad(user, 4, "0").alias("country_code"),
             F.concat(F.lit("Destination "), user).alias("country_name"),
-            F.when(F.col("value") >= 1, F.round(F.col("value") * 100)).alias("export_value"),
+            F.when(F.col("value") >= 1, F.rint(F.col("value") * 100)).alias("export_value"),
             F.year("ts").alias("year"),
         ),
         TRADE,

@@ -66,7 +66,7 @@ state_hhi AS (
 
 TRADE = """
 trade AS (
-  SELECT hs_code, 'Destination ' || user_id AS country, CAST(round(value * 100) AS BIGINT) AS raw_value, value >= 1 AS shown
+  SELECT hs_code, 'Destination ' || user_id AS country, CAST(round_even(value * 100, 0) AS BIGINT) AS raw_value, value >= 1 AS shown
   FROM events JOIN product_dim ON event_type = event),
 dest AS (
   SELECT hs_code, country, sum(CASE WHEN shown THEN raw_value ELSE 0 END) AS v FROM trade GROUP BY hs_code, country),
@@ -110,13 +110,13 @@ stress AS (
     CASE WHEN trend < 0 THEN 20.0 ELSE 0.0 END AS tp
   FROM stress_part),
 stress_score AS (
-  SELECT *, round_even(greatest(0, least(100, CAST(0.5 AS DOUBLE) * ps + CAST(0.3 AS DOUBLE) * vs + CAST(0.2 AS DOUBLE) * CAST(tp AS DOUBLE))), 2) AS workforce_risk_score
+  SELECT *, CAST(format('{:.2f}', greatest(0, least(100, CAST(0.5 AS DOUBLE) * ps + CAST(0.3 AS DOUBLE) * vs + CAST(0.2 AS DOUBLE) * CAST(tp AS DOUBLE)))) AS DOUBLE) AS workforce_risk_score
   FROM stress)"""
 
 STRESS_SELECT = """
-SELECT series_id, observations, round(latest, 4) AS latest_employment, round(peak, 4) AS peak_employment,
-       round(p, 4) AS peak_to_current_ratio, round(sd, 4) AS volatility,
-       round_even(ps, 2) AS peak_score, round_even(vs, 2) AS volatility_score, CAST(tp AS DOUBLE) AS trend_penalty,
+SELECT series_id, observations, round_even(latest, 4) AS latest_employment, round_even(peak, 4) AS peak_employment,
+       round_even(p, 4) AS peak_to_current_ratio, round_even(sd, 4) AS volatility,
+       CAST(format('{:.2f}', ps) AS DOUBLE) AS peak_score, CAST(format('{:.2f}', vs) AS DOUBLE) AS volatility_score, CAST(tp AS DOUBLE) AS trend_penalty,
        workforce_risk_score FROM stress_score"""
 
 SECTOR_WORK = """
@@ -176,7 +176,7 @@ def _nation_hhi(where: str) -> str:
     return f"""
 nation_share AS (
   SELECT n_name, CAST(x AS DOUBLE) / CAST(sum(x) OVER (PARTITION BY n_name) AS DOUBLE) AS share FROM nation_entity WHERE {where}),
-nation_score AS (SELECT n_name, round(sum(share * share) * 10000, 4) AS hhi_score FROM nation_share GROUP BY n_name),
+nation_score AS (SELECT n_name, round_even(sum(share * share) * 10000, 4) AS hhi_score FROM nation_share GROUP BY n_name),
 nation_hhi AS (
   SELECT n_name, hhi_score,
          CASE WHEN hhi_score > 2500 THEN 'High' WHEN hhi_score > 1500 THEN 'Moderate' ELSE 'Low' END AS concentration_risk_label
@@ -187,8 +187,8 @@ ON_NATION = _with(NATION, _nation_hhi("TRUE"))
 
 ORACLE["hhi_by_nation"] = ON_NATION + " SELECT * FROM nation_hhi"
 ORACLE["entity_shares"] = _with(NATION) + """
-SELECT n_name, s_name, round(CAST(x AS DOUBLE), 6) AS entity_total,
-       round(CAST(x AS DOUBLE) / CAST(sum(x) OVER (PARTITION BY n_name) AS DOUBLE), 6) AS share FROM nation_entity"""
+SELECT n_name, s_name, round_even(CAST(x AS DOUBLE), 6) AS entity_total,
+       round_even(CAST(x AS DOUBLE) / CAST(sum(x) OVER (PARTITION BY n_name) AS DOUBLE), 6) AS share FROM nation_entity"""
 ORACLE["top_hhi_nations"] = ON_NATION + """
 SELECT *, row_number() OVER (ORDER BY hhi_score DESC, n_name) AS rank FROM nation_hhi ORDER BY rank LIMIT 10"""
 ORACLE["hhi_padded"] = _with(NATION, _nation_hhi("s_acctbal > 8000")) + """
@@ -234,7 +234,7 @@ member AS (
   WHERE CAST(substr(k, 7) AS INTEGER) < 25),
 placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY top_country_share DESC, k) AS place FROM member)""",
 ) + """
-SELECT g AS brand_group, round(sum(total), 2) AS total_value, round_even(avg(geo_risk_score), 2) AS geo_risk_score,
+SELECT g AS brand_group, round_even(sum(total), 2) AS total_value, round_even(avg(geo_risk_score), 2) AS geo_risk_score,
        max(CASE WHEN place = 1 THEN top_country END) AS top_country,
        max(CASE WHEN place = 1 THEN top_country_share END) AS top_country_share,
        max(CASE WHEN place = 1 THEN country_count END) AS country_count
@@ -260,7 +260,7 @@ ORACLE["series_peak_month"] = _with(ORDER_COUNTS, """
 placed AS (
   SELECT *, avg(value) OVER (PARTITION BY series_id) AS mean_value,
          row_number() OVER (PARTITION BY series_id ORDER BY value DESC, y, m) AS place FROM monthly)""") + """
-SELECT series_id, round(mean_value, 4) AS mean_value, y AS peak_year, monthname(make_date(y, m, 1)) AS peak_period,
+SELECT series_id, round_even(mean_value, 4) AS mean_value, y AS peak_year, monthname(make_date(y, m, 1)) AS peak_period,
        value AS peak_value FROM placed WHERE place = 1"""
 ORACLE["missing_states"] = ON_AWARDS + """
 SELECT state FROM us_dim WHERE state NOT IN (SELECT state FROM award WHERE state IS NOT NULL)"""
@@ -272,7 +272,7 @@ SELECT CAST(NULL AS VARCHAR) AS naics_code, state, CAST(coalesce(sum(amount), 0)
        count(amount) AS recipient_count FROM award GROUP BY state"""
 ORACLE["recipient_profile"] = ON_STATES + """
 SELECT state, total AS total_contract_value, awards AS award_count, names AS distinct_recipients,
-       round(hhi, 4) AS hhi_score FROM state_hhi"""
+       round_even(hhi, 4) AS hhi_score FROM state_hhi"""
 ORACLE["exports_by_industry"] = ON_TRADE + " SELECT naics_code, export_value FROM sector_geo"
 ORACLE["employment_by_industry"] = ON_WORK + " SELECT naics_code, employment_count FROM sector_work"
 ORACLE["unify_segments"] = ON_SEGMENTS + """
@@ -301,8 +301,8 @@ blended AS (
       (coalesce(g * 0.5, 0) + coalesce(w * 0.5, 0) + coalesce(s * 0.25, 0))
       / ((CASE WHEN g IS NULL THEN 0 ELSE 0.5 END) + (CASE WHEN w IS NULL THEN 0 ELSE 0.5 END) + (CASE WHEN s IS NULL THEN 0 ELSE 0.25 END)) END AS score
   FROM part_score)
-SELECT row_type, naics_code, state, round(c, 4) AS concentration_score, round(g, 4) AS geographic_score, round(w, 4) AS workforce_score,
-       round(s, 4) AS suppression_score, round(score, 4) AS composite_risk_score,
+SELECT row_type, naics_code, state, round_even(c, 4) AS concentration_score, round_even(g, 4) AS geographic_score, round_even(w, 4) AS workforce_score,
+       round_even(s, 4) AS suppression_score, round_even(score, 4) AS composite_risk_score,
        CASE WHEN score IS NULL THEN 'Unknown' WHEN score >= 70 THEN 'High' WHEN score >= 40 THEN 'Medium'
             WHEN score >= 1 THEN 'Low' ELSE 'Minimal' END AS risk_tier FROM blended"""
 ORACLE["composite_tiers"] = """
@@ -312,7 +312,7 @@ WITH r AS (
          CASE WHEN c_mktsegment IN ('MACHINERY', 'HOUSEHOLD') THEN abs(c_acctbal) / 100 END AS g,
          CASE WHEN c_mktsegment <> 'HOUSEHOLD' AND c_acctbal > 500 THEN c_acctbal / 200 END AS w FROM customer),
 s AS (
-  SELECT c_custkey, row_type, round(CASE WHEN row_type = 'STATE' THEN hhi / 10000 * 100
+  SELECT c_custkey, row_type, round_even(CASE WHEN row_type = 'STATE' THEN hhi / 10000 * 100
          WHEN g IS NOT NULL AND w IS NOT NULL THEN g * 0.5 + w * 0.5 ELSE coalesce(g, w) END, 6) AS composite_risk_score FROM r)
 SELECT *, CASE WHEN composite_risk_score IS NULL THEN 'Unknown' WHEN composite_risk_score >= 70 THEN 'High'
        WHEN composite_risk_score >= 40 THEN 'Medium' WHEN composite_risk_score >= 1 THEN 'Low' ELSE 'Minimal' END AS risk_tier FROM s"""
@@ -331,7 +331,7 @@ WHERE risk_tier IN ('High', 'Medium', 'Low', 'Minimal') AND row_type = 'STATE'""
 ORACLE["dashboard_kpis"] = ON_SEGMENTS + """
 SELECT count(*) AS total_segments, count(CASE WHEN risk_tier = 'High' THEN 1 END) AS high_risk_segments,
        max(composite_risk_score) AS highest_score,
-       round(coalesce(sum(CASE WHEN row_type = 'STATE' THEN total_contract_value END), 0) / 1e9, 6) AS contract_value_bn FROM segment"""
+       round_even(coalesce(sum(CASE WHEN row_type = 'STATE' THEN total_contract_value END), 0) / 1e9, 6) AS contract_value_bn FROM segment"""
 ORACLE["state_map"] = ON_SEGMENTS + """
 SELECT state, composite_risk_score, risk_tier, total_contract_value, recipient_count, hhi_score FROM segment
 WHERE row_type = 'STATE' AND state IS NOT NULL AND composite_risk_score IS NOT NULL"""
@@ -375,7 +375,7 @@ x AS (SELECT CAST({column} AS DOUBLE) AS v FROM {table} WHERE {where} AND {colum
 b AS (SELECT CASE WHEN min(v) < max(v) THEN min(v) ELSE min(v) - 0.5 END AS lo,
              CASE WHEN min(v) < max(v) THEN max(v) ELSE max(v) + 0.5 END AS hi FROM x),
 c AS (SELECT least(CAST(floor((v - lo) * 20 / (hi - lo)) AS BIGINT) + 1, 20) AS bin, count(*) AS n FROM x, b GROUP BY 1)
-SELECT bins.bin, round(lo + (bins.bin - 1) * ((hi - lo) / 20), 4) AS bin_low, round(lo + bins.bin * ((hi - lo) / 20), 4) AS bin_high,
+SELECT bins.bin, round_even(lo + (bins.bin - 1) * ((hi - lo) / 20), 4) AS bin_low, round_even(lo + bins.bin * ((hi - lo) / 20), 4) AS bin_high,
        coalesce(n, 0) AS row_count
 FROM (SELECT unnest(range(1, 21)) AS bin) bins CROSS JOIN b LEFT JOIN c ON c.bin = bins.bin"""
 
@@ -404,7 +404,7 @@ big AS (SELECT * FROM scatter ORDER BY total_contract_value DESC, state LIMIT 1)
 SELECT (SELECT state FROM top) AS top_state, (SELECT composite_risk_score FROM top) AS top_score,
        count(CASE WHEN risk_tier = 'High' THEN 1 END) AS high_count, count(CASE WHEN risk_tier = 'Medium' THEN 1 END) AS medium_count,
        count(CASE WHEN risk_tier = 'Low' THEN 1 END) AS low_count, count(CASE WHEN risk_tier = 'Minimal' THEN 1 END) AS minimal_count,
-       round(avg(composite_risk_score), 4) AS mean_score, round(median(composite_risk_score), 4) AS median_score,
+       round_even(avg(composite_risk_score), 4) AS mean_score, round_even(median(composite_risk_score), 4) AS median_score,
        (SELECT state FROM big) AS top_contract_state, (SELECT total_contract_value FROM big) AS top_contract_value,
        (SELECT composite_risk_score FROM big) AS top_contract_score FROM s"""
 ORACLE["tier_counts"] = ON_SEGMENTS + """
@@ -572,14 +572,14 @@ FROM lineitem GROUP BY l_returnflag"""
 _CELLS = """
 WITH cell AS (
   SELECT o_orderpriority AS hs_description, '880' || substr(o_orderpriority, 1, 1) AS hs_code, CAST(year(o_orderdate) AS BIGINT) AS year,
-         n_nationkey, n_name, CAST(round(sum(CAST(o_totalprice AS DECIMAL(28,2))), 0) AS BIGINT) AS export_value
+         n_nationkey, n_name, CAST(round_even(CAST(sum(CAST(o_totalprice AS DECIMAL(28,2))) AS DOUBLE), 0) AS BIGINT) AS export_value
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)"""
 ORACLE["ingest_trade"] = _CELLS + """
 SELECT hs_code, hs_description, '1' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS country_code, n_name AS country_name,
        export_value, year FROM cell WHERE hs_code <> '8803' AND year IN (1996, 1998, 2000)"""
 ORACLE["ingest_employment"] = _with(DIMS, QUANTITY) + """
 SELECT coalesce(d.series_id, p.series_id) AS series_id, y AS year, 'M' || lpad(CAST(m AS VARCHAR), 2, '0') AS period,
-       monthname(make_date(y, m, 1)) AS period_name, round(value, 4) AS value,
+       monthname(make_date(y, m, 1)) AS period_name, round_even(value, 4) AS value,
        CASE p.series_id WHEN 'ECONOMY' THEN 'Aircraft Manufacturing' WHEN 'LARGE' THEN 'Aircraft Engine & Engine Parts'
             WHEN 'MEDIUM' THEN 'Other Aircraft Parts & Auxiliary Equipment' ELSE p.series_id END AS series_label
 FROM monthly p LEFT JOIN series_dim d ON p.series_id = d.p_type"""

@@ -22,7 +22,7 @@ from segrisk.dims import (
     series_crosswalk,
 )
 from segrisk.functions.scores import classify_hhi, classify_tier, composite_sector, composite_state
-from segrisk.functions.values import cents, dollars, fiscal_year
+from segrisk.functions.values import cents, dollars, fiscal_year, round_even
 from segrisk.operators import filters, keyed, ranking, series, totals
 from segrisk.operators.shape import rename
 from segrisk.plans import (
@@ -53,7 +53,7 @@ def query(fn):
 
 def rounded(df: DataFrame, digits: int = 4, only: Sequence[str] | None = None) -> DataFrame:
     doubles = [name for name, kind in df.dtypes if kind == "double" and (only is None or name in only)]
-    return df.withColumns({name: F.round(name, digits) for name in doubles})
+    return df.withColumns({name: round_even(F.col(name), digits) for name in doubles})
 
 
 def whole_numbers(df: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def _nation_hhi(spark: SparkSession, sf_dir: str, richer_than: float | None = No
     profile = totals.group_profile(
         _nation_suppliers(spark, sf_dir, richer_than), "n_name", "s_name", "entity_cents"
     )
-    return profile.select("n_name", F.round("hhi_score", 4).alias("hhi_score")).withColumn(
+    return profile.select("n_name", round_even(F.col("hhi_score"), 4).alias("hhi_score")).withColumn(
         "concentration_risk_label", classify_hhi(F.col("hhi_score"))
     )
 
@@ -363,7 +363,7 @@ def composite_tiers(spark, sf_dir):
     score = F.when(F.col("row_type") == "STATE", composite_state(F.col("hhi_score"))).otherwise(
         composite_sector(F.col("geo"), F.col("workforce"))
     )
-    scored = rows.withColumn("composite_risk_score", F.round(score, 6))
+    scored = rows.withColumn("composite_risk_score", round_even(score, 6))
     return scored.select(
         "c_custkey",
         "row_type",
@@ -687,7 +687,7 @@ def _trade_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = (
         per_nation.select("o_orderpriority", "year", "value", place)
         .groupBy("o_orderpriority", "year", "code", "name")
-        .agg(F.round(dollars(F.sum("value"))).cast("long").alias("value"))
+        .agg(F.rint(dollars(F.sum("value"))).cast("long").alias("value"))
     )
     code = F.substring("o_orderpriority", 1, 1)
     product = F.concat(F.lit("880"), code)
@@ -719,7 +719,7 @@ def _series_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("year").cast("string").alias("year"),
         month.alias("period"),
         F.date_format(F.make_date("year", "month", F.lit(1)), "MMMM").alias("periodName"),
-        F.round("value", 4).cast("string").alias("value"),
+        round_even(F.col("value"), 4).cast("string").alias("value"),
     )
     names = mapping_table(spark, facts.SERIES_OF_TYPE, "p_type", "series_id")
     per_series = monthly.groupBy("p_type").agg(F.collect_list(entry).alias("data")).join(names, "p_type", "left")

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,15 @@ def test_cents_are_exact_and_skip_non_numbers(spark):
     assert many_dimes.agg(values.dollars(F.sum(values.cents(F.col("x"))))).first()[0] == 10_000.0
 
 
+def test_rounding(spark):
+    inputs = [0.125, 2.675, 7.235, 1.005, -0.125, None]
+    even = many(spark, values.round_even(F.col("x")), inputs)
+    assert even[:-1] == [float(np.round(x, 2)) for x in inputs[:-1]] and even[-1] is None
+    exact = many(spark, values.round_exact(F.col("x")), inputs)
+    assert exact[:-1] == [round(x, 2) for x in inputs[:-1]] and exact[-1] is None
+    assert many(spark, values.round_even(F.col("x"), 0), [0.5, 1.5, 2.4]) == [0.0, 2.0, 2.0]
+
+
 def test_clip_and_missing(spark):
     assert many(spark, values.clip(F.col("x"), 25.0, 800.0), [1.5, 100.0, 5000.0, None]) == [25.0, 100.0, 800.0, None]
     assert many(spark, values.is_missing(F.col("x"), "string"), ["a", " \t", "", None], "x string") == [

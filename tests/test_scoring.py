@@ -310,8 +310,9 @@ def test_golden_composites(frame):
     )
     scored = scoring.round_columns(score_composite(frame(schema, *GOLDEN)), ["composite_risk_score"])
     for r in scored.collect():
-        # A rounding tie on the published two-digit inputs may fall either way.
-        assert r.composite_risk_score == pytest.approx(r.expected, abs=0.0101), r
+        # The published index is itself rounded, so a state may be off by one digit.
+        tolerance = 0.0101 if r.row_type == "STATE" else 0.0
+        assert r.composite_risk_score == pytest.approx(r.expected, abs=tolerance, rel=0), r
         assert r.risk_tier == r.tier
 
 
