@@ -24,10 +24,6 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
 
 
-def strip_left(text: Column) -> Column:
-    return F.ltrim(text, F.lit(WHITESPACE))
-
-
 def strip_right(text: Column) -> Column:
     return F.rtrim(text, F.lit(WHITESPACE))
 

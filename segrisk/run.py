@@ -50,11 +50,16 @@ def ingest(spark: SparkSession, landed_dir: str, out: str) -> None:
     sinks.write_clean(landed.parse_employment(raw("employment")), f"{out}/clean/employment", "year")
 
 
-def score(spark: SparkSession, silver: str, out: str) -> DataFrame:
-    """Clean tables to the segments table and its CSV export."""
-    awards = spark.read.schema(AWARDS).parquet(f"{silver}/awards")
-    trade = spark.read.schema(TRADE).parquet(f"{silver}/trade")
-    employment = spark.read.schema(EMPLOYMENT).parquet(f"{silver}/employment")
+def score(spark: SparkSession, silver: str, out: str, csv: bool = False) -> DataFrame:
+    """Clean tables, Parquet or CSV, to the segments table and its CSV export."""
+    if csv:
+        awards = tables.read_awards(spark, f"{silver}/awards")
+        trade = tables.read_trade(spark, f"{silver}/trade")
+        employment = tables.read_employment(spark, f"{silver}/employment")
+    else:
+        awards = spark.read.schema(AWARDS).parquet(f"{silver}/awards")
+        trade = spark.read.schema(TRADE).parquet(f"{silver}/trade")
+        employment = spark.read.schema(EMPLOYMENT).parquet(f"{silver}/employment")
     require_series(employment, series_crosswalk(spark))
     sinks.write_segments(score_segments(awards, trade, employment), f"{out}/segments")
     return sinks.export_segments(tables.read_segments(spark, f"{out}/segments"), f"{out}/segments_csv")
@@ -87,6 +92,8 @@ def main(argv: list[str] | None = None) -> None:
         command = commands.add_parser(name)
         for path in paths:
             command.add_argument(f"--{path}", required=True)
+        if name == "score":
+            command.add_argument("--csv", action="store_true", help="the clean tables are CSV")
         if name in ("prompts", "manifest"):
             command.add_argument("--top", type=int, default=10)
     args = parser.parse_args(argv)
@@ -94,7 +101,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "ingest":
         ingest(spark, args.landed, args.out)
     elif args.command == "score":
-        score(spark, args.silver, args.out)
+        score(spark, args.silver, args.out, args.csv)
     elif args.command == "prompts":
         prompts(spark, args.segments, args.briefs, args.out, args.top)
     else:

@@ -5,7 +5,10 @@ import json
 import pytest
 
 from segrisk import run
-from segrisk.sources import tables
+from segrisk.schemas import AWARDS, EMPLOYMENT, TRADE
+from segrisk.sources import sinks, tables
+
+ORDER = {"awards": AWARDS, "trade": TRADE, "employment": EMPLOYMENT}
 
 SERIES = ["CEU3133641101", "CEU3133641201", "CEU3133641301"]
 
@@ -51,6 +54,11 @@ def test_whole_run(spark, landed_dir, tmp_path):
     assert rows["336414"].workforce_risk_score is None and rows["336414"].geo_risk_score is not None
     assert tables.read_segments_csv(spark, f"{out}/segments_csv").count() == 55
 
+    for name in ("awards", "trade", "employment"):
+        sinks.write_clean_csv(spark.read.parquet(f"{out}/clean/{name}").select(*ORDER[name].names), f"{out}/csv/{name}")
+    again = run.score(spark, f"{out}/csv", f"{out}/from_csv", csv=True)
+    assert again.exceptAll(exported).count() == 0 and again.count() == 55
+
     (tmp_path / "texts").mkdir()
     (tmp_path / "texts" / "PR.txt").write_text("text")
     run.prompts(spark, f"{out}/segments", str(tmp_path / "texts"), f"{out}/prompts", 2)
