@@ -11,6 +11,7 @@ from segrisk.operators import keyed, series, totals
 from segrisk.plans import concentration, geographic, scoring, unify, workforce
 from segrisk.plans.composite import Dimension, Registry, score_composite
 from segrisk.schemas import AWARDS, EMPLOYMENT, SEGMENTS, TRADE
+from segrisk.session import stored
 
 
 def awards(spark, *rows):
@@ -218,13 +219,20 @@ def inputs(spark):
     return a, t, e
 
 
+@pytest.fixture(scope="module")
 def reduced(spark):
     a, t, e = inputs(spark)
-    return concentration.award_parts(a), geographic.destination_totals(t), workforce.employment_by_year(e)
+    tables = concentration.award_parts(a), geographic.destination_totals(t), workforce.employment_by_year(e)
+    return [stored(df, "test") for df in tables]
 
 
-def test_unify(spark):
-    rows = unify.unify(*reduced(spark)).collect()
+@pytest.fixture(scope="module")
+def fused(reduced):
+    return stored(scoring.canonical(scoring.score_from_totals(*reduced)), "test")
+
+
+def test_unify(reduced):
+    rows = unify.unify(*reduced).collect()
     assert len(rows) == 3 + 51
     assert all((r.naics_code is None) != (r.state is None) for r in rows)
     tx = next(r for r in rows if r.state == "TX")
@@ -238,10 +246,10 @@ def test_unify(spark):
     assert by_code["336411"].concentration_risk_label == "N/A" and tx.concentration_risk_label is None
 
 
-def test_industry_codes_on_awards_do_not_mix_with_states(spark):
+def test_industry_codes_on_awards_do_not_mix_with_states(spark, reduced):
     rows = [("A", 10.0, "TX", "336419", None), ("A", 5.0, "TX", "", None)]
     parts = concentration.award_parts(spark.createDataFrame(rows, AWARDS))
-    _, t, e = reduced(spark)
+    _, t, e = reduced
     found = scoring.score_from_totals(parts, t, e).collect()
     assert all((r.naics_code is None) != (r.state is None) for r in found)
     code = next(r for r in found if r.naics_code == "336419")
@@ -249,27 +257,28 @@ def test_industry_codes_on_awards_do_not_mix_with_states(spark):
     assert next(r for r in found if r.state == "TX").total_contract_value == 15.0
 
 
-def test_fused_run_equals_stepwise_run(spark):
-    fused = scoring.canonical(scoring.score_from_totals(*reduced(spark)))
-    steps = scoring.canonical(scoring.score_stepwise(*reduced(spark)))
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_fused_run_equals_stepwise_run(spark, reduced, fused):
+    steps = scoring.canonical(scoring.score_stepwise(*reduced))
     wanted = [(f.name, f.dataType.simpleString()) for f in SEGMENTS.fields]
     assert fused.dtypes == steps.dtypes == wanted
-    assert fused.exceptAll(steps).count() == 0 and steps.exceptAll(fused).count() == 0
-    whole = scoring.canonical(scoring.score_segments(*inputs(spark)))
-    assert whole.exceptAll(fused).count() == 0
+    assert same(fused, stored(steps, "test"))
+    assert same(fused, stored(scoring.canonical(scoring.score_segments(*inputs(spark))), "test"))
 
 
-def test_parts_may_be_summed_first(spark):
-    parts, t, e = reduced(spark)
-    first = scoring.canonical(scoring.score_from_totals(concentration.recipient_totals(parts), t, e))
-    assert first.exceptAll(scoring.canonical(scoring.score_from_totals(parts, t, e))).count() == 0
+def test_parts_may_be_summed_first(reduced, fused):
+    parts, t, e = reduced
+    first = scoring.score_from_totals(concentration.recipient_totals(parts), t, e)
+    assert same(stored(scoring.canonical(first), "test"), fused)
 
 
-def test_score_bounds_and_order(spark):
-    df = scoring.canonical(scoring.score_from_totals(*reduced(spark)))
+def test_score_bounds_and_order(fused):
     for c in ("geo_risk_score", "workforce_risk_score", "composite_risk_score"):
-        assert df.where((F.col(c) < 0) | (F.col(c) > 100)).count() == 0
-    keys = [r.naics_code or r.state for r in scoring.canonical_order(df).collect()]
+        assert fused.where((F.col(c) < 0) | (F.col(c) > 100)).count() == 0
+    keys = [r.naics_code or r.state for r in scoring.canonical_order(fused).collect()]
     assert keys[:5] == ["336411", "336412", "336414", "PR", "TX"]
     assert keys[5:] == sorted(set(US_STATES) - {"TX"})
 
@@ -316,8 +325,8 @@ def test_golden_composites(frame):
         assert r.risk_tier == r.tier
 
 
-def test_registry(spark, frame):
-    parts, t, e = reduced(spark)
+def test_registry(frame, reduced):
+    parts, t, e = reduced
     base = unify.unify(parts, t, e)
     registry = scoring.standard_dimensions(parts, t, e)
     keys = ["row_type", "naics_code", "state", "composite_risk_score", "risk_tier"]
