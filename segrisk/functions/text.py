@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from segrisk.functions.values import WHITESPACE, strip, strip_right
+from segrisk.functions.values import WHITESPACE, strip_right
 
 # --- fixed values -----------------------------------------------------------
 
@@ -24,12 +24,12 @@ PUNCTUATION = {
     "“": '"',
     "”": '"',
     "…": "...",
-    " ": " ",
+    "\u00a0": " ",
 }
 
 # Everything that ends a line besides "\n"; the pair comes first.
 OTHER_LINE_ENDS = [
-    "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", " ", " ",
+    "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029",
 ]
 BULLETS = "-•*"
 
@@ -83,10 +83,9 @@ def line_kind(line: Column) -> Column:
 
 def line_payload(line: Column, kind: Column) -> Column:
     """The line without its marker and without blanks at the end."""
-    rest = 2**31 - 1
-    return (
-        F.when(kind == "heading", strip(F.substring(line, 4, rest)))
-        .when(kind == "bullet", strip(F.substring(strip(line), 3, rest)))
-        .when(kind == "blank", "")
-        .otherwise(strip_right(line))
+    marker = (
+        F.when(kind == "heading", f"^## {_BLANK}*")
+        .when(kind == "bullet", f"^{_BLANK}*[{BULLETS}] {_BLANK}*")
     )
+    inner = F.when(marker.isNotNull(), F.regexp_replace(line, marker, "")).otherwise(line)
+    return strip_right(inner)

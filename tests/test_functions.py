@@ -92,7 +92,7 @@ def test_parse_number(spark):
 
 def test_state_and_periods(spark):
     got = many(
-        spark, values.normalize_state(F.col("x")), [" tx ", "Tx", "\tdc ", "ZZ", "", "  ", None, "Texas", "GU"],
+        spark, values.normalize_state(F.col("x")), [" tx ", "Tx", "\tdc\u00a0", "ZZ", "", "  ", None, "Texas", "GU"],
         "x string",
     )
     assert got == ["TX", "TX", "DC", None, None, None, None, None, "GU"]
@@ -196,7 +196,7 @@ def test_identifiers_and_labels(spark):
 
 def test_fold_and_clean(spark):
     dirty = [
-        "• a – b — c ‘d’ “e” f… g h",
+        "• a – b — c ‘d’ “e” f… g\u00a0h",
         "hard\u00a0space \u2013\u2014",
         "a--b",
         "a---b",
@@ -222,7 +222,7 @@ def test_line_classes(spark):
 
 
 def test_split_lines_equals_python(spark):
-    texts = ["", "a", "a\n", "a\n\n", "\n", "a\r\nb\rc\x0bd\x85e f", "x\r\n", "\r\n\n", "a\x1cb"]
+    texts = ["", "a", "a\n", "a\n\n", "\n", "a\r\nb\rc\x0bd\x85e\u2028f", "x\r\n", "\r\n\n", "a\x1cb"]
     assert [v or [] for v in many(spark, text.split_lines(text.single_line_ends(F.col("x"))), texts, "x string")] == [
         t.splitlines() for t in texts
     ]
