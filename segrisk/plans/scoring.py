@@ -22,17 +22,27 @@ from segrisk.schemas import ROUNDED_ON_EXPORT, SEGMENTS
 
 
 def score_segments(awards: DataFrame, trade: DataFrame, employment: DataFrame) -> DataFrame:
-    """Segments with all scores, one lazy plan over the three silver tables."""
+    """Segments with all scores, one lazy plan over the three silver tables.
+
+    Awards with an industry code are the exception in practice. They are picked
+    by a filter on the bare column, so the scan skips the files without any.
+    """
     return score_from_totals(
         award_parts(awards),
         geographic.destination_totals(trade),
         workforce.employment_by_year(employment),
+        coded=award_parts(awards.where(F.col("naics_code") != "")),
     )
 
 
-def score_from_totals(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
+def score_from_totals(
+    parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame, coded: DataFrame | None = None
+) -> DataFrame:
     """Scored segments from award parts and the two reduced tables, each read once.
 
+    ``coded`` are the parts with an industry code, if they can be had cheaper
+    than by filtering ``parts``.
+
     Measures and scores of a key come out of the same aggregation, so nothing
     is scanned again or joined back just to add a score column. Same result as
     ``score_stepwise``.
@@ -43,7 +53,7 @@ def score_from_totals(parts: DataFrame, trade_totals: DataFrame, yearly: DataFra
     stress = workforce.industry_profile(workforce.stress_scores(yearly), series_crosswalk(spark))
     industries = align(
         [
-            contracts_by_industry(parts),
+            contracts_by_industry(parts if coded is None else coded),
             exports.select("naics_code", "export_value", "geo_risk_score"),
             stress,
         ],

@@ -1,6 +1,7 @@
 """Concentration, destinations, workforce, unification, composite, registry."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -269,6 +270,44 @@ def test_fused_run_equals_stepwise_run(spark, reduced, fused):
     assert same(fused, stored(scoring.canonical(scoring.score_segments(*inputs(spark))), "test"))
 
 
+def test_scans_of_stored_awards(spark, tmp_path):
+    a, t, e = inputs(spark)
+    for name, df in (("a", a), ("t", t), ("e", e)):
+        df.write.parquet(str(tmp_path / name))
+    a, t, e = (spark.read.schema(df.schema).parquet(str(tmp_path / n)) for n, df in zip("ate", (a, t, e)))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = scoring.score_segments(a, t, e)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema: struct<(.*?)>", plan)
+    assert len(scans) == 4
+    coded = [s for s in scans if "naics_code" in s[1]]
+    assert len(coded) == 1 and "IsNotNull(naics_code)" in coded[0][0] and "Not(EqualTo(naics_code,))" in coded[0][0]
+    assert not any("start_date" in s[1] or "hs_description" in s[1] for s in scans)
+
+
+def random_trade(rng, n):
+    """Half of the rows on one product, a third of them on one destination; many ties."""
+    for _ in range(n):
+        product = "8802" if rng.random() < 0.5 else rng.choice(["8801", "8804", "8805"])
+        country = "HOT" if rng.random() < 0.33 else f"C{rng.randrange(70)}"
+        yield product, country, rng.choice([None, 0, rng.randrange(50)])
+
+
+def test_destinations_against_brute_force(spark):
+    rows = list(random_trade(random.Random(3), 4000)) + [("8801", "A", 10**6), ("8801", "B", 10**6)]
+    got = geographic.product_risk(geographic.destination_totals(trade(spark, *rows))).collect()
+    assert len(got) == 4
+    for r in got:
+        sums = {}
+        for product, country, v in rows:
+            if product == r.hs_code:
+                sums[country] = sums.get(country, 0) + (v or 0)
+        top = min(sums, key=lambda c: (-sums[c], c))
+        share = sums[top] / sum(sums.values()) * 100
+        assert (r.top_country, r.country_count) == (top, len(sums))
+        assert r.top_country_share == np.round(share, 2)
+        assert r.geo_risk_score == np.round(min(100, share * 0.7 + 3000 / len(sums)), 2)
+
+
 def test_parts_may_be_summed_first(reduced, fused):
     parts, t, e = reduced
     first = scoring.score_from_totals(concentration.recipient_totals(parts), t, e)

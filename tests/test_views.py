@@ -1,5 +1,6 @@
 """Views, charts, summaries, briefs and ranking over a small segments table."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,16 @@ def test_histogram_edges(frame):
     assert [r.row_count for r in rows] == [2, 2, 2, 2, 3], "the largest value is in the last bin"
 
 
+def test_histogram_equals_numpy(spark):
+    values = np.random.default_rng(2).normal(50, 20, 3000).round(1)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = [r.row_count for r in totals.histogram(df, "x", 20).orderBy("bin").collect()]
+    low, high = values.min(), values.max()
+    place = np.minimum(np.floor((values - low) * 20 / (high - low)), 19).astype(int)
+    assert got == np.bincount(place, minlength=20).tolist() and sum(got) == 3000
+    assert np.abs(np.array(got) - np.histogram(values, 20)[0]).sum() <= 4, "only values on an edge may move"
+
+
 def test_summaries(frame):
     df = frame("recipient_name string, award_amount double", ("A", 1e9), (None, 3e9), ("B", 1e9), ("A", None))
     total, top = summaries.award_summary(df, 2)
