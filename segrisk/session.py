@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, app: str = "segrisk", **conf: str) -> Sp
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

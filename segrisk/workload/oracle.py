@@ -513,7 +513,8 @@ _MANIFEST = _BATCH + """,
 manifest AS (
   SELECT row_type, state, naics_code, composite_risk_score, risk_tier,
          'briefs/' || coalesce(state, naics_code) || '.txt' AS brief_file_path,
-         CASE WHEN row_type = 'NAICS' THEN 0 ELSE recipient_count END AS tokens_used FROM batch)"""
+         CASE WHEN row_type = 'NAICS' THEN 0 ELSE recipient_count END AS tokens_used,
+         '2024-01-31T10:20:30.000000+00:00' AS generated_at FROM batch)"""
 ORACLE["brief_manifest"] = ON_SEGMENTS + _MANIFEST + " SELECT * FROM manifest"
 ORACLE["token_usage"] = ON_SEGMENTS + _MANIFEST + """
 SELECT count(*) AS briefs, count(CASE WHEN tokens_used > 0 THEN 1 END) AS calls,

@@ -586,7 +586,7 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Industry briefs exist; state briefs are new, their token count the award count."""
     table_ = facts.stored_segments(spark, sf_dir)
     segments = briefs.identified(table_)
-    day = F.lit("2024-01-31 10:20:30").cast("timestamp")
+    day = F.lit("2024-01-31 10:20:30Z").cast("timestamp")
     existing = segments.where(F.col("row_type") == "NAICS").select("identifier", day.alias("modified_at"))
     written = segments.where(F.col("row_type") == "STATE").select(
         "identifier", F.col("recipient_count").alias("tokens_used"), day.alias("generated_at")
@@ -597,7 +597,7 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def brief_manifest(spark, sf_dir):
-    return _manifest(spark, sf_dir).drop("generated_at")
+    return _manifest(spark, sf_dir)
 
 
 @query
