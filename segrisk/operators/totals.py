@@ -24,10 +24,11 @@ def group_profile(
 ) -> DataFrame:
     """Value, entities and Herfindahl-Hirschman index per group.
 
-    Expects one row per (group, entity) with a whole-number total. The index uses sum(x^2) / sum(x)^2,
-    so a group holding a third of all entities is still combined map-side; no
-    group is ever gathered in one task. Nameless entities count towards the
-    value but not the index, which is NULL for a group without any name.
+    Expects one row per (group, entity) with a whole-number total. The index
+    uses sum(x^2) / sum(x)^2, so a group holding a third of all entities is
+    still combined map-side; no group is ever gathered in one task. Nameless
+    entities count towards the value but not the index, which is NULL for a
+    group without any name.
     """
     x = F.col(total).cast("double")
     named = F.col(entity).isNotNull()
@@ -66,8 +67,9 @@ def share_of_total(df: DataFrame, group: str, value: str, share: str = "share")
 def destination_profile(totals: DataFrame, product: str, destination: str, value: str) -> DataFrame:
     """Dependence of each product on its largest destination, one aggregation.
 
-    Expects one row per (product, destination) with a whole-number value. Ties for the largest go to the
-    first name. A product without any value has no share and no score.
+    Expects one row per (product, destination) with a whole-number value. Ties
+    for the largest go to the first name. A product without any value has no
+    share and no score.
     """
     v = F.col(value).cast("double")
     largest = F.min(F.struct((-v).alias("negated"), F.col(destination).alias("name")))

@@ -7,7 +7,7 @@ what they read back. Doubles are rounded so that engines can be compared.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +51,8 @@ def query(fn):
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 4, only: Sequence[str] | None = None) -> DataFrame:
-    doubles = [name for name, kind in df.dtypes if kind == "double" and (only is None or name in only)]
+def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+    doubles = [name for name, kind in df.dtypes if kind == "double"]
     return df.withColumns({name: round_even(F.col(name), digits) for name in doubles})
 
 
