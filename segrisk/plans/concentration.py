@@ -91,11 +91,16 @@ def apply_concentration(segments: DataFrame, hhi: DataFrame) -> DataFrame:
     )
 
 
-def dropped_rows(df: DataFrame, key: str) -> DataFrame:
-    """How many rows the filter on a missing key takes away, in one pass."""
+def dropped_rows(df: DataFrame, key: str, weight: str | None = None) -> DataFrame:
+    """How many rows the filter on a missing key takes away, in one pass.
+
+    ``weight`` tells how many rows each row of a reduced table stands for.
+    """
+    rows = F.col(weight) if weight else F.lit(1)
+    known = F.col(key).isNotNull()
     return df.agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(F.col(key).isNull()).alias("rows_dropped"),
-        F.count(key).alias("rows_after"),
+        F.coalesce(F.sum(rows), F.lit(0)).cast("long").alias("rows_before"),
+        F.coalesce(F.sum(F.when(~known, rows)), F.lit(0)).cast("long").alias("rows_dropped"),
+        F.coalesce(F.sum(F.when(known, rows)), F.lit(0)).cast("long").alias("rows_after"),
         F.count_distinct(key).alias("distinct_keys"),
     )

@@ -33,17 +33,24 @@ def awards_by_key(awards: DataFrame) -> DataFrame:
     """Contract value and award count per (industry, state), NULL keys included.
 
     Summed per key as written first: the keys are then normalised once per
-    spelling instead of once per award. ``recipient_count`` counts awards with
-    a known amount, as its source does; it is not a number of recipients.
+    spelling instead of once per award.
+    """
+    spelled = sum_and_count(awards, ["naics_code", "state"], "award_amount", "award_cents", "award_count")
+    return parts_by_key(spelled)
+
+
+def parts_by_key(parts: DataFrame) -> DataFrame:
+    """The same from award parts of any grain.
+
+    ``recipient_count`` counts awards with a known amount, as its source does;
+    it is not a number of recipients.
     """
-    keys = ["naics_code", "state"]
-    spelled = sum_and_count(awards, keys, "award_amount", "value_cents", "recipient_count")
     return (
-        clean_keys(spelled)
-        .groupBy(*keys)
+        clean_keys(parts)
+        .groupBy("naics_code", "state")
         .agg(
-            dollars(F.sum(wide(F.col("value_cents")))).alias("total_contract_value"),
-            F.sum("recipient_count").alias("recipient_count"),
+            dollars(F.coalesce(F.sum(wide(F.col("award_cents"))), F.lit(0))).alias("total_contract_value"),
+            F.sum("award_count").alias("recipient_count"),
         )
     )
 

@@ -111,7 +111,11 @@ def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .select("l_suppkey", _state_form().alias("form"), _award_amount().alias("amount"))
         .groupBy("l_suppkey", "form")
-        .agg(F.sum(cents(F.col("amount"))).alias("award_cents"), F.count("amount").alias("award_count"))
+        .agg(
+            F.sum(cents(F.col("amount"))).alias("award_cents"),
+            F.count("amount").alias("award_count"),
+            F.count(F.lit(1)).alias("award_rows"),
+        )
     )
     joined = items.join(_recipients(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
     return clean_keys(
@@ -121,6 +125,7 @@ def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "recipient_name",
             "award_cents",
             "award_count",
+            "award_rows",
         )
     )
 

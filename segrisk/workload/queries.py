@@ -135,8 +135,7 @@ def hhi_label_counts(spark, sf_dir):
 
 @query
 def null_state_audit(spark, sf_dir):
-    awards = concentration.clean_keys(facts.awards(spark, sf_dir))
-    return concentration.dropped_rows(awards, "state")
+    return concentration.dropped_rows(facts.award_parts(spark, sf_dir), "state", weight="award_rows")
 
 
 # --- destinations ------------------------------------------------------------
@@ -258,8 +257,7 @@ def series_peak_month(spark, sf_dir):
 @query
 def missing_states(spark, sf_dir):
     """Required states none of the awards falls in."""
-    present = concentration.clean_keys(facts.awards(spark, sf_dir)).select("state")
-    return keyed.missing_keys(present, required_states(spark), "state")
+    return keyed.missing_keys(facts.award_parts(spark, sf_dir), required_states(spark), "state")
 
 
 # --- unification and composite ----------------------------------------------
@@ -267,7 +265,7 @@ def missing_states(spark, sf_dir):
 
 @query
 def awards_by_key(spark, sf_dir):
-    return unify.awards_by_key(facts.awards(spark, sf_dir))
+    return unify.parts_by_key(facts.award_parts(spark, sf_dir))
 
 
 @query
@@ -295,8 +293,7 @@ def unify_segments(spark, sf_dir):
 @query
 def coverage_report(spark, sf_dir):
     """Coverage before padding: which required states have awards."""
-    awards = unify.awards_by_key(facts.awards(spark, sf_dir))
-    return unify.coverage_report(awards)
+    return unify.coverage_report(unify.parts_by_key(facts.award_parts(spark, sf_dir)))
 
 
 @query

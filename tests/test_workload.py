@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry_points
 from oracle_check import connect, spark_rows, sql_rows
 from segrisk.operators.ranking import descending, number_rows
-from segrisk.plans import concentration
+from segrisk.plans import concentration, unify
 from segrisk.workload import facts
 
 QUERIES = entry_points.queries()
@@ -42,6 +42,12 @@ def test_summing_below_the_join_changes_nothing(spark, sf_dir):
     assert early.exceptAll(plain).count() == 0 and plain.exceptAll(early).count() == 0
 
 
+def test_sums_by_key_agree_at_both_grains(spark, sf_dir):
+    rows = unify.awards_by_key(facts.awards(spark, sf_dir))
+    parts = unify.parts_by_key(facts.award_parts(spark, sf_dir))
+    assert rows.exceptAll(parts).count() == 0 and parts.exceptAll(rows).count() == 0
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
