@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrisk.llm import bpe, fingerprints, langid, oracle, packing, quality, tokencounts
+from segrisk.llm import bpe, fingerprints, html, langid, oracle, packing, quality, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -77,3 +77,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and unigram tokens of every document."""
     return tokencounts.count(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    importable(spark)
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
