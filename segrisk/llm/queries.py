@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrisk.llm import bpe, fingerprints, html, langid, oracle, packing, quality, tokencounts
+from segrisk.llm import bpe, fingerprints, html, langid, oracle, packing, quality, substrings, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,6 +73,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"_m.{n}") for n in names], "base_failed", "kept")
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of what repeated substrings cost every document, and a digest of what is left."""
+    return substrings.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and unigram tokens of every document."""
