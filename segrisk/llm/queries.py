@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrisk.llm import bpe, fingerprints, html, jaccard, langid, oracle, packing, quality, substrings, tokencounts
+from segrisk.llm import bpe, fingerprints, html, jaccard, langid, licenses, oracle, packing, quality, substrings, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -79,6 +79,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"_m.{n}") for n in names], "base_failed", "kept")
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document, and where they stand."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
 @query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of what repeated substrings cost every document, and a digest of what is left."""
