@@ -17,6 +17,8 @@ WHITESPACE = (
 )
 
 
+#: No number in the data is this large: sums of cents stay inside 64 bits.
+TOO_LARGE = 9e16
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -28,18 +30,25 @@ def strip_right(text: Column) -> Column:
     return F.rtrim(text, F.lit(WHITESPACE))
 
 
+def pad_left(text: Column, width: int, fill: str = "0") -> Column:
+    """Filled up to ``width``; a longer text stays whole."""
+    return F.when(F.length(text) < width, F.lpad(text, width, fill)).otherwise(text)
+
+
 def finite(number: Column) -> Column:
     """NaN and infinities become NULL; NaN would otherwise outrank every number."""
     return F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def parse_number(text: Column) -> Column:
-    """Text to double, NULL where it is no plain number.
+    """Text to double, NULL where it is no plain number or too large to be summed.
 
     The pattern keeps out what only the JVM reads as a number (``5d``) and the
-    words for NaN and infinity.
+    words for NaN and infinity; the bound keeps out ``1e400``, which is read as
+    infinity, and what no whole number of cents can hold.
     """
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER) & (F.abs(number) < TOO_LARGE), number)
 
 
 def cents(amount: Column) -> Column:
@@ -112,9 +121,17 @@ def clip(value: Column, low: float, high: float) -> Column:
 
 
 def iso_utc(moment: Column) -> Column:
-    """ISO text in UTC, whatever the session's time zone."""
-    utc = F.to_utc_timestamp(moment, F.current_timezone())
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    """ISO text in UTC, whatever the session's time zone; a zero fraction is left out.
+
+    Counted from the epoch, since a detour over local time is ambiguous where
+    clocks are set back and wrong where they are set forward.
+    """
+    micros = F.unix_micros(moment.cast("timestamp"))
+    second, rest = F.floor(micros / F.lit(1_000_000).cast("decimal(20,0)")), F.pmod(micros, F.lit(1_000_000))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc = (epoch + F.make_dt_interval(secs=second.cast("decimal(18,6)"))).cast("string")
+    fraction = F.when(rest > 0, F.concat(F.lit("."), pad_left(rest.cast("string"), 6))).otherwise("")
+    return F.concat(F.replace(utc, F.lit(" "), F.lit("T")), fraction, F.lit("+00:00"))
 
 
 def code_text(code: Column) -> Column:

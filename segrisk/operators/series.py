@@ -11,13 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from segrisk.functions.values import finite
+
 OBSERVATION = ["series_id", "year", "month", "value"]
 
 
 def count_copies(df: DataFrame) -> DataFrame:
-    """Distinct observations with their number of copies; unknown values are left out."""
+    """Distinct observations with their number of copies; unknown values and NaN are left out."""
     return (
-        df.where(F.col("value").isNotNull())
+        df.withColumn("value", finite(F.col("value")))
+        .where(F.col("value").isNotNull())
         .groupBy(*OBSERVATION)
         .agg(F.count(F.lit(1)).alias("copies"), F.min("series_label").alias("label"))
     )
@@ -117,7 +120,9 @@ def mean_and_peak(df: DataFrame) -> DataFrame:
     """Average, and the earliest month that reaches the maximum; one aggregation."""
     peak = F.min(F.struct((-F.col("value")).alias("negated"), "year", "month", "period_name"))
     return (
-        df.groupBy("series_id")
+        df.withColumn("value", finite(F.col("value")))
+        .where(F.col("value").isNotNull())
+        .groupBy("series_id")
         .agg(F.avg("value").alias("mean_value"), peak.alias("peak"))
         .select(
             "series_id",

@@ -65,6 +65,14 @@ def map_codes(
     return df.join(mapping.select(key, value), key, "left" if keep_unmapped else "inner")
 
 
+def map_literal(code: Column, mapping: Mapping[str, str]) -> Column:
+    """The value of a short constant mapping, or NULL: an expression, so the table is not joined at all."""
+    found = F.lit(None).cast("string")
+    for key, value in mapping.items():
+        found = F.when(code == key, F.lit(value)).otherwise(found)
+    return found
+
+
 def map_codes_or(
     df: DataFrame, mapping: DataFrame, key: str, value: str, fallback: Column
 ) -> DataFrame:

@@ -68,21 +68,24 @@ def destination_profile(totals: DataFrame, product: str, destination: str, value
     """Dependence of each product on its largest destination, one aggregation.
 
     Expects one row per (product, destination) with a whole-number value. Ties
-    for the largest go to the first name. A product without any value has no
+    for the largest go to the first name. Exports without a destination count
+    towards the total only; a product without any value that has one has no
     share and no score.
     """
     v = F.col(value).cast("double")
-    largest = F.min(F.struct((-v).alias("negated"), F.col(destination).alias("name")))
+    named = F.col(destination).isNotNull()
+    largest = F.min(F.when(named, F.struct((-v).alias("negated"), F.col(destination).alias("name"))))
     profile = (
-        totals.where(F.col(product).isNotNull() & F.col(destination).isNotNull())
+        totals.where(F.col(product).isNotNull())
         .groupBy(product)
         .agg(
             F.sum(wide(F.col(value))).cast("double").alias("total_value"),
+            F.sum(F.when(named, wide(F.col(value)))).cast("double").alias("named_value"),
             largest.alias("largest"),
-            F.count(F.lit(1)).alias("country_count"),
+            F.count(destination).alias("country_count"),
         )
     )
-    share = F.try_divide(-F.col("largest.negated"), F.col("total_value")) * 100.0
+    share = F.try_divide(-F.col("largest.negated"), F.col("named_value")) * 100.0
     return profile.select(
         product,
         "total_value",

@@ -35,6 +35,7 @@ from segrisk.functions.values import code_text, iso_utc
 from segrisk.operators.keyed import only_new, split_by_existing
 from segrisk.operators.ranking import descending, top_k_plus_all
 from segrisk.operators.shape import conform, entries
+from segrisk.plans.scoring import canonical_keys
 from segrisk.schemas import MANIFEST
 
 # --- fixed values: the prompt -------------------------------------------------
@@ -94,12 +95,19 @@ def identified(segments: DataFrame, strict: bool = False) -> DataFrame:
     return segments.withColumn("identifier", key)
 
 
+def batch_order() -> list[Column]:
+    return [*descending("composite_risk_score"), *canonical_keys()]
+
+
 def select_batch(segments: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` worst states, then every industry; ``branch`` and score give the order."""
+    """The ``n`` worst states, then every industry; ``branch`` and score give the order.
+
+    Equal scores stay in the canonical order of the table.
+    """
     return top_k_plus_all(
         segments.where(F.col("row_type") == "STATE"),
         n,
-        descending("composite_risk_score", "state"),
+        batch_order(),
         segments.where(F.col("row_type") == "NAICS"),
     )
 
@@ -122,7 +130,7 @@ def prompt(df: DataFrame) -> Column:
         blank = F.lit("")
         return F.concat_ws("\n", header, blank, heading, *bullets, blank, F.lit(CLOSING))
 
-    every = [F.concat(F.lit(f"- {name}: "), prompt_any(F.col(name), t)) for name, t in df.dtypes]
+    every = [F.concat(F.lit(f"- {name}: "), prompt_any(F.col(name), t)) for name, t in df.dtypes if name != "is_padded"]
     return (
         F.when(kind == "STATE", text(F.concat(F.lit(STATE_HEADER), state), _bullets(STATE_LINES)))
         .when(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.functions.scores import classify_hhi
-from segrisk.functions.values import blank_to_null, cents, dollars, normalize_state
+from segrisk.functions.values import blank_to_null, cents, code_text, dollars, normalize_state
 from segrisk.operators.keyed import upsert
 from segrisk.operators.ranking import descending, top_k
 from segrisk.operators.totals import group_profile
@@ -17,7 +17,7 @@ TOTAL_KEYS = ["naics_code", "state", "recipient_name"]
 def clean_keys(awards: DataFrame) -> DataFrame:
     """Normalise the keys once, so that every consumer sees the same states."""
     return awards.withColumns(
-        {"state": normalize_state(F.col("state")), "naics_code": blank_to_null(F.col("naics_code"))}
+        {"state": normalize_state(F.col("state")), "naics_code": blank_to_null(code_text(F.col("naics_code")))}
     )
 
 

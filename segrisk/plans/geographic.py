@@ -25,8 +25,8 @@ def product_profile(totals: DataFrame) -> DataFrame:
 
 
 def product_risk(totals: DataFrame) -> DataFrame:
-    """Scored products only: without exports there is no dependence to score."""
-    return product_profile(totals).where(F.col("total_value") != 0).drop("total_value")
+    """Scored products only: without exports to a known destination there is no dependence to score."""
+    return product_profile(totals).where(F.col("top_country_share").isNotNull()).drop("total_value")
 
 
 def industry_profile(products: DataFrame, crosswalk: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def unmapped_products(totals: DataFrame, crosswalk: DataFrame) -> DataFrame:
     return (
         totals.join(crosswalk, "hs_code", "left_anti")
         .groupBy("hs_code")
-        .agg(F.sum("export_total").alias("export_value"), F.count(F.lit(1)).alias("country_count"))
+        .agg(F.sum("export_total").alias("export_value"), F.count("country_name").alias("country_count"))
     )
 
 

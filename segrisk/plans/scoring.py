@@ -15,33 +15,30 @@ from segrisk.plans.concentration import (
     apply_concentration,
     award_parts,
     hhi_by_state,
+    recipient_totals,
     state_profile,
 )
 from segrisk.plans.unify import contracts_by_industry, segment_rows, unify
-from segrisk.schemas import ROUNDED_ON_EXPORT, SEGMENTS
+from segrisk.schemas import ROUNDED_ON_EXPORT, SCORED, SEGMENTS
+from segrisk.session import stored
 
 
 def score_segments(awards: DataFrame, trade: DataFrame, employment: DataFrame) -> DataFrame:
-    """Segments with all scores, one lazy plan over the three silver tables.
+    """Segments with all scores over the three silver tables, each scanned once.
 
-    Awards with an industry code are the exception in practice. They are picked
-    by a filter on the bare column, so the scan skips the files without any.
+    Awards with and without an industry code are summed in one aggregation. Its
+    result, a row per industry, state and recipient, is written once, since sums
+    by industry and by state both start from it.
     """
     return score_from_totals(
-        award_parts(awards),
+        stored(recipient_totals(award_parts(awards)), "recipient-totals"),
         geographic.destination_totals(trade),
         workforce.employment_by_year(employment),
-        coded=award_parts(awards.where(F.col("naics_code") != "")),
     )
 
 
-def score_from_totals(
-    parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame, coded: DataFrame | None = None
-) -> DataFrame:
-    """Scored segments from award parts and the two reduced tables, each read once.
-
-    ``coded`` are the parts with an industry code, if they can be had cheaper
-    than by filtering ``parts``.
+def score_from_totals(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
+    """Scored segments from award parts and the two reduced tables.
 
     Measures and scores of a key come out of the same aggregation, so nothing
     is scanned again or joined back just to add a score column. Same result as
@@ -53,7 +50,7 @@ def score_from_totals(
     stress = workforce.industry_profile(workforce.stress_scores(yearly), series_crosswalk(spark))
     industries = align(
         [
-            contracts_by_industry(parts if coded is None else coded),
+            contracts_by_industry(parts),
             exports.select("naics_code", "export_value", "geo_risk_score"),
             stress,
         ],
@@ -70,7 +67,7 @@ def score_from_totals(
     rows = segment_rows(industries, states, {"hhi_score": F.lit(0.0)})
     label = F.when(F.col("row_type") == "STATE", classify_hhi(F.col("hhi_score"))).otherwise("N/A")
     rows = rows.withColumn("concentration_risk_label", label)
-    return conform(score_composite(rows), SEGMENTS)
+    return conform(score_composite(rows), SCORED)
 
 
 def score_stepwise(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataFrame:
@@ -85,7 +82,7 @@ def score_stepwise(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame)
     segments = geographic.apply_geographic(segments, risk)
     stress = workforce.industry_stress(workforce.stress_scores(yearly), series_crosswalk(spark))
     segments = workforce.apply_workforce(segments, stress)
-    return conform(score_composite(segments), SEGMENTS)
+    return conform(score_composite(segments), SCORED)
 
 
 def standard_dimensions(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> Registry:
@@ -115,14 +112,18 @@ def standard_dimensions(parts: DataFrame, trade_totals: DataFrame, yearly: DataF
 
 
 def canonical(segments: DataFrame) -> DataFrame:
-    """The export form: 14 columns in order, figures rounded to 2 digits."""
-    return round_columns(conform(segments, SEGMENTS), ROUNDED_ON_EXPORT)
+    """The export form and its mark: columns in order, figures rounded to 2 digits."""
+    return round_columns(conform(segments, SCORED), ROUNDED_ON_EXPORT)
+
+
+def exported(segments: DataFrame) -> DataFrame:
+    """The 14 columns of an export."""
+    return conform(segments, SEGMENTS)
 
 
 def canonical_keys() -> list[Column]:
-    """Industries by code, then states with awards A-Z, then states added as empty."""
-    no_awards = F.when(F.col("row_type") == "STATE", F.col("recipient_count") == 0)
-    return [F.col("row_type"), F.col("naics_code"), no_awards, F.col("state")]
+    """Industries by code, then states that awards name A-Z, then states that were added."""
+    return [F.col("row_type"), F.col("naics_code"), F.coalesce("is_padded", F.lit(False)), F.col("state")]
 
 
 def canonical_order(segments: DataFrame) -> DataFrame:

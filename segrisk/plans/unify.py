@@ -26,6 +26,7 @@ BASE_COLUMNS = [
     "employment_count",
     "hhi_score",
     "concentration_risk_label",
+    "is_padded",
 ]
 
 
@@ -137,10 +138,15 @@ def unify(parts: DataFrame, trade_totals: DataFrame, yearly: DataFrame) -> DataF
 
 
 def pad_states(states: DataFrame, padding: Mapping[str, Column] | None = None) -> DataFrame:
-    """Required states without a row get one with value and count 0."""
-    zero = {"total_contract_value": F.lit(0.0), "recipient_count": F.lit(0).cast("long")}
+    """Required states without a row get one with value and count 0, marked ``is_padded``."""
+    added = {
+        "total_contract_value": F.lit(0.0),
+        "recipient_count": F.lit(0).cast("long"),
+        "is_padded": F.lit(True),
+    }
     required = required_states(states.sparkSession)
-    return pad_missing(states, required, "state", {**zero, **(padding or {})})
+    present = states.withColumn("is_padded", F.lit(False))
+    return pad_missing(present, required, "state", {**added, **(padding or {})})
 
 
 def coverage_report(segments: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
@@ -65,6 +66,9 @@ SEGMENTS = _struct(
     risk_tier=StringType(),
 )
 
+# Segments as they are kept: with the mark of a state that was added because no award names it.
+SCORED = StructType([*SEGMENTS.fields, StructField("is_padded", BooleanType(), True)])
+
 # Columns rounded to cents / hundredths when the table is exported.
 ROUNDED_ON_EXPORT = [
     "total_contract_value",

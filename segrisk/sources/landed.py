@@ -152,7 +152,7 @@ def clean_trade(rows: DataFrame) -> DataFrame:
     single = rows.where(individual_destination(F.col("country_code")))
     typed = single.withColumns(
         {
-            "export_value": parse_number(F.col("export_value")).cast("long"),
+            "export_value": parse_number(F.col("export_value")).try_cast("long"),
             "year": year_of_period(F.col("period")),
         }
     )
@@ -182,10 +182,10 @@ def series_observations(bodies: DataFrame) -> DataFrame:
     )
     return entries(one, F.col("data"), "series_id").select(
         "series_id",
-        F.col("entry.year").cast("int").alias("year"),
+        F.col("entry.year").try_cast("int").alias("year"),
         F.col("entry.period").alias("period"),
         F.col("entry.periodName").alias("period_name"),
-        F.col("entry.value").cast("double").alias("value"),
+        parse_number(F.col("entry.value")).alias("value"),
     )
 
 

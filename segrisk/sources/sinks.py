@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from segrisk.functions.formatting import plain_number
 from segrisk.operators.shape import conform
 from segrisk.plans.explore import display_view
-from segrisk.plans.scoring import canonical, canonical_order
-from segrisk.schemas import MANIFEST, SEGMENTS
+from segrisk.plans.scoring import canonical, canonical_order, exported
+from segrisk.schemas import MANIFEST, SCORED
 from segrisk.sources.tables import CSV_OPTIONS
 
 def write_raw(bodies: DataFrame, path: str) -> None:
@@ -30,7 +30,7 @@ def write_clean(df: DataFrame, path: str, *partition_by: str) -> None:
 
 
 def write_segments(segments: DataFrame, path: str) -> None:
-    conform(segments, SEGMENTS).write.mode("overwrite").parquet(path)
+    conform(segments, SCORED).write.mode("overwrite").parquet(path)
 
 
 def export_segments(segments: DataFrame, path: str) -> DataFrame:
@@ -40,7 +40,7 @@ def export_segments(segments: DataFrame, path: str) -> DataFrame:
     as needed for a large one; nothing is forced into a single task.
     """
     table = canonical(segments)
-    write_clean_csv(canonical_order(table), path)
+    write_clean_csv(exported(canonical_order(table)), path)
     return table
 
 

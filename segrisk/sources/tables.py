@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from segrisk.functions.values import parse_number
 from segrisk.operators.shape import conform
-from segrisk.schemas import AWARDS, BRIEFS, EMPLOYMENT, MANIFEST, SEGMENTS, TRADE, all_strings
+from segrisk.schemas import AWARDS, BRIEFS, EMPLOYMENT, MANIFEST, SCORED, SEGMENTS, TRADE, all_strings
 
 # Only an empty field is missing: a name such as "NA" stays a name. Blanks around
 # a value belong to it, in both directions (Spark's writer trims them by default).
@@ -37,7 +37,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         kind = field.dataType.simpleString()
         if kind in ("double", "bigint", "int"):
             number = parse_number(F.col(field.name))
-            typed[field.name] = number if kind == "double" else number.cast(kind)
+            typed[field.name] = number if kind == "double" else number.try_cast(kind)
         elif kind == "date":
             typed[field.name] = F.col(field.name).try_cast("date")
     return text.withColumns(typed) if typed else text
@@ -63,7 +63,7 @@ def read_segments(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, where: Column | None = None
 ) -> DataFrame:
     """Stored segments; projection and predicate reach the Parquet scan."""
-    df = spark.read.schema(SEGMENTS).parquet(path)
+    df = spark.read.schema(SCORED).parquet(path)
     if where is not None:
         df = df.where(where)
     return df.select(*columns) if columns else df

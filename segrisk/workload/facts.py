@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segrisk.dims import (
+    NAICS_LABELS,
     REQUESTED_HS_CODES,
     SERIES_LABELS,
     VALID_STATES,
-    mapping_table,
     values_table,
 )
-from segrisk.functions.values import cents
-from segrisk.operators.shape import conform, map_codes
+from segrisk.functions.values import cents, pad_left
+from segrisk.operators.shape import conform, map_literal
 from segrisk.plans.concentration import clean_keys
 from segrisk.plans.geographic import destination_totals
 from segrisk.plans.scoring import canonical, score_from_totals
@@ -30,8 +30,9 @@ from segrisk.session import stored
 # Which code each nation, event type and part type stands for.
 STATE_OF_NATION = dict(enumerate(VALID_STATES[-25:]))
 PRODUCT_OF_EVENT = dict(zip(["click", "error", "purchase", "signup", "view"], REQUESTED_HS_CODES))
+#: The state none of whose awards has a readable amount.
+UNREADABLE_NATION = 3
 SERIES_OF_TYPE = dict(zip(["ECONOMY", "LARGE", "MEDIUM"], SERIES_LABELS))
-LAST_MONTH = "2001-08-01"
 
 
 SCHEMAS = {
@@ -98,7 +99,39 @@ def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("start_date"),
     )
     joined = items.join(_recipients(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
-    return conform(joined.withColumn("state", _written_state(F.col("form"), F.col("code"))), AWARDS)
+    written = {
+        "state": _written_state(F.col("form"), F.col("code")),
+        "award_amount": F.when(_readable(), F.col("award_amount")),
+    }
+    return conform(joined.withColumns(written), AWARDS)
+
+
+def coded_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same awards, those of one return flag with an industry code, some written with a decimal point."""
+    code = element_of(list(NAICS_LABELS), F.col("l_suppkey"))
+    coded = F.when(F.col("l_returnflag") == "R", F.when(F.col("l_linenumber") == 1, F.concat(code, F.lit(".0"))).otherwise(code))
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey",
+        _state_form().alias("form"),
+        _award_amount().alias("award_amount"),
+        coded.alias("naics_code"),
+        F.col("l_shipdate").cast("date").alias("start_date"),
+    )
+    joined = items.join(_recipients(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+    written = {
+        "state": _written_state(F.col("form"), F.col("code")),
+        "award_amount": F.when(_readable(), F.col("award_amount")),
+    }
+    return conform(joined.withColumns(written), AWARDS)
+
+
+def element_of(values: list[str], number: Column) -> Column:
+    """One of the values, in turn by number."""
+    return F.get(F.array(*map(F.lit, values)), F.pmod(number, F.lit(len(values))).cast("int"))
+
+
+def _readable() -> Column:
+    return F.col("code") != STATE_OF_NATION[UNREADABLE_NATION]
 
 
 def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,29 +156,24 @@ def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("naics_code"),
             _written_state(F.col("form"), F.col("code")).alias("state"),
             "recipient_name",
-            "award_cents",
-            "award_count",
+            F.when(_readable(), F.col("award_cents")).alias("award_cents"),
+            F.when(_readable(), F.col("award_count")).otherwise(0).alias("award_count"),
             "award_rows",
         )
     )
 
 
 def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as exports in cents; values under 1 are suppressed."""
-    products = mapping_table(spark, PRODUCT_OF_EVENT, "event_type", "hs_code")
-    events = map_codes(
-        table(spark, sf_dir, "events").select("event_type", "user_id", "value", "ts"),
-        products,
-        "event_type",
-        "hs_code",
-    )
+    """Events as exports in cents; values under 1 are suppressed, some destinations have no name."""
+    events = table(spark, sf_dir, "events").select("event_type", "user_id", "value", "ts")
+    events = events.withColumn("hs_code", map_literal(F.col("event_type"), PRODUCT_OF_EVENT))
     user = F.col("user_id").cast("string")
     return conform(
         events.select(
             "hs_code",
             F.col("event_type").alias("hs_description"),
-            F.lpad(user, 4, "0").alias("country_code"),
-            F.concat(F.lit("Destination "), user).alias("country_name"),
+            pad_left(user, 4).alias("country_code"),
+            F.when(F.col("user_id") % 50 != 7, F.concat(F.lit("Destination "), user)).alias("country_name"),
             F.when(F.col("value") >= 1, F.rint(F.col("value") * 100)).alias("export_value"),
             F.year("ts").alias("year"),
         ),
@@ -155,7 +183,7 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean quantity per part type and month."""
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < F.lit(LAST_MONTH).cast("timestamp_ntz"))
+    items = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     joined = items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return joined.groupBy(
@@ -165,7 +193,7 @@ def monthly_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order count per priority and month."""
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(LAST_MONTH).cast("timestamp_ntz"))
+    orders = table(spark, sf_dir, "orders")
     counts = orders.groupBy(
         "o_orderpriority", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
     ).agg(F.count(F.lit(1)).cast("double").alias("value"))

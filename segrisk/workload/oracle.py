@@ -42,13 +42,14 @@ DIMS = ",\n".join(
 AWARDS = f"""
 award_raw AS (
   SELECT CASE WHEN s_acctbal >= 0 THEN s_name END AS recipient_name,
-         CASE WHEN l_discount <> CAST(0.1 AS DOUBLE) THEN CAST(l_extendedprice AS DECIMAL(28,2)) END AS amount,
+         CASE WHEN l_discount <> CAST(0.1 AS DOUBLE) AND s_nationkey <> 3 THEN CAST(l_extendedprice AS DECIMAL(28,2)) END AS amount,
+         l_returnflag, l_linenumber, l_suppkey,
          CASE WHEN l_tax = 0 THEN NULL WHEN l_tax = CAST(0.08 AS DOUBLE) THEN 'ZZ'
               WHEN l_returnflag = 'A' THEN ' ' || lower(code) || ' ' ELSE code END AS state_raw,
          CAST(l_shipdate AS DATE) AS start_date
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN state_dim ON s_nationkey = nationkey),
 award AS (
-  SELECT recipient_name, amount, state_raw, start_date,
+  SELECT recipient_name, amount, state_raw, start_date, l_returnflag, l_linenumber, l_suppkey,
          CASE WHEN upper(trim(state_raw)) IN ({_quoted(VALID_STATES)}) THEN upper(trim(state_raw)) END AS state
   FROM award_raw)"""
 
@@ -62,38 +63,43 @@ state_sum AS (
          CAST(sum(CASE WHEN recipient_name IS NOT NULL THEN x END) AS DOUBLE) AS named
   FROM entity GROUP BY state),
 state_hhi AS (
-  SELECT state, total, awards, names, squares / NULLIF(named * named, 0) * 10000 AS hhi FROM state_sum)"""
+  SELECT state, total, awards, names, CASE WHEN squares = 0 THEN 0 ELSE squares / NULLIF(named * named, 0) * 10000 END AS hhi FROM state_sum)"""
 
 TRADE = """
 trade AS (
-  SELECT hs_code, 'Destination ' || user_id AS country, CAST(round_even(value * 100, 0) AS BIGINT) AS raw_value, value >= 1 AS shown
+  SELECT hs_code, CASE WHEN user_id % 50 = 7 THEN NULL ELSE 'Destination ' || user_id END AS country,
+         CAST(round_even(value * 100, 0) AS BIGINT) AS raw_value, value >= 1 AS shown
   FROM events JOIN product_dim ON event_type = event),
 dest AS (
   SELECT hs_code, country, sum(CASE WHEN shown THEN raw_value ELSE 0 END) AS v FROM trade GROUP BY hs_code, country),
+exported AS (
+  SELECT naics_code, CAST(sum(v) AS DOUBLE) AS export_value FROM dest JOIN hs_dim USING (hs_code) GROUP BY naics_code),
+named_dest AS (SELECT * FROM dest WHERE country IS NOT NULL),
 product_sum AS (
-  SELECT hs_code, sum(v) AS total, max(v) AS top, count(*) AS countries FROM dest GROUP BY hs_code),
+  SELECT hs_code, sum(v) AS total, max(v) AS top, count(*) AS countries FROM named_dest GROUP BY hs_code),
 product_top AS (
-  SELECT hs_code, min(country) AS top_country FROM dest JOIN product_sum USING (hs_code) WHERE v = top GROUP BY hs_code),
+  SELECT hs_code, min(country) AS top_country FROM named_dest JOIN product_sum USING (hs_code) WHERE v = top GROUP BY hs_code),
 product AS (
-  SELECT hs_code, CAST(total AS DOUBLE) AS total, top_country,
+  SELECT hs_code, top_country,
          round_even(CAST(top AS DOUBLE) / total * 100, 2) AS top_country_share, countries AS country_count,
          round_even(least(100.0, CAST(top AS DOUBLE) / total * 100 * 0.7 + 3000.0 / countries), 2) AS geo_risk_score
   FROM product_sum JOIN product_top USING (hs_code) WHERE total <> 0),
-sector_geo AS (
-  SELECT naics_code, sum(total) AS export_value, round_even(avg(geo_risk_score), 2) AS geo_risk_score
-  FROM product JOIN hs_dim USING (hs_code) GROUP BY naics_code)"""
+sector_score AS (
+  SELECT naics_code, round_even(avg(geo_risk_score), 2) AS geo_risk_score
+  FROM product JOIN hs_dim USING (hs_code) GROUP BY naics_code),
+sector_geo AS (SELECT * FROM exported LEFT JOIN sector_score USING (naics_code))"""
 
 QUANTITY = """
 monthly AS (
   SELECT p_type AS series_id, CAST(year(l_shipdate) AS BIGINT) AS y, CAST(month(l_shipdate) AS BIGINT) AS m, avg(l_quantity) AS value
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_shipdate < TIMESTAMP '2001-08-01'
+  FROM lineitem JOIN part ON l_partkey = p_partkey
   GROUP BY 1, 2, 3)"""
 
 ORDER_COUNTS = """
 monthly AS (
   SELECT o_orderpriority AS series_id, CAST(year(o_orderdate) AS BIGINT) AS y, CAST(month(o_orderdate) AS BIGINT) AS m,
          CAST(count(*) AS DOUBLE) AS value
-  FROM orders WHERE o_orderdate < TIMESTAMP '2001-08-01' GROUP BY 1, 2, 3)"""
+  FROM orders GROUP BY 1, 2, 3)"""
 
 STRESS = """
 change AS (
@@ -133,22 +139,22 @@ raw_segment AS (
          export_value, employment_count, CAST(NULL AS DOUBLE) AS hhi, 'N/A' AS concentration_risk_label,
          geo_risk_score, workforce_risk_score,
          CASE WHEN geo_risk_score IS NOT NULL AND workforce_risk_score IS NOT NULL THEN (geo_risk_score + workforce_risk_score) / 2
-              ELSE coalesce(geo_risk_score, workforce_risk_score) END AS score
+              ELSE coalesce(geo_risk_score, workforce_risk_score) END AS score, FALSE AS padded
   FROM sector_geo FULL JOIN sector_work USING (naics_code) LEFT JOIN label_dim USING (naics_code)
   UNION ALL
   SELECT 'STATE', NULL, NULL, state, total, awards, NULL, NULL, CASE WHEN names > 0 THEN hhi ELSE 0 END,
          CASE WHEN names > 0 AND hhi > 2500 THEN 'High' WHEN names > 0 AND hhi > 1500 THEN 'Moderate' ELSE 'Low' END,
-         NULL, NULL, CASE WHEN names > 0 THEN hhi ELSE 0 END / 100
+         NULL, NULL, CASE WHEN names > 0 THEN hhi ELSE 0 END / 100, FALSE
   FROM state_hhi
   UNION ALL
-  SELECT 'STATE', NULL, NULL, state, 0, 0, NULL, NULL, 0, 'Low', NULL, NULL, 0
+  SELECT 'STATE', NULL, NULL, state, 0, 0, NULL, NULL, 0, 'Low', NULL, NULL, 0, TRUE
   FROM us_dim WHERE state NOT IN (SELECT state FROM state_hhi)),
 segment AS (
   SELECT row_type, naics_code, naics_label, state, round_even(total_contract_value, 2) AS total_contract_value, recipient_count,
          round_even(export_value, 2) AS export_value, employment_count, round_even(hhi, 2) AS hhi_score, concentration_risk_label,
          geo_risk_score, workforce_risk_score, round_even(score, 2) AS composite_risk_score,
          CASE WHEN score IS NULL THEN 'Unknown' WHEN score >= 70 THEN 'High' WHEN score >= 40 THEN 'Medium'
-              WHEN score >= 1 THEN 'Low' ELSE 'Minimal' END AS risk_tier
+              WHEN score >= 1 THEN 'Low' ELSE 'Minimal' END AS risk_tier, padded
   FROM raw_segment)"""
 
 
@@ -168,14 +174,14 @@ NATION = """
 supplier_total AS (
   SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(28,2))) AS x FROM lineitem GROUP BY l_suppkey),
 nation_entity AS (
-  SELECT n_name, s_name, s_acctbal, x FROM supplier_total JOIN supplier ON l_suppkey = s_suppkey
+  SELECT n_name, s_name, x FROM supplier_total JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey)"""
 
 
-def _nation_hhi(where: str) -> str:
-    return f"""
+def _nation_hhi() -> str:
+    return """
 nation_share AS (
-  SELECT n_name, CAST(x AS DOUBLE) / CAST(sum(x) OVER (PARTITION BY n_name) AS DOUBLE) AS share FROM nation_entity WHERE {where}),
+  SELECT n_name, CAST(x AS DOUBLE) / CAST(sum(x) OVER (PARTITION BY n_name) AS DOUBLE) AS share FROM nation_entity),
 nation_score AS (SELECT n_name, round_even(sum(share * share) * 10000, 4) AS hhi_score FROM nation_share GROUP BY n_name),
 nation_hhi AS (
   SELECT n_name, hhi_score,
@@ -183,7 +189,7 @@ nation_hhi AS (
   FROM nation_score)"""
 
 
-ON_NATION = _with(NATION, _nation_hhi("TRUE"))
+ON_NATION = _with(NATION, _nation_hhi())
 
 ORACLE["hhi_by_nation"] = ON_NATION + " SELECT * FROM nation_hhi"
 ORACLE["entity_shares"] = _with(NATION) + """
@@ -191,9 +197,10 @@ SELECT n_name, s_name, round_even(CAST(x AS DOUBLE), 6) AS entity_total,
        round_even(CAST(x AS DOUBLE) / CAST(sum(x) OVER (PARTITION BY n_name) AS DOUBLE), 6) AS share FROM nation_entity"""
 ORACLE["top_hhi_nations"] = ON_NATION + """
 SELECT *, row_number() OVER (ORDER BY hhi_score DESC, n_name) AS rank FROM nation_hhi ORDER BY rank LIMIT 10"""
-ORACLE["hhi_padded"] = _with(NATION, _nation_hhi("s_acctbal > 8000")) + """
-SELECT n_name, coalesce(hhi_score, 0.0) AS hhi_score, coalesce(concentration_risk_label, 'Low') AS concentration_risk_label
-FROM nation LEFT JOIN nation_hhi USING (n_name)"""
+ORACLE["hhi_padded"] = _with(DIMS, NATION, _nation_hhi()) + """,
+coded AS (SELECT code, hhi_score, concentration_risk_label FROM nation_hhi JOIN nation USING (n_name) JOIN state_dim ON n_nationkey = nationkey)
+SELECT state, coalesce(hhi_score, 0.0) AS hhi_score, coalesce(concentration_risk_label, 'Low') AS concentration_risk_label
+FROM us_dim LEFT JOIN coded ON state = code"""
 ORACLE["hhi_label_counts"] = ON_NATION + """
 SELECT concentration_risk_label, count(*) AS row_count FROM nation_hhi GROUP BY 1"""
 ORACLE["null_state_audit"] = ON_AWARDS + """
@@ -241,7 +248,7 @@ SELECT g AS brand_group, round_even(sum(total), 2) AS total_value, round_even(av
 FROM placed GROUP BY g"""
 
 ORACLE["unmapped_products"] = ON_TRADE + """
-SELECT hs_code, CAST(sum(v) AS BIGINT) AS export_value, count(*) AS country_count FROM dest
+SELECT hs_code, CAST(sum(v) AS BIGINT) AS export_value, count(country) AS country_count FROM dest
 WHERE hs_code NOT IN (SELECT hs_code FROM hs_dim) GROUP BY hs_code"""
 ORACLE["trade_by_industry"] = ON_TRADE + """,
 placed AS (
@@ -270,6 +277,27 @@ SELECT state FROM us_dim WHERE state NOT IN (SELECT state FROM award WHERE state
 ORACLE["awards_by_key"] = ON_AWARDS + """
 SELECT CAST(NULL AS VARCHAR) AS naics_code, state, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total_contract_value,
        count(amount) AS recipient_count FROM award GROUP BY state"""
+# Awards of return flag R carry an industry code; both kinds count towards their state.
+CODED = f"""
+coded AS (
+  SELECT *, CASE WHEN l_returnflag = 'R' THEN list_extract([{_quoted(NAICS_LABELS)}], CAST(l_suppkey % {len(NAICS_LABELS)} AS INTEGER) + 1) END AS code
+  FROM award),
+sector_value AS (
+  SELECT code AS naics_code, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total_contract_value, count(amount) AS recipient_count
+  FROM coded WHERE code IS NOT NULL GROUP BY code)"""
+ORACLE["coded_awards_by_key"] = _with(DIMS, AWARDS, CODED) + """
+SELECT code AS naics_code, state, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total_contract_value,
+       count(amount) AS recipient_count FROM coded GROUP BY code, state"""
+ORACLE["scored_row_level"] = ON_SEGMENTS + "," + CODED + """
+SELECT row_type, coalesce(s.naics_code, v.naics_code) AS naics_code, coalesce(s.naics_label, l.naics_label) AS naics_label, state,
+       round_even(coalesce(s.total_contract_value, v.total_contract_value), 2) AS total_contract_value,
+       coalesce(s.recipient_count, v.recipient_count) AS recipient_count, export_value, employment_count, hhi_score,
+       concentration_risk_label, geo_risk_score, workforce_risk_score, composite_risk_score, risk_tier
+FROM segment s LEFT JOIN sector_value v USING (naics_code) LEFT JOIN label_dim l USING (naics_code)
+UNION ALL
+SELECT 'NAICS', naics_code, naics_label, NULL, round_even(total_contract_value, 2), recipient_count, NULL, NULL, NULL, 'N/A',
+       NULL, NULL, NULL, 'Unknown'
+FROM sector_value JOIN label_dim USING (naics_code) WHERE naics_code NOT IN (SELECT naics_code FROM segment WHERE naics_code IS NOT NULL)"""
 ORACLE["recipient_profile"] = ON_STATES + """
 SELECT state, total AS total_contract_value, awards AS award_count, names AS distinct_recipients,
        round_even(hhi, 4) AS hhi_score FROM state_hhi"""
@@ -284,11 +312,13 @@ keyed AS (SELECT DISTINCT state FROM award)
 SELECT (SELECT count(*) FROM keyed) AS total_rows, CAST(0 AS BIGINT) AS naics_rows, (SELECT count(state) FROM keyed) AS state_rows,
        (SELECT count(*) - count(state) FROM keyed) AS orphan_rows, (SELECT count(*) FROM missing) AS missing_states,
        (SELECT coalesce(string_agg(state, ',' ORDER BY state), '') FROM missing) AS missing_list"""
-ORACLE["scored_segments"] = ON_SEGMENTS + " SELECT * FROM segment"
-ORACLE["scored_stepwise"] = ON_SEGMENTS + " SELECT * FROM segment"
+ORACLE["scored_segments"] = ON_SEGMENTS + " SELECT * EXCLUDE (padded) FROM segment"
+ORACLE["scored_stepwise"] = ON_SEGMENTS + " SELECT * EXCLUDE (padded) FROM segment"
+ORACLE["export_order"] = ON_SEGMENTS + """
+SELECT row_number() OVER (ORDER BY row_type, naics_code, padded, state) AS line, row_type, naics_code, state FROM segment"""
 ORACLE["segment_preview"] = ON_SEGMENTS + """
 SELECT row_type, naics_code, state, composite_risk_score, risk_tier FROM segment
-ORDER BY row_type, naics_code, CASE WHEN recipient_count = 0 THEN 1 ELSE 0 END, state LIMIT 6"""
+ORDER BY row_type, naics_code, padded, state LIMIT 6"""
 ORACLE["registry_scores"] = ON_SEGMENTS + """,
 hidden AS (
   SELECT naics_code, CAST(count(*) - count(CASE WHEN shown THEN 1 END) AS DOUBLE) / count(*) * 100 AS suppression
@@ -447,10 +477,13 @@ FROM o WHERE fy BETWEEN 1997 AND 1999 GROUP BY fy"""
 _BATCH = """,
 batch AS (
   SELECT * FROM (SELECT CAST(0 AS BIGINT) AS branch, * FROM segment WHERE row_type = 'STATE'
-                 ORDER BY composite_risk_score DESC NULLS LAST, state LIMIT 10)
+                 ORDER BY composite_risk_score DESC NULLS LAST, padded, state LIMIT 10)
   UNION ALL SELECT 1, * FROM segment WHERE row_type = 'NAICS')"""
 ORACLE["brief_selection"] = ON_SEGMENTS + _BATCH + """
-SELECT branch, coalesce(state, naics_code) AS identifier, composite_risk_score, risk_tier FROM batch"""
+SELECT branch, coalesce(state, naics_code) AS identifier, composite_risk_score, risk_tier,
+       row_number() OVER (PARTITION BY branch ORDER BY CASE WHEN branch = 0 THEN composite_risk_score END DESC NULLS LAST,
+                          naics_code, padded, state) AS place FROM batch
+"""
 ORACLE["cache_split"] = """
 SELECT doc_id, lang, CAST(CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 1 ELSE 0 END AS BIGINT) AS cached FROM documents"""
 ORACLE["cache_todo"] = """
@@ -514,7 +547,8 @@ manifest AS (
   SELECT row_type, state, naics_code, composite_risk_score, risk_tier,
          'briefs/' || coalesce(state, naics_code) || '.txt' AS brief_file_path,
          CASE WHEN row_type = 'NAICS' THEN 0 ELSE recipient_count END AS tokens_used,
-         '2024-01-31T10:20:30.000000+00:00' AS generated_at FROM batch)"""
+         CASE WHEN row_type = 'NAICS' THEN '2024-01-31T10:20:30+00:00' ELSE '2024-01-31T10:20:30.250000+00:00' END AS generated_at
+  FROM batch)"""
 ORACLE["brief_manifest"] = ON_SEGMENTS + _MANIFEST + " SELECT * FROM manifest"
 ORACLE["token_usage"] = ON_SEGMENTS + _MANIFEST + """
 SELECT count(*) AS briefs, count(CASE WHEN tokens_used > 0 THEN 1 END) AS calls,
@@ -596,7 +630,7 @@ ORACLE["clean_csv_text"] = ON_AWARDS + """
 SELECT CAST(start_date AS VARCHAR) AS start_date, count(*) AS row_count FROM award GROUP BY 1"""
 ORACLE["stored_segments"] = ON_SEGMENTS + """
 SELECT naics_code, geo_risk_score, workforce_risk_score FROM segment WHERE row_type = 'NAICS'"""
-ORACLE["exported_segments"] = ON_SEGMENTS + " SELECT * FROM segment"
+ORACLE["exported_segments"] = ON_SEGMENTS + " SELECT * EXCLUDE (padded) FROM segment"
 ORACLE["exported_view"] = ON_SEGMENTS + """
 SELECT row_type AS "Type", state AS "State", naics_label AS "Sector", composite_risk_score AS "Risk Score", risk_tier AS "Risk Tier",
        hhi_score AS "HHI", geo_risk_score AS "Geo Risk", workforce_risk_score AS "Workforce Risk" FROM segment WHERE risk_tier = 'High'"""

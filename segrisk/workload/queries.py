@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -20,9 +20,10 @@ from segrisk.dims import (
     naics_labels,
     required_states,
     series_crosswalk,
+    values_table,
 )
 from segrisk.functions.scores import classify_hhi, classify_tier, composite_sector, composite_state
-from segrisk.functions.values import cents, dollars, fiscal_year, round_even
+from segrisk.functions.values import cents, dollars, fiscal_year, pad_left, round_even
 from segrisk.operators import filters, keyed, ranking, series, totals
 from segrisk.operators.shape import rename
 from segrisk.plans import (
@@ -72,10 +73,8 @@ def _supplier_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _nation_suppliers(spark: SparkSession, sf_dir: str, richer_than: float | None = None) -> DataFrame:
+def _nation_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
-    if richer_than is not None:
-        supplier = supplier.where(F.col("s_acctbal") > richer_than)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         _supplier_totals(spark, sf_dir)
@@ -85,10 +84,8 @@ def _nation_suppliers(spark: SparkSession, sf_dir: str, richer_than: float | Non
     )
 
 
-def _nation_hhi(spark: SparkSession, sf_dir: str, richer_than: float | None = None) -> DataFrame:
-    profile = totals.group_profile(
-        _nation_suppliers(spark, sf_dir, richer_than), "n_name", "s_name", "entity_cents"
-    )
+def _nation_hhi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = totals.group_profile(_nation_suppliers(spark, sf_dir), "n_name", "s_name", "entity_cents")
     return profile.select("n_name", round_even(F.col("hhi_score"), 4).alias("hhi_score")).withColumn(
         "concentration_risk_label", classify_hhi(F.col("hhi_score"))
     )
@@ -116,12 +113,13 @@ def top_hhi_nations(spark, sf_dir):
 
 @query
 def hhi_padded(spark, sf_dir):
-    """Every nation has a row; those without a rich supplier take the default."""
-    nations = table(spark, sf_dir, "nation").select("n_name")
+    """Nations stand for states; every required state has a row, those without a supplier the default."""
+    codes = values_table(spark, ["n_nationkey", "state"], facts.STATE_OF_NATION.items())
+    names = table(spark, sf_dir, "nation").select("n_nationkey", "n_name").join(codes, "n_nationkey")
     return keyed.upsert(
-        nations,
-        _nation_hhi(spark, sf_dir, richer_than=8000.0),
-        key="n_name",
+        required_states(spark),
+        _nation_hhi(spark, sf_dir).join(names, "n_name"),
+        key="state",
         applies=F.lit(True),
         defaults={"hhi_score": F.lit(0.0), "concentration_risk_label": F.lit("Low")},
         elsewhere={"hhi_score": F.lit(None), "concentration_risk_label": F.lit("N/A")},
@@ -287,7 +285,7 @@ def employment_by_industry(spark, sf_dir):
 
 @query
 def unify_segments(spark, sf_dir):
-    return unify.unify(*facts.reduced(spark, sf_dir))
+    return unify.unify(*facts.reduced(spark, sf_dir)).drop("is_padded")
 
 
 @query
@@ -298,12 +296,31 @@ def coverage_report(spark, sf_dir):
 
 @query
 def scored_segments(spark, sf_dir):
-    return facts.segments(spark, sf_dir)
+    return scoring.exported(facts.segments(spark, sf_dir))
+
+
+@query
+def scored_row_level(spark, sf_dir):
+    """The run a user starts: single awards, some with an industry code, trade rows and employment."""
+    inputs = (facts.coded_awards(spark, sf_dir), facts.trade(spark, sf_dir), facts.employment(spark, sf_dir))
+    return scoring.exported(scoring.canonical(scoring.score_segments(*inputs)))
+
+
+@query
+def coded_awards_by_key(spark, sf_dir):
+    return unify.awards_by_key(facts.coded_awards(spark, sf_dir))
+
+
+@query
+def export_order(spark, sf_dir):
+    """Line of every segment in the export."""
+    numbered = ranking.number_rows(facts.segments(spark, sf_dir), scoring.canonical_keys(), rank="line")
+    return numbered.select("line", "row_type", "naics_code", "state")
 
 
 @query
 def scored_stepwise(spark, sf_dir):
-    return scoring.canonical(scoring.score_stepwise(*facts.stored_reduced(spark, sf_dir)))
+    return scoring.exported(scoring.canonical(scoring.score_stepwise(*facts.stored_reduced(spark, sf_dir))))
 
 
 @query
@@ -552,10 +569,16 @@ def fiscal_year_totals(spark, sf_dir):
 
 @query
 def brief_selection(spark, sf_dir):
+    """The selection with the place of each brief; its rows are ten and the industries."""
     batch = briefs.select_batch(facts.stored_segments(spark, sf_dir), 10)
+    place = F.row_number().over(
+        Window.partitionBy("branch").orderBy(
+            F.when(F.col("branch") == 0, F.col("composite_risk_score")).desc_nulls_last(), *scoring.canonical_keys()
+        )
+    )
     return whole_numbers(
-        briefs.identified(batch, strict=True).select(
-            "branch", "identifier", "composite_risk_score", "risk_tier"
+        briefs.identified(batch.withColumn("place", place), strict=True).select(
+            "branch", "place", "identifier", "composite_risk_score", "risk_tier"
         )
     )
 
@@ -583,10 +606,10 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Industry briefs exist; state briefs are new, their token count the award count."""
     table_ = facts.stored_segments(spark, sf_dir)
     segments = briefs.identified(table_)
-    day = F.lit("2024-01-31 10:20:30Z").cast("timestamp")
+    day, later = (F.lit(f"2024-01-31 10:20:30{f}Z").cast("timestamp") for f in ("", ".25"))
     existing = segments.where(F.col("row_type") == "NAICS").select("identifier", day.alias("modified_at"))
     written = segments.where(F.col("row_type") == "STATE").select(
-        "identifier", F.col("recipient_count").alias("tokens_used"), day.alias("generated_at")
+        "identifier", F.col("recipient_count").alias("tokens_used"), later.alias("generated_at")
     )
     batch = briefs.select_batch(table_, 10)
     return briefs.manifest(batch, existing, written)
@@ -672,7 +695,7 @@ def _trade_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     )
     region = F.concat(F.col("n_regionkey").cast("string"), F.lit("XXX"))
-    country = F.concat(F.lit("1"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0"))
+    country = F.concat(F.lit("1"), pad_left(F.col("n_nationkey").cast("string"), 3))
     place = F.inline(
         F.array(
             F.struct(country.alias("code"), F.col("n_name").alias("name")),
