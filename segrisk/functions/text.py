@@ -83,9 +83,10 @@ def line_kind(line: Column) -> Column:
 
 def line_payload(line: Column, kind: Column) -> Column:
     """The line without its marker and without blanks at the end."""
-    marker = (
-        F.when(kind == "heading", f"^## {_BLANK}*")
-        .when(kind == "bullet", f"^{_BLANK}*[{BULLETS}] {_BLANK}*")
+    # One literal pattern per branch, so that each is compiled once.
+    inner = (
+        F.when(kind == "heading", F.regexp_replace(line, f"^## {_BLANK}*", ""))
+        .when(kind == "bullet", F.regexp_replace(line, f"^{_BLANK}*[{BULLETS}] {_BLANK}*", ""))
+        .otherwise(line)
     )
-    inner = F.when(marker.isNotNull(), F.regexp_replace(line, marker, "")).otherwise(line)
     return strip_right(inner)

@@ -40,15 +40,16 @@ def number_rows(df: DataFrame, order: Sequence[Column], rank: str = "rank") -> D
     The sorted table is written to the shared folder once, so that the part
     files, and with them the row numbers, stay the same if an executor is lost.
     Numbers are a per-part offset plus the position within the part; only the
-    part sizes, one row per file, meet in a window. Rows that are equal in all
-    sort columns are spread over parts by a random last one.
+    part sizes, one row per file, meet in a window, and the offsets reach the
+    rows as one array, so the table is not shuffled a second time. Rows that are
+    equal in all sort columns are spread over parts by a hash of the whole row.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "numbered")
     part = F.spark_partition_id()
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
     (
-        df.withColumn("_spread", F.rand(11))
+        df.withColumn("_spread", F.xxhash64(*df.columns))
         .orderBy(*order, "_spread")
         .withColumns({"_part": part, "_position": position})
         .drop("_spread")
@@ -56,8 +57,11 @@ def number_rows(df: DataFrame, order: Sequence[Column], rank: str = "rank") -> D
     )
     rows = spark.read.parquet(path)
     sizes = rows.groupBy("_part").agg(F.max("_position").alias("_size"))
+    # An entry for every part up to the last, so that a row finds its offset by place.
+    parts = sizes.agg(F.max("_part").alias("last")).select(F.explode(F.sequence(F.lit(0), "last")).alias("_part"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return rows.join(offsets, "_part").select(
-        *df.columns, (F.col("_offset") + F.col("_position")).alias(rank)
-    )
+    offset = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    placed = parts.join(sizes, "_part", "left").select(F.struct("_part", offset.alias("offset")).alias("o"))
+    offsets = placed.agg(F.transform(F.sort_array(F.collect_list("o")), lambda o: o["offset"])).scalar()
+    number = F.get(offsets, F.col("_part")) + F.col("_position")
+    return rows.select(*df.columns, number.alias(rank))

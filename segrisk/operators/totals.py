@@ -11,6 +11,11 @@ from segrisk.functions.scores import geo_risk, hhi_from_sums
 from segrisk.functions.values import cents, round_even, wide
 
 
+#: Totals that fit in one small map, and parts of a group where there are more.
+FEW_GROUPS = 256
+SALTS = 16
+
+
 def sum_and_count(df: DataFrame, keys: Sequence[str], amount: str, total: str, count: str) -> DataFrame:
     """Cents and number of known amounts per key; NULL keys form a group, no amounts sum to 0."""
     return df.groupBy(*keys).agg(
@@ -54,14 +59,22 @@ def share_of_total(df: DataFrame, group: str, value: str, share: str = "share")
     """Each row's part of its group's total.
 
     A window over the group would pull a hot group into one task; instead the
-    totals are combined map-side and joined back. The join is left to adaptive
-    execution: broadcast when the measured totals are small, else a sort-merge
-    join whose skewed partitions are split.
+    totals are combined map-side and brought back. Up to ``FEW_GROUPS`` totals,
+    a number that is measured, reach the rows as one map, so that the rows are
+    not shuffled; more are joined with every group cut into ``SALTS`` parts.
+    Rows without a group have no total and go.
     """
-    totals = df.groupBy(group).agg(F.sum(wide(F.col(value))).cast("double").alias("group_total"))
-    return df.join(totals, group).withColumn(
-        share, F.try_divide(F.col(value).cast("double"), F.col("group_total"))
-    )
+    total = F.sum(wide(F.col(value))).cast("double")
+    totals = df.where(F.col(group).isNotNull()).groupBy(group).agg(total.alias("group_total"))
+    if totals.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        entries = F.collect_list(F.struct(group, "group_total"))
+        found = totals.agg(F.map_from_entries(entries)).scalar()
+        with_total = df.where(F.col(group).isNotNull()).withColumn("group_total", F.try_element_at(found, F.col(group)))
+    else:
+        salted = totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+        with_total = rows.join(salted, [group, "_salt"]).select(*df.columns, "group_total")
+    return with_total.withColumn(share, F.try_divide(F.col(value).cast("double"), F.col("group_total")))
 
 
 def destination_profile(totals: DataFrame, product: str, destination: str, value: str) -> DataFrame:

@@ -35,7 +35,7 @@ from segrisk.functions.values import code_text, iso_utc
 from segrisk.operators.keyed import only_new, split_by_existing
 from segrisk.operators.ranking import descending, top_k_plus_all
 from segrisk.operators.shape import conform, entries
-from segrisk.plans.scoring import canonical_keys
+from segrisk.plans.scoring import canonical_keys, marked
 from segrisk.schemas import MANIFEST
 
 # --- fixed values: the prompt -------------------------------------------------
@@ -104,6 +104,7 @@ def select_batch(segments: DataFrame, n: int = 10) -> DataFrame:
 
     Equal scores stay in the canonical order of the table.
     """
+    segments = marked(segments)
     return top_k_plus_all(
         segments.where(F.col("row_type") == "STATE"),
         n,

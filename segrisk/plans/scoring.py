@@ -126,8 +126,13 @@ def canonical_keys() -> list[Column]:
     return [F.col("row_type"), F.col("naics_code"), F.coalesce("is_padded", F.lit(False)), F.col("state")]
 
 
+def marked(segments: DataFrame) -> DataFrame:
+    """Segments from an export carry no mark of added states; there none counts as added."""
+    return segments if "is_padded" in segments.columns else segments.withColumn("is_padded", F.lit(False))
+
+
 def canonical_order(segments: DataFrame) -> DataFrame:
-    return segments.orderBy(*canonical_keys())
+    return marked(segments).orderBy(*canonical_keys())
 
 
 def preview(segments: DataFrame, n: int = 10) -> DataFrame:

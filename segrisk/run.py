@@ -30,24 +30,30 @@ from segrisk.schemas import AWARDS, EMPLOYMENT, TRADE  # noqa: E402
 from segrisk.sources import landed, sinks, tables  # noqa: E402
 
 
-def ingest(spark: SparkSession, landed_dir: str, out: str) -> None:
+def ingest(spark: SparkSession, landed_dir: str, out: str, skip_damaged: bool = False) -> None:
     """Responses in ``awards/``, ``trade/``, ``employment/`` to a raw and a clean layer.
 
     The clean tables are parsed from the raw layer just written, split by year
-    where they have one.
+    where they have one. A response that cannot be read stops the run; with
+    ``skip_damaged`` it is left out and written to ``rejects``. Without any
+    award record the run stops too.
     """
+    strict = not skip_damaged
     for name in ("awards", "trade", "employment"):
         sinks.write_raw(landed.read_bodies(spark, f"{landed_dir}/{name}"), f"{out}/raw/{name}")
 
     def raw(name: str) -> DataFrame:
         return spark.read.schema("body string").json(f"{out}/raw/{name}")
 
-    require_rows(raw("awards"), "awards")
-    sinks.write_clean(landed.parse_awards(raw("awards")), f"{out}/clean/awards")
+    if skip_damaged:
+        for name in ("awards", "trade", "employment"):
+            landed.rejects(raw(name), name).write.mode("overwrite").json(f"{out}/rejects/{name}")
+    sinks.write_clean(landed.parse_awards(raw("awards"), strict), f"{out}/clean/awards")
+    require_rows(spark.read.schema(AWARDS).parquet(f"{out}/clean/awards"), "awards")
     scope = in_trade_scope(F.col("hs_code"), F.col("period"), REQUESTED_HS_CODES, REQUESTED_PERIODS)
-    trade = landed.clean_trade(landed.trade_matrix(raw("trade")).where(scope))
+    trade = landed.clean_trade(landed.trade_matrix(raw("trade"), strict=strict).where(scope))
     sinks.write_clean(trade, f"{out}/clean/trade", "year")
-    sinks.write_clean(landed.parse_employment(raw("employment")), f"{out}/clean/employment", "year")
+    sinks.write_clean(landed.parse_employment(raw("employment"), strict=strict), f"{out}/clean/employment", "year")
 
 
 def score(spark: SparkSession, silver: str, out: str, csv: bool = False) -> DataFrame:
@@ -92,6 +98,8 @@ def main(argv: list[str] | None = None) -> None:
         command = commands.add_parser(name)
         for path in paths:
             command.add_argument(f"--{path}", required=True)
+        if name == "ingest":
+            command.add_argument("--skip-damaged", action="store_true", help="write unreadable responses to rejects")
         if name == "score":
             command.add_argument("--csv", action="store_true", help="the clean tables are CSV")
         if name in ("prompts", "manifest"):
@@ -99,7 +107,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"segrisk-{args.command}").getOrCreate()
     if args.command == "ingest":
-        ingest(spark, args.landed, args.out)
+        ingest(spark, args.landed, args.out, args.skip_damaged)
     elif args.command == "score":
         score(spark, args.silver, args.out, args.csv)
     elif args.command == "prompts":

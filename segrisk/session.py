@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,12 +41,21 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="segrisk-")
     spark.conf.set("spark.checkpoint.dir", folder)
+    delete_at_end(spark, folder)
     return folder
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """The session owns this path: its file system deletes it when the driver ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses, deleted when the session ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    delete_at_end(spark, path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -57,3 +67,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_once: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored_once(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stored table that many queries read: made once per session and data folder."""
+    key = (spark.sparkContext.applicationId, name, source)
+    if key not in _once:
+        _once[key] = stored(build(), name)
+    return _once[key]

@@ -19,7 +19,7 @@ from pyspark.sql.types import (
 )
 
 from segrisk.dims import SERIES_LABELS, mapping_table
-from segrisk.functions.values import parse_number, year_of_period
+from segrisk.functions.values import parse_number, strip, year_of_period
 from segrisk.operators.filters import individual_destination
 from segrisk.operators.shape import conform, entries, map_codes_or, rename, select_present
 from segrisk.schemas import AWARDS, EMPLOYMENT, TRADE
@@ -88,7 +88,35 @@ def read_bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def non_empty(bodies: DataFrame) -> DataFrame:
-    return bodies.where(F.trim("body") != "")
+    return bodies.where(strip(F.col("body")) != "")
+
+
+def _intact(what: str, parsed: str, strict: bool) -> Column:
+    """The parsed list of a body that is one.
+
+    Anything else, such as a truncated page, an error object or a page of
+    markup, stops the job, or is left out if not ``strict``; see ``rejects``.
+    """
+    problem = F.concat(F.lit(f"unreadable {what} response: "), F.left("body", F.lit(80)))
+    damaged = F.raise_error(problem) if strict else F.lit(None)
+    return F.when(_is_list(parsed), F.col(parsed)).otherwise(damaged)
+
+
+def _is_list(parsed: str) -> Column:
+    return F.col(parsed).isNotNull() & F.ltrim("body").startswith("[")
+
+
+def rejects(bodies: DataFrame, kind: str) -> DataFrame:
+    """Bodies of a source (awards, trade, employment) that cannot be read, with the reason."""
+    found = non_empty(bodies)
+    if kind == "employment":
+        status = F.coalesce(F.from_json("body", SERIES_RESPONSE)["status"], F.lit("UNKNOWN"))
+        reason = F.when(status != SUCCESS, F.concat(F.lit("status "), status))
+    else:
+        schema = ArrayType(AWARD_RECORD) if kind == "awards" else "array<array<string>>"
+        found = found.withColumn("page", F.from_json("body", schema))
+        reason = F.when(~_is_list("page"), "no list of records")
+    return found.select(F.lit(kind).alias("kind"), reason.alias("reason"), "body").where(F.col("reason").isNotNull())
 
 
 # --- awards ------------------------------------------------------------------
@@ -99,10 +127,10 @@ def read_award_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return clean_awards(spark.read.schema(AWARD_RECORD).json(path, multiLine=True))
 
 
-def award_records(bodies: DataFrame) -> DataFrame:
+def award_records(bodies: DataFrame, strict: bool = True) -> DataFrame:
     """Records of all pages, every field as text."""
-    pages = non_empty(bodies).select(F.from_json("body", ArrayType(AWARD_RECORD)).alias("records"))
-    return entries(pages, F.col("records")).select("entry.*")
+    pages = non_empty(bodies).select("body", F.from_json("body", ArrayType(AWARD_RECORD)).alias("page"))
+    return entries(pages, _intact("awards", "page", strict)).select("entry.*")
 
 
 def clean_awards(records: DataFrame) -> DataFrame:
@@ -115,8 +143,8 @@ def clean_awards(records: DataFrame) -> DataFrame:
     return known.withColumns(casts)
 
 
-def parse_awards(bodies: DataFrame) -> DataFrame:
-    return clean_awards(award_records(bodies))
+def parse_awards(bodies: DataFrame, strict: bool = True) -> DataFrame:
+    return clean_awards(award_records(bodies, strict))
 
 
 # --- trade -------------------------------------------------------------------
@@ -133,13 +161,15 @@ def trade_matrix(
     bodies: DataFrame,
     fields: Mapping[str, str] = TRADE_FIELDS,
     optional: Sequence[str] = OPTIONAL_TRADE_FIELDS,
+    strict: bool = True,
 ) -> DataFrame:
     """Rows of all matrices by header name, everything as text.
 
     The first row of each response is its header; a repeated header name counts
     at its first place.
     """
-    matrices = non_empty(bodies).select(F.from_json("body", "array<array<string>>").alias("matrix"))
+    pages = non_empty(bodies).select("body", F.from_json("body", "array<array<string>>").alias("page"))
+    matrices = pages.select(_intact("trade", "page", strict).alias("matrix"))
     rows = entries(
         matrices.withColumn("header", F.try_element_at("matrix", F.lit(1))), F.col("matrix"), "header"
     )
@@ -159,15 +189,15 @@ def clean_trade(rows: DataFrame) -> DataFrame:
     return conform(typed, TRADE)
 
 
-def parse_trade(bodies: DataFrame) -> DataFrame:
-    return clean_trade(trade_matrix(bodies))
+def parse_trade(bodies: DataFrame, strict: bool = True) -> DataFrame:
+    return clean_trade(trade_matrix(bodies, strict=strict))
 
 
 # --- employment --------------------------------------------------------------
 
 
-def series_observations(bodies: DataFrame) -> DataFrame:
-    """Nested answers flattened twice. A failed answer stops the job with its messages.
+def series_observations(bodies: DataFrame, strict: bool = True) -> DataFrame:
+    """Nested answers flattened twice. A failed answer stops the job with its messages, or is left out.
 
     The check is part of the column that is read on, so it cannot be optimised away.
     """
@@ -176,7 +206,8 @@ def series_observations(bodies: DataFrame) -> DataFrame:
     problem = F.concat(
         F.lit("response status "), status, F.lit(": "), F.coalesce(F.array_join("r.message", "; "), F.lit(""))
     )
-    series = F.when(status == SUCCESS, F.col("r.Results.series")).otherwise(F.raise_error(problem))
+    failed = F.raise_error(problem) if strict else F.lit(None)
+    series = F.when(status == SUCCESS, F.col("r.Results.series")).otherwise(failed)
     one = entries(answers, series).select(
         F.col("entry.seriesID").alias("series_id"), F.col("entry.data").alias("data")
     )
@@ -189,10 +220,12 @@ def series_observations(bodies: DataFrame) -> DataFrame:
     )
 
 
-def parse_employment(bodies: DataFrame, labels: Mapping[str, str] = SERIES_LABELS) -> DataFrame:
+def parse_employment(
+    bodies: DataFrame, labels: Mapping[str, str] = SERIES_LABELS, strict: bool = True
+) -> DataFrame:
     """Typed observations with the series title, or the series id where it has none."""
     names = mapping_table(bodies.sparkSession, labels, "series_id", "series_label")
-    labelled = map_codes_or(series_observations(bodies), names, "series_id", "series_label", F.col("series_id"))
+    labelled = map_codes_or(series_observations(bodies, strict), names, "series_id", "series_label", F.col("series_id"))
     return conform(labelled, EMPLOYMENT)
 
 

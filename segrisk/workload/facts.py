@@ -25,7 +25,7 @@ from segrisk.plans.geographic import destination_totals
 from segrisk.plans.scoring import canonical, score_from_totals
 from segrisk.plans.workforce import employment_by_year
 from segrisk.schemas import AWARDS, TRADE
-from segrisk.session import stored
+from segrisk.session import stored, stored_once
 
 # Which code each nation, event type and part type stands for.
 STATE_OF_NATION = dict(enumerate(VALID_STATES[-25:]))
@@ -241,11 +241,11 @@ def stored_reduced(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [stored(df, name) for df, name in zip(reduced(spark, sf_dir), names)]
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored segments in export form."""
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored segments in export form, one lazy plan."""
     return canonical(score_from_totals(*reduced(spark, sf_dir)))
 
 
-def stored_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, written once, for queries that read the table several times."""
-    return stored(segments(spark, sf_dir), "segments")
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table, written once per session and folder, for all that read it."""
+    return stored_once(spark, "segments", sf_dir, lambda: scored(spark, sf_dir))

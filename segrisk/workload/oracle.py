@@ -502,6 +502,7 @@ def _dollars(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN 'N/A' ELSE '$' || format('{{:,.0f}}', {column}) END"
 
 
+# The wording of the prompts.
 _CLOSING = (
     "'Using only the metrics above, write the one-page risk brief in the exact "
     "four-section format defined in your instructions.'"
@@ -550,6 +551,9 @@ manifest AS (
          CASE WHEN row_type = 'NAICS' THEN '2024-01-31T10:20:30+00:00' ELSE '2024-01-31T10:20:30.250000+00:00' END AS generated_at
   FROM batch)"""
 ORACLE["brief_manifest"] = ON_SEGMENTS + _MANIFEST + " SELECT * FROM manifest"
+ORACLE["manifest_array"] = ON_SEGMENTS + _MANIFEST + """
+SELECT row_type, coalesce(state, naics_code) AS key, format('{:.2f}', composite_risk_score) AS score, risk_tier AS tier,
+       tokens_used, brief_file_path FROM manifest"""
 ORACLE["token_usage"] = ON_SEGMENTS + _MANIFEST + """
 SELECT count(*) AS briefs, count(CASE WHEN tokens_used > 0 THEN 1 END) AS calls,
        CAST(coalesce(sum(tokens_used), 0) AS BIGINT) AS total_tokens FROM manifest"""
@@ -584,8 +588,8 @@ ORACLE["text_fold"] = f"""
 SELECT page_id, replace({_SINGLE.format(x=_SINGLE.format(x=_FOLDED))}, '__', '') AS html FROM pages"""
 
 _SPACE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || ' ' || chr(133) || chr(160)"
-ORACLE["line_classes"] = f"""
-WITH parts AS (SELECT doc_id, string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)) AS lines FROM documents WHERE text <> ''),
+_LINES = f"""
+parts AS (SELECT doc_id, string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)) AS lines FROM given WHERE text <> ''),
 kept AS (SELECT doc_id, CASE WHEN lines[-1] = '' THEN lines[:-2] ELSE lines END AS lines FROM parts),
 l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS line_no, rtrim(unnest(lines), {_SPACE}) AS bare FROM kept),
 k AS (SELECT *, ltrim(bare, {_SPACE}) AS inside,
@@ -593,6 +597,15 @@ k AS (SELECT *, ltrim(bare, {_SPACE}) AS inside,
              WHEN substr(ltrim(bare, {_SPACE}), 1, 2) IN ('- ', '• ', '* ') THEN 'bullet' ELSE 'paragraph' END AS kind FROM l)
 SELECT doc_id, line_no, kind, CASE kind WHEN 'heading' THEN trim(substr(bare, 4), {_SPACE}) WHEN 'bullet' THEN trim(substr(inside, 3), {_SPACE})
        WHEN 'blank' THEN '' ELSE bare END AS payload FROM k WHERE kind <> 'title'"""
+ORACLE["line_classes"] = "WITH given AS (SELECT doc_id, text FROM documents)," + _LINES
+
+_MARKED = """
+  concat_ws(chr(10), '# ' || source, '##  ' || lang || ' – part' || chr(160) || 'one ', '- ' || source || ' a--b a---b',
+            ' • “quoted” ‘' || lang || '’ ', '* more… — __' || lang || '__', '### ' || lang, ' ' || chr(160), '-', text)"""
+_FOLDED_MARKS = _FOLDED.replace("html", "marked")
+ORACLE["cleaned_lines"] = f"""
+WITH marked AS (SELECT doc_id, {_MARKED} AS marked FROM documents),
+given AS (SELECT doc_id, replace({_SINGLE.format(x=_SINGLE.format(x=_FOLDED_MARKS))}, '__', '') AS text FROM marked),""" + _LINES
 
 # --- landed responses ---------------------------------------------------------
 
@@ -608,21 +621,36 @@ _CELLS = """
 WITH cell AS (
   SELECT o_orderpriority AS hs_description, '880' || substr(o_orderpriority, 1, 1) AS hs_code, CAST(year(o_orderdate) AS BIGINT) AS year,
          n_nationkey, n_name, CAST(round_even(CAST(sum(CAST(o_totalprice AS DECIMAL(28,2))) AS DOUBLE), 0) AS BIGINT) AS export_value
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)"""
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+shown AS (
+  SELECT hs_description, hs_code, year, '1' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS country_code, n_name AS country_name, export_value FROM cell
+  UNION ALL SELECT DISTINCT hs_description, hs_code, year, '1999', 'UNREADABLE', CAST(NULL AS BIGINT) FROM cell)"""
 ORACLE["ingest_trade"] = _CELLS + """
-SELECT hs_code, hs_description, '1' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS country_code, n_name AS country_name,
-       export_value, year FROM cell WHERE hs_code <> '8803' AND year IN (1996, 1998, 2000)"""
+SELECT hs_code, hs_description, country_code, country_name, export_value, year FROM shown WHERE hs_code <> '8803' AND year IN (1996, 1998, 2000)"""
 ORACLE["ingest_employment"] = _with(DIMS, QUANTITY) + """
 SELECT coalesce(d.series_id, p.series_id) AS series_id, y AS year, 'M' || lpad(CAST(m AS VARCHAR), 2, '0') AS period,
        monthname(make_date(y, m, 1)) AS period_name, round_even(value, 4) AS value,
        CASE p.series_id WHEN 'ECONOMY' THEN 'Aircraft Manufacturing' WHEN 'LARGE' THEN 'Aircraft Engine & Engine Parts'
             WHEN 'MEDIUM' THEN 'Other Aircraft Parts & Auxiliary Equipment' ELSE p.series_id END AS series_label
-FROM monthly p LEFT JOIN series_dim d ON p.series_id = d.p_type"""
+FROM (SELECT * FROM monthly UNION ALL
+      SELECT * FROM (SELECT DISTINCT series_id, 1990 FROM monthly), (VALUES (1, CAST(NULL AS DOUBLE)), (2, NULL), (3, NULL))) AS p(series_id, y, m, value)
+LEFT JOIN series_dim d ON p.series_id = d.p_type"""
 
 # --- sinks ---------------------------------------------------------------------
 
 ORACLE["raw_landing"] = _CELLS + """
-SELECT hs_code, count(*) AS row_count, CAST(sum(export_value) AS BIGINT) AS export_value FROM cell GROUP BY hs_code"""
+SELECT hs_code, count(*) AS row_count, CAST(sum(export_value) AS BIGINT) AS export_value FROM shown GROUP BY hs_code"""
+ORACLE["landed_folder"] = ORACLE["raw_landing"]
+ORACLE["ingest_rejects"] = _with(_CELLS.strip().removeprefix("WITH "), QUANTITY) + """
+SELECT 'awards' AS kind, 'no list of records' AS reason, count(CASE WHEN l_linenumber IN (5, 6, 7) THEN 1 END) AS row_count FROM lineitem
+UNION ALL SELECT 'awards', 'read', count(CASE WHEN l_linenumber < 4 THEN 1 END) FROM lineitem
+UNION ALL SELECT 'trade', 'no list of records', count(*) FROM (SELECT DISTINCT hs_code, year FROM cell)
+UNION ALL SELECT 'trade', 'read', count(*) FROM shown
+UNION ALL SELECT 'employment', 'status REQUEST_FAILED', count(DISTINCT series_id) FROM monthly
+UNION ALL SELECT 'employment', 'read', count(*) + 3 * count(DISTINCT series_id) FROM monthly"""
+ORACLE["series_guard"] = _with(DIMS, QUANTITY) + """
+SELECT d.series_id, naics_code, count(*) AS months FROM monthly p JOIN series_dim d ON p.series_id = d.p_type
+JOIN sector_dim s ON d.series_id = s.series_id GROUP BY 1, 2"""
 ORACLE["clean_csv"] = ON_AWARDS + """
 SELECT state_raw AS state, count(*) AS row_count, count(recipient_name) AS named, CAST(sum(amount) AS DOUBLE) AS total_value,
        CAST(max(start_date) AS VARCHAR) AS last_start FROM award GROUP BY state_raw"""

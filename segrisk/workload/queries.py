@@ -8,8 +8,9 @@ what they read back. Doubles are rounded so that engines can be compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -38,7 +39,7 @@ from segrisk.plans import (
     workforce,
 )
 from segrisk.plans.composite import Dimension
-from segrisk.schemas import AWARDS
+from segrisk.schemas import AWARDS, MANIFEST
 from segrisk.session import scratch_path
 from segrisk.sources import landed, sinks, tables
 from segrisk.workload import facts
@@ -296,7 +297,7 @@ def coverage_report(spark, sf_dir):
 
 @query
 def scored_segments(spark, sf_dir):
-    return scoring.exported(facts.segments(spark, sf_dir))
+    return scoring.exported(facts.scored(spark, sf_dir))
 
 
 @query
@@ -444,7 +445,7 @@ def top20_states(spark, sf_dir):
 
 @query
 def score_histogram(spark, sf_dir):
-    return rounded(eda.score_distribution(facts.stored_segments(spark, sf_dir)))
+    return rounded(eda.score_distribution(facts.segments(spark, sf_dir)))
 
 
 @query
@@ -570,7 +571,7 @@ def fiscal_year_totals(spark, sf_dir):
 @query
 def brief_selection(spark, sf_dir):
     """The selection with the place of each brief; its rows are ten and the industries."""
-    batch = briefs.select_batch(facts.stored_segments(spark, sf_dir), 10)
+    batch = briefs.select_batch(facts.segments(spark, sf_dir), 10)
     place = F.row_number().over(
         Window.partitionBy("branch").orderBy(
             F.when(F.col("branch") == 0, F.col("composite_risk_score")).desc_nulls_last(), *scoring.canonical_keys()
@@ -604,7 +605,7 @@ def segment_prompts(spark, sf_dir):
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Industry briefs exist; state briefs are new, their token count the award count."""
-    table_ = facts.stored_segments(spark, sf_dir)
+    table_ = facts.segments(spark, sf_dir)
     segments = briefs.identified(table_)
     day, later = (F.lit(f"2024-01-31 10:20:30{f}Z").cast("timestamp") for f in ("", ".25"))
     existing = segments.where(F.col("row_type") == "NAICS").select("identifier", day.alias("modified_at"))
@@ -635,6 +636,29 @@ def text_fold(spark, sf_dir):
     return briefs.clean_texts(table(spark, sf_dir, "pages").select("page_id", "html"), "html")
 
 
+def _marked_text() -> Column:
+    """Every marker and every folded character, around columns of the document and its text."""
+    lines = [
+        F.concat(F.lit("# "), "source"),
+        F.concat(F.lit("##  "), "lang", F.lit(" \u2013 part\u00a0one ")),
+        F.concat(F.lit("- "), "source", F.lit(" a--b a---b")),
+        F.concat(F.lit(" \u2022 \u201cquoted\u201d \u2018"), "lang", F.lit("\u2019 ")),
+        F.concat(F.lit("* more\u2026 \u2014 __"), "lang", F.lit("__")),
+        F.concat(F.lit("### "), "lang"),
+        F.lit(" \u00a0"),
+        F.lit("-"),
+        F.col("text"),
+    ]
+    return F.concat_ws("\n", *lines)
+
+
+@query
+def cleaned_lines(spark, sf_dir):
+    """Fold, then classify, as one job."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", _marked_text().alias("text"))
+    return briefs.document_lines(briefs.clean_texts(documents, "text"), "doc_id", "text")
+
+
 @query
 def line_classes(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -644,10 +668,11 @@ def line_classes(spark, sf_dir):
 # --- landed responses ---------------------------------------------------------
 
 
-def _award_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _award_pages(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Pages of one record each; amounts are text, some of them unreadable."""
     items = table(spark, sf_dir, "lineitem")
-    amount = F.when(F.col("l_discount") == 0.1, "n/a").otherwise(
+    unreadable = facts.element_of(["n/a", "NaN", "inf", "1e400", "5d", "1e20"], F.col("l_orderkey"))
+    amount = F.when(F.col("l_discount") == 0.1, unreadable).otherwise(
         F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
     )
     record = F.struct(
@@ -658,7 +683,7 @@ def _award_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("Start Date"),
         F.col("l_linenumber").alias("Internal Id"),
     )
-    return items.select(F.to_json(F.array(record)).alias("body"))
+    return items.select(F.to_json(F.array(record)).alias("body"), *keep)
 
 
 @query
@@ -680,7 +705,8 @@ def ingest_awards(spark, sf_dir):
 def _trade_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One header-row matrix per priority and year, with region and world totals added.
 
-    A matrix has one row per nation, region and the world: 31 rows at most.
+    A matrix has one row per nation, region, bloc and the world, and one with
+    an unreadable value: 33 rows at most.
     """
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice")
     per_customer = orders.groupBy(
@@ -702,17 +728,19 @@ def _trade_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(region.alias("code"), F.lit("REGION").alias("name")),
             F.struct(F.lit("-").alias("code"), F.lit("WORLD").alias("name")),
             F.struct(F.lit("0022").alias("code"), F.lit("BLOC").alias("name")),
+            F.struct(F.lit("1999").alias("code"), F.lit("UNREADABLE").alias("name")),
         )
     )
     cells = (
         per_nation.select("o_orderpriority", "year", "value", place)
         .groupBy("o_orderpriority", "year", "code", "name")
-        .agg(F.rint(dollars(F.sum("value"))).cast("long").alias("value"))
+        .agg(F.rint(dollars(F.sum("value"))).cast("long").cast("string").alias("value"))
+        .withColumn("value", F.when(F.col("code") == "1999", "1e20").otherwise(F.col("value")))
     )
     code = F.substring("o_orderpriority", 1, 1)
     product = F.concat(F.lit("880"), code)
     period = F.concat(F.col("year").cast("string"), F.lit("-12"))
-    row = F.array("code", "name", F.col("value").cast("string"), product, F.col("o_orderpriority"), product, period)
+    row = F.array("code", "name", "value", product, F.col("o_orderpriority"), product, period)
     header = F.array(
         *[F.lit(h) for h in ["CTY_CODE", "CTY_NAME", "ALL_VAL_YR", "E_COMMODITY", "E_COMMODITY_LDESC", "E_COMMODITY", "time"]]
     )
@@ -732,7 +760,7 @@ def ingest_trade(spark, sf_dir):
 
 
 def _series_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested answer per part type; a series holds one entry per month."""
+    """One nested answer per part type; a series holds one entry per month and three unreadable ones."""
     monthly = facts.monthly_quantity(spark, sf_dir)
     month = F.format_string("M%02d", "month")
     entry = F.struct(
@@ -741,8 +769,14 @@ def _series_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.make_date("year", "month", F.lit(1)), "MMMM").alias("periodName"),
         round_even(F.col("value"), 4).cast("string").alias("value"),
     )
+    broken = F.array(
+        *[
+            F.struct(F.lit("1990").alias("year"), F.lit(m).alias("period"), F.lit(n).alias("periodName"), F.lit(v).alias("value"))
+            for m, n, v in (("M01", "January", "NaN"), ("M02", "February", "5d"), ("M03", "March", "1e400"))
+        ]
+    )
     names = mapping_table(spark, facts.SERIES_OF_TYPE, "p_type", "series_id")
-    per_series = monthly.groupBy("p_type").agg(F.collect_list(entry).alias("data")).join(names, "p_type", "left")
+    per_series = monthly.groupBy("p_type").agg(F.concat(F.collect_list(entry), broken).alias("data")).join(names, "p_type", "left")
     response = F.struct(
         F.lit(landed.SUCCESS).alias("status"),
         F.array().cast("array<string>").alias("message"),
@@ -759,6 +793,64 @@ def ingest_employment(spark, sf_dir):
     return whole_numbers(parsed)
 
 
+def _damaged(body: Column) -> Column:
+    """A body cut short, as a broken transfer leaves it."""
+    return F.left(body, F.length(body) - 3)
+
+
+@query
+def ingest_rejects(spark, sf_dir):
+    """Damaged responses among intact ones: what is rejected, and the records of the others."""
+    line = F.col("l_linenumber")
+    pages = _award_pages(spark, sf_dir, "l_linenumber")
+    pages = pages.withColumn(
+        "body",
+        F.when(line == 7, _damaged(F.col("body")))
+        .when(line == 6, '{"detail": "too many requests"}')
+        .when(line == 5, "<html>busy</html>")
+        .when(line == 4, " ")
+        .otherwise(F.col("body")),
+    ).select("body")
+    matrices = _trade_matrices(spark, sf_dir)
+    matrices = matrices.unionByName(landed.non_empty(matrices).select(_damaged(F.col("body")).alias("body")))
+    answers = _series_responses(spark, sf_dir)
+    answers = answers.unionByName(
+        answers.select(F.replace("body", F.lit(landed.SUCCESS), F.lit("REQUEST_FAILED")).alias("body"))
+    )
+    sources = (
+        ("awards", pages, landed.parse_awards),
+        ("trade", matrices, landed.parse_trade),
+        ("employment", answers, landed.parse_employment),
+    )
+    counts = []
+    for kind, bodies, parse in sources:
+        rejected = totals.category_counts(landed.rejects(bodies, kind), "kind", "reason")
+        records = parse(bodies, strict=False).agg(F.count(F.lit(1)).alias("row_count"))
+        counts += [rejected, records.select(F.lit(kind).alias("kind"), F.lit("read").alias("reason"), "row_count")]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def landed_folder(spark, sf_dir):
+    """One file per response in a folder, read as whole texts."""
+    path = scratch_path(spark, "landed")
+    bodies = landed.non_empty(_trade_matrices(spark, sf_dir))
+    bodies.withColumn("name", F.sha1("body")).repartition("name").write.partitionBy("name").text(path)
+    parsed = landed.parse_trade(landed.read_bodies(spark, path))
+    return parsed.groupBy("hs_code").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("export_value").alias("export_value")
+    )
+
+
+@query
+def series_guard(spark, sf_dir):
+    """Employment of the series that industries rely on; a missing one would stop the job."""
+    employment = facts.employment(spark, sf_dir)
+    found = workforce.require_series(employment, series_crosswalk(spark))
+    known = found.join(series_crosswalk(spark), "series_id")
+    return known.groupBy("series_id", "naics_code").agg(F.count(F.lit(1)).alias("months"))
+
+
 # --- sinks, written and read back ----------------------------------------------
 
 
@@ -830,7 +922,7 @@ def exported_view(spark, sf_dir):
 def brief_store(spark, sf_dir):
     """Briefs by key: all are written, the industries' are replaced, then all are loaded."""
     path = scratch_path(spark, "briefs")
-    prompts = briefs.prompts(facts.stored_segments(spark, sf_dir))
+    prompts = briefs.prompts(facts.segments(spark, sf_dir))
     first = prompts.select("identifier", F.col("label").alias("brief_text"))
     sinks.write_briefs(first.where(F.col("label") != "STATE WY"), path)
     again = prompts.where(F.col("label").startswith("NAICS")).select(
@@ -841,6 +933,16 @@ def brief_store(spark, sf_dir):
     return tables.load_briefs(prompts.select("identifier"), stored)
 
 
+@query
+def manifest_array(spark, sf_dir):
+    """The manifest as files that hold one JSON array each, one per kind of row."""
+    path = scratch_path(spark, "manifest-array")
+    record = F.struct(*MANIFEST.names)
+    arrays = _manifest(spark, sf_dir).groupBy("row_type").agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.repartition("row_type").write.partitionBy("row_type").text(path)
+    return briefs.manifest_listing(tables.read_manifest(spark, f"{path}/*", array_file=True))
+
+
 @query
 def manifest_file(spark, sf_dir):
     path = scratch_path(spark, "manifest")

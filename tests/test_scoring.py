@@ -8,10 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from segrisk.dims import US_STATES, hs_crosswalk, naics_labels, required_states, series_crosswalk
+from segrisk.functions.values import parse_number
 from segrisk.operators import keyed, series, totals
-from segrisk.plans import concentration, geographic, scoring, unify, workforce
+from segrisk.plans import briefs, concentration, geographic, scoring, unify, workforce
 from segrisk.plans.composite import Dimension, Registry, score_composite
-from segrisk.schemas import AWARDS, EMPLOYMENT, SEGMENTS, TRADE
+from segrisk.schemas import AWARDS, EMPLOYMENT, SCORED, TRADE
 from segrisk.session import stored
 
 
@@ -264,7 +265,7 @@ def same(a, b):
 
 def test_fused_run_equals_stepwise_run(spark, reduced, fused):
     steps = scoring.canonical(scoring.score_stepwise(*reduced))
-    wanted = [(f.name, f.dataType.simpleString()) for f in SEGMENTS.fields]
+    wanted = [(f.name, f.dataType.simpleString()) for f in SCORED.fields]
     assert fused.dtypes == steps.dtypes == wanted
     assert same(fused, stored(steps, "test"))
     assert same(fused, stored(scoring.canonical(scoring.score_segments(*inputs(spark))), "test"))
@@ -278,10 +279,41 @@ def test_scans_of_stored_awards(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     plan = scoring.score_segments(a, t, e)._jdf.queryExecution().executedPlan().toString()
     scans = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema: struct<(.*?)>", plan)
-    assert len(scans) == 4
-    coded = [s for s in scans if "naics_code" in s[1]]
-    assert len(coded) == 1 and "IsNotNull(naics_code)" in coded[0][0] and "Not(EqualTo(naics_code,))" in coded[0][0]
     assert not any("start_date" in s[1] or "hs_description" in s[1] for s in scans)
+    assert not any("award_amount" in s[1] for s in scans), "awards were reduced to recipient totals in one scan"
+
+
+def test_exports_without_destination_count(spark):
+    rows = [("8802", "X", 100), ("8802", None, 900), ("8805", None, 70), ("8804", "Y", 0)]
+    t = trade(spark, *rows)
+    a, _, e = inputs(spark)
+    fused = scoring.canonical(scoring.score_segments(a, t, e))
+    found = {r.naics_code: r for r in fused.collect() if r.naics_code}
+    assert (found["336411"].export_value, found["336414"].export_value) == (1000.0, 70.0)
+    assert found["336411"].geo_risk_score == 100.0 and found["336414"].geo_risk_score is None
+    reduced = (concentration.award_parts(a), geographic.destination_totals(t), workforce.employment_by_year(e))
+    assert same(fused, stored(scoring.canonical(scoring.score_stepwise(*reduced)), "test"))
+    assert same(fused, stored(scoring.canonical(scoring.score_from_totals(*reduced)), "test"))
+
+
+def test_real_state_without_readable_amount_is_not_padded(spark):
+    rows = [("A", 5.0, "TX", None, None), ("B", None, "AL", None, None)]
+    _, t, e = inputs(spark)
+    segments = scoring.canonical(scoring.score_segments(spark.createDataFrame(rows, AWARDS), t, e))
+    states = [r.state for r in scoring.canonical_order(segments).collect() if r.row_type == "STATE"]
+    assert states[:3] == ["AL", "TX", "AK"]
+    batch = briefs.select_batch(segments.where("state in ('AL', 'AK', 'TX')"), 3).collect()
+    assert [r.state for r in batch if r.row_type == "STATE"] == ["TX", "AL", "AK"]
+
+
+def test_unreadable_numbers_never_score(spark):
+    for cell in ("NaN", "inf", "-inf", "1e400", "5d", "1e20", "", "x"):
+        df = spark.createDataFrame([(cell,)], "x string").select(parse_number(F.col("x")).alias("v"))
+        assert df.first().v is None, cell
+    values = [("S", 2020, "M01", "January", float("nan"), "s"), ("S", 2020, "M02", "February", 3.0, "s")]
+    yearly = workforce.employment_by_year(spark.createDataFrame(values, EMPLOYMENT))
+    scores = workforce.stress_scores(yearly).first()
+    assert scores.peak_employment == 3.0 and scores.observations == 1 and scores.workforce_risk_score is None
 
 
 def random_trade(rng, n):

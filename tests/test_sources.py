@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from segrisk.functions.values import iso_utc, pad_left
 from segrisk.operators import filters
 from segrisk.operators.shape import select_present, unique_headers
 from segrisk.plans import briefs
@@ -163,7 +164,7 @@ def segment_rows(spark):
             ("NAICS", "336411", "Aircraft Manufacturing", None, None, None, 10002227966.0, 240989, None, "N/A", 60.42, 32.44, 46.43, "Medium"),
         ],
         SEGMENTS,
-    )
+    ).withColumn("is_padded", F.col("state") == "WY")
 
 
 def test_export(spark, tmp_path):
@@ -176,7 +177,7 @@ def test_export(spark, tmp_path):
     assert [line.split(",")[3] for line in lines[2:]] == ["AL", "WI", "WY"]
     back = tables.read_segments_csv(spark, path)
     assert back.dtypes == kinds(SEGMENTS)
-    assert back.exceptAll(returned).count() == 0 and back.count() == 4
+    assert back.exceptAll(returned.select(back.columns)).count() == 0 and back.count() == 4
     al = back.where("state = 'AL'").first()
     assert (al.hhi_score, al.composite_risk_score) == (3055.96, 30.56), "ties go to the even digit"
 
@@ -220,3 +221,50 @@ def test_manifest_files(spark, tmp_path):
     line = next(f for f in os.listdir(out) if f.endswith(".txt"))
     assert json.loads((tmp_path / "out" / line).read_text()) == record
     assert tables.read_manifest(spark, out).first() == df.first()
+
+
+BODIES = {
+    "awards": ['[{"Recipient Name": "A"}', '{"detail": "busy"}', "<html>busy</html>"],
+    "trade": ['[["CTY_CODE"], ["1"]', '{"error": 1}', "<html>busy</html>"],
+    "employment": ['{"status": "REQUEST_FAILED"}', "<html>", "[1]"],
+}
+PARSE = {"awards": landed.parse_awards, "trade": landed.parse_trade, "employment": landed.parse_employment}
+
+
+@pytest.mark.parametrize("kind", sorted(BODIES))
+def test_no_response_vanishes(spark, frame, kind):
+    bodies = frame("body string", *[(b,) for b in BODIES[kind]], ("",), (" \n",))
+    assert landed.rejects(bodies, kind).count() == 3
+    assert PARSE[kind](bodies, strict=False).count() == 0
+    for body in BODIES[kind]:
+        with pytest.raises(Exception, match="response"):
+            PARSE[kind](frame("body string", (body,))).collect()
+
+
+def test_csv_keeps_line_ends(spark, tmp_path):
+    names = ["A\nB", "A\\nB", "\r\n", "back\\", 'quote "x"\n', " blank ", "plain"]
+    rows = [(n, float(i), "TX", None, None) for i, n in enumerate(names)]
+    path = str(tmp_path / "awards")
+    sinks.write_clean_csv(spark.createDataFrame(rows, AWARDS), path)
+    back = tables.read_awards(spark, path).orderBy("award_amount").collect()
+    assert [r.recipient_name for r in back] == names
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_utc_text_in_any_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for text, shown in (
+            ("2024-03-10 02:30:00Z", "2024-03-10T02:30:00+00:00"),
+            ("2024-11-03 05:30:00.000001Z", "2024-11-03T05:30:00.000001+00:00"),
+            ("1969-12-31 23:59:59.5Z", "1969-12-31T23:59:59.500000+00:00"),
+        ):
+            moment = spark.range(1).select(F.lit(text).cast("timestamp").alias("t"))
+            assert moment.select(iso_utc(F.col("t"))).first()[0] == shown
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_pad_left_never_cuts(value):
+    assert value(pad_left(F.col("x"), 4), "x string", "12345") == "12345"
+    assert value(pad_left(F.col("x"), 4), "x string", "7") == "0007"

@@ -9,9 +9,9 @@ from oracle_check import connect, spark_rows, sql_rows
 from segrisk.operators.ranking import descending, number_rows
 from segrisk.plans import concentration, unify
 from segrisk.workload import facts
+from segrisk.workload.oracle import ORACLE
+from segrisk.workload.queries import QUERIES
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,8 @@ def connection(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(QUERIES)
+    assert set(ORACLE) == set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -95,5 +96,32 @@ def test_fiscal_scope_reaches_the_scan(spark, sf_dir):
 def test_row_numbers_use_no_single_task(spark, sf_dir):
     orders = facts.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     text = plan(number_rows(orders, descending("o_totalprice", "o_orderkey")))
-    window = text[text.index("Window") :]
-    assert "_size" in window.split("\n")[0] and "o_orderkey" not in window
+    assert "hashpartitioning(_part" not in text, "the table is not dealt by part"
+    windows = [line for line in text.split("\n") if "Window [" in line]
+    assert windows and all("_size" in line and "o_orderkey" not in line for line in windows)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_detail_rows_do_not_meet_on_few_keys(no_broadcast, sf_dir):
+    shares = plan(QUERIES["entity_shares"](no_broadcast, sf_dir))
+    detail = [line for line in shares.split("\n") if "hashpartitioning(n_name" in line]
+    assert len(detail) <= 1, "only the totals are dealt by group"
+    trade = plan(facts.trade(no_broadcast, sf_dir))
+    assert "Exchange" not in trade and "Join" not in trade
+
+
+def test_views_share_one_stored_table(spark, sf_dir):
+    first, second = (facts.segments(spark, sf_dir) for _ in range(2))
+    assert first.inputFiles() == second.inputFiles() and "lineitem" not in plan(QUERIES["state_map"](spark, sf_dir))
+
+
+def test_row_level_run_scans_awards_once(spark, sf_dir):
+    text = plan(QUERIES["scored_row_level"](spark, sf_dir))
+    scans = [s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", text) if "l_extendedprice" in s]
+    assert not scans, "awards are read from the table of recipient totals"
