@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +37,12 @@ from segrisk.session import stored
 LENGTH = 200
 #: Bytes of an anchor.
 GRAM = 32
-#: Surroundings of one anchor that are sorted in one task; with more their windows are counted.
-SORTED = 4096
+#: Surroundings of one anchor that are sorted in one task (26 MB at most); with more their windows are counted.
+SORTED = 1 << 16
+#: Parts that an anchor with more is dealt in.
+SALTS = 64
 #: Surroundings that a task sorts at a time, all of one anchor together.
-AT_A_TIME = 16_384
+AT_A_TIME = 8192
 
 
 def _sliding(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.ndarray:
@@ -99,7 +102,7 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     names = ["key", "around", "n", "kinds", "before", "bytes"]
     for batch in batches:
         lists = batch.column(1)
-        count = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+        count = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
         rows = np.flatnonzero(count)
         if not len(rows):
             continue
@@ -124,18 +127,23 @@ def _texts(rows: pa.Table) -> Texts:
     return Texts(np.frombuffer(b"".join(pieces), np.uint8), start + before, before, size - before)
 
 
-def _repeated(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _repeated(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterator[pa.RecordBatch]:
     """Offsets of repeated windows of every surrounding; rows come ordered by anchor."""
     waiting: list[pa.RecordBatch] = []
     size = 0
 
     def settle(rows: pa.Table) -> pa.RecordBatch:
+        # A row that occurs twice with its key gives the same surroundings twice.
+        key, around = rows["key"].to_numpy(), rows["around"].to_numpy()
+        again = (key[1:] == key[:-1]) & (around[1:] == around[:-1])
+        rows = rows.take(pa.array(np.flatnonzero(np.append(True, ~again))))
         key = rows["key"].to_numpy()
         group = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
         found = repeated_offsets(_texts(rows), group, length)
         return _offsets(rows, found)
 
     for batch in batches:
+        batch = batch.filter(pc.less_equal(batch["kinds"], most))
         waiting.append(batch)
         size += len(batch)
         if size >= AT_A_TIME:
@@ -159,9 +167,10 @@ def _offsets(rows: pa.Table, found: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Hash of every window of every surrounding."""
+def _windows(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Hash of every window of the surroundings of anchors that have too many to be sorted."""
     for batch in batches:
+        batch = batch.filter(pc.greater(batch["kinds"], most))
         for at in range(0, len(batch), 2000):
             rows = pa.Table.from_batches([batch.slice(at, 2000)])
             texts = _texts(rows)
@@ -240,14 +249,16 @@ def _remove(base: DataFrame, length: int) -> DataFrame:
         base.join(wanted, ["_row", "_crc"], "left")
         .select("_text", "wanted", "_key", "_row", "_crc")
         .mapInArrow(_surroundings, "key long, around long, n long, kinds long, before int, bytes binary")
-        .dropDuplicates(["key", "around"])
     )
-    shown = stored(shown, "surroundings")
-    small, large = shown.filter(F.col("kinds") <= SORTED), shown.filter(F.col("kinds") > SORTED)
-    ordered = small.repartition("key").sortWithinPartitions("key")
-    sorted_ = ordered.mapInArrow(lambda b: _repeated(b, length), "key long, around long, back int")
-    windows = large.mapInArrow(lambda b: _windows(b, length), "key long, around long, back int, window long")
-    common = windows.groupBy("key", "back", "window").count().filter("count > 1").drop("count")
+    # Both ways read the same shuffle, and each takes its own rows from it.
+    limit = SORTED
+    salt = F.when(F.col("kinds") > limit, F.pmod("around", F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    dealt = shown.withColumn("salt", salt).repartition("key", "salt")
+    ordered = dealt.sortWithinPartitions("key", "around")
+    sorted_ = ordered.mapInArrow(lambda b: _repeated(b, length, limit), "key long, around long, back int")
+    windows = dealt.mapInArrow(lambda b: _windows(b, length, limit), "key long, around long, back int, window long")
+    least, most = F.min("around").alias("least"), F.max("around").alias("most")
+    common = windows.groupBy("key", "back", "window").agg(least, most).filter("least < most").select("key", "back", "window")
     counted = windows.join(common, ["key", "back", "window"], "left_semi").select("key", "around", "back")
     # Runs of offsets: those of one surrounding are at most as many as a window is long.
     runs = (
