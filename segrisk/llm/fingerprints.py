@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.llm.buffers import slices, word_shingles
+from segrisk.llm.ranges import below
 
 BITS = 40
 #: One of so many hashes is kept.
@@ -72,17 +73,6 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return np.where(least > 0, common / np.maximum(least, 1), (a[1] == b[1]).astype(float))
 
 
-def _below(edges: list[int], x: Column) -> Column:
-    """How many of the ascending ``edges`` are at most ``x``: a binary search per row."""
-    steps = [1 << k for k in range(len(edges).bit_length() - 1, -1, -1)]
-    table = F.array(*[F.lit(e).cast("long") for e in edges])
-    return F.aggregate(
-        F.array(*map(F.lit, steps)),
-        F.lit(0),
-        lambda a, s: F.when((a + s <= len(edges)) & (F.get(table, a + s - 1) <= x), a + s).otherwise(a),
-    )
-
-
 def with_next(docs: DataFrame, text: str, key: str) -> DataFrame:
     """``docs`` dealt by ranges of ``key``, each range in descending order and followed by its next row.
 
@@ -97,7 +87,7 @@ def with_next(docs: DataFrame, text: str, key: str) -> DataFrame:
     keyed = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("_key"), F.col(key), F.col(text).alias("_text"))
     cuts = keyed.select("_key").approxQuantile("_key", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else []
     edges = sorted({int(c) for c in cuts})
-    ranged = keyed.withColumn("_range", _below(edges, F.col("_key")) if edges else F.lit(0))
+    ranged = keyed.withColumn("_range", below(edges, F.col("_key")))
     heads = dict(ranged.groupBy("_range").agg(F.max("_key")).collect())
     full = sorted(heads)
     above = {r: full[(i + 1) % len(full)] for i, r in enumerate(full)}

@@ -41,8 +41,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = documents(spark, sf_dir)
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
-    model = langid.fit(docs.select("doc_id", "text", "lang").filter(~F.coalesce(held_out, F.lit(False))))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = langid.fit(docs.select("doc_id", "text", "lang").filter(~held_out))
     found = docs.select("doc_id", held_out.alias("held_out"), langid.guess(model, F.col("text")).alias("_p"))
     return found.select("doc_id", "held_out", "_p.lang_pred", "_p.score", "_p.rejected")
 
