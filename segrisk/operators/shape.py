@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -44,15 +43,14 @@ def blank_text(df: DataFrame) -> DataFrame:
     return df.na.fill("", subset=strings) if strings else df
 
 
-def unique_headers(names: Sequence[str]) -> list[str]:
-    """A repeated header gets its repetition number: ``H, H`` -> ``H, H_1``."""
-    earlier: Counter[str] = Counter()
-    unique = []
-    for name in names:
-        again = earlier[name]
-        unique.append(f"{name}_{again}" if again else name)
-        earlier.update([name])
-    return unique
+def unique_headers(names: Column) -> Column:
+    """A repeated header gets its repetition number: ``H, H`` -> ``H, H_1``. For one short list per row."""
+
+    def numbered(name: Column, i: Column) -> Column:
+        again = F.size(F.filter(F.slice(names, F.lit(1), i), lambda x: x == name))
+        return F.when(again > 0, F.concat(name, F.lit("_"), again.cast("string"))).otherwise(name)
+
+    return F.transform(names, numbered)
 
 
 def map_codes(

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from segrisk.functions.scores import classify_hhi
 from segrisk.functions.values import blank_to_null, cents, code_text, dollars, normalize_state
 from segrisk.operators.keyed import upsert
-from segrisk.operators.ranking import descending, top_k
 from segrisk.operators.totals import group_profile
 
 TOTAL_KEYS = ["naics_code", "state", "recipient_name"]
@@ -72,10 +71,6 @@ def hhi_by_state(parts: DataFrame) -> DataFrame:
     )
 
 
-def top_states(hhi: DataFrame, k: int = 10) -> DataFrame:
-    return top_k(hhi, k, descending("hhi_score", "state"), rank="rank")
-
-
 def apply_concentration(segments: DataFrame, hhi: DataFrame) -> DataFrame:
     """States without a scored award get 0 / Low; industry rows have no index."""
     return upsert(

@@ -21,7 +21,7 @@ from pyspark.sql.types import (
 from segrisk.dims import SERIES_LABELS, mapping_table
 from segrisk.functions.values import parse_number, strip, year_of_period
 from segrisk.operators.filters import individual_destination
-from segrisk.operators.shape import conform, entries, map_codes_or, rename, select_present
+from segrisk.operators.shape import conform, entries, map_codes_or, rename, select_present, unique_headers
 from segrisk.schemas import AWARDS, EMPLOYMENT, TRADE
 
 # --- fixed values: field names in the responses -----------------------------
@@ -151,7 +151,7 @@ def parse_awards(bodies: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def _cell(name: str, optional: bool) -> Column:
-    """Cell under the first header of that name, wherever the column stands."""
+    """Cell under the header of that name, wherever the column stands; the second ``H`` is ``H_1``."""
     place = F.array_position("header", name)
     absent = F.lit(None).cast("string") if optional else F.raise_error(F.lit(f"no column {name} in response"))
     return F.when(place > 0, F.try_element_at("row", place.cast("int"))).otherwise(absent)
@@ -165,13 +165,13 @@ def trade_matrix(
 ) -> DataFrame:
     """Rows of all matrices by header name, everything as text.
 
-    The first row of each response is its header; a repeated header name counts
-    at its first place.
+    The first row of each response is its header; a repeated header name gets
+    its number, so the plain name is its first place.
     """
     pages = non_empty(bodies).select("body", F.from_json("body", "array<array<string>>").alias("page"))
     matrices = pages.select(_intact("trade", "page", strict).alias("matrix"))
     rows = entries(
-        matrices.withColumn("header", F.try_element_at("matrix", F.lit(1))), F.col("matrix"), "header"
+        matrices.withColumn("header", unique_headers(F.try_element_at("matrix", F.lit(1)))), F.col("matrix"), "header"
     )
     rows = rows.where(F.col("position") > 0).withColumnRenamed("entry", "row")
     return rows.select(*[_cell(name, name in optional).alias(ours) for name, ours in fields.items()])

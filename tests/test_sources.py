@@ -87,8 +87,11 @@ def test_trade_matrices(spark, tmp_path):
         landed.parse_trade(landed.read_bodies(spark, str(tmp_path))).collect()
 
 
-def test_unique_headers():
-    assert unique_headers(["H", "a", "H", "H", "a"]) == ["H", "a", "H_1", "H_2", "a_1"]
+def test_unique_headers(spark, frame):
+    row = frame("x array<string>", (["H", "a", "H", "H", "a"],)).select(unique_headers(F.col("x")).alias("x")).first()
+    assert row.x == ["H", "a", "H_1", "H_2", "a_1"]
+    bodies = frame("body string", ('[["E", "E", "t"], ["1", "2", "3"]]',))
+    assert [tuple(r) for r in landed.trade_matrix(bodies, {"E_1": "second", "t": "t"}, []).collect()] == [("2", "3")]
 
 
 def answer(status="REQUEST_SUCCEEDED", **series):
