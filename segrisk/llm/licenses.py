@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrisk.llm.buffers import LOWER, SPACE, mix, prefix_hashes, range_hashes, shingles, slices, words
+from segrisk.llm.buffers import LOWER, mix, prefix_hashes, range_hashes, shingles, slices, words
 
 # Wording of public licence notices.
 TEMPLATES = {
@@ -67,7 +67,6 @@ class Template:
 
 def _word_hashes(data: np.ndarray, offsets: np.ndarray):
     plain = _PLAIN[data]
-    assert SPACE[32]
     start, end, counts = words(plain, offsets)
     return range_hashes(prefix_hashes(plain), start, end), start, end, counts
 

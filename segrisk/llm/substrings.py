@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.llm.buffers import mix, prefix_hashes, range_hashes, slices
-from segrisk.llm.piececache import spread
 from segrisk.llm.suffixes import Texts, repeated_offsets, window_hashes
 from segrisk.session import stored
 
