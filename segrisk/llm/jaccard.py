@@ -15,13 +15,14 @@ Jaccard distance is a metric, and a document is linked with what lies within
    n - ceil(0.8 n) + 1 shingles: a set within the radius has one of them as the first that both
    have. The smaller of two sets needs only its first n - ceil(8 n / 9) + 1; a
    region without such a member has no pair and goes.
-4. Inner pivots are sets. In every region the distance of each member to one
-   pivot is computed. Those within the radius are linked with it, and therefore
-   connected with one another. The others go on to the next round with a new
-   pivot, together with the linked ones in their window: by the triangle
-   inequality a member that is farther than d - radius from the pivot may be
-   linked with one at distance d. A region ends when no pair can be left in it;
-   what is left of small regions after ``ROUNDS`` is compared directly.
+4. Inner pivots are sets. In every region the members are compared with a few
+   pivots. What lies within the radius of a pivot is linked with it and so becomes
+   one component, however many members that are. Members leave by the triangle
+   inequality: one within the radius of the first pivot can be linked with
+   another at distance d from it only if its own distance is at least d - radius.
+   Pivots leave, as all their pairs are settled. The rest joins recursively, with
+   pivots from outside the largest component of the region, until each region
+   is one component. Pairs inside a component need no comparison.
 
 Distances are computed from the shingles that occur twice or more, since only
 those can be common. Hashes have 64 bits; sets count as equal if their hashes are.
@@ -29,11 +30,12 @@ those can be common. Hashes have 64 bits; sets count as equal if their hashes ar
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
@@ -48,7 +50,8 @@ RADIUS = 0.2
 SAMPLE = int(0.4 * (1 << 16))
 #: Documents that send their hashes together.
 BATCH_ROWS = 2000
-ROUNDS = 4
+#: Inner pivots of a region in the first, second, ... round; the last number holds for all later ones.
+PIVOTS = (8, 32, 128)
 
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -182,14 +185,8 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             found.append(len(np.intersect1d(np.frombuffer(a, "<i8"), np.frombuffer(b, "<i8"), assume_unique=True)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["v", "p", "both"])
-
-
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``v``, ``p`` and ``both`` (common shingles) of pairs (v, p); sets: v, shared."""
-    own = pairs.join(sets.select("v", F.col("shared").alias("a")), "v")
-    both = own.join(sets.select(F.col("v").alias("p"), F.col("shared").alias("b")), "p")
-    return both.select("v", "p", "a", "b").mapInArrow(_overlaps, "v long, p long, both long")
+        columns = [batch.column(0), batch.column(1), pa.array(found, pa.int64()), batch.column(4), batch.column(5)]
+        yield pa.RecordBatch.from_arrays(columns, ["v", "p", "both", "n", "pn"])
 
 
 def _sizes_fit(n: Column, m: Column) -> Column:
@@ -221,10 +218,9 @@ def region_members(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     reach = (n - F.ceil(4 * n / 5) + 1 - (n - m)).cast("int")
     first = lists.select("v", "n", "m", F.slice("l", F.lit(1), F.least(reach, F.col("m"))).alias("l"))
     members = first.select("v", "n", "m", F.posexplode("l").alias("i", "s"))
-    place = (F.col("i") + n - m).alias("place")
     core = (F.col("i") + n - m < n - F.ceil(8 * n / 9) + 1).alias("core")
     packed = lists.select("v", "n", F.sort_array("l").alias("l")).mapInArrow(_as_bytes, "v long, n long, shared binary")
-    return members.select("s", "v", "n", place, core), packed
+    return members.select("s", "v", "n", (F.col("i") + n - m).alias("place"), core), packed
 
 
 def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,57 +232,96 @@ def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], ["v", "n", "shared"])
 
 
-def _live(members: DataFrame) -> DataFrame:
-    """Regions that can hold a pair: two members, one of them a core."""
-    size = members.groupBy("s").agg(F.count(F.lit(1)).alias("size"), F.max("core").alias("any"))
-    return members.join(size.filter("size > 1 and any").select("s"), "s", "left_semi")
+def _open(members: DataFrame) -> DataFrame:
+    """Members of regions that can hold a link between two components, with the region's largest one."""
+    by_component = members.groupBy("s", "c").agg(F.count(F.lit(1)).alias("size"), F.max("core").alias("core"))
+    regions = by_component.groupBy("s").agg(
+        F.count(F.lit(1)).alias("components"), F.max("core").alias("core"), F.max_by("c", F.struct("size", "c")).alias("largest")
+    )
+    open_ = regions.filter("components > 1 and core").select("s", "largest")
+    return members.join(open_, "s")
 
 
-def links(classes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect whatever is connected by links between the sets ``classes``."""
-    members, sets = region_members(classes)
-    sets = stored(sets, "sets")
-    members = stored(_live(members), "members")
-    found = None
-    luck = F.xxhash64("v")
-    for _ in range(ROUNDS):
-        if members.limit(1).count() == 0:
-            return found if found is not None else _no_links(classes)
-        pivots = members.filter("core").groupBy("s").agg(F.min_by(F.struct("v", "n"), luck).alias("p"))
-        around = members.join(pivots, "s").select("s", "v", "n", "place", "core", F.col("p.v").alias("p"), F.col("p.n").alias("pn"))
-        pairs = around.filter(F.col("v") != F.col("p")).filter(_sizes_fit(F.col("n"), F.col("pn"))).select("v", "p", "n", "pn").distinct()
-        both = overlaps(pairs.select("v", "p"), sets).join(pairs, ["v", "p"])
-        near = stored(both.withColumn("d", 1 - F.col("both") / (F.col("n") + F.col("pn") - F.col("both"))), "distances")
-        new = near.filter(_linked(F.col("both"), F.col("n"), F.col("pn"))).select(F.col("v").alias("a"), F.col("p").alias("b"))
-        found = new if found is None else found.unionByName(new)
-        # Sizes that do not fit bound the distance from below.
-        bound = 1 - F.least("n", "pn") / F.greatest("n", "pn")
-        apart = around.filter(F.col("v") != F.col("p")).join(near.select("v", "p", "d"), ["v", "p"], "left")
-        apart = apart.withColumn("known", F.col("d").isNotNull()).withColumn("d", F.coalesce("d", bound))
-        apart = apart.withColumn("far", ~F.col("known") | (F.col("d") > RADIUS + 1e-9))
-        least = apart.filter("far").groupBy("s").agg(F.min("d").alias("least"))
-        window = F.col("far") | (F.col("d") >= F.col("least") - RADIUS - 1e-9)
-        rest = apart.join(least, "s").filter(window).select("s", "v", "n", "place", "core")
-        members = stored(_live(rest), "members")
-    # What is left of the regions: pairs of a core and a member that is not smaller.
-    x, y = members.alias("x"), members.filter("core").alias("y")
-    fits = (
-        (F.col("x.s") == F.col("y.s"))
-        & (F.col("x.v") != F.col("y.v"))
-        & (F.col("y.n") <= F.col("x.n"))
-        & (10 * F.col("y.n") >= 8 * F.col("x.n"))
-        & (9 * F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= 4 * (F.col("x.n") + F.col("y.n")))
-    )
-    left = x.join(y, fits).select(
-        F.least("x.v", "y.v").alias("v"), F.greatest("x.v", "y.v").alias("p"), (F.col("x.n") + F.col("y.n")).alias("total")
-    ).distinct()
-    both = overlaps(left.select("v", "p"), sets).join(left, ["v", "p"])
-    new = both.filter(100 * F.col("both") >= 80 * (F.col("total") - F.col("both"))).select(F.col("v").alias("a"), F.col("p").alias("b"))
-    return new if found is None else found.unionByName(new)
+def _pivots(members: DataFrame, wanted: Column, most: int) -> DataFrame:
+    """For each region its ``most`` first wanted members, in an order that is the same in all regions."""
+    first = Window.partitionBy("s").orderBy(F.xxhash64("v"), "v")
+    some = members.filter(wanted).withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= most)
+    one = F.struct("rank", F.col("v").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("core").alias("pcore"), F.col("place").alias("pplace"))
+    return some.groupBy("s").agg(F.sort_array(F.collect_list(one)).alias("pivots"))
+
+
+def _may_meet(q: Column) -> Column:
+    """A link whose first common shingle is that of the region: the smaller set is a core, and enough is left of both."""
+    n, m = F.col("n"), q["pn"]
+    smaller = (F.col("core") & (n <= m)) | (q["pcore"] & (m <= n))
+    return smaller & (9 * F.least(n - F.col("place"), m - q["pplace"]) >= 4 * (n + m))
 
 
-def _no_links(classes: DataFrame) -> DataFrame:
-    return classes.select(F.col("v").alias("a"), F.col("v").alias("b")).limit(0)
+def _distances(around: DataFrame, sets: DataFrame, first: bool) -> DataFrame:
+    """v, p, n, pn, both of all pairs of a member and a pivot of its region that may link two components.
+
+    In the ``first`` round every member is compared with the first pivot of its region.
+
+    A pair that meets in many regions is compared once: the pivots of all regions
+    of a member come together as one list before they become rows.
+    """
+    fits = lambda q: (q["pc"] != F.col("c")) & _sizes_fit(F.col("n"), q["pn"]) & (_may_meet(q) | all_of(q))
+    all_of = lambda q: (q["rank"] == 1) if first else F.lit(False)
+    useful = F.transform(F.filter("pivots", fits), lambda q: F.struct(q["p"].alias("p"), q["pn"].alias("pn")))
+    lists = around.select("v", "n", useful.alias("q")).filter(F.size("q") > 0)
+    merged = lists.groupBy("v", "n").agg(F.array_distinct(F.flatten(F.collect_set("q"))).alias("q"))
+    pairs = merged.select("v", "n", F.inline("q"))
+    own = pairs.join(sets.select("v", F.col("shared").alias("a")), "v")
+    both = own.join(sets.select(F.col("v").alias("p"), F.col("shared").alias("b")), "p")
+    return both.select("v", "p", "a", "b", "n", "pn").mapInArrow(_overlaps, "v long, p long, both long, n long, pn long")
+
+
+def _in_window(around: DataFrame, near: DataFrame) -> DataFrame:
+    """Members without those whose distance to the region's first pivot rules out every open link.
+
+    The first pivot is compared with all members whose size fits; sizes that do
+    not fit bound the distance from below. Members within the radius of it are
+    connected. By the triangle inequality such a member can be linked with one at distance d
+    only if its own distance is at least d - radius.
+    """
+    first = around.withColumn("first", F.get("pivots", F.lit(0))).withColumns({"p": F.col("first.p"), "pn": F.col("first.pn")})
+    known = near.select("v", "p", (1 - F.col("both") / (F.col("n") + F.col("pn") - F.col("both"))).alias("d"))
+    bound = 1 - F.least("n", "pn") / F.greatest("n", "pn")
+    apart = first.join(known, ["v", "p"], "left").withColumn("at", F.when(F.col("v") == F.col("p"), 0.0).otherwise(F.coalesce("d", bound)))
+    apart = apart.withColumn("linked", (F.col("v") == F.col("p")) | (F.col("d") <= RADIUS + 1e-9))
+    least = apart.filter(~F.coalesce("linked", F.lit(False))).groupBy("s").agg(F.min("at").alias("least"))
+    kept = ~F.coalesce("linked", F.lit(False)) | (F.col("at") >= F.col("least") - RADIUS - 1e-9)
+    return apart.join(least, "s").filter(kept).select("s", "v", "n", "place", "core", "pivots")
+
+
+def _without_pivots(around: DataFrame) -> DataFrame:
+    """Members that were no pivot of their region: all pairs of a pivot are settled."""
+    used = F.exists("pivots", lambda q: q["p"] == F.col("v"))
+    return around.filter(~used).select("s", "v", "n", "place", "core")
+
+
+def components(classes: DataFrame) -> DataFrame:
+    """``v`` and ``component`` of the sets ``classes`` (v, n, set) that share shingles with others."""
+    members, sets = region_members(classes)
+    sets = stored(sets, "sets")
+    labels = sets.select("v", F.col("v").alias("c"))
+    members = stored(members, "members")
+    for most in itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1])):
+        first = most == PIVOTS[0]
+        open_ = stored(_open(members.join(labels, "v")), "regions")
+        if open_.isEmpty():
+            return labels.withColumnRenamed("c", "component")
+        # Later pivots lie outside the largest component of their region, which is what has to be settled.
+        pivots = _pivots(open_, F.col("core") if first else F.col("c") != F.col("largest"), most)
+        around = stored(open_.join(pivots, "s"), "around")
+        near = stored(_distances(around, sets, first), "distances")
+        found = near.filter(_linked(F.col("both"), F.col("n"), F.col("pn"))).select("v", "p")
+        ends = [labels.select(F.col("v").alias(x), F.col("c").alias(y)) for x, y in (("v", "a"), ("p", "b"))]
+        merged = connected(found.join(ends[0], "v").join(ends[1], "p").select("a", "b"))
+        new = labels.join(merged, labels["c"] == merged["node"], "left").select("v", F.coalesce("component", "c").alias("c"))
+        labels = stored(new, "labels")
+        rest = _in_window(around, near) if first else around
+        members = stored(_without_pivots(rest), "members")
 
 
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -303,8 +338,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     alive = judged.filter("set is not null")
     classes = alive.groupBy("v", "n").agg(F.min("_key").alias("least"), F.min("set").alias("set"))
     classes = stored(classes, "classes")
-    parts = connected(links(classes))
-    grouped = classes.select("v", "least").join(parts.withColumnRenamed("node", "v"), "v", "left")
+    grouped = classes.select("v", "least").join(components(classes), "v", "left")
     grouped = grouped.select("v", "least", F.coalesce("component", "v").alias("component"))
     best = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     named = grouped.join(best, "component").select("v", "component_id")

@@ -70,9 +70,9 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "rounds"), [(1, 4), (2, 0), (3, 1)])
-def test_components_equal_brute_force(spark, monkeypatch, seed, rounds):
-    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+@pytest.mark.parametrize(("seed", "pivots"), [(1, (8, 32, 128)), (2, (1, 2)), (3, (2, 3, 4))])
+def test_components_equal_brute_force(spark, monkeypatch, seed, pivots):
+    monkeypatch.setattr(jaccard, "PIVOTS", pivots)
     rows = corpus(seed)
     docs = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id long, text string, n long, set string")
     found = sorted(map(tuple, jaccard.join(docs.repartition(3)).collect()), key=str)
