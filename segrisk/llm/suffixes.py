@@ -11,23 +11,34 @@ from collections.abc import Callable
 
 import numpy as np
 
-from segrisk.llm.buffers import _BASE, powers, prefix_hashes
+from segrisk.llm.buffers import _BASE, _INVERSE, mix, powers
 from segrisk.llm.piececache import spread
 
 
 class Texts:
-    """Pieces of text around anchors: ``left`` bytes before each anchor and ``right`` bytes from it on."""
+    """Pieces of text around anchors: ``left`` bytes before each anchor and ``right`` bytes from it on.
+
+    Exponents of the hashes count from the start of a piece, and the prefix sums
+    are filled some pieces at a time: memory is eight bytes for each byte of text.
+    """
 
     def __init__(self, data: np.ndarray, anchor: np.ndarray, left: np.ndarray, right: np.ndarray):
         self.data, self.anchor, self.left, self.right = data, anchor, left, right
-        self.prefix = prefix_hashes(data)
-        self.powers = powers(_BASE, len(data) + 1)
-        self.padded = np.append(data, np.uint8(0))
-
-    def same(self, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """The n bytes from x on have the hash of the n bytes from y on."""
-        a = (self.prefix[x + n] - self.prefix[x]) * self.powers[y]
-        return a == (self.prefix[y + n] - self.prefix[y]) * self.powers[x]
+        self.first = anchor - left
+        longest = int((left + right).max(initial=0)) + 1
+        self.powers, self.inverse = powers(_BASE, longest), powers(_INVERSE, longest)
+        self.prefix = np.zeros(len(data) + 1, np.uint64)
+        for at in range(0, len(anchor), 4096):
+            size = (left + right)[at : at + 4096]
+            a, b = int(self.first[at]), int(self.first[at] + size.sum())
+            exponent = np.arange(b - a) - np.repeat(self.first[at : at + 4096] - a, size)
+            sums = np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * self.powers[exponent], dtype=np.uint64)
+            self.prefix[a + 1 : b + 1] = sums + self.prefix[a]
+
+    def same(self, i: np.ndarray, x: np.ndarray, j: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The n bytes from x on, in piece i, have the hash of the n bytes from y on, in piece j."""
+        a = (self.prefix[x + n] - self.prefix[x]) * self.powers[y - self.first[j]]
+        return a == (self.prefix[y + n] - self.prefix[y]) * self.powers[x - self.first[i]]
 
     def extend(self, i: np.ndarray, j: np.ndarray, forward: bool) -> np.ndarray:
         """How many bytes after (or before) the anchors i and j agree."""
@@ -37,7 +48,7 @@ class Texts:
         for _ in range(int(high.max(initial=0)).bit_length()):
             middle = (low + high + 1) // 2
             back = 0 if forward else middle
-            equal = self.same(x - back, y - back, middle)
+            equal = self.same(i, x - back, j, y - back, middle)
             low, high = np.where(equal, middle, low), np.where(equal, high, np.maximum(low, middle - 1))
         return low
 
@@ -47,14 +58,14 @@ class Texts:
         size = self.right if forward else self.left
         at = (lambda k: self.anchor[k] + n) if forward else (lambda k: self.anchor[k] - n - 1)
         end_i, end_j = n == size[i], n == size[j]
-        byte_i, byte_j = self.padded[np.where(end_i, 0, at(i))], self.padded[np.where(end_j, 0, at(j))]
+        byte_i, byte_j = self.data[np.where(end_i, 0, at(i))], self.data[np.where(end_j, 0, at(j))]
         return np.where(end_i & end_j, or_equal, np.where(end_i | end_j, end_i, byte_i < byte_j))
 
     def agree(self, i: np.ndarray, j: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Verification on the bytes: left bytes before and right bytes after both anchors are the same."""
         out = np.ones(len(i), bool)
-        for at in range(0, len(i), 20_000):
-            part = slice(at, at + 20_000)
+        for at in range(0, len(i), 4096):
+            part = slice(at, at + 4096)
             n = left[part] + right[part]
             row = np.repeat(np.arange(len(n)), n)
             x, y = (spread(self.anchor[k[part]] - left[part], n) for k in (i, j))
@@ -136,9 +147,12 @@ def repeated_offsets(texts: Texts, group: np.ndarray, length: int) -> np.ndarray
         left, right = texts.extend(i, j, False), texts.extend(i, j, True)
         for bad in np.flatnonzero(~texts.agree(i, j, left, right)):
             left[bad], right[bad] = (_byte_extension(texts, i[bad], j[bad], f) for f in (False, True))
-        covers = (offset <= left[:, None]) & (length - offset <= right[:, None])
+        for at in range(0, len(i), 4096):
+            part = slice(at, at + 4096)
+            covers = (offset <= left[part, None]) & (length - offset <= right[part, None])
+            for k in (i, j):
+                np.logical_or.at(found, k[part], covers)
         for k in (i, j):
-            np.logical_or.at(found, k, covers)
             np.maximum.at(most_right if forward else most_left, k, right if forward else left)
     open_ = possible & ~found & (offset <= most_left[:, None]) & (length - offset <= most_right[:, None])
     if open_.any():
@@ -149,22 +163,22 @@ def repeated_offsets(texts: Texts, group: np.ndarray, length: int) -> np.ndarray
 
 def window_hashes(texts: Texts, item: np.ndarray, offset: np.ndarray, length: int) -> np.ndarray:
     """Hash of the window that starts ``offset`` before the item's anchor."""
-    from segrisk.llm.buffers import range_hashes
-
     start = texts.anchor[item] - offset
-    return range_hashes(texts.prefix, start, start + length)
+    own = texts.prefix[start + length] - texts.prefix[start]
+    return mix(own * texts.inverse[start - texts.first[item]])
 
 
 def same_windows(texts: Texts, group: np.ndarray, length: int, use: np.ndarray) -> np.ndarray:
     """Item x offset: another item of the group has the same window at that offset."""
-    item, offset = np.nonzero(use)
-    hashes = window_hashes(texts, item, offset, length)
-    order = np.lexsort((hashes, offset, group[item]))
-    i, o, h = item[order], offset[order], hashes[order]
-    equal = (group[i[1:]] == group[i[:-1]]) & (o[1:] == o[:-1]) & (h[1:] == h[:-1])
-    at = np.flatnonzero(equal)
-    at = at[texts.agree(i[at], i[at + 1], o[at], length - o[at])]
     out = np.zeros(use.shape, bool)
-    out[i[at], o[at]] = True
-    out[i[at + 1], o[at + 1]] = True
+    for offset in range(use.shape[1]):
+        item = np.flatnonzero(use[:, offset])
+        back = np.full(len(item), offset)
+        hashes = window_hashes(texts, item, back, length)
+        order = np.lexsort((hashes, group[item]))
+        i, h = item[order], hashes[order]
+        at = np.flatnonzero((group[i[1:]] == group[i[:-1]]) & (h[1:] == h[:-1]))
+        at = at[texts.agree(i[at], i[at + 1], back[at], length - back[at])]
+        out[i[at], offset] = True
+        out[i[at + 1], offset] = True
     return out
