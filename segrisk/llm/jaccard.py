@@ -180,11 +180,14 @@ def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Common hashes of the ascending lists of two sets."""
+    """Common hashes of the lists of two sets."""
     for batch in batches:
         found = []
-        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            found.append(len(np.intersect1d(np.frombuffer(a, "<i8"), np.frombuffer(b, "<i8"), assume_unique=True)))
+        ends = [batch.column(k).offsets.to_numpy() for k in (2, 3)]
+        flat = [batch.column(k).values.to_numpy(zero_copy_only=False) for k in (2, 3)]
+        for k in range(len(batch)):
+            a, b = (f[e[k] : e[k + 1]] for f, e in zip(flat, ends, strict=True))
+            found.append(len(np.intersect1d(a, b, assume_unique=True)))
         columns = [batch.column(0), batch.column(1), pa.array(found, pa.int64()), batch.column(4), batch.column(5)]
         yield pa.RecordBatch.from_arrays(columns, ["v", "p", "both", "n", "pn"])
 
@@ -219,17 +222,7 @@ def region_members(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = lists.select("v", "n", "m", F.slice("l", F.lit(1), F.least(reach, F.col("m"))).alias("l"))
     members = first.select("v", "n", "m", F.posexplode("l").alias("i", "s"))
     core = (F.col("i") + n - m < n - F.ceil(8 * n / 9) + 1).alias("core")
-    packed = lists.select("v", "n", F.sort_array("l").alias("l")).mapInArrow(_as_bytes, "v long, n long, shared binary")
-    return members.select("s", "v", "n", (F.col("i") + n - m).alias("place"), core), packed
-
-
-def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column(2)
-        ends = lists.offsets.to_numpy()
-        flat = lists.values.to_numpy(zero_copy_only=False).astype("<i8")
-        raw = [flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], ["v", "n", "shared"])
+    return members.select("s", "v", "n", (F.col("i") + n - m).alias("place"), core), lists.select("v", "n", F.col("l").alias("shared"))
 
 
 def _open(members: DataFrame) -> DataFrame:
@@ -303,7 +296,6 @@ def _without_pivots(around: DataFrame) -> DataFrame:
 def components(classes: DataFrame) -> DataFrame:
     """``v`` and ``component`` of the sets ``classes`` (v, n, set) that share shingles with others."""
     members, sets = region_members(classes)
-    sets = stored(sets, "sets")
     labels = sets.select("v", F.col("v").alias("c"))
     members = stored(members, "members")
     for most in itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1])):
@@ -316,10 +308,11 @@ def components(classes: DataFrame) -> DataFrame:
         around = stored(open_.join(pivots, "s"), "around")
         near = stored(_distances(around, sets, first), "distances")
         found = near.filter(_linked(F.col("both"), F.col("n"), F.col("pn"))).select("v", "p")
-        ends = [labels.select(F.col("v").alias(x), F.col("c").alias(y)) for x, y in (("v", "a"), ("p", "b"))]
-        merged = connected(found.join(ends[0], "v").join(ends[1], "p").select("a", "b"))
-        new = labels.join(merged, labels["c"] == merged["node"], "left").select("v", F.coalesce("component", "c").alias("c"))
-        labels = stored(new, "labels")
+        if not found.isEmpty():
+            ends = [labels.select(F.col("v").alias(x), F.col("c").alias(y)) for x, y in (("v", "a"), ("p", "b"))]
+            merged = connected(found.join(ends[0], "v").join(ends[1], "p").select("a", "b"))
+            new = labels.join(merged, labels["c"] == merged["node"], "left")
+            labels = stored(new.select("v", F.coalesce("component", "c").alias("c")), "labels")
         rest = _in_window(around, near) if first else around
         members = stored(_without_pivots(rest), "members")
 
@@ -336,9 +329,9 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     base = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     judged = stored(candidates(base), "candidates")
     alive = judged.filter("set is not null")
-    classes = alive.groupBy("v", "n").agg(F.min("_key").alias("least"), F.min("set").alias("set"))
-    classes = stored(classes, "classes")
-    grouped = classes.select("v", "least").join(components(classes), "v", "left")
+    classes = alive.groupBy("v", "n").agg(F.min("set").alias("set"))
+    least = alive.groupBy("v").agg(F.min("_key").alias("least"))
+    grouped = least.join(components(classes), "v", "left")
     grouped = grouped.select("v", "least", F.coalesce("component", "v").alias("component"))
     best = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     named = grouped.join(best, "component").select("v", "component_id")

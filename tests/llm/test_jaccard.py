@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from segrisk.llm import jaccard, queries
+from segrisk.llm import components, jaccard, queries
 from segrisk.llm.components import connected
 
 
@@ -102,7 +102,9 @@ def test_keep_one_of_each_component(spark):
     assert jaccard.keep_one(docs.limit(0)).count() == 0 and jaccard.join(docs.limit(0)).count() == 0
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("few", [components.FEW, 0])
+def test_connected_components(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW", few)
     rng = random.Random(6)
     pairs = [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)]
     pairs += [(200, i) for i in range(201, 260)]
