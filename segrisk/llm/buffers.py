@@ -2,7 +2,7 @@
 
 Helpers that run inside tasks. Everything is vectorised over a slice of a
 batch; a slice ends after the row that brings it to ``SLICE`` bytes, so memory
-is bounded by the longest text. Hashes are polynomials modulo 2**64 over prefix
+is bounded by the longest text, at a few hundred bytes for each byte of a slice. Hashes are polynomials modulo 2**64 over prefix
 sums, mixed afterwards.
 """
 
@@ -13,7 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 2_000_000
+SLICE = 1 << 19
+# What a batch no longer needs goes back to the system, as workers live on between tasks.
+pa.set_memory_pool(pa.system_memory_pool())
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}

@@ -25,6 +25,9 @@ from segrisk.llm.pretokens import cut
 
 LONGEST = 1024
 END_ID = 0
+#: Pre-tokens that a worker remembers, and those it encodes at a time (the library's results are large).
+KNOWN = 500_000
+AT_A_TIME = 4096
 PIECES = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket long"
 )
@@ -42,15 +45,17 @@ def _encoder(path: str):
 
 @functools.cache
 def _memory(path: str) -> Memory:
-    return Memory(np.uint32)
+    return Memory(np.uint32, KNOWN)
 
 
 def token_ids(column: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Ids of all rows of each slice, and how many each row has (null: none)."""
 
     def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = _encoder(path).encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        ids = [e.ids for e in found]
+        ids: list[list[int]] = []
+        for at in range(0, len(pieces), AT_A_TIME):
+            part = [p.decode() for p in pieces[at : at + AT_A_TIME]]
+            ids += [e.ids for e in _encoder(path).encode_batch_fast(part, add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return lengths, np.fromiter((i for row in ids for i in row), np.uint32, lengths.sum())
 
