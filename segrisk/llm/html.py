@@ -1,11 +1,12 @@
 """Main text of web pages by nearest-URL page differencing.
 
 Every page becomes a list of text lines, one per block. A page is paired with
-the page of the nearest other URL path of its host, the lines that both have
-outside their content element are aligned by their longest common subsequence,
-and shared lines are deleted. Menus, adverts and footers that change from page
-to page share no line with any other page, so a check of the markup follows: what
-is left inside such elements goes too.
+the page of the nearest other URL path of its host, the lines of both are aligned
+by their longest common subsequence, and shared lines are deleted. Articles share
+a line by chance or by quoting, so a line of a content element falls only if all
+of the ``NEAR`` nearest pages have it. Menus, adverts and footers that change from
+page to page share no line with any other page, so a check of the markup follows:
+what is left inside such elements goes too.
 """
 
 from __future__ import annotations
@@ -46,7 +47,9 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 _BLANK = re.compile(r"\s+")
-#: Of the lines outside the content, the place of a line: content, other, boilerplate by its markup.
+#: Pages of the host that must all have a line before it falls inside a content element.
+NEAR = 4
+#: The place of a line: in a content element, outside of them, boilerplate by its markup.
 IN_CONTENT, OTHER, MARKED = 0, 1, 2
 
 
@@ -133,11 +136,6 @@ def line_hash(line: str) -> int:
     return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def outside(lines: list[tuple[str, int]]) -> list[int]:
-    """Places of the lines that differencing works on: all but those in a content element."""
-    return [i for i, (_, place) in enumerate(lines) if place != IN_CONTENT]
-
-
 def common(a: list[int], b: list[int]) -> list[int]:
     """Places in ``a`` of a longest common subsequence of both.
 
@@ -172,21 +170,32 @@ def common(a: list[int], b: list[int]) -> list[int]:
     return [*range(first), *reversed(chain), *range(len(a) - last, len(a))]
 
 
-def main_text(page: str, partner: list[int] | None) -> tuple[str, int]:
+def main_text(page: str, partner: list[int] | None, everywhere: list[int] | None = None) -> tuple[str, int]:
     """The article, and how many lines the differencing deleted.
 
-    If a page has no content element and shares more than half of its plain text
-    with its partner, the two are copies, and only their markup decides.
+    ``partner`` has the line hashes of the nearest page, ``everywhere`` those that
+    all of the ``NEAR`` nearest pages have. Lines that are not on the partner stay,
+    wherever they stand, unless their markup speaks against them. If the page shares
+    more than half of its plain text with its partner, the two are copies. Only
+    the markup decides on the shared plain lines of copies, on shared lines of a content
+    element that are not everywhere, and on all lines of a page without a partner: if the
+    page has a content element, what stands in it is the article.
     """
     lines = lines_of(page)
-    places = outside(lines)
-    shared = {places[i] for i in common([line_hash(lines[p][0]) for p in places], partner)} if partner else set()
-    has_content = any(place == IN_CONTENT for _, place in lines)
-    plain = [i for i, (_, place) in enumerate(lines) if place == OTHER]
-    if not has_content and 2 * sum(len(lines[i][0]) for i in plain if i in shared) > sum(len(lines[i][0]) for i in plain):
-        shared -= set(plain)
-    wanted = IN_CONTENT if has_content else OTHER
-    left = [text for i, (text, place) in enumerate(lines) if i not in shared and place == wanted]
+    plain = {i for i, (_, place) in enumerate(lines) if place != MARKED}
+    hashes = [line_hash(text) for text, _ in lines] if partner else []
+    shared = set(common(hashes, partner)) if partner else set()
+    known = set(everywhere or ())
+    if not partner:
+        undecided = plain
+    elif 2 * sum(len(lines[i][0]) for i in plain & shared) > sum(len(lines[i][0]) for i in plain):
+        undecided = plain & shared
+    else:
+        undecided = {i for i in shared if lines[i][1] == IN_CONTENT and hashes[i] not in known}
+    shared -= undecided
+    kept = plain - shared
+    wanted = IN_CONTENT if any(place == IN_CONTENT for _, place in lines) else OTHER
+    left = [text for i, (text, place) in enumerate(lines) if i in kept and (i not in undecided or place == wanted)]
     return " ".join(left), len(shared)
 
 
@@ -201,19 +210,17 @@ def url_path(url: Column) -> Column:
 
 
 def partners(pages: DataFrame) -> DataFrame:
-    """``_address`` and ``_partner``, the line hashes of the page nearest to it on its host.
+    """``_address``, ``_partner``, the line hashes of the page nearest to it on its host, and ``_everywhere``.
 
     ``pages`` has _address (host, tab, path), _html and _id. One page stands for all of an
     address; nearest is the neighbour in path order that has more path parts in
-    common, at a tie the one before.
+    common, at a tie the one before. ``_everywhere`` has the lines that all of
+    the ``NEAR`` nearest in path order have; null if the host has fewer.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = []
-            for page in batch.column(2).to_pylist():
-                lines = lines_of(page or "")
-                hashes.append([line_hash(lines[i][0]) for i in outside(lines)])
+            hashes = [[line_hash(text) for text, _ in lines_of(page or "")] for page in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64()))], ["_address", "_order", "_lines"]
             )
@@ -222,7 +229,8 @@ def partners(pages: DataFrame) -> DataFrame:
     narrow = pages.select("_address", F.to_json(order).alias("_order"), "_html")
     lines = narrow.mapInArrow(run, "_address string, _order string, _lines array<bigint>")
     one = lines.groupBy("_address").agg(F.min_by("_lines", "_order").alias("_lines"))
-    around = with_neighbours(one.withColumn("_value", F.struct("_address", "_lines")), "_address", "_value")
+    valued = one.withColumn("_value", F.struct("_address", "_lines"))
+    around = with_neighbours(valued, "_address", "_value", NEAR, pages.select("_address").distinct())
 
     def nearness(side: str) -> Column:
         """Path parts in common, or null on another host."""
@@ -235,7 +243,12 @@ def partners(pages: DataFrame) -> DataFrame:
         F.coalesce(nearness("before"), F.lit(-1)) >= F.coalesce(nearness("after"), F.lit(-1)), F.col("before")
     ).otherwise(F.col("after"))
     other = F.coalesce(nearness("before"), nearness("after")).isNull()
-    return around.select("_address", F.when(~other, best["_lines"]).alias("_partner"))
+    sides = [f"{side}{'' if k == 1 else k}" for k in range(1, NEAR + 1) for side in ("before", "after")]
+    near = F.filter(F.array(*[F.when(nearness(side).isNotNull(), F.col(f"{side}._lines")) for side in sides]), lambda x: x.isNotNull())
+    shared = F.aggregate(F.slice(near, 2, NEAR - 1), F.get(near, 0), F.array_intersect)
+    return around.select(
+        "_address", F.when(~other, best["_lines"]).alias("_partner"), F.when(F.size(near) >= NEAR, shared).alias("_everywhere")
+    )
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
@@ -250,12 +263,13 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     narrow = pages.select(
         F.col(key).alias("_id"), F.col(url).alias("_url"), address.alias("_address"), F.col(page).alias("_html")
     )
-    paired = narrow.join(partners(narrow), "_address", "left").select("_id", "_url", "_html", "_partner")
+    paired = narrow.join(partners(narrow), "_address", "left").select("_id", "_url", "_html", "_partner", "_everywhere")
     kinds = [narrow.schema[c].dataType.simpleString() for c in ("_id", "_url")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [main_text(p or "", q) for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            given = [batch.column(k).to_pylist() for k in (2, 3, 4)]
+            found = [main_text(page or "", partner, everywhere) for page, partner, everywhere in zip(*given, strict=True)]
             texts = [t for t, _ in found]
             columns = [
                 pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),

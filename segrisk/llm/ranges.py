@@ -34,28 +34,47 @@ def below(edges: list, x: Column) -> Column:
     )
 
 
-def with_neighbours(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """``rows`` (non-null distinct ``key``, and ``value``) with ``before`` and ``after``: the value of the row on either side.
+def with_neighbours(rows: DataFrame, key: str, value: str, depth: int = 1, keys: DataFrame | None = None) -> DataFrame:
+    """``rows`` (non-null distinct ``key``, and ``value``) with the values of the rows on either side.
 
-    Each range gets a copy of the last row before it and of the first row after
-    it, so its window needs no other range. Two keys per range reach the driver.
+    ``before`` and ``after`` hold the next ones, ``before2``, ``after2`` and so on
+    those further away, up to ``depth``. Each range gets copies of the last rows
+    before it and of the first rows after it, so its window needs no other range.
+    ``2 * depth`` keys per range reach the driver. ``keys`` are the same keys from
+    a cheaper source, if there is one.
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = edges_of(rows, key, n)
+    keys = (rows if keys is None else keys).select(key)
+    edges = edges_of(keys, key, n)
     ranged = rows.withColumn("_range", below(edges, F.col(key)))
-    ends = sorted(ranged.groupBy("_range").agg(F.min(key), F.max(key)).collect()) if edges else []
-    up = {a[0]: b[0] for a, b in zip(ends, ends[1:], strict=False)}
-    down = {b[0]: a[0] for a, b in zip(ends, ends[1:], strict=False)}
-    targets = [F.struct(F.col("_range").alias("to"), F.lit(False).alias("copy"))]
-    for place, to in ((1, down), (2, up)):
-        if not to:
-            continue
-        end = {e[0]: e[place] for e in ends}
-        table = lambda d: F.array(*[F.lit(d.get(r)) for r in range(len(edges) + 1)])
-        at_end = F.col(key) == F.get(table(end), F.col("_range"))
-        aim = F.when(at_end, F.get(table(to), F.col("_range")))
-        targets.append(F.when(aim.isNotNull(), F.struct(aim.alias("to"), F.lit(True).alias("copy"))))
-    dealt = ranged.withColumn("_to", F.explode(F.array_compact(F.array(*targets))))
+    targets = F.array(F.struct(F.col("_range").alias("to"), F.lit(False).alias("copy")))
+    if edges:
+        of_range = Window.partitionBy("_range")
+        ends: list[list[list]] = []
+        for order in (F.col(key).asc(), F.col(key).desc()):
+            numbered = keys.withColumn("_range", below(edges, F.col(key))).withColumn("_n", F.row_number().over(of_range.orderBy(order)))
+            ends.append([[] for _ in range(len(edges) + 1)])
+            for r in sorted(numbered.filter(F.col("_n") <= depth).select("_range", "_n", key).collect()):
+                ends[-1][r[0]].append(r[2])
+        first, last = ends
+        sent: list[list[tuple]] = [[] for _ in first]  # of each range: a key at its edge, the range that gets a copy
+        for to in range(len(first)):
+            for table, way in ((last, range(to - 1, -1, -1)), (first, range(to + 1, len(first)))):
+                missing = depth
+                for r in way if first[to] else ():
+                    sent[r] += [(k, to) for k in table[r][:missing]]
+                    missing -= len(table[r][:missing])
+                    if not missing:
+                        break
+        nothing = F.array().cast("array<struct<key:string,to:int>>")
+        table = F.array(*[
+            F.array(*[F.struct(F.lit(k).alias("key"), F.lit(to).alias("to")) for k, to in pairs]) if pairs else nothing for pairs in sent
+        ])
+        own = F.filter(F.get(table, F.col("_range")), lambda x: x["key"] == F.col(key))
+        targets = F.concat(targets, F.transform(own, lambda x: F.struct(x["to"].alias("to"), F.lit(True).alias("copy"))))
+    dealt = ranged.withColumn("_to", F.explode(targets))
     order = Window.partitionBy("_to.to").orderBy(key)
-    around = dealt.withColumns({"before": F.lag(value).over(order), "after": F.lead(value).over(order)})
-    return around.filter(~F.col("_to.copy")).select(*rows.columns, "before", "after")
+    names = [(k, "" if k == 1 else str(k)) for k in range(1, depth + 1)]
+    sides = {f"before{s}": F.lag(value, k).over(order) for k, s in names} | {f"after{s}": F.lead(value, k).over(order) for k, s in names}
+    around = dealt.withColumns(sides)
+    return around.filter(~F.col("_to.copy")).select(*rows.columns, *sides)

@@ -68,6 +68,44 @@ def test_copies_at_other_addresses_keep_their_text(spark):
     assert {r["text"] for r in html.extract(pages).collect()} == {"The same article text on every address."}
 
 
+def test_differencing_decides_inside_and_outside_the_content_element(spark):
+    def text(i, copied=""):
+        return (
+            f"<article><h1>Title {i}</h1><p>Long words of the article number {i} and nothing else.<p>Read our letter"
+            f"<p>{copied or f'End {i}'}</article><div>Its last part {i}</div><div>Same on all</div><nav>Menu {i}</nav>"
+        )
+
+    rows = [(i, f"http://h.example/x/{i}", text(i, "A quote" if i < 2 else "")) for i in range(7)]
+    rows += [(i, f"http://few.example/x/{i}", text(i)) for i in (7, 8)] + [(9, "http://one.example/", text(9))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r["page_id"]: (r["text"], r["n_shared"]) for r in html.extract(pages).collect()}
+    for i in range(10):
+        body = f"Title {i} Long words of the article number {i} and nothing else."
+        letter = "" if i < 7 else " Read our letter"
+        last = "" if i == 9 else f" Its last part {i}"
+        shared = 2 if i < 7 else 1 if i < 9 else 0
+        assert found[i] == (f"{body}{letter} {'A quote' if i < 2 else f'End {i}'}{last}", shared), i
+
+
+def test_copies_keep_their_content_element():
+    copy = [html.line_hash(text) for text, _ in html.lines_of(page(5))]
+    assert html.main_text(page(5), copy, copy)[0] == html.main_text(page(5), None)[0]
+
+
+@pytest.mark.parametrize(("n", "depth"), [(0, 3), (2, 3), (5, 4), (40, 3)])
+def test_deeper_neighbours_equal_sorted_list(spark, n, depth):
+    keys = sorted(f"k{(i * 37) % 101:03d}" for i in range(n))
+    rows = spark.createDataFrame([(k, k + "!") for k in keys], "key string, value string").repartition(3)
+    side = [None] * depth + [k + "!" for k in keys] + [None] * depth
+    got = with_neighbours(rows, "key", "value", depth, rows.select("key")).collect()
+    assert sorted(r["key"] for r in got) == keys
+    for r in got:
+        i = keys.index(r["key"]) + depth
+        for k in range(1, depth + 1):
+            s = "" if k == 1 else str(k)
+            assert (r[f"before{s}"], r[f"after{s}"]) == (side[i - k], side[i + k])
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 40])
 def test_neighbours_equal_sorted_list(spark, n):
     keys = sorted(f"k{(i * 37) % 101:03d}" for i in range(n))
