@@ -209,61 +209,79 @@ def url_path(url: Column) -> Column:
     return F.regexp_replace(path, r"(/index)?(\.html?)?/*$", "")
 
 
-def partners(pages: DataFrame) -> DataFrame:
-    """``_address``, ``_partner``, the line hashes of the page nearest to it on its host, and ``_everywhere``.
+def url_query(url: Column) -> Column:
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"^[^?#]*\?([^#]*)", 1)
+
 
-    ``pages`` has _address (host, tab, path), _html and _id. One page stands for all of an
-    address; nearest is the neighbour in path order that has more path parts in
-    common, at a tie the one before. ``_everywhere`` has the lines that all of
-    the ``NEAR`` nearest in path order have; null if the host has fewer.
+def partners(pages: DataFrame) -> DataFrame:
+    """``_address``, ``_copy``, ``_partner``, the line hashes of the page nearest to it on its host, and ``_everywhere``.
+
+    ``pages`` has _address (host, tab, path), _copy (a hash of _html), _query, _html and _id.
+    One page stands for all of an address with the same _copy. Pages stand in the order of
+    path, query and id; nearest is the neighbour that has more path parts in common, at a
+    tie the one before, or else the next one in order. Pages with which it shares more than half
+    of its plain text are passed over while there are others. ``_everywhere``
+    has the lines that all of the ``NEAR`` nearest have; null if there are fewer.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [[line_hash(text) for text, _ in lines_of(page or "")] for page in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64()))], ["_address", "_order", "_lines"]
-            )
-
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.xxhash64("_html").alias("text"))
-    narrow = pages.select("_address", F.to_json(order).alias("_order"), "_html")
-    lines = narrow.mapInArrow(run, "_address string, _order string, _lines array<bigint>")
-    one = lines.groupBy("_address").agg(F.min_by("_lines", "_order").alias("_lines"))
-    valued = one.withColumn("_value", F.struct("_address", "_lines"))
-    around = with_neighbours(valued, "_address", "_value", NEAR, pages.select("_address").distinct())
+            pages = [lines_of(page or "") for page in batch.column(3).to_pylist()]
+            hashes = [[line_hash(text) for text, _ in lines] for lines in pages]
+            plain = [
+                [h & ~0xFFFF | min(len(text), 0xFFFF) for h, (text, place) in zip(*both, strict=True) if place != MARKED]
+                for both in zip(hashes, pages, strict=True)
+            ]  # the lowest bits are the length
+            columns = [*batch.columns[:3], *[pa.array(x, pa.list_(pa.int64())) for x in (hashes, plain)]]
+            yield pa.RecordBatch.from_arrays(columns, ["_address", "_copy", "_order", "_lines", "_plain"])
+
+    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"))
+    narrow = pages.select("_address", "_copy", F.concat_ws("\t", "_query", F.to_json(order), "_copy").alias("_order"), "_html")
+    place = F.concat_ws("\t", "_address", F.min("_order")).alias("_place")
+    lines = narrow.mapInArrow(run, "_address string, _copy long, _order string, _lines array<bigint>, _plain array<bigint>")
+    one = lines.groupBy("_address", "_copy").agg(place, *[F.min_by(c, "_order").alias(c) for c in ("_lines", "_plain")])
+    valued = one.withColumn("_value", F.struct("_address", "_lines", "_plain"))
+    around = with_neighbours(valued, "_place", "_value", NEAR, narrow.groupBy("_address", "_copy").agg(place))
 
     def nearness(side: str) -> Column:
-        """Path parts in common, or null on another host."""
+        """Path parts in common, or null on another host or without a URL."""
         parts = [F.split(F.element_at(F.split(F.col(c), "\t"), 2), "/") for c in ("_address", f"{side}._address")]
         same = F.size(F.filter(F.zip_with(*parts, lambda x, y: F.coalesce(x == y, F.lit(False))), lambda x: x))
         host = [F.element_at(F.split(F.col(c), "\t"), 1) for c in ("_address", f"{side}._address")]
-        return F.when(host[0] == host[1], same)
+        return F.when((host[0] == host[1]) & (F.col("_address") != "\t"), same)
+
+    def length(plain: Column) -> Column:
+        return F.aggregate(F.array_distinct(plain), F.lit(0).cast("long"), lambda total, x: total + x.bitwiseAND(F.lit(0xFFFF)))
+
+    def copied(side: Column) -> Column:
+        return 2 * length(F.array_intersect("_plain", side["_plain"])) > length(F.col("_plain"))
 
-    best = F.when(
-        F.coalesce(nearness("before"), F.lit(-1)) >= F.coalesce(nearness("after"), F.lit(-1)), F.col("before")
-    ).otherwise(F.col("after"))
-    other = F.coalesce(nearness("before"), nearness("after")).isNull()
+    before_first = F.coalesce(nearness("before"), F.lit(-1)) >= F.coalesce(nearness("after"), F.lit(-1))
     sides = [f"{side}{'' if k == 1 else k}" for k in range(1, NEAR + 1) for side in ("before", "after")]
-    near = F.filter(F.array(*[F.when(nearness(side).isNotNull(), F.col(f"{side}._lines")) for side in sides]), lambda x: x.isNotNull())
-    shared = F.aggregate(F.slice(near, 2, NEAR - 1), F.get(near, 0), F.array_intersect)
-    return around.select(
-        "_address", F.when(~other, best["_lines"]).alias("_partner"), F.when(F.size(near) >= NEAR, shared).alias("_everywhere")
-    )
+    swapped = [sides[i ^ 1] for i in range(len(sides))]
+    on_host = [F.array(*[F.when(nearness(side).isNotNull(), F.col(side)) for side in way]) for way in (sides, swapped)]
+    near = F.array_compact(F.when(before_first, on_host[0]).otherwise(on_host[1]))
+    found = around.withColumn("_near", near).withColumn("_apart", F.filter("_near", lambda x: ~copied(x)))
+    apart = F.transform(F.slice("_apart", 1, NEAR), lambda x: x["_lines"])
+    shared = F.aggregate(F.slice(apart, 2, NEAR - 1), F.get(apart, 0), F.array_intersect)
+    partner = F.coalesce(F.get("_apart", 0), F.get("_near", 0))
+    everywhere = F.when(F.size("_apart") >= NEAR, shared)
+    return found.select("_address", "_copy", partner["_lines"].alias("_partner"), everywhere.alias("_everywhere"))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """``key``, ``url``, text, n_chars and n_shared (lines deleted by differencing) of every page.
 
-    A null or empty page has an empty text. Pages without a URL share one address
-    and have no partner; forms of one address are not compared with each other. Repeated
+    A null or empty page has an empty text. Pages without a URL have no
+    partner; equal pages at forms of one address are not compared with each other. Repeated
     rows each get a row; other columns of ``pages`` are not used.
     """
-    parts = [F.translate(part(F.col(url)), "\t", " ") for part in (url_host, url_path)]
-    address = F.concat_ws("\t", *parts)
+    parts = [F.translate(part(F.col(url)), "\t", " ") for part in (url_host, url_path, url_query)]
     narrow = pages.select(
-        F.col(key).alias("_id"), F.col(url).alias("_url"), address.alias("_address"), F.col(page).alias("_html")
-    )
-    paired = narrow.join(partners(narrow), "_address", "left").select("_id", "_url", "_html", "_partner", "_everywhere")
+        F.col(key).alias("_id"), F.col(url).alias("_url"), F.concat_ws("\t", *parts[:2]).alias("_address"),
+        parts[2].alias("_query"), F.xxhash64(page).alias("_copy"), F.col(page).alias("_html"),
+    )
+    paired = narrow.join(partners(narrow), ["_address", "_copy"], "left").select("_id", "_url", "_html", "_partner", "_everywhere")
     kinds = [narrow.schema[c].dataType.simpleString() for c in ("_id", "_url")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

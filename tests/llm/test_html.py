@@ -87,6 +87,19 @@ def test_differencing_decides_inside_and_outside_the_content_element(spark):
         assert found[i] == (f"{body}{letter} {'A quote' if i < 2 else f'End {i}'}{last}", shared), i
 
 
+def test_pages_that_differ_in_the_query_are_compared(spark):
+    text = "<div>Long own words of page {i} and of no other page</div><div>Same on all</div><ul><li>Home<li>About us</ul>"
+    rows = [(i, f"http://h.example/index.php?id={i}", text.replace("{i}", str(i))) for i in range(5)]
+    rows += [(5, "http://h.example/index.php?id=1&utm_source=x", rows[1][2])]
+    rows += [(6, "https://h.example/index.php?id=2&ref=y", rows[2][2] + "<div>x</div>"), (7, None, text), (8, None, text + "9")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
+    assert len(found) == len(rows)
+    for i, page_of in enumerate([0, 1, 2, 3, 4, 1, 2]):
+        assert found[i] == f"Long own words of page {page_of} and of no other page" + (" x" if i == 6 else ""), i
+    assert "Same on all" in found[7] and "Same on all" in found[8]
+
+
 def test_copies_keep_their_content_element():
     copy = [html.line_hash(text) for text, _ in html.lines_of(page(5))]
     assert html.main_text(page(5), copy, copy)[0] == html.main_text(page(5), None)[0]
