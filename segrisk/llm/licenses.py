@@ -6,14 +6,17 @@ window is a candidate if one of ``BANDS`` MinHash bands equals the template's. A
 copy with 4/5 of the template's shingles has a Jaccard similarity of at least
 0.8 / 1.45 = 0.55 with its window, so it collides in one of 16 bands of one row
 with probability 1 - 0.45**16 > 0.99999. Candidates are held against the
-template's shingles one by one.
+template's shingles one by one. Only texts that hold 4/5 of a template's shingles
+anywhere are cut into its windows, as no window of the others can match.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,39 @@ from pyspark.sql import functions as F
 
 from segrisk.llm.buffers import LOWER, mix, prefix_hashes, range_hashes, shingles, slices, words
 
-# Wording of public licence notices.
+# Wording of public licence notices, names and identifiers.
+NAMES = {
+    "agpl": "GNU Affero General Public License",
+    "apache": "Apache License",
+    "artistic": "Artistic License",
+    "bsd": "BSD License",
+    "bsd-2-clause": "BSD 2-Clause",
+    "bsd-3-clause": "BSD 3-Clause",
+    "cc0": "CC0 1.0",
+    "cc-by": "Creative Commons Attribution",
+    "cc-by-4.0": "CC BY 4.0",
+    "cc-by-nc": "Creative Commons Attribution-NonCommercial",
+    "cc-by-nc-4.0": "CC BY-NC 4.0",
+    "cc-by-nc-nd": "Creative Commons Attribution-NonCommercial-NoDerivatives",
+    "cc-by-nc-nd-4.0": "CC BY-NC-ND 4.0",
+    "cc-by-nc-sa": "Creative Commons Attribution-NonCommercial-ShareAlike",
+    "cc-by-nc-sa-4.0": "CC BY-NC-SA 4.0",
+    "cc-by-nd": "Creative Commons Attribution-NoDerivatives",
+    "cc-by-nd-4.0": "CC BY-ND 4.0",
+    "cc-by-sa": "Creative Commons Attribution-ShareAlike",
+    "cc-by-sa-4.0": "CC BY-SA 4.0",
+    "gfdl": "GNU Free Documentation License",
+    "gpl": "GNU General Public License",
+    "isc": "ISC License",
+    "lgpl": "GNU Lesser General Public License",
+    "mit": "MIT License",
+    "mpl": "Mozilla Public License",
+    "unlicense": "the Unlicense",
+}
+IDENTIFIERS = (
+    "0BSD AGPL-3.0 Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0"
+    " CC-BY-ND-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 GFDL-1.3 GPL-2.0 GPL-3.0 ISC LGPL-2.1 LGPL-3.0 MIT MPL-2.0 Unlicense Zlib"
+).split()
 TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -46,10 +81,16 @@ TEMPLATES = {
         " conditions"
     ),
 }
+TEMPLATES |= {f"name:{name}": wording for name, wording in NAMES.items()}
+TEMPLATES |= {f"spdx:{name.lower()}": f"SPDX-License-Identifier: {name}" for name in IDENTIFIERS}
+#: Words of a paragraph of a licence text at least; shorter ones are joined with the next.
+PARAGRAPH = 30
 WIDTH = 5
 BANDS = 16
 #: Percent of a template's shingles that a match must hold.
 CONTAINED = 80
+#: Leading bits of a shingle that are looked up before the shingle itself.
+ROUGH = 20
 
 # All ASCII signs but letters and digits part words; letters lose their case.
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -98,62 +139,117 @@ def _windows(n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return start, np.minimum(start + size, (first + n)[row])
 
 
-def scan_slice(data: np.ndarray, offsets: np.ndarray, templates: tuple[Template, ...]) -> list[tuple]:
+@dataclass(frozen=True)
+class Index:
+    """The templates with shingles of one width, and where each of their shingles stands in them."""
+
+    templates: tuple[Template, ...]
+    known: np.ndarray  # the distinct shingles of all, ascending
+    first: np.ndarray  # of each: its first place in ``of``
+    of: np.ndarray  # template numbers
+    rough: np.ndarray  # whether a shingle begins with these bits
+
+
+def _index(templates: tuple[Template, ...]) -> Index:
+    hashes = np.concatenate([t.hashes for t in templates])
+    of = np.repeat(np.arange(len(templates)), [len(t.hashes) for t in templates])
+    order = np.argsort(hashes, kind="stable")
+    known, first = np.unique(hashes[order], return_index=True)
+    rough = np.zeros(1 << ROUGH, bool)
+    rough[known >> np.uint64(64 - ROUGH)] = True
+    return Index(templates, known, np.append(first, len(hashes)), of[order], rough)
+
+
+def _candidates(index: Index, grams: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(row, template number) of the rows that hold enough of a template's shingles, wherever they stand."""
+    place = np.flatnonzero(index.rough[grams >> np.uint64(64 - ROUGH)])
+    at = np.minimum(np.searchsorted(index.known, grams[place]), len(index.known) - 1)
+    equal = index.known[at] == grams[place]
+    pairs = np.unique(np.stack([owner[place[equal]], at[equal]]), axis=1)
+    n = np.diff(index.first)[pairs[1]]
+    number = index.of[np.repeat(index.first[pairs[1]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    found, held = np.unique(np.stack([np.repeat(pairs[0], n), number]), axis=1, return_counts=True)
+    sizes = np.array([len(t.hashes) for t in index.templates])
+    enough = 100 * held >= CONTAINED * sizes[found[1]]
+    return zip(*found[:, enough].tolist(), strict=True)
+
+
+def scan_slice(data: np.ndarray, offsets: np.ndarray, indexes: tuple[Index, ...]) -> list[tuple]:
     """(row, template, first byte, end byte, shingles held, shingles of the template) of every match."""
     hashes, begin, end, counts = _word_hashes(data, offsets)
     first_word = np.cumsum(counts) - counts
     found = []
-    for width in sorted({t.width for t in templates}):
+    for index in indexes:
+        width = index.templates[0].width
         grams, n = shingles(hashes, counts, width)
         if not len(grams):
             continue
-        table = _rows(grams)
+        first_gram = np.cumsum(n) - n
         owner = np.repeat(np.arange(len(n)), n)
-        word = first_word[owner] + np.arange(len(grams)) - np.repeat(np.cumsum(n) - n, n)
-        last = np.minimum(word + width, (first_word + counts)[owner]) - 1
-        padded = np.concatenate([table, np.zeros((BANDS, 1), np.uint32)], axis=1)
-        for t in templates:
-            if t.width != width:
-                continue
-            start, stop = _windows(n, t.length)
+        latest, table = -1, np.zeros((BANDS, 0), np.uint32)
+        for r, number in _candidates(index, grams, owner):
+            t = index.templates[number]
+            own = grams[first_gram[r] : first_gram[r] + n[r]]
+            if r != latest:
+                latest, table = r, np.concatenate([_rows(own), np.zeros((BANDS, 1), np.uint32)], axis=1)
+            start, stop = _windows(n[r : r + 1], t.length)
             edges = np.stack([start, stop], axis=1).ravel()
             wanted = _rows(t.hashes).min(axis=1)
             hit = np.zeros(len(start), bool)
             for band in range(BANDS):
-                hit |= np.minimum.reduceat(padded[band], edges)[::2] == wanted[band]
+                hit |= np.minimum.reduceat(table[band], edges)[::2] == wanted[band]
             spans: list[list[int]] = []
             for w in np.flatnonzero(hit):
-                inside = np.isin(grams[start[w] : stop[w]], t.hashes)
-                held = len(np.unique(grams[start[w] : stop[w]][inside]))
+                inside = np.isin(own[start[w] : stop[w]], t.hashes)
+                held = len(np.unique(own[start[w] : stop[w]][inside]))
                 if 100 * held < CONTAINED * len(t.hashes):
                     continue
                 places = start[w] + np.flatnonzero(inside)
-                span = [int(owner[start[w]]), int(begin[word[places[0]]]), int(end[last[places[-1]]]), held]
-                if spans and spans[-1][0] == span[0] and span[1] < spans[-1][2]:
-                    spans[-1][2] = max(spans[-1][2], span[2])
-                    spans[-1][3] = max(spans[-1][3], held)
+                last = min(places[-1] + width, counts[r]) - 1
+                span = [int(begin[first_word[r] + places[0]]), int(end[first_word[r] + last]), held]
+                if spans and span[0] < spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], span[1])
+                    spans[-1][2] = max(spans[-1][2], held)
                 else:
                     spans.append(span)
-            found += [(r, t.name, a - int(offsets[r]), b - int(offsets[r]), k, len(t.hashes)) for r, a, b, k in spans]
+            found += [(r, t.name, a - int(offsets[r]), b - int(offsets[r]), k, len(t.hashes)) for a, b, k in spans]
     return found
 
 
 @functools.cache
-def _compiled(templates: tuple[tuple[str, str], ...]) -> tuple[Template, ...]:
-    return tuple(_template(name, text) for name, text in templates)
+def texts() -> dict[str, str]:
+    """Paragraphs of the whole licence texts that come with the package, by licence and number."""
+    out = {}
+    for file in sorted(resources.files("segrisk.llm").joinpath("licence_texts").iterdir(), key=lambda f: f.name):
+        parts: list[str] = [""]
+        for paragraph in re.split(r"\n\s*\n", file.read_text("utf-8")):
+            if len(parts[-1].split()) >= PARAGRAPH:
+                parts.append("")
+            parts[-1] += "\n" + paragraph
+        if len(parts) > 1 and len(parts[-1].split()) < PARAGRAPH:
+            parts[-2:] = [parts[-2] + "\n" + parts[-1]]
+        out |= {f"{file.name.removesuffix('.txt')}/{k}": part for k, part in enumerate(parts, 1)}
+    return out
+
+
+@functools.cache
+def _compiled(templates: tuple[tuple[str, str], ...]) -> tuple[Index, ...]:
+    known = [_template(name, text) for name, text in templates]
+    return tuple(_index(tuple(t for t in known if t.width == w)) for w in sorted({t.width for t in known}))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "text", key: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per match: ``key``, template, start and end (bytes of the text), containment.
 
-    Case and signs do not count. Overlapping windows of one match are one row;
+    Templates are the notices of ``TEMPLATES`` and the paragraphs of ``texts()``, if
+    none are given. Case and signs do not count. Overlapping windows of one match are one row;
     of a template with fewer than five words the whole sequence is the shingle.
     Null texts and texts without words match nothing. Repeated rows each get
     their matches; other columns of ``docs`` are not used.
     """
     narrow = docs.select(F.col(key), F.col(text).cast("string").alias("_text"))
     kind = narrow.schema[key].dataType.simpleString()
-    given = tuple(sorted(templates.items()))
+    given = tuple(sorted((TEMPLATES | texts() if templates is None else templates).items()))
     names = [key, "template", "start", "end", "containment"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

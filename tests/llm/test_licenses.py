@@ -74,3 +74,42 @@ def test_query_equals_brute_force(spark, sf_dir):
         found.setdefault(r["doc_id"], set()).add(r["template"])
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     assert found and found == {r["doc_id"]: b for r in rows if (b := brute(r["text"]))}
+
+
+def test_whole_licences_are_found(spark):
+    """Every paragraph of a licence text, whole and with a word changed, and the licences by name."""
+    whole = {}
+    for name, part in licenses.texts().items():
+        whole.setdefault(name.split("/")[0], []).append(part)
+    rows = [(n, f"{FILLER}\n" + "\n\n".join(parts)) for n, parts in whole.items()]
+    changed = {name: part.split() for name, part in licenses.texts().items()}
+    for part in changed.values():
+        part[len(part) // 2] = "changed"
+    rows += [(name, " ".join(part)) for name, part in changed.items()]
+    lines = {
+        "Licensed under the MIT License": "name:mit", "see the gnu lesser general public license.": "name:lgpl",
+        "// SPDX-License-Identifier: MPL-2.0": "spdx:mpl-2.0", "under CC BY-ND 4.0 only": "name:cc-by-nd-4.0",
+    }
+    rows += list(zip(lines, lines, strict=True))
+    found = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string").repartition(4)).collect():
+        found.setdefault(r["doc_id"], set()).add(r["template"])
+    assert {"gpl-2.0", "lgpl-2.1", "agpl-3.0", "mpl-2.0", "isc", "cc0-1.0", "unlicense"} <= set(whole)
+    for n, parts in whole.items():
+        assert {f"{n}/{k}" for k in range(1, len(parts) + 1)} <= found[n]
+    for name in changed:
+        assert name in found[name]
+    for line, name in lines.items():
+        assert name in found[line]
+
+
+def test_index_leaves_no_match_out():
+    """Templates that share shingles, in one slice with texts that hold some of them."""
+    import numpy as np
+
+    given = {"a": MIT, "b": MIT + " and more words here", "c": "of the Software", "d": "free of charge to any person"}
+    raw = [f"{FILLER} {MIT}", FILLER, "", "to any person free of charge to any person of the Software " * 2]
+    data = np.frombuffer("".join(raw).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, raw)])
+    found = licenses.scan_slice(data, offsets, licenses._compiled(tuple(given.items())))
+    assert {(r, name) for r, name, *_ in found} == {(0, n) for n in "abcd"} | {(3, "c"), (3, "d")}
