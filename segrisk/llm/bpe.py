@@ -4,7 +4,8 @@ Spark deals the documents; each task cuts its texts into pre-tokens and hands th
 distinct ones it has not met to DuckDB as token-position rows. A recursive query
 joins every adjacent pair with the merge table and contracts each pre-token's
 leftmost pair of least rank until none is left. An ordered aggregation of the
-last rows gives the ids, and, over the vocabulary, the bytes they decode to.
+last rows gives the ids, and, over the vocabulary, the bytes they decode to. The ids
+of whole texts are decoded by an aggregation of their own.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ CHUNK = 400_000
 #: The rows of a recursion grow with the square of a pre-token's length; longer
 #: ones (bytes) are contracted in the same order with a heap.
 LONG = 256
+#: Ids that are decoded at a time; a longer list is decoded in parts.
+DECODED = 200_000
 
 ENCODE = """
 WITH RECURSIVE state(step, w, p, id, next_id) AS (
@@ -102,10 +105,9 @@ class Tables:
         self.db.unregister(name)
         return found
 
-    def encode(self, pieces: list[bytes]) -> tuple[list[list[int]], list[bytes]]:
-        """Ids of each piece and the bytes that these ids stand for."""
+    def encode(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece."""
         ids: list[list[int]] = [[]] * len(pieces)
-        raw = [b""] * len(pieces)
         short = [k for k, piece in enumerate(pieces) if len(piece) <= LONG]
         lengths = np.array([len(pieces[k]) for k in short], np.int64)
         chunk = np.cumsum(lengths) // CHUNK
@@ -119,13 +121,24 @@ class Tables:
                 "id": self.byte_ids[data],
             }
             found = self.rows("tok", pa.table(tok), ENCODE)
-            for k, own, text in zip(short[a:b], found["ids"].to_pylist(), found["hex"].to_pylist(), strict=True):
-                ids[k], raw[k] = own, bytes.fromhex(text)
+            for k, own in zip(short[a:b], found["ids"].to_pylist(), strict=True):
+                ids[k] = own
         for k, piece in enumerate(pieces):
             if len(piece) > LONG:
                 ids[k] = contract(piece, self.ranks)
-                raw[k] = b"".join(map(self.token.__getitem__, ids[k]))
-        return ids, raw
+        return ids
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """Bytes of lists of ids, which follow each other in ``ids`` with ``counts`` each."""
+        parts: list[list[bytes]] = [[] for _ in counts]
+        row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        for at in range(0, len(ids), DECODED):
+            own = row[at : at + DECODED]
+            given = {"r": own, "p": np.arange(len(own), dtype=np.int32), "id": ids[at : at + DECODED].astype(np.int32)}
+            found = self.rows("ids", pa.table(given), DECODE)
+            for r, text in zip(found["r"].to_pylist(), found["hex"].to_pylist(), strict=True):
+                parts[r].append(bytes.fromhex(text))
+        return [b"".join(x) for x in parts]
 
 
 def contract(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -163,37 +176,30 @@ def _tables(path: str) -> Tables:
 
 
 @functools.cache
-def _memories(path: str) -> tuple[Memory, Memory]:
-    return Memory(np.uint32, 1_500_000), Memory(np.uint8, 1_500_000)
+def _memory(path: str) -> Memory:
+    return Memory(np.uint32, 1_500_000)
 
 
-def encode_column(column: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each slice: all ids, ids per row, all decoded bytes, decoded bytes per row."""
-    memory, decoded = _memories(path)
-    latest: list = []
+def encode_column(column: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each slice: all ids, and ids per row."""
 
     def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids, raw = _tables(path).encode(pieces)
-        latest[:] = raw
+        ids = _tables(path).encode(pieces)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return lengths, np.fromiter((i for row in ids for i in row), np.uint32, lengths.sum())
 
-    def decode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        return np.fromiter(map(len, latest), np.int64, len(latest)), np.frombuffer(b"".join(latest), np.uint8)
-
     for _, _, data, offsets in slices(column):
         start, end, counts = cut(data, offsets)
         hashes = range_hashes(prefix_hashes(data), start, end)
-        ids, n_ids = memory.rows(data, hashes, start, end, encode)
-        raw, n_raw = decoded.rows(data, hashes, start, end, decode)
+        ids, n_ids = _memory(path).rows(data, hashes, start, end, encode)
         row = np.concatenate([[0], np.cumsum(counts)])
-        sums = [np.diff(np.concatenate([[0], np.cumsum(n)])[row]) for n in (n_ids, n_raw)]
-        yield ids, sums[0], raw, sums[1]
+        yield ids, np.diff(np.concatenate([[0], np.cumsum(n_ids)])[row])
 
 
 def encode(docs: DataFrame, ranks: str, text: str = "text", key: str = "doc_id", ids: bool = True) -> DataFrame:
     """``key``, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids of every whole text.
 
+    decoded_sha256 is of the bytes that the document's ids decode to.
     ``ranks`` is the path of a rank file on every machine. Special tokens in a
     text are ordinary text. Null and empty texts have no ids. Repeated rows each
     get a row; other columns of ``docs`` are not used.
@@ -205,11 +211,10 @@ def encode(docs: DataFrame, ranks: str, text: str = "text", key: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for found, n_ids, raw, n_raw in encode_column(batch.column(1), ranks):
-                flat, whole = found.astype("<u4").tobytes(), raw.tobytes()
-                e, d = np.cumsum(n_ids) * 4, np.cumsum(n_raw)
+            for found, n_ids in encode_column(batch.column(1), ranks):
+                flat, e = found.astype("<u4").tobytes(), np.cumsum(n_ids) * 4
                 sha = [hashlib.sha256(flat[b - n * 4 : b]).hexdigest() for b, n in zip(e.tolist(), n_ids.tolist(), strict=True)]
-                back = [hashlib.sha256(whole[b - n : b]).hexdigest() for b, n in zip(d.tolist(), n_raw.tolist(), strict=True)]
+                back = [hashlib.sha256(raw).hexdigest() for raw in _tables(ranks).decode(found, n_ids)]
                 out = [batch.column(0).slice(at, len(n_ids)), pa.array(n_ids), pa.array(sha, pa.string()), pa.array(back, pa.string())]
                 names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
                 if ids:
@@ -230,16 +235,7 @@ def decode(encoded: DataFrame, ranks: str, ids: str = "ids", key: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
-            n = np.diff(lists.offsets.to_numpy())
-            given = {
-                "r": np.repeat(np.arange(len(n), dtype=np.int32), n),
-                "p": (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32),
-                "id": lists.flatten(),
-            }
-            found = _tables(ranks).rows("ids", pa.table(given), DECODE)
-            raw = [b""] * len(n)
-            for r, text in zip(found["r"].to_pylist(), found["hex"].to_pylist(), strict=True):
-                raw[r] = bytes.fromhex(text)
+            raw = _tables(ranks).decode(lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], [key, "raw"])
 
     return narrow.mapInArrow(run, f"`{key}` {kind}, raw binary")

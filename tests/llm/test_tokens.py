@@ -173,3 +173,14 @@ def test_token_count_query(spark, sf_dir):
 def test_rank_file_is_base64():
     with open(RANKS, "rb") as lines:
         assert base64.b64decode(lines.readline().split()[0])
+
+
+def test_digest_is_of_the_decoded_ids(monkeypatch):
+    """Ids in a wrong order show in the digest; lists longer than a part are decoded whole."""
+    tables = bpe.Tables(RANKS)
+    text = "one two three " * 50
+    (ids, counts), *_ = bpe.encode_column(pa.array([text, "", "end"]), RANKS)
+    monkeypatch.setattr(bpe, "DECODED", 7)
+    assert tables.decode(ids, counts) == [text.encode(), b"", b"end"]
+    turned = tables.decode(ids[::-1], counts[::-1])
+    assert turned[2] != text.encode() and sorted(b"".join(turned)) == sorted(text.encode() + b"end")
