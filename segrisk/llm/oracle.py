@@ -36,3 +36,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          AND (n_words < 40 OR 100 * n_stop >= 2 * n_words) AS kept
 FROM m
 """
+
+_CRC = (
+    "xor(list_reduce(list_concat([4294967295::BIGINT], [ord(c)::BIGINT FOR c IN string_split({0}, '')]), lambda x, b:"
+    " list_reduce(list_concat([xor(x, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda y, z:"
+    " xor(y >> 1, (y & 1) * 3988292384))), 4294967295)"
+)
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_FIELDS = " || ".join(_FIELD.format(name) for name in ("doc_id", "source", "lang", "n_chars"))
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP13 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, sha256({_FIELDS} || {_FIELD.format("text")}) AS leaf,
+         CASE WHEN {_CRC.format("doc_id::VARCHAR")} % 3 = 0
+              THEN sha256({_FIELDS} || {_FIELD.format(_LOWER)}) ELSE sha256({_FIELDS} || {_FIELD.format("text")}) END AS tampered
+  FROM documents
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM leaves
+), nodes(tree, level, pos, hash) AS (
+  SELECT tree, 0, pos, leaf FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes) WHERE n > 1
+  GROUP BY tree, level, pos // 8
+), heights AS (
+  SELECT tree, max(level) AS height FROM nodes GROUP BY tree
+), subroots AS (
+  SELECT tree, height, hash FROM nodes JOIN heights USING (tree) WHERE level = height
+), upper_nodes(level, pos, hash) AS (
+  SELECT 0, tree, hash FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM upper_nodes) WHERE n > 1
+  GROUP BY level, pos // 8
+), top AS (
+  SELECT level AS height, hash AS root FROM upper_nodes ORDER BY level DESC LIMIT 1
+), climb(doc_id, leaf, tree, level, pos, hash, proof) AS (
+  SELECT doc_id, leaf, tree, 0, pos, tampered, '' FROM placed
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.tree, c.level + 1, c.pos // 8,
+         sha256(string_agg(CASE WHEN n.pos = c.pos THEN c.hash ELSE n.hash END, '' ORDER BY n.pos)),
+         c.proof || coalesce(string_agg(n.hash, '' ORDER BY n.pos) FILTER (n.pos <> c.pos), '')
+  FROM climb c JOIN heights h USING (tree) JOIN nodes n ON n.tree = c.tree AND n.level = c.level AND n.pos // 8 = c.pos // 8
+  WHERE c.level < h.height
+  GROUP BY c.doc_id, c.leaf, c.tree, c.level, c.pos, c.hash, c.proof
+), done AS (
+  SELECT c.doc_id, c.leaf, c.tree, c.hash, c.proof, s.hash AS subroot
+  FROM climb c JOIN subroots s ON s.tree = c.tree AND s.height = c.level
+), rise(doc_id, leaf, tree, subroot, level, pos, hash, proof) AS (
+  SELECT doc_id, leaf, tree, subroot, 0, tree, hash, proof FROM done
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.tree, c.subroot, c.level + 1, c.pos // 8,
+         sha256(string_agg(CASE WHEN n.pos = c.pos THEN c.hash ELSE n.hash END, '' ORDER BY n.pos)),
+         c.proof || coalesce(string_agg(n.hash, '' ORDER BY n.pos) FILTER (n.pos <> c.pos), '')
+  FROM rise c JOIN upper_nodes n ON n.level = c.level AND n.pos // 8 = c.pos // 8
+  WHERE c.level < (SELECT height FROM top)
+  GROUP BY c.doc_id, c.leaf, c.tree, c.subroot, c.level, c.pos, c.hash, c.proof
+)
+SELECT r.doc_id, r.leaf, r.subroot, t.root, sha256(r.proof) AS proof_sha256,
+       r.hash AS folded_root, r.hash = t.root AS verified
+FROM rise r JOIN top t ON r.level = t.height
+"""

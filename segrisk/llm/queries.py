@@ -9,12 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrisk.llm import bpe, fingerprints, html, jaccard, langid, licenses, oracle, packing, quality, substrings, tokencounts
+from segrisk.llm import (
+    bpe, fingerprints, html, jaccard, langid, licenses, merkle, oracle, packing, quality, substrings, tokencounts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 TEXT_ORACLE: dict[str, str] = {
     "op6_quality_rules": oracle.OP6.replace("STOP", " ".join(quality.STOP_WORDS)),
+    "op13_merkle_manifest": oracle.OP13,
 }
 
 
@@ -102,3 +105,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     importable(spark)
     return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document against the root of all, some of them tampered with."""
+    docs = documents(spark, sf_dir)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    return merkle.document_manifest(docs, tampered)
