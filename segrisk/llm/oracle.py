@@ -100,3 +100,31 @@ SELECT r.doc_id, r.leaf, r.subroot, t.root, sha256(r.proof) AS proof_sha256,
        r.hash AS folded_root, r.hash = t.root AS verified
 FROM rise r JOIN top t ON r.level = t.height
 """
+
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP11 = f"""
+WITH bags AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents
+), lengths AS (
+  SELECT r, doc_id, len(terms)::BIGINT AS n FROM bags WHERE len(terms) > 0
+), corpus AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM lengths
+), counted AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM bags) GROUP BY r, term
+), spread AS (
+  SELECT term, count(*) AS df FROM counted GROUP BY term
+), asked AS (
+  SELECT DISTINCT i, item_id, unnest(terms) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS terms FROM benchmark)
+), scored AS (
+  SELECT a.i, a.item_id, c.r, l.doc_id,
+         sum(floor(1000 * ln((2 * k.docs + 2) / (2 * s.df + 1)))::BIGINT
+             * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (100 - 90 + (90 * l.n * k.docs) // k.length))))::BIGINT AS score
+  FROM asked a JOIN counted c USING (term) JOIN spread s USING (term) JOIN lengths l USING (r), corpus k
+  GROUP BY a.i, a.item_id, c.r, l.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

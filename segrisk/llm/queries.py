@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segrisk.llm import (
-    bpe, fingerprints, html, jaccard, langid, licenses, merkle, oracle, packing, quality, substrings, tokencounts,
+    bpe, fingerprints, html, jaccard, langid, licenses, merkle, oracle, packing, quality, search, substrings,
+    tokencounts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 TEXT_ORACLE: dict[str, str] = {
     "op6_quality_rules": oracle.OP6.replace("STOP", " ".join(quality.STOP_WORDS)),
+    "op11_lexical_search": oracle.OP11,
     "op13_merkle_manifest": oracle.OP13,
 }
 
@@ -107,6 +109,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for each benchmark item."""
+    return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proof of every document against the root of all, some of them tampered with."""
