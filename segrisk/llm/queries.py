@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segrisk.llm import (
-    bpe, fingerprints, html, jaccard, langid, licenses, merkle, oracle, packing, quality, search, substrings,
+    bpe, classifier, fingerprints, html, jaccard, langid, licenses, merkle, oracle, packing, quality, search, substrings,
     tokencounts,
 )
+from segrisk.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -115,6 +116,20 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@query
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    described = documents(spark, sf_dir).select(
+        "doc_id", held_out.alias("held_out"), classifier.describe(F.col("text")).alias("statistics")
+    )
+    rows = stored(described, "described")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = classifier.fit(rows, labels.filter(~held_out))
+    scored = rows.select("doc_id", "held_out", classifier.score(model, F.col("statistics")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proof of every document against the root of all, some of them tampered with."""
