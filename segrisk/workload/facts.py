@@ -2,8 +2,9 @@
 
 Awards are line items of a supplier, whose nation stands for a state; trade is
 the events table, with users as destinations; employment is the mean monthly
-quantity of a part type. Some values are blanked or distorted by rule, so that
-missing, invalid and loosely written keys occur.
+quantity of a part type. Amounts, values and names are those of the tables. States
+are written plainly, loosely, wrongly or not at all by rule, and indebted
+suppliers have no name, so that missing and invalid keys occur.
 """
 
 from __future__ import annotations
@@ -30,8 +31,6 @@ from segrisk.session import stored, stored_once
 # Which code each nation, event type and part type stands for.
 STATE_OF_NATION = dict(enumerate(VALID_STATES[-25:]))
 PRODUCT_OF_EVENT = dict(zip(["click", "error", "purchase", "signup", "view"], REQUESTED_HS_CODES))
-#: The state none of whose awards has a readable amount.
-UNREADABLE_NATION = 3
 SERIES_OF_TYPE = dict(zip(["ECONOMY", "LARGE", "MEDIUM"], SERIES_LABELS))
 
 
@@ -75,10 +74,6 @@ def _written_state(form: Column, code: Column) -> Column:
     )
 
 
-def _award_amount() -> Column:
-    return F.when(F.col("l_discount") != 0.1, F.col("l_extendedprice"))
-
-
 def _recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier key, name (missing for indebted ones) and state code."""
     states = values_table(spark, ["s_nationkey", "code"], STATE_OF_NATION.items())
@@ -95,15 +90,11 @@ def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
         _state_form().alias("form"),
-        _award_amount().alias("award_amount"),
+        F.col("l_extendedprice").alias("award_amount"),
         F.col("l_shipdate").cast("date").alias("start_date"),
     )
     joined = items.join(_recipients(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
-    written = {
-        "state": _written_state(F.col("form"), F.col("code")),
-        "award_amount": F.when(_readable(), F.col("award_amount")),
-    }
-    return conform(joined.withColumns(written), AWARDS)
+    return conform(joined.withColumn("state", _written_state(F.col("form"), F.col("code"))), AWARDS)
 
 
 def coded_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,16 +104,12 @@ def coded_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
         _state_form().alias("form"),
-        _award_amount().alias("award_amount"),
+        F.col("l_extendedprice").alias("award_amount"),
         coded.alias("naics_code"),
         F.col("l_shipdate").cast("date").alias("start_date"),
     )
     joined = items.join(_recipients(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
-    written = {
-        "state": _written_state(F.col("form"), F.col("code")),
-        "award_amount": F.when(_readable(), F.col("award_amount")),
-    }
-    return conform(joined.withColumns(written), AWARDS)
+    return conform(joined.withColumn("state", _written_state(F.col("form"), F.col("code"))), AWARDS)
 
 
 def element_of(values: list[str], number: Column) -> Column:
@@ -130,10 +117,6 @@ def element_of(values: list[str], number: Column) -> Column:
     return F.get(F.array(*map(F.lit, values)), F.pmod(number, F.lit(len(values))).cast("int"))
 
 
-def _readable() -> Column:
-    return F.col("code") != STATE_OF_NATION[UNREADABLE_NATION]
-
-
 def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of the same awards, summed below the join.
 
@@ -142,7 +125,7 @@ def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     items = (
         table(spark, sf_dir, "lineitem")
-        .select("l_suppkey", _state_form().alias("form"), _award_amount().alias("amount"))
+        .select("l_suppkey", _state_form().alias("form"), F.col("l_extendedprice").alias("amount"))
         .groupBy("l_suppkey", "form")
         .agg(
             F.sum(cents(F.col("amount"))).alias("award_cents"),
@@ -156,15 +139,15 @@ def award_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("naics_code"),
             _written_state(F.col("form"), F.col("code")).alias("state"),
             "recipient_name",
-            F.when(_readable(), F.col("award_cents")).alias("award_cents"),
-            F.when(_readable(), F.col("award_count")).otherwise(0).alias("award_count"),
+            "award_cents",
+            "award_count",
             "award_rows",
         )
     )
 
 
 def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as exports in cents; values under 1 are suppressed, some destinations have no name."""
+    """Events as exports in cents; values under 1 are suppressed."""
     events = table(spark, sf_dir, "events").select("event_type", "user_id", "value", "ts")
     events = events.withColumn("hs_code", map_literal(F.col("event_type"), PRODUCT_OF_EVENT))
     user = F.col("user_id").cast("string")
@@ -173,7 +156,7 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
             "hs_code",
             F.col("event_type").alias("hs_description"),
             pad_left(user, 4).alias("country_code"),
-            F.when(F.col("user_id") % 50 != 7, F.concat(F.lit("Destination "), user)).alias("country_name"),
+            F.concat(F.lit("Destination "), user).alias("country_name"),
             F.when(F.col("value") >= 1, F.rint(F.col("value") * 100)).alias("export_value"),
             F.year("ts").alias("year"),
         ),

@@ -42,7 +42,7 @@ DIMS = ",\n".join(
 AWARDS = f"""
 award_raw AS (
   SELECT CASE WHEN s_acctbal >= 0 THEN s_name END AS recipient_name,
-         CASE WHEN l_discount <> CAST(0.1 AS DOUBLE) AND s_nationkey <> 3 THEN CAST(l_extendedprice AS DECIMAL(28,2)) END AS amount,
+         CAST(l_extendedprice AS DECIMAL(28,2)) AS amount,
          l_returnflag, l_linenumber, l_suppkey,
          CASE WHEN l_tax = 0 THEN NULL WHEN l_tax = CAST(0.08 AS DOUBLE) THEN 'ZZ'
               WHEN l_returnflag = 'A' THEN ' ' || lower(code) || ' ' ELSE code END AS state_raw,
@@ -67,7 +67,7 @@ state_hhi AS (
 
 TRADE = """
 trade AS (
-  SELECT hs_code, CASE WHEN user_id % 50 = 7 THEN NULL ELSE 'Destination ' || user_id END AS country,
+  SELECT hs_code, 'Destination ' || user_id AS country,
          CAST(round_even(value * 100, 0) AS BIGINT) AS raw_value, value >= 1 AS shown
   FROM events JOIN product_dim ON event_type = event),
 dest AS (
