@@ -18,11 +18,6 @@ def _struct(**fields) -> StructType:
     return StructType([StructField(name, kind, True) for name, kind in fields.items()])
 
 
-def all_strings(schema: StructType) -> StructType:
-    """Same columns, every one read as text (coercion happens afterwards)."""
-    return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-
-
 AWARDS = _struct(
     recipient_name=StringType(),
     award_amount=DoubleType(),

@@ -10,7 +10,8 @@ from segrisk.operators.shape import conform
 from segrisk.plans.explore import display_view
 from segrisk.plans.scoring import canonical, canonical_order, exported
 from segrisk.schemas import MANIFEST, SCORED
-from segrisk.sources.tables import CSV_OPTIONS, escape_lines
+from segrisk.sources.delimited import CSV_OPTIONS
+
 
 def write_raw(bodies: DataFrame, path: str) -> None:
     """Bronze: the responses exactly as received, one JSON string field per line."""
@@ -18,9 +19,11 @@ def write_raw(bodies: DataFrame, path: str) -> None:
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; NULL is an empty field, numbers are written in full digits, line ends escaped."""
-    shown = {"double": plain_number, "string": escape_lines}
-    cells = {name: shown[kind](F.col(f"`{name}`")) for name, kind in df.dtypes if kind in shown}
+    """CSV with a header that any reader reads alike: fields with line ends are quoted, NULL is an empty field.
+
+    Numbers are written in full digits.
+    """
+    cells = {name: plain_number(F.col(f"`{name}`")) for name, kind in df.dtypes if kind == "double"}
     df.withColumns(cells).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 

@@ -10,47 +10,12 @@ from pyspark.sql.types import StructType
 
 from segrisk.functions.values import parse_number
 from segrisk.operators.shape import conform
-from segrisk.schemas import AWARDS, BRIEFS, EMPLOYMENT, MANIFEST, SCORED, SEGMENTS, TRADE, all_strings
-
-# Only an empty field is missing: a name such as "NA" stays a name. Blanks around
-# a value belong to it, in both directions (Spark's writer trims them by default).
-CSV_OPTIONS = {
-    "header": True,
-    "nullValue": "",
-    "emptyValue": "",
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-}
-
-
-# Line ends inside a field are written with a backslash, so that every line of a
-# file is a record and a large file can be split; a backslash is written twice.
-LINE_ENDS = {"\n": "\\n", "\r": "\\r"}
-
-
-def escape_lines(text: Column) -> Column:
-    for raw, written in {"\\": "\\\\", **LINE_ENDS}.items():
-        text = F.replace(text, F.lit(raw), F.lit(written))
-    return text
-
-
-def restore_lines(text: Column) -> Column:
-    """What ``escape_lines`` was given. Texts without a backslash pass as they are."""
-
-    def plain(part: Column) -> Column:
-        for raw, written in LINE_ENDS.items():
-            part = F.replace(part, F.lit(written), F.lit(raw))
-        return part
-
-    parts = F.split(text, r"\\\\", -1)
-    return F.when(F.contains(text, F.lit("\\")), F.array_join(F.transform(parts, plain), "\\")).otherwise(text)
-
+from segrisk.schemas import AWARDS, BRIEFS, EMPLOYMENT, MANIFEST, SCORED, SEGMENTS, TRADE
+from segrisk.sources.delimited import read_delimited
 
 def read_csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Every column as text."""
-    text = spark.read.schema(all_strings(schema)).options(**CSV_OPTIONS).csv(path)
-    return text.select(*[restore_lines(F.col(f"`{c}`")).alias(c) for c in text.columns])
+    """Every column as text, whoever wrote the file; see ``read_delimited``."""
+    return read_delimited(spark, path, schema.names)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -656,6 +656,9 @@ SELECT state_raw AS state, count(*) AS row_count, count(recipient_name) AS named
        CAST(max(start_date) AS VARCHAR) AS last_start FROM award GROUP BY state_raw"""
 ORACLE["clean_csv_text"] = ON_AWARDS + """
 SELECT CAST(start_date AS VARCHAR) AS start_date, count(*) AS row_count FROM award GROUP BY 1"""
+ORACLE["foreign_csv"] = """
+SELECT doc_id, source, length(text) AS n_chars, md5(text) AS text_md5,
+       length(text) - length(replace(text, chr(10), '')) AS line_feeds FROM documents"""
 ORACLE["stored_segments"] = ON_SEGMENTS + """
 SELECT naics_code, geo_risk_score, workforce_risk_score FROM segment WHERE row_type = 'NAICS'"""
 ORACLE["exported_segments"] = ON_SEGMENTS + " SELECT * EXCLUDE (padded) FROM segment"

@@ -41,7 +41,7 @@ from segrisk.plans import (
 from segrisk.plans.composite import Dimension
 from segrisk.schemas import AWARDS, MANIFEST
 from segrisk.session import scratch_path
-from segrisk.sources import landed, sinks, tables
+from segrisk.sources import delimited, landed, sinks, tables
 from segrisk.workload import facts
 from segrisk.workload.facts import table
 
@@ -888,6 +888,26 @@ def clean_csv_text(spark, sf_dir):
     return totals.category_counts(text, "start_date")
 
 
+@query
+def foreign_csv(spark, sf_dir):
+    """Files of another writer: line feeds and quotes in fields, columns in a file's own order, all fields quoted."""
+    path = scratch_path(spark, "foreign-csv")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.to_json(F.struct("source", "lang")).alias("made"), F.col("lang").eqNullSafe("en").alias("first")
+    )
+    options = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.where("first").select("doc_id", "text", "made").write.options(**options).csv(f"{path}/a")
+    rows.where("NOT first").select("made", "text", F.lit("x").alias("other"), "doc_id").write.options(**options).csv(f"{path}/b")
+    read = delimited.read_delimited(spark, [f"{path}/a", f"{path}/b"], ["doc_id", "text", "made"])
+    return read.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.get_json_object("made", "$.source").alias("source"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.md5("text").alias("text_md5"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("line_feeds"),
+    )
+
+
 @query
 def stored_segments(spark, sf_dir):
     """Stored table, then a scan with projection and predicate."""
