@@ -11,11 +11,12 @@ from segrisk.plans.explore import display_view
 from segrisk.plans.scoring import canonical, canonical_order, exported
 from segrisk.schemas import MANIFEST, SCORED
 from segrisk.sources.delimited import CSV_OPTIONS
+from segrisk.sources.versions import publish, replace_folder
 
 
 def write_raw(bodies: DataFrame, path: str) -> None:
     """Bronze: the responses exactly as received, one JSON string field per line."""
-    bodies.select("body").write.mode("overwrite").json(path)
+    replace_folder(bodies.sparkSession, path, bodies.select("body").write.json)
 
 
 def write_clean_csv(df: DataFrame, path: str) -> None:
@@ -24,17 +25,18 @@ def write_clean_csv(df: DataFrame, path: str) -> None:
     Numbers are written in full digits.
     """
     cells = {name: plain_number(F.col(f"`{name}`")) for name, kind in df.dtypes if kind == "double"}
-    df.withColumns(cells).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    replace_folder(df.sparkSession, path, df.withColumns(cells).write.options(**CSV_OPTIONS).csv)
 
 
 def write_clean(df: DataFrame, path: str, *partition_by: str) -> None:
     """Silver as Parquet, split by period so that later scans skip files."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    replace_folder(df.sparkSession, path, writer.parquet)
 
 
 def write_segments(segments: DataFrame, path: str) -> None:
-    conform(segments, SCORED).write.mode("overwrite").parquet(path)
+    """The whole table as a new version; readers see the old one until it is complete."""
+    publish(segments.sparkSession, path, conform(segments, SCORED).write.parquet)
 
 
 def export_segments(segments: DataFrame, path: str) -> DataFrame:
@@ -64,9 +66,9 @@ def write_briefs(briefs: DataFrame, path: str) -> None:
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """Full snapshot of the current selection, absent values written as null."""
+    """Full snapshot of the current selection as a new version, absent values written as null."""
     record = F.to_json(F.struct(*MANIFEST.names), {"ignoreNullFields": "false"})
-    manifest.select(record.alias("value")).write.mode("overwrite").text(path)
+    publish(manifest.sparkSession, path, manifest.select(record.alias("value")).write.text)
 
 
 def write_view_csv(view: DataFrame, path: str) -> None:

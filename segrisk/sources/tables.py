@@ -12,6 +12,7 @@ from segrisk.functions.values import parse_number
 from segrisk.operators.shape import conform
 from segrisk.schemas import AWARDS, BRIEFS, EMPLOYMENT, MANIFEST, SCORED, SEGMENTS, TRADE
 from segrisk.sources.delimited import read_delimited
+from segrisk.sources.versions import current
 
 def read_csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Every column as text, whoever wrote the file; see ``read_delimited``."""
@@ -51,8 +52,8 @@ def read_segments_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_segments(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, where: Column | None = None
 ) -> DataFrame:
-    """Stored segments; projection and predicate reach the Parquet scan."""
-    df = spark.read.schema(SCORED).parquet(path)
+    """Stored segments of the current version; projection and predicate reach the Parquet scan."""
+    df = spark.read.schema(SCORED).parquet(current(spark, path))
     if where is not None:
         df = df.where(where)
     return df.select(*columns) if columns else df
@@ -84,5 +85,6 @@ def load_briefs(segments: DataFrame, briefs: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str, array_file: bool = False) -> DataFrame:
-    """Manifest records: one JSON object per line, or files holding one JSON array."""
-    return conform(spark.read.schema(MANIFEST).json(path, multiLine=array_file), MANIFEST)
+    """Manifest records of the current version: one JSON object per line, or files holding one JSON array."""
+    folder = path if array_file else current(spark, path)
+    return conform(spark.read.schema(MANIFEST).json(folder, multiLine=array_file), MANIFEST)

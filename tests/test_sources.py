@@ -221,8 +221,8 @@ def test_manifest_files(spark, tmp_path):
     assert df.dtypes == kinds(MANIFEST) and df.count() == 2
     out = str(tmp_path / "out")
     sinks.write_manifest(df.limit(1), out)
-    line = next(f for f in os.listdir(out) if f.endswith(".txt"))
-    assert json.loads((tmp_path / "out" / line).read_text()) == record
+    (line,) = (tmp_path / "out").glob("v-*/*.txt")
+    assert json.loads(line.read_text()) == record
     assert tables.read_manifest(spark, out).first() == df.first()
 
 
