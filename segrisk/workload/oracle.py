@@ -661,6 +661,10 @@ SELECT doc_id, source, length(text) AS n_chars, md5(text) AS text_md5,
        length(text) - length(replace(text, chr(10), '')) AS line_feeds FROM documents"""
 ORACLE["stored_segments"] = ON_SEGMENTS + """
 SELECT naics_code, geo_risk_score, workforce_risk_score FROM segment WHERE row_type = 'NAICS'"""
+ORACLE["rescored_segments"] = ORACLE["scored_stepwise"]
+ORACLE["replaced_versions"] = ON_SEGMENTS + """
+SELECT 'first' AS version, row_type, risk_tier, count(*) AS row_count FROM segment WHERE row_type = 'NAICS' GROUP BY ALL
+UNION ALL SELECT 'second', row_type, risk_tier, count(*) FROM segment GROUP BY ALL"""
 ORACLE["exported_segments"] = ON_SEGMENTS + " SELECT * EXCLUDE (padded) FROM segment"
 ORACLE["exported_view"] = ON_SEGMENTS + """
 SELECT row_type AS "Type", state AS "State", naics_label AS "Sector", composite_risk_score AS "Risk Score", risk_tier AS "Risk Tier",

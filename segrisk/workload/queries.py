@@ -33,6 +33,7 @@ from segrisk.plans import (
     eda,
     explore,
     geographic,
+    rescoring,
     scoring,
     summaries,
     unify,
@@ -40,8 +41,8 @@ from segrisk.plans import (
 )
 from segrisk.plans.composite import Dimension
 from segrisk.schemas import AWARDS, MANIFEST
-from segrisk.session import scratch_path
-from segrisk.sources import delimited, landed, sinks, tables
+from segrisk.session import scratch_path, stored
+from segrisk.sources import delimited, keyed_store, landed, sinks, tables
 from segrisk.workload import facts
 from segrisk.workload.facts import table
 
@@ -918,6 +919,34 @@ def stored_segments(spark, sf_dir):
     )
 
 
+@query
+def rescored_segments(spark, sf_dir):
+    """A stored table scored without the latest shipments and events, then each dimension scored anew by key."""
+    path = scratch_path(spark, "kept-segments")
+    parts, trade, yearly = facts.stored_reduced(spark, sf_dir)
+    last = yearly.agg(F.max("year")).scalar()
+    early = stored(geographic.destination_totals(facts.trade(spark, sf_dir).where(F.col("hs_code") != "8802")), "early-trade")
+    first = scoring.score_stepwise(parts.where(F.col("recipient_name").isNotNull()), early, yearly.where(F.col("year") < last))
+    rescoring.keep_segments(first, path)
+    rescoring.rescore_workforce(spark, path, yearly)
+    rescoring.rescore_geographic(spark, path, trade)
+    rescoring.rescore_concentration(spark, path, concentration.state_profile(parts))
+    return scoring.exported(scoring.canonical(keyed_store.read(spark, path)))
+
+
+@query
+def replaced_versions(spark, sf_dir):
+    """A frame read before a replacement keeps its version, one read after it sees the new one."""
+    path = scratch_path(spark, "versions")
+    segments = facts.segments(spark, sf_dir)
+    sinks.write_segments(segments.where("row_type = 'NAICS'"), path)
+    before = tables.read_segments(spark, path, ["row_type", "risk_tier"])
+    sinks.write_segments(segments, path)
+    after = tables.read_segments(spark, path, ["row_type", "risk_tier"])
+    both = before.withColumn("version", F.lit("first")).unionByName(after.withColumn("version", F.lit("second")))
+    return totals.category_counts(both, "version", "row_type", "risk_tier")
+
+
 @query
 def exported_segments(spark, sf_dir):
     path = scratch_path(spark, "segments-csv")
