@@ -94,13 +94,15 @@ def _touched(keys: DataFrame, listing: dict) -> list[str]:
     return [str(r["b"]) for r in rows]
 
 
-def rewrite(spark: SparkSession, path: str, touched: DataFrame, change: Callable[[DataFrame], DataFrame]) -> list[str]:
+def rewrite(
+    spark: SparkSession, path: str, touched: DataFrame, change: Callable[[DataFrame], DataFrame], note: str | None = None
+) -> list[str]:
     """Replace the rows of the buckets that hold the keys in ``touched`` by ``change`` of them.
 
     ``change`` sees all rows of these buckets, and returns rows with the same
     columns whose keys belong to them. Returns the buckets written again; without
     any key nothing is written. A change that started from a version no longer
-    current is refused.
+    current is refused. ``note`` is kept with the version and its successors, see ``noted``.
     """
     start = pointer(spark, path)["current"]
     listing = parts(spark, path, start)
@@ -118,13 +120,19 @@ def rewrite(spark: SparkSession, path: str, touched: DataFrame, change: Callable
         if astray:
             raise ValueError(f"changed rows belong to other buckets: {sorted(astray)[:5]}")
         held |= {b: name for b in filled}
-        write_small(spark, f"{folder}/{PARTS}", json.dumps(listing | {"held": held}))
+        notes = [*listing.get("notes", []), *([note] if note else [])]
+        write_small(spark, f"{folder}/{PARTS}", json.dumps(listing | {"held": held, "notes": notes}))
 
     publish(spark, path, write, expected=start, needs=needed(spark, path))
     return buckets
 
 
-def update(spark: SparkSession, path: str, changes: DataFrame, insert: bool = True) -> list[str]:
+def noted(spark: SparkSession, path: str, note: str) -> bool:
+    """Whether a change with this note is part of the table."""
+    return note in parts(spark, path).get("notes", [])
+
+
+def update(spark: SparkSession, path: str, changes: DataFrame, insert: bool = True, note: str | None = None) -> list[str]:
     """Set the columns of ``changes`` in the rows of its keys; other columns and rows survive.
 
     ``changes`` holds the key columns, one row per key, and any other columns. A key that the
@@ -140,7 +148,7 @@ def update(spark: SparkSession, path: str, changes: DataFrame, insert: bool = Tr
         set_ = {c: F.when(F.col("_hit"), F.col(f"`_new_{c}`")).otherwise(F.col(f"`{c}`")) for c in changes.columns}
         return joined.select(*[set_.get(c, F.col(f"`{c}`")).alias(c) for c in old.columns])
 
-    return rewrite(spark, path, changes.select(*[f"`{k}`" for k in keys]), change)
+    return rewrite(spark, path, changes.select(*[f"`{k}`" for k in keys]), change, note)
 
 
 def replace_keys(spark: SparkSession, path: str, gone: DataFrame, rows: DataFrame) -> list[str]:

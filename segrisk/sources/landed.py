@@ -127,24 +127,24 @@ def read_award_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return clean_awards(spark.read.schema(AWARD_RECORD).json(path, multiLine=True))
 
 
-def award_records(bodies: DataFrame, strict: bool = True) -> DataFrame:
-    """Records of all pages, every field as text."""
-    pages = non_empty(bodies).select("body", F.from_json("body", ArrayType(AWARD_RECORD)).alias("page"))
-    return entries(pages, _intact("awards", "page", strict)).select("entry.*")
+def award_records(bodies: DataFrame, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """Records of all pages, every field as text, with the columns ``keep`` of their page."""
+    pages = non_empty(bodies).select("body", *keep, F.from_json("body", ArrayType(AWARD_RECORD)).alias("page"))
+    return entries(pages, _intact("awards", "page", strict), *keep).select("entry.*", *keep)
 
 
-def clean_awards(records: DataFrame) -> DataFrame:
-    """Source names to ours, only our columns, amount and date by tolerant cast."""
+def clean_awards(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Source names to ours, only our columns and ``keep``, amount and date by tolerant cast."""
     named = rename(records, AWARD_FIELDS)
-    known = select_present(named, AWARDS.names)
+    known = select_present(named, [*AWARDS.names, *keep])
     casts = {"award_amount": parse_number(F.col("award_amount").cast("string"))}
     if "start_date" in known.columns:
         casts["start_date"] = F.col("start_date").try_cast("date")
     return known.withColumns(casts)
 
 
-def parse_awards(bodies: DataFrame, strict: bool = True) -> DataFrame:
-    return clean_awards(award_records(bodies, strict))
+def parse_awards(bodies: DataFrame, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    return clean_awards(award_records(bodies, strict, keep), keep)
 
 
 # --- trade -------------------------------------------------------------------
@@ -162,22 +162,27 @@ def trade_matrix(
     fields: Mapping[str, str] = TRADE_FIELDS,
     optional: Sequence[str] = OPTIONAL_TRADE_FIELDS,
     strict: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of all matrices by header name, everything as text.
 
     The first row of each response is its header; a repeated header name gets
-    its number, so the plain name is its first place.
+    its number, so the plain name is its first place. Rows carry the columns ``keep`` of their response.
     """
-    pages = non_empty(bodies).select("body", F.from_json("body", "array<array<string>>").alias("page"))
-    matrices = pages.select(_intact("trade", "page", strict).alias("matrix"))
+    pages = non_empty(bodies).select("body", *keep, F.from_json("body", "array<array<string>>").alias("page"))
+    matrices = pages.select(_intact("trade", "page", strict).alias("matrix"), *keep)
     rows = entries(
-        matrices.withColumn("header", unique_headers(F.try_element_at("matrix", F.lit(1)))), F.col("matrix"), "header"
+        matrices.withColumn("header", unique_headers(F.try_element_at("matrix", F.lit(1)))), F.col("matrix"), "header", *keep
     )
     rows = rows.where(F.col("position") > 0).withColumnRenamed("entry", "row")
-    return rows.select(*[_cell(name, name in optional).alias(ours) for name, ours in fields.items()])
+    return rows.select(*[_cell(name, name in optional).alias(ours) for name, ours in fields.items()], *keep)
 
 
-def clean_trade(rows: DataFrame) -> DataFrame:
+def _and_kept(schema: StructType, df: DataFrame, keep: Sequence[str]) -> StructType:
+    return StructType([*schema.fields, *[df.schema[k] for k in keep]])
+
+
+def clean_trade(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Single countries only, value as whole number (NULL if suppressed), year from the period."""
     single = rows.where(individual_destination(F.col("country_code")))
     typed = single.withColumns(
@@ -186,33 +191,34 @@ def clean_trade(rows: DataFrame) -> DataFrame:
             "year": year_of_period(F.col("period")),
         }
     )
-    return conform(typed, TRADE)
+    return conform(typed, _and_kept(TRADE, typed, keep))
 
 
-def parse_trade(bodies: DataFrame, strict: bool = True) -> DataFrame:
-    return clean_trade(trade_matrix(bodies, strict=strict))
+def parse_trade(bodies: DataFrame, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    return clean_trade(trade_matrix(bodies, strict=strict, keep=keep), keep)
 
 
 # --- employment --------------------------------------------------------------
 
 
-def series_observations(bodies: DataFrame, strict: bool = True) -> DataFrame:
+def series_observations(bodies: DataFrame, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Nested answers flattened twice. A failed answer stops the job with its messages, or is left out.
 
     The check is part of the column that is read on, so it cannot be optimised away.
     """
-    answers = non_empty(bodies).select(F.from_json("body", SERIES_RESPONSE).alias("r"))
+    answers = non_empty(bodies).select(F.from_json("body", SERIES_RESPONSE).alias("r"), *keep)
     status = F.coalesce("r.status", F.lit("UNKNOWN"))
     problem = F.concat(
         F.lit("response status "), status, F.lit(": "), F.coalesce(F.array_join("r.message", "; "), F.lit(""))
     )
     failed = F.raise_error(problem) if strict else F.lit(None)
     series = F.when(status == SUCCESS, F.col("r.Results.series")).otherwise(failed)
-    one = entries(answers, series).select(
-        F.col("entry.seriesID").alias("series_id"), F.col("entry.data").alias("data")
+    one = entries(answers, series, *keep).select(
+        F.col("entry.seriesID").alias("series_id"), F.col("entry.data").alias("data"), *keep
     )
-    return entries(one, F.col("data"), "series_id").select(
+    return entries(one, F.col("data"), "series_id", *keep).select(
         "series_id",
+        *keep,
         F.col("entry.year").try_cast("int").alias("year"),
         F.col("entry.period").alias("period"),
         F.col("entry.periodName").alias("period_name"),
@@ -221,12 +227,12 @@ def series_observations(bodies: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def parse_employment(
-    bodies: DataFrame, labels: Mapping[str, str] = SERIES_LABELS, strict: bool = True
+    bodies: DataFrame, labels: Mapping[str, str] = SERIES_LABELS, strict: bool = True, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Typed observations with the series title, or the series id where it has none."""
     names = mapping_table(bodies.sparkSession, labels, "series_id", "series_label")
-    labelled = map_codes_or(series_observations(bodies, strict), names, "series_id", "series_label", F.col("series_id"))
-    return conform(labelled, EMPLOYMENT)
+    labelled = map_codes_or(series_observations(bodies, strict, keep), names, "series_id", "series_label", F.col("series_id"))
+    return conform(labelled, _and_kept(EMPLOYMENT, labelled, keep))
 
 
 def chronological(employment: DataFrame) -> DataFrame:

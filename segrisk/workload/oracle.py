@@ -662,6 +662,11 @@ SELECT doc_id, source, length(text) AS n_chars, md5(text) AS text_md5,
 ORACLE["stored_segments"] = ON_SEGMENTS + """
 SELECT naics_code, geo_risk_score, workforce_risk_score FROM segment WHERE row_type = 'NAICS'"""
 ORACLE["rescored_segments"] = ORACLE["scored_stepwise"]
+ORACLE["running_concentration"] = ORACLE["recipient_profile"]
+ORACLE["delivered_awards"] = """
+SELECT l_returnflag AS state, count(*) AS row_count, count(CASE WHEN l_discount <> CAST(0.1 AS DOUBLE) THEN 1 END) AS amount_count,
+       CAST(sum(CASE WHEN l_discount <> CAST(0.1 AS DOUBLE) THEN CAST(l_extendedprice AS DECIMAL(28,2)) END) AS DOUBLE) AS total_value,
+       count(DISTINCT l_suppkey) AS recipients FROM lineitem GROUP BY l_returnflag"""
 ORACLE["replaced_versions"] = ON_SEGMENTS + """
 SELECT 'first' AS version, row_type, risk_tier, count(*) AS row_count FROM segment WHERE row_type = 'NAICS' GROUP BY ALL
 UNION ALL SELECT 'second', row_type, risk_tier, count(*) FROM segment GROUP BY ALL"""

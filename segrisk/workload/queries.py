@@ -34,6 +34,7 @@ from segrisk.plans import (
     explore,
     geographic,
     rescoring,
+    running,
     scoring,
     summaries,
     unify,
@@ -42,7 +43,7 @@ from segrisk.plans import (
 from segrisk.plans.composite import Dimension
 from segrisk.schemas import AWARDS, MANIFEST
 from segrisk.session import scratch_path, stored
-from segrisk.sources import delimited, keyed_store, landed, sinks, tables
+from segrisk.sources import delimited, keyed_store, landed, ledger, sinks, tables
 from segrisk.workload import facts
 from segrisk.workload.facts import table
 
@@ -927,13 +928,57 @@ def rescored_segments(spark, sf_dir):
     last = yearly.agg(F.max("year")).scalar()
     early = stored(geographic.destination_totals(facts.trade(spark, sf_dir).where(F.col("hs_code") != "8802")), "early-trade")
     first = scoring.score_stepwise(parts.where(F.col("recipient_name").isNotNull()), early, yearly.where(F.col("year") < last))
-    rescoring.keep_segments(first, path)
+    rescoring.keep_segments(first, path, buckets=16)
     rescoring.rescore_workforce(spark, path, yearly)
     rescoring.rescore_geographic(spark, path, trade)
     rescoring.rescore_concentration(spark, path, concentration.state_profile(parts))
     return scoring.exported(scoring.canonical(keyed_store.read(spark, path)))
 
 
+@query
+def running_concentration(spark, sf_dir):
+    """Concentration by state, kept up to date over three batches of awards by year."""
+    path = scratch_path(spark, "running")
+    running.start(spark, path, buckets=16)
+    awards = facts.awards(spark, sf_dir)
+    year = F.coalesce(F.year("start_date"), F.lit(0))
+    for name, batch in {"early": year < 1997, "middle": year.between(1997, 1998), "late": year > 1998}.items():
+        running.apply_batch(spark, path, concentration.award_parts(awards.where(batch)), name)
+    return rounded(running.profile(spark, path))
+
+
+@query
+def delivered_awards(spark, sf_dir):
+    """Award pages in three deliveries: some are sent again, some of them corrected; each counts once, as last sent."""
+    path, store = scratch_path(spark, "deliveries"), scratch_path(spark, "delivered")
+    pages = _award_pages(spark, sf_dir, "l_linenumber", "l_orderkey")
+    bundle = F.concat(F.col("l_linenumber").cast("string"), F.lit("-"), F.pmod("l_orderkey", F.lit(8)).cast("string"))
+    inner = F.substring(F.col("body"), F.lit(2), F.length("body") - 2)
+    bodies = (
+        pages.select(bundle.alias("name"), inner.alias("record"))
+        .groupBy("name")
+        .agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("record")), ","), F.lit("]")).alias("body"))
+    )
+    bodies = stored(bodies, "bundles")
+    wrong = F.replace("body", F.lit("Supplier"), F.lit("Suplier"))
+    first, late = F.col("name").startswith("1-"), F.col("name") >= "4"
+    deliveries = (
+        bodies.where(~late).withColumn("body", F.when(first, wrong).otherwise(F.col("body"))),
+        bodies.where(late | F.col("name").startswith("2-")),
+        bodies.where(first | F.col("name").startswith("5-")),
+    )
+    for n, sent in enumerate(deliveries):
+        sent.repartition("name").write.partitionBy("name").text(f"{path}/{n}")
+        ledger.land(spark, f"{path}/{n}", store, "awards", lambda file: F.regexp_extract(file, "name=([^/]+)/", 1), buckets=16)
+    parsed = ledger.records(spark, store)
+    return parsed.groupBy("state").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count("award_amount").alias("amount_count"),
+        dollars(F.sum(cents(F.col("award_amount")))).alias("total_value"),
+        F.count_distinct("recipient_name").alias("recipients"),
+    )
+
+
 @query
 def replaced_versions(spark, sf_dir):
     """A frame read before a replacement keeps its version, one read after it sees the new one."""

@@ -1,0 +1,190 @@
+"""Concentration kept up to date, and landing of only what is new."""
+
+import json
+import os
+import random
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from segrisk.plans import concentration, running
+from segrisk.sources import keyed_store, landed, ledger
+
+KIND = "recipient_name string, award_amount double, state string, naics_code string, start_date date"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def rounded(df):
+    return rows(df.withColumn("hhi_score", F.round("hhi_score", 6)))
+
+
+def made(seed, n):
+    rng = random.Random(seed)
+    return [
+        (rng.choice([None, "A", "B", "C", f"r{rng.randrange(20)}"]), rng.choice([None, 0.0, -5.25, 10.5, 1e9, rng.random() * 100]),
+         rng.choice(["TX", " tx ", "WI", "??", None]), rng.choice([None, "336411"]), None)
+        for _ in range(n)
+    ]
+
+
+def parts(spark, given):
+    return concentration.award_parts(spark.createDataFrame(given, KIND))
+
+
+def test_batches_equal_the_full_run_and_read_no_old_awards(spark, tmp_path):
+    path = str(tmp_path / "run")
+    running.start(spark, path, 8, 4)
+    batches = [made(seed, n) for seed, n in ((1, 120), (2, 1), (3, 0), (4, 90))]
+    for k, batch in enumerate(batches):
+        at = str(tmp_path / f"batch{k}")
+        spark.createDataFrame(batch, KIND).write.parquet(at)
+        running.apply_batch(spark, path, concentration.award_parts(spark.read.schema(KIND).parquet(at)), f"b{k}")
+        shutil.rmtree(at)  # a later batch that wanted to read it would fail
+        so_far = [r for b in batches[: k + 1] for r in b]
+        assert rounded(running.profile(spark, path)) == rounded(concentration.state_profile(parts(spark, so_far)))
+
+
+def test_only_named_recipients_are_written_again(spark, tmp_path):
+    path = str(tmp_path / "run")
+    running.start(spark, path, 32, 4)
+    running.apply_batch(spark, path, parts(spark, [(f"r{i}", 5.0, "TX", None, None) for i in range(300)]), "first")
+    before = {p for p in (tmp_path / "run" / "entities").rglob("*.parquet")}
+    running.apply_batch(spark, path, parts(spark, [("r7", 1.0, "TX", None, None)]), "second")
+    new = {p for p in (tmp_path / "run" / "entities").rglob("*.parquet")} - before
+    assert len({p.parent.name for p in new}) == 1
+
+
+@pytest.mark.parametrize("broken_call", [1, 2])
+def test_a_batch_that_was_cut_off_counts_once(spark, tmp_path, monkeypatch, broken_call):
+    path = str(tmp_path / "run")
+    running.start(spark, path, 8, 4)
+    one, two = made(5, 60), made(6, 60)
+    running.apply_batch(spark, path, parts(spark, one), "one")
+    update, calls = keyed_store.update, []
+
+    def cut_off(*args, **named):
+        calls.append(1)
+        if len(calls) == broken_call:
+            raise RuntimeError("lost")
+        return update(*args, **named)
+
+    monkeypatch.setattr(keyed_store, "update", cut_off)
+    with pytest.raises(RuntimeError, match="lost"):
+        running.apply_batch(spark, path, parts(spark, two), "two")
+    monkeypatch.setattr(keyed_store, "update", update)
+    for _ in range(2):
+        running.apply_batch(spark, path, parts(spark, two), "two")
+    assert rounded(running.profile(spark, path)) == rounded(concentration.state_profile(parts(spark, one + two)))
+
+
+# --- ledger -----------------------------------------------------------------------
+
+
+def page(*names, state="TX"):
+    return json.dumps([{"Recipient Name": n, "Award Amount": 1.5, "Place of Performance State Code": state, "Start Date": "2022-01-02"} for n in names])
+
+
+def deliver(folder, **pages):
+    folder.mkdir(exist_ok=True)
+    for name, body in pages.items():
+        (folder / f"{name}.json").write_text(body)
+
+
+@pytest.fixture
+def parsed_bodies(monkeypatch):
+    """Counts the bodies that reach the parser."""
+    seen = []
+    parse = landed.parse_awards
+
+    def counting(bodies, **args):
+        seen.extend(r["response"] for r in bodies.collect())
+        return parse(bodies, **args)
+
+    monkeypatch.setitem(ledger.PARSERS, "awards", counting)
+    return seen
+
+
+def names(spark, store):
+    return sorted(r["recipient_name"] for r in ledger.records(spark, store).collect())
+
+
+def test_three_deliveries(spark, tmp_path, parsed_bodies):
+    store = str(tmp_path / "store")
+    deliver(tmp_path / "1", p1=page("a", "a"), p2=page("b", "Wrong"), empty="")
+    assert ledger.land(spark, str(tmp_path / "1"), store, "awards", buckets=4) == 2, "an empty file is no response"
+    assert names(spark, store) == ["Wrong", "a", "a", "b"]
+    assert ledger.land(spark, str(tmp_path / "1"), store, "awards") == 0, "a re-run adds nothing"
+    deliver(tmp_path / "2", p1=page("a", "a"), p3=page("c"))
+    assert ledger.land(spark, str(tmp_path / "2"), store, "awards") == 1, "a page sent again is not parsed"
+    deliver(tmp_path / "3", p2=page("b", "right"))
+    assert ledger.land(spark, str(tmp_path / "3"), store, "awards") == 1
+    assert names(spark, store) == ["a", "a", "b", "c", "right"]
+    assert sorted(parsed_bodies) == ["p1.json", "p2.json", "p2.json", "p3.json"]
+    assert {r["response"]: r["file"].split("/")[-2] for r in ledger.entries(spark, store).collect()} == {
+        "p1.json": "2", "p2.json": "3", "p3.json": "2"
+    }
+
+
+def test_changed_and_touched_files_of_one_folder(spark, tmp_path, parsed_bodies):
+    store, folder = str(tmp_path / "store"), tmp_path / "d"
+    deliver(folder, p1=page("a"), p2=page("b"))
+    ledger.land(spark, str(folder), store, "awards", buckets=4)
+    os.utime(folder / "p1.json", (2_000_000_000, 2_000_000_000))
+    assert ledger.land(spark, str(folder), store, "awards") == 0, "a new time alone is no change"
+    (folder / "p2.json").write_text(page("b2", "b3"))
+    os.utime(folder / "p2.json", (2_000_000_001, 2_000_000_001))
+    assert ledger.land(spark, str(folder), store, "awards") == 1
+    assert names(spark, store) == ["a", "b2", "b3"] and parsed_bodies[-1:] == ["p2.json"] and len(parsed_bodies) == 3
+
+
+def test_only_late_files_are_read(spark, tmp_path):
+    """The least time of the new files stands in the scan's filters."""
+    folder = tmp_path / "d"
+    deliver(folder, p1=page("a"))
+    files = ledger._listing(spark, str(folder), None)
+    plan = files.where(F.col("modified") >= F.lit("2024-01-01").cast("timestamp")).select("content")._jdf.queryExecution().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(modificationTime" in plan
+
+
+def test_unreadable_response_stops_or_counts_as_empty(spark, tmp_path):
+    store = str(tmp_path / "store")
+    deliver(tmp_path / "1", p1=page("a"), p2='[{"Recipient Name": "b"')
+    with pytest.raises(Exception, match="unreadable awards response"):
+        ledger.land(spark, str(tmp_path / "1"), store, "awards", buckets=4)
+    assert not (tmp_path / "store").exists()
+    assert ledger.land(spark, str(tmp_path / "1"), store, "awards", strict=False, buckets=4) == 2
+    assert names(spark, store) == ["a"]
+    deliver(tmp_path / "2", p2=page("b"))
+    assert ledger.land(spark, str(tmp_path / "2"), store, "awards") == 1 and names(spark, store) == ["a", "b"]
+
+
+def test_landing_cut_off_before_the_ledger(spark, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    deliver(tmp_path / "1", p1=page("a"), p2=page("b"))
+    ledger.land(spark, str(tmp_path / "1"), store, "awards", buckets=4)
+    deliver(tmp_path / "2", p1=page("a2"), p3=page("c"))
+    update = keyed_store.update
+    monkeypatch.setattr(keyed_store, "update", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ledger.land(spark, str(tmp_path / "2"), store, "awards")
+    monkeypatch.setattr(keyed_store, "update", update)
+    assert ledger.land(spark, str(tmp_path / "2"), store, "awards") == 2
+    assert names(spark, store) == ["a2", "b", "c"]
+
+
+@pytest.mark.parametrize("kind", ["trade", "employment"])
+def test_other_kinds_keep_the_response(spark, tmp_path, kind):
+    header = ["CTY_CODE", "CTY_NAME", "ALL_VAL_YR", "E_COMMODITY", "time"]
+    body = {
+        "trade": json.dumps([header, ["1220", "C", "5", "8802", "2022-12"]]),
+        "employment": json.dumps({"status": landed.SUCCESS, "Results": {"series": [{"seriesID": "s", "data": [{"year": "2022", "period": "M01", "value": "1"}]}]}}),
+    }[kind]
+    deliver(tmp_path / "1", r=body)
+    store = str(tmp_path / "store")
+    assert ledger.land(spark, str(tmp_path / "1"), store, kind, buckets=4) == 1
+    (row,) = ledger.records(spark, store).collect()
+    assert row["response"] == "r.json" and row["year"] == 2022
