@@ -84,5 +84,3 @@ MANIFEST = _struct(
     tokens_used=LongType(),
     generated_at=StringType(),
 )
-
-BRIEFS = _struct(identifier=StringType(), brief_text=StringType())

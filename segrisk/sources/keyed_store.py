@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from segrisk.sources.versions import current, file_system, pointer, publish, read_small, write_small
 
@@ -22,6 +22,8 @@ from segrisk.sources.versions import current, file_system, pointer, publish, rea
 BUCKETS = 64
 PARTS = "_parts.json"
 BUCKET = "_bucket"
+#: Values of a point lookup, which stand in its plan.
+MOST_FOUND = 1_000
 
 
 def bucket_of(keys: Sequence[str], n: int) -> Column:
@@ -46,19 +48,23 @@ def needed(spark: SparkSession, path: str) -> Callable[[str], Iterable[str]]:
 
 
 def _write_buckets(rows: DataFrame, listing: dict, folder: str) -> list[str]:
-    """Write rows by bucket; returns the buckets that have any."""
+    """Write rows by bucket, in key order so that pages know their range; returns the buckets that have any."""
     spark = rows.sparkSession
     dealt = rows.withColumn(BUCKET, bucket_of(listing["keys"], listing["buckets"]))
-    dealt.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder)
+    ordered = dealt.repartition(BUCKET).sortWithinPartitions(BUCKET, *[f"`{k}`" for k in listing["keys"]])
+    ordered.write.options(**listing.get("options", {})).partitionBy(BUCKET).parquet(folder)
     system, place = file_system(spark, folder)
     names = [s.getPath().getName() for s in system.listStatus(place)]
     return [n.partition("=")[2] for n in names if n.startswith(f"{BUCKET}=")]
 
 
-def create(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> str:
-    """Write ``df`` as a keyed table, or replace the one that is there. Returns the version's name."""
+def create(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS, options: dict[str, str] | None = None) -> str:
+    """Write ``df`` as a keyed table, or replace the one that is there. Returns the version's name.
+
+    ``options`` of the Parquet writer hold for this and all later versions.
+    """
     spark = df.sparkSession
-    listing = {"buckets": buckets, "keys": list(keys), "schema": df.schema.jsonValue()}
+    listing = {"buckets": buckets, "keys": list(keys), "schema": df.schema.jsonValue(), "options": options or {}}
 
     def write(folder: str) -> None:
         name = folder.rpartition("/")[2]
@@ -88,6 +94,34 @@ def lookup(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     return found.join(keys, same_key(found, keys, listing["keys"]), "left_semi")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    return pointer(spark, path)["current"] is not None
+
+
+def _any_of(key: Column, values: Sequence) -> Column:
+    """``key`` is one of the values, as a balanced tree that the scan takes whole; a list it would cut or nest too deep."""
+    if len(values) <= 1:
+        return key == F.lit(values[0]) if values else F.lit(False)
+    half = len(values) // 2
+    return _any_of(key, values[:half]) | _any_of(key, values[half:])
+
+
+def find(spark: SparkSession, path: str, values: Sequence) -> DataFrame:
+    """Rows whose key, a single column, is among a list of up to ``MOST_FOUND`` values.
+
+    Of the buckets that they belong to, only pages whose range holds a value are
+    read, since all values reach the scan.
+    """
+    if len(values) > MOST_FOUND:
+        raise ValueError(f"{len(values)} values: put them into a table and use lookup")
+    listing = parts(spark, path)
+    (key,) = listing["keys"]
+    kind = StructType.fromJson(listing["schema"])[key].dataType
+    wanted = spark.createDataFrame([(v,) for v in values], StructType([StructField(key, kind)]))
+    rows = _scan(spark, path, listing, _touched(wanted, listing))
+    return rows.where(_any_of(F.col(f"`{key}`"), sorted(set(values))))
+
+
 def _touched(keys: DataFrame, listing: dict) -> list[str]:
     """Buckets of some keys; at most as many rows as there are buckets reach the driver."""
     rows = keys.select(bucket_of(listing["keys"], listing["buckets"]).alias("b")).distinct().collect()

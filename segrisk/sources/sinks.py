@@ -10,9 +10,18 @@ from segrisk.operators.shape import conform
 from segrisk.plans.explore import display_view
 from segrisk.plans.scoring import canonical, canonical_order, exported
 from segrisk.schemas import MANIFEST, SCORED
+from segrisk.session import stored
+from segrisk.sources import keyed_store
 from segrisk.sources.delimited import CSV_OPTIONS
 from segrisk.sources.versions import publish, replace_folder
 
+#: A page holds so many briefs at most; a filter tells which files cannot hold an identifier.
+BRIEF_PAGES = {
+    "parquet.page.row.count.limit": "16",
+    "parquet.bloom.filter.enabled#identifier": "true",
+    "parquet.bloom.filter.expected.ndv#identifier": "20000",
+}
+
 
 def write_raw(bodies: DataFrame, path: str) -> None:
     """Bronze: the responses exactly as received, one JSON string field per line."""
@@ -50,19 +59,18 @@ def export_segments(segments: DataFrame, path: str) -> DataFrame:
     return table
 
 
-def write_briefs(briefs: DataFrame, path: str) -> None:
-    """Upsert by key: only the identifiers in ``briefs`` are replaced.
+def write_briefs(briefs: DataFrame, path: str, buckets: int = keyed_store.BUCKETS) -> None:
+    """Upsert by key: the identifiers in ``briefs``, one row each, are replaced, with the time of this write.
 
-    Rows meet by identifier before the write, so each key's folder gets one file.
+    Any number of briefs share a bounded number of files. Pages of a few briefs
+    each, in order of identifier, let a lookup read little more than it wants.
     """
-    (
-        briefs.select("identifier", "brief_text")
-        .repartition("identifier")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("identifier")
-        .parquet(path)
-    )
+    spark = briefs.sparkSession
+    fresh = briefs.select("identifier", "brief_text", F.current_timestamp().alias("modified_at"))
+    if keyed_store.exists(spark, path):
+        keyed_store.update(spark, path, stored(fresh, "briefs"))
+    else:
+        keyed_store.create(fresh, path, ["identifier"], buckets, BRIEF_PAGES)
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:

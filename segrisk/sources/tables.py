@@ -10,7 +10,8 @@ from pyspark.sql.types import StructType
 
 from segrisk.functions.values import parse_number
 from segrisk.operators.shape import conform
-from segrisk.schemas import AWARDS, BRIEFS, EMPLOYMENT, MANIFEST, SCORED, SEGMENTS, TRADE
+from segrisk.schemas import AWARDS, EMPLOYMENT, MANIFEST, SCORED, SEGMENTS, TRADE
+from segrisk.sources import keyed_store
 from segrisk.sources.delimited import read_delimited
 from segrisk.sources.versions import current
 
@@ -74,9 +75,21 @@ def read_briefs(spark: SparkSession, path: str, extension: str = ".txt") -> Data
 
 
 def read_brief_store(spark: SparkSession, path: str) -> DataFrame:
-    """Briefs written by ``write_briefs``."""
-    df = spark.read.option("basePath", path).schema(BRIEFS).parquet(path)
-    return df.select("identifier", "brief_text", F.col("_metadata.file_modification_time").alias("modified_at"))
+    """Briefs written by ``write_briefs``: identifier, brief_text, modified_at."""
+    return keyed_store.read(spark, path)
+
+
+def find_briefs(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """The briefs of the identifiers in ``wanted``.
+
+    Up to ``MOST_FOUND`` of them, a number that is measured, are pushed to the
+    scan, which reads the pages that hold them; more are joined with their buckets.
+    """
+    keys = wanted.select("identifier").distinct()
+    few = [r[0] for r in keys.limit(keyed_store.MOST_FOUND + 1).collect()]
+    if len(few) > keyed_store.MOST_FOUND:
+        return keyed_store.lookup(spark, path, keys)
+    return keyed_store.find(spark, path, few)
 
 
 def load_briefs(segments: DataFrame, briefs: DataFrame) -> DataFrame:

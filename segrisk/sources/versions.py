@@ -132,3 +132,17 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None])
         system.rename(place, path_of(old))
     system.rename(path_of(fresh), place)
     system.delete(path_of(old), True)
+
+
+def name_files(spark: SparkSession, path: str, extension: str) -> None:
+    """Give the one file in each folder ``key=value`` below ``path`` the name of the value, in ``path`` itself.
+
+    For hand-over folders of a bounded number of documents: one rename a file, by the driver.
+    """
+    system, place = file_system(spark, path)
+    for folder in system.listStatus(place):
+        _, key, value = folder.getPath().getName().partition("=")
+        if key:
+            (part,) = [s.getPath() for s in system.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-")]
+            system.rename(part, spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{value}{extension}"))
+            system.delete(folder.getPath(), True)

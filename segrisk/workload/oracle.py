@@ -674,6 +674,15 @@ ORACLE["exported_segments"] = ON_SEGMENTS + " SELECT * EXCLUDE (padded) FROM seg
 ORACLE["exported_view"] = ON_SEGMENTS + """
 SELECT row_type AS "Type", state AS "State", naics_label AS "Sector", composite_risk_score AS "Risk Score", risk_tier AS "Risk Tier",
        hhi_score AS "HHI", geo_risk_score AS "Geo Risk", workforce_risk_score AS "Workforce Risk" FROM segment WHERE risk_tier = 'High'"""
+ORACLE["brief_files"] = ON_SEGMENTS + f"""
+SELECT coalesce(state, naics_code) AS identifier, md5(body) AS brief_md5, length(body) AS n_chars
+FROM (SELECT state, naics_code, CASE WHEN state IN ('WY', 'AK') THEN NULL
+             ELSE CASE WHEN row_type = 'STATE' THEN {_STATE_PROMPT} ELSE {_SECTOR_PROMPT} END || chr(10) END AS body FROM segment)"""
+ORACLE["brief_lookup"] = """
+WITH store AS (
+  SELECT 'D' || doc_id AS identifier, text FROM documents WHERE doc_id NOT IN (SELECT s_suppkey FROM supplier)
+  UNION ALL SELECT 'D' || s_suppkey, s_name FROM supplier)
+SELECT identifier, md5(text) AS brief_md5 FROM store WHERE identifier IN (SELECT 'D' || (s_suppkey * 3) FROM supplier)"""
 ORACLE["brief_store"] = ON_SEGMENTS + """
 SELECT coalesce(state, naics_code) AS identifier,
        CASE WHEN state = 'WY' THEN NULL WHEN row_type = 'NAICS' THEN 'second NAICS ' || naics_code ELSE 'STATE ' || state END AS brief_text

@@ -43,7 +43,7 @@ from segrisk.plans import (
 from segrisk.plans.composite import Dimension
 from segrisk.schemas import AWARDS, MANIFEST
 from segrisk.session import scratch_path, stored
-from segrisk.sources import delimited, keyed_store, landed, ledger, sinks, tables
+from segrisk.sources import delimited, keyed_store, landed, ledger, sinks, tables, versions
 from segrisk.workload import facts
 from segrisk.workload.facts import table
 
@@ -1027,6 +1027,31 @@ def brief_store(spark, sf_dir):
     return tables.load_briefs(prompts.select("identifier"), stored)
 
 
+@query
+def brief_files(spark, sf_dir):
+    """A folder of briefs as text files, one per segment, joined to the segments; two files are missing."""
+    path = scratch_path(spark, "brief-files")
+    prompts = briefs.prompts(facts.segments(spark, sf_dir)).select("identifier", "label", "prompt")
+    texts = prompts.where(~F.col("label").isin("STATE WY", "STATE AK")).select("identifier", "prompt")
+    texts.repartition("identifier").write.partitionBy("identifier").text(path, lineSep="\n")
+    versions.name_files(spark, path, ".txt")
+    found = tables.load_briefs(prompts.select("identifier"), tables.read_briefs(spark, path))
+    return found.select("identifier", F.md5("brief_text").alias("brief_md5"), F.length("brief_text").cast("long").alias("n_chars"))
+
+
+@query
+def brief_lookup(spark, sf_dir):
+    """All documents as briefs in one store, those with a supplier's number written again, then some found by identifier."""
+    path = scratch_path(spark, "brief-lookup")
+    name = F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("identifier")
+    sinks.write_briefs(table(spark, sf_dir, "documents").select(name, F.col("text").alias("brief_text")), path, buckets=16)
+    suppliers = table(spark, sf_dir, "supplier")
+    numbered = lambda n: F.concat(F.lit("D"), n.cast("string")).alias("identifier")
+    sinks.write_briefs(suppliers.select(numbered(F.col("s_suppkey")), F.col("s_name").alias("brief_text")), path)
+    wanted = suppliers.select(numbered(F.col("s_suppkey") * 3))
+    return tables.find_briefs(spark, path, wanted).select("identifier", F.md5("brief_text").alias("brief_md5"))
+
+
 @query
 def manifest_array(spark, sf_dir):
     """The manifest as files that hold one JSON array each, one per kind of row."""

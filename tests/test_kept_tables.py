@@ -203,3 +203,46 @@ def test_new_state_and_lost_sector(spark, sf_dir, tmp_path):
     rescoring.rescore_workforce(spark, path, yearly.limit(0))
     left = keyed_store.read(spark, path).where("row_type = 'NAICS'").collect()
     assert left and all(r["workforce_risk_score"] is None and r["composite_risk_score"] == r["geo_risk_score"] for r in left)
+
+
+# --- briefs ----------------------------------------------------------------------------
+
+
+def bytes_read(spark):
+    """Bytes that the file systems of this machine's one JVM have read so far."""
+    total = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().iterator()
+    n = 0
+    while total.hasNext():
+        value = total.next().getLong("bytesRead")
+        n += value or 0
+    return n
+
+
+def test_lookup_reads_few_bytes(spark, tmp_path):
+    """1,000 identifiers among a million: under a twentieth of the store is read."""
+    path, n = str(tmp_path / "store"), 1_000_000
+    text = F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(k)), 256) for k in "abcd"])
+    sinks.write_briefs(spark.range(n).select(F.format_string("S%09d", "id").alias("identifier"), text.alias("brief_text")), path)
+    size = sum(p.stat().st_size for p in (tmp_path / "store").rglob("*.parquet"))
+    wanted = spark.range(1000).select(F.format_string("S%09d", (F.col("id") * 7919 + 13) % (n + 5000)).alias("identifier"))
+    before = bytes_read(spark)
+    found = tables.find_briefs(spark, path, wanted).collect()
+    read = bytes_read(spark) - before
+    there = {r["identifier"] for r in wanted.collect() if int(r["identifier"][1:]) < n}
+    assert {r["identifier"] for r in found} == there and len(found) == len(there) > 900
+    assert read < 0.05 * size, (read, size)
+
+
+def test_briefs_keep_their_time_and_many_are_joined(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    build = lambda **texts: spark.createDataFrame(list(texts.items()), "identifier string, brief_text string")
+    sinks.write_briefs(build(a="1", b="2", c="3"), path, 1)
+    first = {r["identifier"]: r["modified_at"] for r in tables.read_brief_store(spark, path).collect()}
+    sinks.write_briefs(build(b="new", d="4"), path)
+    after = {r["identifier"]: r for r in tables.read_brief_store(spark, path).collect()}
+    assert {k: r["brief_text"] for k, r in after.items()} == {"a": "1", "b": "new", "c": "3", "d": "4"}
+    assert [after[k]["modified_at"] == first[k] for k in "abc"] == [True, False, True], "peers keep their time"
+    monkeypatch.setattr(keyed_store, "MOST_FOUND", 1)
+    wanted = spark.createDataFrame([("a",), ("d",), ("x",)], "identifier string")
+    assert sorted(r["identifier"] for r in tables.find_briefs(spark, path, wanted).collect()) == ["a", "d"]
+    assert keyed_store.find(spark, path, []).count() == 0
