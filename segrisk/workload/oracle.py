@@ -607,6 +607,36 @@ ORACLE["cleaned_lines"] = f"""
 WITH marked AS (SELECT doc_id, {_MARKED} AS marked FROM documents),
 given AS (SELECT doc_id, replace({_SINGLE.format(x=_SINGLE.format(x=_FOLDED_MARKS))}, '__', '') AS text FROM marked),""" + _LINES
 
+# --- selection, periods, sketches, layout ------------------------------------------
+
+ORACLE["median_price_by_nation"] = """
+SELECT s_nationkey, count(*) AS n, round_even(median(l_extendedprice), 4) AS median_price
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey"""
+ORACLE["scope_totals"] = """
+WITH daily AS (
+  SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(28,2))) AS price FROM lineitem GROUP BY 1),
+period AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS starts, CAST(o_orderdate AS DATE) + CAST(o_custkey % 400 AS INTEGER) AS ends FROM orders)
+SELECT o_orderkey, CAST(coalesce(sum(n), 0) AS BIGINT) AS award_count, CAST(sum(price) AS DOUBLE) AS total_value
+FROM period LEFT JOIN daily ON day BETWEEN starts AND ends GROUP BY o_orderkey"""
+ORACLE["fiscal_scope_pairs"] = ON_AWARDS + """,
+scopes AS (SELECT kind || y AS scope, make_date(y - 1, 10, 1) AS starts, CASE kind WHEN 'FY' THEN make_date(y, 9, 30) ELSE make_date(y, 3, 31) END AS ends
+  FROM (VALUES ('FY'), ('H')) AS k(kind), (SELECT CAST(unnest(range(1995, 2003)) AS BIGINT) AS y))
+SELECT scope, count(*) AS row_count, CAST(sum(amount) AS DOUBLE) AS total_value
+FROM award JOIN scopes ON start_date BETWEEN starts AND ends GROUP BY scope"""
+ORACLE["merged_distinct_suppliers"] = """
+WITH item AS (
+  SELECT n_regionkey, n_name, CAST(year(l_shipdate) AS INTEGER) AS year, l_suppkey
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
+SELECT 3 - grouping(n_regionkey) - grouping(n_name) - grouping(year) AS depth, n_regionkey, n_name, year,
+       count(DISTINCT l_suppkey) AS suppliers, TRUE AS is_exact
+FROM item GROUP BY ROLLUP (n_regionkey, n_name, year)"""
+ORACLE["laid_out_awards"] = ON_AWARDS + """
+SELECT 'state' AS scan, count(*) AS row_count, CAST(sum(amount) AS DOUBLE) AS total_value FROM award WHERE state_raw = 'WI'
+UNION ALL SELECT 'year', count(*), CAST(sum(amount) AS DOUBLE) FROM award WHERE year(start_date) = 1997
+UNION ALL SELECT 'recipient', count(*), CAST(sum(amount) AS DOUBLE) FROM award WHERE recipient_name = 'Supplier#000000007'
+UNION ALL SELECT 'none', count(*), CAST(sum(amount) AS DOUBLE) FROM award WHERE state_raw IS NULL"""
+
 # --- landed responses ---------------------------------------------------------
 
 ORACLE["ingest_awards"] = """

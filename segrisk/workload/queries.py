@@ -25,7 +25,7 @@ from segrisk.dims import (
 )
 from segrisk.functions.scores import classify_hhi, classify_tier, composite_sector, composite_state
 from segrisk.functions.values import cents, dollars, fiscal_year, pad_left, round_even
-from segrisk.operators import filters, keyed, ranking, series, totals
+from segrisk.operators import filters, intervals, keyed, layout, ranking, selection, series, sketches, totals
 from segrisk.operators.shape import rename
 from segrisk.plans import (
     briefs,
@@ -667,6 +667,86 @@ def line_classes(spark, sf_dir):
     return briefs.document_lines(documents, "doc_id", "text")
 
 
+# --- selection, periods, sketches, layout ------------------------------------------
+
+
+@query
+def median_price_by_nation(spark, sf_dir):
+    """Exact median of every nation's prices, whatever its number of items."""
+    items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    joined = items.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    return rounded(selection.quantiles(joined, "s_nationkey", "l_extendedprice").withColumnRenamed("quantile", "median_price"))
+
+
+@query
+def scope_totals(spark, sf_dir):
+    """Awards in a period of its own for every order, up to a year and a month long, overlapping at will."""
+    orders = table(spark, sf_dir, "orders")
+    start = F.col("o_orderdate").cast("date")
+    periods = orders.select(
+        "o_orderkey", start.alias("starts"), F.date_add(start, F.pmod("o_custkey", F.lit(400)).cast("int")).alias("ends")
+    )
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("day"), cents(F.col("l_extendedprice")).alias("price")
+    )
+    sums = {"award_count": F.lit(1), "total": F.col("price")}
+    found = intervals.sums_by_period(items, "day", periods, "o_orderkey", "starts", "ends", sums)
+    return found.select(
+        "o_orderkey", F.coalesce("award_count", F.lit(0)).alias("award_count"), dollars(F.col("total")).alias("total_value")
+    )
+
+
+@query
+def fiscal_scope_pairs(spark, sf_dir):
+    """Every award with every fiscal year and every half of one that contains it, from a table of periods."""
+    years = [(f"FY{y}", f"{y - 1}-10-01", f"{y}-09-30") for y in range(1995, 2003)]
+    halves = [(f"H{y}", f"{y - 1}-10-01", f"{y}-03-31") for y in range(1995, 2003)]
+    periods = values_table(spark, ["scope", "starts", "ends"], [*years, *halves])
+    periods = periods.withColumns({c: F.col(c).cast("date") for c in ("starts", "ends")})
+    awards = facts.awards(spark, sf_dir)
+    pairs = intervals.within_periods(awards, "start_date", periods, "starts", "ends")
+    return pairs.groupBy("scope").agg(F.count(F.lit(1)).alias("row_count"), dollars(F.sum(cents(F.col("award_amount")))).alias("total_value"))
+
+
+@query
+def merged_distinct_suppliers(spark, sf_dir):
+    """Suppliers by nation and year as stored sketches, merged up to nations, regions and all."""
+    path = scratch_path(spark, "sketches")
+    items = table(spark, sf_dir, "lineitem").select("l_suppkey", F.year("l_shipdate").alias("year"))
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    joined = items.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    sketches.sketch(joined, ["n_regionkey", "n_name", "year"], "l_suppkey").write.parquet(path)
+    kept = spark.read.schema("n_regionkey int, n_name string, year int, sketch binary").parquet(path)
+    levels = []
+    for keys in (["n_regionkey", "n_name", "year"], ["n_regionkey", "n_name"], ["n_regionkey"], []):
+        merged = sketches.estimate(sketches.merge(kept, keys), "suppliers")
+        levels.append(merged.select(F.lit(len(keys)).alias("depth"), *keys, "suppliers", "is_exact"))
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), levels)
+    return union.select("depth", "n_regionkey", "n_name", "year", F.round("suppliers").cast("long").alias("suppliers"), "is_exact")
+
+
+@query
+def laid_out_awards(spark, sf_dir):
+    """Awards written along a curve over state, year and recipient; three scans, each by one of them."""
+    path = scratch_path(spark, "curve")
+    awards = facts.awards(spark, sf_dir).withColumn("year", F.year("start_date"))
+    layout.along_curve(awards, ["state", "year", "recipient_name"]).write.parquet(path)
+    kept = spark.read.schema(awards.schema).parquet(path)
+    scans = {
+        "state": kept.where(F.col("state") == "WI"),
+        "year": kept.where(F.col("year") == 1997),
+        "recipient": kept.where(F.col("recipient_name") == "Supplier#000000007"),
+        "none": kept.where(F.col("state").isNull()),
+    }
+    counted = [
+        rows.agg(F.count(F.lit(1)).alias("row_count"), dollars(F.sum(cents(F.col("award_amount")))).alias("total_value")).withColumn("scan", F.lit(name))
+        for name, rows in scans.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # --- landed responses ---------------------------------------------------------
 
 
