@@ -22,11 +22,12 @@ from segrisk.llm.buffers import mix, slices
 UNKNOWN = "und"
 BUCKETS = 1 << 14
 DIMENSION = 16
-#: Bounds of the sample on the driver: languages, rows of a language (about), characters of a row.
-MAX_LANGUAGES = 256
+#: Bounds of the sample on the driver: rows of a language (about), and bytes in all (about); rows are taken whole.
 SAMPLE_ROWS = 1500
-SAMPLE_CHARS = 2000
-EPOCHS = 4
+SAMPLE_BYTES = 48_000_000
+#: Training ends when the loss of the rows kept apart has not fallen for so many epochs, or after the most.
+PATIENCE = 5
+MOST_EPOCHS = 400
 RATE = 2.0
 BATCH = 32
 #: Share of right predictions that the rejection threshold may cost; it is never above STRICTEST.
@@ -95,33 +96,44 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> LanguageModel:
     rows = _counts(pa.array([texts[i] for i in order], pa.string()))
     y = np.array([languages.index(labels[i]) for i in order])
     tuning = np.arange(len(y)) % 5 == 4 if len(y) >= 5 * len(languages) else np.zeros(len(y), bool)
+    seen = np.flatnonzero(~tuning)
+    held = np.flatnonzero(tuning) if tuning.any() else seen
+    # Rows of rare languages count more, so that every language has the same weight.
+    number = np.bincount(y[seen], minlength=len(languages))
+    weight = (len(seen) / np.maximum(number, 1) / len(languages)).clip(max=20).astype(np.float32)
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSION)).astype(np.float32)
     layer = np.zeros((DIMENSION, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    seen = np.flatnonzero(~tuning)
-    steps = EPOCHS * -(-len(seen) // BATCH)
-    step = 0
-    for _ in range(EPOCHS):
+    best, scores, waited, epoch = np.inf, np.zeros((len(languages), BUCKETS), np.float32), 0, 0
+    best_bias = bias
+    shares = np.zeros((BATCH, BUCKETS), np.float32)
+    while waited < PATIENCE and epoch < MOST_EPOCHS:
         rng.shuffle(seen)
         for at in range(0, len(seen), BATCH):
             batch = seen[at : at + BATCH]
-            bucket = np.concatenate([rows[i][0] for i in batch])
-            share = np.concatenate([rows[i][1] for i in batch])
-            row = np.repeat(np.arange(len(batch)), [len(rows[i][0]) for i in batch])
-            mean = np.zeros((len(batch), DIMENSION), np.float32)
-            np.add.at(mean, row, embed[bucket] * share[:, None])
+            share = shares[: len(batch)]
+            share[:] = 0
+            for k, i in enumerate(batch):
+                share[k, rows[i][0]] = rows[i][1]
+            mean = share @ embed
             grad = _softmax(mean @ layer + bias).astype(np.float32)
             grad[np.arange(len(batch)), y[batch]] -= 1
-            rate = np.float32(RATE * (1 - step / steps))
+            grad *= weight[y[batch]][:, None] / len(batch)
             back = grad @ layer.T
-            layer -= rate / len(batch) * (mean.T @ grad)
-            bias -= rate / len(batch) * grad.sum(axis=0)
-            np.add.at(embed, bucket, -rate * share[:, None] * back[row])
-            step += 1
-    scores = (embed @ layer).T.copy()
-    held = np.flatnonzero(tuning) if tuning.any() else seen
+            layer -= RATE * (mean.T @ grad)
+            bias -= RATE * grad.sum(axis=0)
+            embed -= RATE * len(batch) * (share.T @ back)
+        epoch += 1
+        now = (embed @ layer).T
+        logits = np.array([now[:, rows[i][0]] @ rows[i][1] for i in held]) + bias
+        loss = -(np.log(_softmax(logits)[np.arange(len(held)), y[held]] + 1e-12) * weight[y[held]]).mean()
+        waited += 1
+        # A loss that falls by less than a hundredth counts as standing still.
+        if loss < best * 0.99:
+            best, scores, best_bias, waited = loss, now.copy(), bias.copy(), 0
+    bias = best_bias
     logits = np.array([scores[:, rows[i][0]] @ rows[i][1] for i in held]) + bias
-    grid = np.geomspace(0.05, 20, 60)
+    grid = np.geomspace(0.25, 20, 60)
     temperature = float(min(grid, key=lambda t: -np.log(_softmax(logits / t)[np.arange(len(held)), y[held]] + 1e-12).mean()))
     sure = _softmax(logits / temperature)
     right = sure.max(axis=1)[sure.argmax(axis=1) == y[held]]
@@ -133,19 +145,21 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """Learn from a bounded sample of the labelled rows of ``docs``.
 
     Rows with a null language or a text without letters teach nothing. A row is
-    taken if a hash of its key falls under the share that gives about
-    ``SAMPLE_ROWS`` rows of its language, so copies cannot fill the sample.
+    taken, whole, if a hash of its key falls under the share that gives about
+    ``SAMPLE_ROWS`` rows of its language, and about ``SAMPLE_BYTES`` bytes in all,
+    so copies cannot fill the sample. Every language is learned.
     """
-    known = docs.filter(F.col(lang).isNotNull())
-    sizes = known.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    size = F.sum(F.octet_length(text))
+    sizes = known.groupBy(F.col(lang).alias("l")).agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).collect()
     if not sizes:
         return train([], [])
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], min(1.0, SAMPLE_ROWS / r["count"]))])
+    # Rows of a language: a number of them, or fewer where they are long.
+    most = SAMPLE_BYTES / len(sizes)
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], min(1.0, SAMPLE_ROWS / r["n"], most / max(1, r["bytes"])))])
     luck = F.pmod(F.xxhash64(F.col(key), F.lit(20)), F.lit(1 << 20)) / F.lit(1 << 20)
-    taken = (
-        known.filter(luck < F.element_at(share, F.col(lang)))
-        .filter(F.col(text).rlike(r"\p{L}"))
-        .select(F.xxhash64(F.col(key)).alias("k"), F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.col(lang).alias("l"))
+    taken = known.filter(luck < F.element_at(share, F.col(lang))).select(
+        F.xxhash64(F.col(key)).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")
     )
     rows = sorted(taken.collect(), key=lambda r: (r["k"], r["l"], r["t"]))
     return train([r["t"] for r in rows], [r["l"] for r in rows])
