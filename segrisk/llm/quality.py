@@ -144,4 +144,6 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     judged = judge(docs.select(whole.alias("_own"), F.col(text).alias("_t")), rules, "_t", "_own")
-    return judged.filter("kept").select("_own.*")
+    # A filter moves below the columns it needs, and then computes the words anew for every use of
+    # them. It stays above a column that counts rows, so the measures are made once.
+    return judged.withColumn("_row", F.monotonically_increasing_id()).filter("kept AND _row >= 0").select("_own.*")
