@@ -102,32 +102,30 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         lists = batch.column(1)
         count = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-        rows = np.flatnonzero(count)
-        if not len(rows):
+        if not count.any():
             continue
-        texts = batch.column(0).take(pa.array(rows)).to_pylist()
-        out = []
-        for text, wanted in zip(texts, lists.take(pa.array(rows)).to_pylist(), strict=True):
-            raw = text.encode()
-            for w in wanted:
-                piece = raw[w["place"] - w["before"] : w["place"] + w["after"]]
-                out.append((w["key"], w["around"], w["n"], w["kinds"], w["before"], piece))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names
-        )
+        wanted = lists.flatten()
+        row = np.repeat(np.arange(len(count)), count).tolist()
+        before = wanted.field("before")
+        start = pc.subtract(wanted.field("place"), before).to_pylist()
+        end = pc.add(wanted.field("place"), wanted.field("after")).to_pylist()
+        raw = batch.column(0).cast(pa.binary()).to_pylist()
+        pieces = pa.array([raw[r][s:e] for r, s, e in zip(row, start, end, strict=True)], pa.binary())
+        columns = [wanted.field(c) for c in names[:4]]
+        yield pa.RecordBatch.from_arrays([*columns, before, pieces], names)
 
 
 def _texts(rows: pa.Table) -> Texts:
-    pieces = rows["bytes"].to_pylist()
-    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    pieces = rows["bytes"].cast(pa.large_binary()).combine_chunks()
+    edges = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+    data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
     before = rows["before"].to_numpy().astype(np.int64)
-    start = np.cumsum(size) - size
-    return Texts(np.frombuffer(b"".join(pieces), np.uint8), start + before, before, size - before)
+    size, start = np.diff(edges), edges[:-1] - edges[0]
+    return Texts(data, start + before, before, size - before)
 
 
 def _repeated(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Offsets of repeated windows of every surrounding; rows come ordered by anchor."""
+    """Runs (low to high) of offsets of repeated windows of every surrounding; rows come ordered by anchor."""
     waiting: list[pa.RecordBatch] = []
     size = 0
 
@@ -139,7 +137,7 @@ def _repeated(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iter
         key = rows["key"].to_numpy()
         group = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
         found = repeated_offsets(_texts(rows), group, length)
-        return _offsets(rows, found)
+        return _found_runs(rows, found)
 
     for batch in batches:
         batch = batch.filter(pc.less_equal(batch["kinds"], most))
@@ -157,12 +155,15 @@ def _repeated(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iter
         yield settle(pa.Table.from_batches(waiting))
 
 
-def _offsets(rows: pa.Table, found: np.ndarray) -> pa.RecordBatch:
-    item, offset = np.nonzero(found)
+def _found_runs(rows: pa.Table, found: np.ndarray) -> pa.RecordBatch:
+    edge = np.zeros((len(found), 1), bool)
+    padded = np.hstack([edge, found, edge])
+    item, low = np.nonzero(found & ~padded[:, :-2])
+    _, high = np.nonzero(found & ~padded[:, 2:])
     return pa.RecordBatch.from_arrays(
-        [rows["key"].take(pa.array(item)).combine_chunks(), rows["around"].take(pa.array(item)).combine_chunks(),
-         pa.array(offset.astype(np.int32))],
-        ["key", "around", "back"],
+        [*(rows[c].take(pa.array(item)).combine_chunks() for c in ("key", "around")),
+         *(pa.array(x.astype(np.int32)) for x in (low, high))],
+        ["key", "around", "low", "high"],
     )
 
 
@@ -185,14 +186,20 @@ def _cut(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch
     names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     for batch in batches:
         out = []
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            raw, parts, at, n = text.encode(), [], 0, 0
+        lists = batch.column(2)
+        count = pc.list_value_length(lists).fill_null(0).to_pylist()
+        spans = lists.flatten()
+        starts, ends = (spans.field(c).to_pylist() for c in ("start", "end"))
+        found, first = list(zip(starts, ends, strict=True)), 0
+        for raw, k in zip(batch.column(1).cast(pa.binary()).to_pylist(), count, strict=True):
+            parts, at, n = [], 0, 0
             runs: list[list[int]] = []
-            for span in sorted((s["start"], s["end"]) for s in spans or ()):
+            for span in sorted(found[first : first + k]):
                 if runs and span[0] <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], span[1])
                 else:
                     runs.append(list(span))
+            first += k
             for start, end in runs:
                 parts.append(raw[at:start])
                 at, n = end, n + end - start
@@ -254,15 +261,14 @@ def _remove(base: DataFrame, length: int) -> DataFrame:
     salt = F.when(F.col("kinds") > limit, F.pmod("around", F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
     dealt = shown.withColumn("salt", salt).repartition("key", "salt")
     ordered = dealt.sortWithinPartitions("key", "around")
-    sorted_ = ordered.mapInArrow(lambda b: _repeated(b, length, limit), "key long, around long, back int")
+    sorted_ = ordered.mapInArrow(lambda b: _repeated(b, length, limit), "key long, around long, low int, high int")
     windows = dealt.mapInArrow(lambda b: _windows(b, length, limit), "key long, around long, back int, window long")
     least, most = F.min("around").alias("least"), F.max("around").alias("most")
     common = windows.groupBy("key", "back", "window").agg(least, most).filter("least < most").select("key", "back", "window")
     counted = windows.join(common, ["key", "back", "window"], "left_semi").select("key", "around", "back")
     # Runs of offsets: those of one surrounding are at most as many as a window is long.
     runs = (
-        sorted_.unionByName(counted)
-        .groupBy("key", "around")
+        counted.groupBy("key", "around")
         .agg(F.sort_array(F.collect_set("back")).alias("b"))
         .select("key", "around", F.explode(_runs(F.col("b"))).alias("run"))
         .select("key", "around", "run.low", "run.high")
@@ -271,7 +277,7 @@ def _remove(base: DataFrame, length: int) -> DataFrame:
         "key", "around",
         F.greatest(F.lit(0), length - F.col("one.after")).alias("low"), F.col("one.before").alias("high"),
     )
-    settled = runs.unionByName(full.filter("low <= high"))
+    settled = sorted_.unionByName(runs).unionByName(full.filter("low <= high"))
     spans = (
         repeated.join(settled, ["key", "around"])
         .select("_row", "_crc", F.struct((F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + length).alias("end")).alias("span"))

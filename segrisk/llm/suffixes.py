@@ -25,6 +25,8 @@ class Texts:
     def __init__(self, data: np.ndarray, anchor: np.ndarray, left: np.ndarray, right: np.ndarray):
         self.data, self.anchor, self.left, self.right = data, anchor, left, right
         self.first = anchor - left
+        # The eight bytes from every place on.
+        self.lanes = np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(9, np.uint8)), strides=(1,))
         longest = int((left + right).max(initial=0)) + 1
         self.powers, self.inverse = powers(_BASE, longest), powers(_INVERSE, longest)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
@@ -62,14 +64,19 @@ class Texts:
         return np.where(end_i & end_j, or_equal, np.where(end_i | end_j, end_i, byte_i < byte_j))
 
     def agree(self, i: np.ndarray, j: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Verification on the bytes: left bytes before and right bytes after both anchors are the same."""
+        """Verification on the bytes, eight at a time: left bytes before and right bytes after both anchors are the same."""
         out = np.ones(len(i), bool)
         for at in range(0, len(i), 4096):
             part = slice(at, at + 4096)
             n = left[part] + right[part]
-            row = np.repeat(np.arange(len(n)), n)
-            x, y = (spread(self.anchor[k[part]] - left[part], n) for k in (i, j))
-            out[part] = np.bincount(row, self.data[x] != self.data[y], len(n)) == 0
+            x, y = (self.anchor[k[part]] - left[part] for k in (i, j))
+            whole, rest = n // 8, n % 8
+            step = spread(np.zeros(len(n), np.int64), whole) * 8
+            differ = self.lanes[np.repeat(x, whole) + step] != self.lanes[np.repeat(y, whole) + step]
+            wrong = np.bincount(np.repeat(np.arange(len(n)), whole), differ, len(n)) > 0
+            # Of the last lane, the bytes of the piece: a shift drops those behind it.
+            tail = (self.lanes[x + 8 * whole] ^ self.lanes[y + 8 * whole]) << (64 - 8 * rest).clip(max=63).astype(np.uint64)
+            out[part] = ~(wrong | ((rest > 0) & (tail != 0)))
         return out
 
 
@@ -150,10 +157,12 @@ def repeated_offsets(texts: Texts, group: np.ndarray, length: int) -> np.ndarray
         for at in range(0, len(i), 4096):
             part = slice(at, at + 4096)
             covers = (offset <= left[part, None]) & (length - offset <= right[part, None])
+            # An item is the former of one pair at most, and the latter of one.
             for k in (i, j):
-                np.logical_or.at(found, k[part], covers)
+                found[k[part]] |= covers
+        most, own = (most_right, right) if forward else (most_left, left)
         for k in (i, j):
-            np.maximum.at(most_right if forward else most_left, k, right if forward else left)
+            most[k] = np.maximum(most[k], own)
     open_ = possible & ~found & (offset <= most_left[:, None]) & (length - offset <= most_right[:, None])
     if open_.any():
         hard = np.isin(group, np.unique(group[open_.any(axis=1)]))
@@ -171,6 +180,8 @@ def window_hashes(texts: Texts, item: np.ndarray, offset: np.ndarray, length: in
 def same_windows(texts: Texts, group: np.ndarray, length: int, use: np.ndarray) -> np.ndarray:
     """Item x offset: another item of the group has the same window at that offset."""
     out = np.zeros(use.shape, bool)
+    # Who each item was last found to agree with on the bytes, and how far to both sides.
+    partner, left, right = np.full(len(group), -1), np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
     for offset in range(use.shape[1]):
         item = np.flatnonzero(use[:, offset])
         back = np.full(len(item), offset)
@@ -178,7 +189,14 @@ def same_windows(texts: Texts, group: np.ndarray, length: int, use: np.ndarray)
         order = np.lexsort((hashes, group[item]))
         i, h = item[order], hashes[order]
         at = np.flatnonzero((group[i[1:]] == group[i[:-1]]) & (h[1:] == h[:-1]))
-        at = at[texts.agree(i[at], i[at + 1], back[at], length - back[at])]
+        a, b = i[at], i[at + 1]
+        new = (partner[a] != b) | (offset > left[a]) | (length - offset > right[a])
+        x, y = a[new], b[new]
+        before, after = texts.extend(x, y, False), texts.extend(x, y, True)
+        for bad in np.flatnonzero(~texts.agree(x, y, before, after)):
+            before[bad], after[bad] = (_byte_extension(texts, x[bad], y[bad], f) for f in (False, True))
+        partner[x], left[x], right[x] = y, before, after
+        at = at[(partner[a] == b) & (offset <= left[a]) & (length - offset <= right[a])]
         out[i[at], offset] = True
         out[i[at + 1], offset] = True
     return out
