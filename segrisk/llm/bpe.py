@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrisk.llm.buffers import prefix_hashes, range_hashes, slices
+from segrisk.llm.buffers import slices, word_hashes
 from segrisk.llm.piececache import Memory
 from segrisk.llm.pretokens import cut
 
@@ -190,7 +190,7 @@ def encode_column(column: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.
 
     for _, _, data, offsets in slices(column):
         start, end, counts = cut(data, offsets)
-        hashes = range_hashes(prefix_hashes(data), start, end)
+        hashes = word_hashes(data, start, end)
         ids, n_ids = _memory(path).rows(data, hashes, start, end, encode)
         row = np.concatenate([[0], np.cumsum(counts)])
         yield ids, np.diff(np.concatenate([[0], np.cumsum(n_ids)])[row])

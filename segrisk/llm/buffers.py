@@ -2,8 +2,9 @@
 
 Helpers that run inside tasks. Everything is vectorised over a slice of a
 batch; a slice ends after the row that brings it to ``SLICE`` bytes, so memory
-is bounded by the longest text, at a few hundred bytes for each byte of a slice. Hashes are polynomials modulo 2**64 over prefix
-sums, mixed afterwards.
+is bounded by the longest text, at a few hundred bytes for each byte of a slice. Words are hashed eight bytes at a time,
+each step mixed with the one before; ranges of a running text have polynomials modulo 2**64 over prefix
+sums, which regular texts of many hundred bytes can make equal.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE = 1 << 19
 # What a batch no longer needs goes back to the system, as workers live on between tasks.
@@ -25,6 +27,10 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Longer words are hashed one by one.
+LONG = 64
+# Of eight bytes, the first 0 to 8.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -79,6 +85,44 @@ def range_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     return mix(own + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, and from the end; zeros follow the data."""
+    return np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes start..end of every word, the same wherever those bytes stand."""
+    n = end - start
+    eights = lanes(data)
+    out = mix(n.astype(np.uint64) + _BASE)
+    short = n <= LONG
+    for k in range(0, int(n[short].max(initial=0)), 8):
+        on = np.flatnonzero(short & (n > k))
+        own = eights[start[on] + k] & _FIRST[np.minimum(n[on] - k, 8)]
+        out[on] = mix((out[on] ^ own) + _BASE)
+    raw = memoryview(np.ascontiguousarray(data))
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(raw[start[i] : end[i]])
+    return out
+
+
+def same_words(
+    a: np.ndarray, a_start: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_size: np.ndarray
+) -> np.ndarray:
+    """Which words of the bytes ``a`` are equal to those of the bytes ``b``."""
+    out = a_size == b_size
+    short = a_size <= LONG
+    one, two = lanes(a), lanes(b)
+    for k in range(0, int(a_size[short].max(initial=0)), 8):
+        on = np.flatnonzero(out & short & (a_size > k))
+        differ = one[a_start[on] + k] ^ two[b_start[on] + k]
+        out[on] = differ & _FIRST[np.minimum(a_size[on] - k, 8)] == 0
+    for i in np.flatnonzero(out & ~short).tolist():
+        n = int(a_size[i])
+        out[i] = np.array_equal(a[a_start[i] : a_start[i] + n], b[b_start[i] : b_start[i] + n])
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and how many words each row has."""
     inside = np.zeros(len(data) + 2, bool)
@@ -114,4 +158,4 @@ def word_shingles(
     """Shingle hashes of the rows of a slice, repeats included, and their number per row."""
     data = LOWER[data] if lower else data
     start, end, counts = words(data, offsets)
-    return shingles(range_hashes(prefix_hashes(data), start, end), counts, width)
+    return shingles(word_hashes(data, start, end), counts, width)

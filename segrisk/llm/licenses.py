@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrisk.llm.buffers import LOWER, mix, prefix_hashes, range_hashes, shingles, slices, words
+from segrisk.llm.buffers import LOWER, mix, shingles, slices, word_hashes, words
 
 # Wording of public licence notices, names and identifiers.
 NAMES = {
@@ -109,7 +109,7 @@ class Template:
 def _word_hashes(data: np.ndarray, offsets: np.ndarray):
     plain = _PLAIN[data]
     start, end, counts = words(plain, offsets)
-    return range_hashes(prefix_hashes(plain), start, end), start, end, counts
+    return word_hashes(plain, start, end), start, end, counts
 
 
 def _template(name: str, text: str) -> Template:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrisk.llm.buffers import prefix_hashes, range_hashes, slices, words
+from segrisk.llm.buffers import slices, word_hashes, words
 from segrisk.llm.piececache import Memory
 
 #: Mark before every word, as in the vocabulary.
@@ -95,7 +95,7 @@ def count(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id")
             n_words, n_tokens = [], []
             for _, _, data, offsets in slices(batch.column(1)):
                 start, end, counts = words(data, offsets)
-                hashes = range_hashes(prefix_hashes(data), start, end)
+                hashes = word_hashes(data, start, end)
                 each, _ = _memory(model).rows(data, hashes, start, end, work_out)
                 total = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
                 n_words.append(counts)
