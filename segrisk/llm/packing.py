@@ -15,11 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrisk.llm.buffers import prefix_hashes, range_hashes, slices
+from segrisk.llm.buffers import slices, word_hashes
 from segrisk.llm.piececache import Memory
 from segrisk.llm.pretokens import cut
 
@@ -34,15 +35,24 @@ PIECES = (
 
 
 @functools.cache
-def _encoder(path: str):
+def _encoder(path: str, ordinary: bool = True):
+    """The tokenizer; ``ordinary``: its added tokens are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = ordinary
     return tokenizer
 
 
+def _with_added(column: pa.Array, path: str) -> np.ndarray:
+    """Which rows hold an added token, as ``<|endoftext|>``; the library gives it its id before it cuts the text."""
+    out = np.zeros(len(column), bool)
+    for token in _encoder(path).get_added_tokens_decoder().values():
+        out |= pc.match_substring(column, token.content).fill_null(False).to_numpy(zero_copy_only=False)
+    return out
+
+
 @functools.cache
 def _memory(path: str) -> Memory:
     return Memory(np.uint32, KNOWN)
@@ -59,12 +69,20 @@ def token_ids(column: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.ndar
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return lengths, np.fromiter((i for row in ids for i in row), np.uint32, lengths.sum())
 
-    for _, _, data, offsets in slices(column):
+    added = _with_added(column, path)
+    for at, after, data, offsets in slices(column):
         start, end, counts = cut(data, offsets)
-        hashes = range_hashes(prefix_hashes(data), start, end)
+        hashes = word_hashes(data, start, end)
         ids, lengths = _memory(path).rows(data, hashes, start, end, encode)
         total = np.concatenate([[0], np.cumsum(lengths)])
-        yield ids, np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
+        counts = np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
+        if added[at:after].any():
+            rows = np.split(ids, np.cumsum(counts)[:-1])
+            for k in np.flatnonzero(added[at:after]).tolist():
+                whole = _encoder(path, False).encode(column[at + k].as_py(), add_special_tokens=False)
+                rows[k] = np.array(whole.ids, np.uint32)
+            ids, counts = np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows))
+        yield ids, counts
 
 
 def binary_lengths(n: int, longest: int = LONGEST) -> list[int]:

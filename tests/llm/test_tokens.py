@@ -105,7 +105,6 @@ def check_pieces(pieces, expected):
 
 def test_pieces_cover_every_id(docs):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     one = docs.filter("doc_id > 0")
     expected = {
         r["doc_id"]: tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [0] for r in one.collect()
