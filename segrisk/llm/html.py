@@ -11,11 +11,12 @@ what is left inside such elements goes too.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from segrisk.llm.ranges import with_neighbours
 
 # Elements of the HTML standard by their use.
-NO_TEXT = {"script", "style", "noscript", "template", "svg", "head", "iframe", "object", "canvas", "math", "audio", "video"}
+NO_TEXT = set("script style noscript template svg head iframe object canvas math audio video noembed noframes title xmp".split())
+#: Elements whose text ends only at their own closing tag, whatever stands in it.
+RAW = set("script style iframe noembed noframes xmp title textarea".split())
 BOILERPLATE = {"nav", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu"}
 CONTENT = {"article", "main"}
 BLOCKS = set(
@@ -34,6 +37,30 @@ BLOCKS = set(
     " pre section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
+#: Elements beyond which the closing tag of a phrase does not reach.
+SPECIAL = BLOCKS - VOID - {"option"} | NO_TEXT | set("applet marquee search hgroup".split())
+#: Elements beyond which no closing tag but those of tables reaches.
+SCOPE = set("applet caption marquee object table td template th".split())
+#: Opening tags that end an open paragraph.
+ENDS_P = BLOCKS - set("body br button caption head html legend option select tbody td textarea tfoot th thead title tr".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+TABLE_PARTS = set("caption tbody td tfoot th thead tr".split())
+#: Opening tags that do not end an open head.
+IN_HEAD = set("base link meta noscript script style template title".split())
+#: What else an opening tag ends, and the elements beyond which it does not.
+ENDS = {
+    "li": (("li",), ("ul", "ol", "menu", "dir")),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "td": (("td", "th"), ("table",)),
+    "th": (("td", "th"), ("table",)),
+    "tr": (("tr",), ("table",)),
+    "tbody": (("tbody", "thead", "tfoot"), ("table",)),
+    "tfoot": (("tbody", "thead", "tfoot"), ("table",)),
+    "option": (("option",), ("select",)),
+    "button": (("button",), ("/scope",)),
+    "a": (("a",), ("/special",)),
+}
 BOILERPLATE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
 #: Words of a class or id that mark an element as no part of the article.
 BOILERPLATE_NAMES = set(
@@ -42,10 +69,22 @@ BOILERPLATE_NAMES = set(
     " popup promo related replies reply share sharing sidebar signup social sponsor sponsored subscribe toolbar"
     " topbar widget".split()
 )
+#: Words that say where or in what shape a marked element stands. A name is one of a marked element
+#: if it has a word of those above and no word but of these two lists: social-bar is, social-history is not.
+SHAPE_NAMES = set(
+    "area articles bar block bottom box btn button buttons center col column container content desktop fixed flex form"
+    " global group icons inner item items js large layout left leaderboard link links list main mobile outer page"
+    " panel posts primary rail region right row secondary section site slot small sticky stories sub top unit user"
+    " wrap wrapper".split()
+)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_PART = re.compile(r"[A-Za-z]+")
+# A tag ends at the first > outside of a quoted value, or with the page. Every part is possessive: no sign is read twice.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)""")
+_REMARK = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?:[!?]|/(?![a-zA-Z]))[^>]*+(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
+_NAMING = re.compile(r"class|id|role", re.I)
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _BLANK = re.compile(r"\s+")
 #: Pages of the host that must all have a line before it falls inside a content element.
 NEAR = 4
@@ -53,81 +92,161 @@ NEAR = 4
 IN_CONTENT, OTHER, MARKED = 0, 1, 2
 
 
-def is_marked(tag: str, attributes: str) -> bool:
+def names_boilerplate(name: str, inside: bool) -> bool:
+    """All words of a class or id name are of the two lists, one at least of the first.
+
+    ``inside`` a content element a header is the article's own.
+    """
+    for parts in (_PART.findall(name.lower()), [part.lower() for part in _PART.findall(name)]):
+        marking = BOILERPLATE_NAMES.intersection(parts) - ({"header"} if inside else set())
+        if marking and all(part in BOILERPLATE_NAMES or part in SHAPE_NAMES for part in parts):
+            return True
+    return False
+
+
+def is_marked(tag: str, attributes: str, inside: bool = False) -> bool:
     """The element is no part of an article, by its tag, role, class or id."""
-    if tag in BOILERPLATE:
+    if tag in BOILERPLATE or tag == "header" and not inside:
         return True
-    if tag in CONTENT or tag in ("html", "body") or not attributes:
+    if tag == "main" or not _NAMING.search(attributes):
         return False
-    for name, value in _NAMES.findall(attributes):
-        value = value.strip("\"'").lower()
-        if name.lower() == "role":
-            if value in BOILERPLATE_ROLES:
-                return True
-            continue
-        for word in value.split():
-            parts = _PART.findall(word)
-            if parts and parts[0] not in ("has", "with", "no") and (parts[0] in BOILERPLATE_NAMES or parts[-1] in BOILERPLATE_NAMES - {"header"}):
+    if tag == "article" and not inside:
+        return False  # an article within an article can be a comment
+    for kind, value in _ATTRIBUTE.findall(attributes):
+        value = value.strip("\"'")
+        if kind.lower() == "role":
+            if value.strip().lower() in BOILERPLATE_ROLES:
                 return True
+        elif kind.lower() in ("class", "id") and any(names_boilerplate(name, inside) for name in value.split()):
+            return True
     return False
 
 
+NO_USE = (False, False, False)
+
+
+class Open:
+    """The open elements of a page, outermost first, each found without a search.
+
+    An element stays open until its closing tag, that of an element around it, or an opening
+    tag that ends it, as the HTML standard has it; phrases that a block leaves open end with the block.
+    ``flush`` is called before the place of the text that follows changes.
+    """
+
+    def __init__(self, flush: Callable[[], None]) -> None:
+        self.flush = flush
+        self.tags: list[tuple[str, tuple[bool, bool, bool]]] = []  # tag; has no text, is marked, is content
+        self.places: dict[str, list[int]] = {"/special": [], "/scope": []}  # in ``tags``, by tag and by kind
+        self.dropped = self.marked = self.content = 0
+
+    def last(self, *kinds: str) -> int:
+        latest = -1
+        for kind in kinds:
+            places = self.places.get(kind)
+            if places and places[-1] > latest:
+                latest = places[-1]
+        return latest
+
+    def _count(self, use: tuple[bool, bool, bool], by: int) -> None:
+        if use != NO_USE:
+            self.flush()
+            self.dropped += by * use[0]
+            self.marked += by * use[1]
+            self.content += by * use[2]
+
+    def push(self, tag: str, dropped: bool, marked: bool) -> None:
+        use = (dropped, marked, tag in CONTENT and not marked)
+        for kind in _kinds(tag):
+            self.places.setdefault(kind, []).append(len(self.tags))
+        self.tags.append((tag, use))
+        self._count(use, 1)
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it."""
+        while len(self.tags) > place:
+            tag, use = self.tags.pop()
+            for kind in _kinds(tag):
+                self.places[kind].pop()
+            self._count(use, -1)
+
+    def close(self, tag: str) -> None:
+        """A closing tag; without effect if no such element is open within its reach."""
+        place = self.last(*HEADINGS) if tag in HEADINGS else self.last(tag)
+        if tag == "table":
+            limit = -1
+        elif tag in TABLE_PARTS:
+            limit = self.last("table")
+        elif tag == "li":
+            limit = self.last("/scope", "ul", "ol")
+        else:
+            limit = self.last("/scope" if tag in SPECIAL else "/special")
+        if place >= max(limit, 0):
+            self.cut(place)
+
+    def imply(self, tag: str) -> None:
+        """Close what an opening tag ends."""
+        if self.tags and self.tags[-1][0] == "head" and tag not in IN_HEAD or tag == "body" and self.last("head") >= 0:
+            self.cut(self.last("head"))
+        if self.dropped:
+            return
+        if tag in ENDS_P and self.last("p") > self.last("/scope", "button"):
+            self.cut(self.last("p"))
+        if tag in HEADINGS and self.tags and self.tags[-1][0] in HEADINGS:
+            self.cut(len(self.tags) - 1)
+        if tag in ENDS:
+            ended, within = ENDS[tag]
+            if self.last(*ended) > self.last(*within):
+                self.cut(self.last(*ended))
+
+
+@functools.lru_cache(1000)
+def _kinds(tag: str) -> tuple[str, ...]:
+    if tag in SCOPE:
+        return tag, "/special", "/scope"
+    return (tag, "/special") if tag in SPECIAL else (tag,)
+
+
 def lines_of(page: str) -> list[tuple[str, int]]:
-    """Text of every block in page order, with its place."""
+    """Text of every block in page order, with its place. Takes time in proportion to the page."""
     lines: list[tuple[str, int]] = []
     words: list[str] = []
-    content = 0
-    dropped: list[list] = []  # [tag, depth] of the outermost element without text
-    marked: list[list] = []  # the same for the outermost marked element
 
     def flush() -> None:
-        text = _BLANK.sub(" ", html.unescape("".join(words))).strip()
-        words.clear()
-        if text:
-            lines.append((text, MARKED if marked else IN_CONTENT if content else OTHER))
-
-    for token in _TOKEN.finditer(page):
-        tag = token[2]
-        if tag is None:
-            text = token[0]
-            if not dropped and not text.startswith(("<!", "<?")):
-                words.append(text)
-            continue
-        tag, closing = tag.lower(), bool(token[1])
-        if dropped:
-            own = dropped[0]
-            if tag == own[0]:
-                own[1] += -1 if closing else 1
-                if own[1] == 0:
-                    dropped.clear()
-            elif own[0] == "head" and tag == "body" and not closing:
-                dropped.clear()
+        if words:
+            text = _BLANK.sub(" ", html.unescape("".join(words))).strip()
+            words.clear()
+            if text:
+                lines.append((text, MARKED if opened.marked else IN_CONTENT if opened.content else OTHER))
+
+    opened = Open(flush)
+    at = 0
+    while at < len(page):
+        start = page.find("<", at)
+        start = len(page) if start < 0 else start
+        if start > at and not opened.dropped:
+            words.append(page[at:start])
+        token = _TAG.match(page, start)
+        if token is None:
+            remark = _REMARK.match(page, start)
+            at = remark.end() if remark else start + 1
+            if not remark and not opened.dropped:
+                words.append(page[start:at])
             continue
+        at = token.end()
+        tag, attributes = token[2].lower(), token[3]
         if tag in BLOCKS:
             flush()
-        selfclosing = tag in VOID or token[3].endswith("/") and tag not in BLOCKS
-        if selfclosing:
+        if token[1]:
+            opened.close(tag)
             continue
-        if not closing and tag in NO_TEXT:
-            dropped.append([tag, 1])
+        opened.imply(tag)
+        if tag in ("html", "body") or tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
-        if marked:
-            own = marked[0]
-            if own[0] == "p" and tag in BLOCKS and not closing:
-                marked.clear()  # a paragraph ends where the next block begins
-            elif tag == own[0]:
-                own[1] += -1 if closing else 1
-                if own[1] == 0:
-                    flush()
-                    marked.clear()
-                continue
-            else:
-                continue
-        if not closing and (is_marked(tag, token[3]) or tag == "header" and not content):
-            flush()
-            marked.append([tag, 1])
-        elif tag in CONTENT:
-            content = max(0, content + (-1 if closing else 1))
+        if tag in RAW:
+            end = _RAW_ENDS[tag].search(page, at)
+            at = end.start() if end else len(page)
+        dropped = tag in NO_TEXT
+        opened.push(tag, dropped, not dropped and not opened.dropped and is_marked(tag, attributes, opened.content > 0))
     flush()
     return lines
 

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,38 @@ def test_broken_markup_does_not_fail(broken):
     assert isinstance(html.main_text(broken, [1])[0], str)
 
 
+@pytest.mark.parametrize(
+    ("markup", "text"),
+    [
+        ("<article><p class='social-history'>a</p><p class='ad-hoc'>b</p><p class=share-price>c</p></article>", "a b c"),
+        ("<article>a<div class='ad-slot left'>b</div><p id=socialBar>c</p><div class=header><h1>d</h1></div>e</article>", "a d e"),
+        ("<article><p title='the class=ad here'>a</p><p data-class=ad>b<p role=search>c</article>", "a b"),
+        ("<section><div class='ad'>x</section><article><p>body text</p></article>", "body text"),
+        ("<table><tr><td><div class=ad>x<td>y<tr><td>z</table>after", "y z after"),
+        ("<ul><li class=ad>x<li>y</ul><dl><dt class=promo>x<dd>z</dl>", "y z"),
+        ("a<span class=ad>x<div>b</div></span>c", "a c"),
+        ("<p>a <span class=ad>x</p><p>b</p></span>c", "a b c"),
+        ("<head><title>x</title><p>a", "a"),
+        ("<div><svg><path><text>x</div>a<noscript><div>x</noscript>b", "a b"),
+        ("a<script>var s = \"<a href='\";</script>b<textarea></p><p>x</textarea>c<style>p>a{}</style>d", "a b c d"),
+        ("a<script src=x />b</script>c<![CDATA[x]]>d<!-->e<!-- x --!>f<?php x ?>g</>h < i", "abcdefgh < i"),
+        ("<div><p>a</div", "a"),
+        ("<article>a<article class='comment'>x</article>b</article>", "a b"),
+    ],
+)
+def test_elements_close_as_in_a_browser(markup, text):
+    assert html.main_text(markup, None)[0] == text
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", '<a ">', "<a ='>\" ", "<![CDATA[", "<!-- ", "<b>", "<li>", "<div class=\"", "</", "<p class=ad ", "<section><table><div></section>"]
+)
+def test_a_long_page_takes_linear_time(part):
+    start = time.process_time()
+    html.lines_of(part * (1_000_000 // len(part)))
+    assert time.process_time() - start < 10
+
+
 def longest(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
