@@ -5,9 +5,12 @@ quarter further than the one before, so that any copy lies whole in a window. A
 window is a candidate if one of ``BANDS`` MinHash bands equals the template's. A
 copy with 4/5 of the template's shingles has a Jaccard similarity of at least
 0.8 / 1.45 = 0.55 with its window, so it collides in one of 16 bands of one row
-with probability 1 - 0.45**16 > 0.99999. Candidates are held against the
-template's shingles one by one. Only texts that hold 4/5 of a template's shingles
-anywhere are cut into its windows, as no window of the others can match.
+with probability 1 - 0.45**16 > 0.99999. The band of a window can only equal that
+of a template if the template's least shingle in this band stands in the window. So the
+index over all templates has these least shingles, and only windows around
+them are worked out; all others have no band in common with any template.
+Candidates are held against the template's shingles one by one. Copies that
+follow each other are told apart by the places of their shingles in the template.
 """
 
 from __future__ import annotations
@@ -89,6 +92,8 @@ WIDTH = 5
 BANDS = 16
 #: Percent of a template's shingles that a match must hold.
 CONTAINED = 80
+#: Shingles of windows that are worked out at once.
+CELLS = 1 << 16
 #: Leading bits of a shingle that are looked up before the shingle itself.
 ROUGH = 20
 
@@ -102,8 +107,11 @@ _PLAIN = LOWER[_PLAIN]
 class Template:
     name: str
     width: int  # words of a shingle: five, or all of a shorter template
-    hashes: np.ndarray  # distinct shingles
+    hashes: np.ndarray  # distinct shingles, ascending
+    places: np.ndarray  # where each stands, -1 if at several places
     length: int  # shingles in a row
+    bands: np.ndarray  # least MinHash value in each band
+    least: np.ndarray  # the shingles that have one of these
 
 
 def _word_hashes(data: np.ndarray, offsets: np.ndarray):
@@ -119,7 +127,11 @@ def _template(name: str, text: str) -> Template:
     if not width:
         raise ValueError(f"template {name} has no words")
     found, n = shingles(hashes, counts, width)
-    return Template(name, width, np.unique(found), int(n[0]))
+    distinct, places, times = np.unique(found, return_index=True, return_counts=True)
+    places[times > 1] = -1
+    table = _rows(distinct)
+    bands = table.min(axis=1)
+    return Template(name, width, distinct, places, int(n[0]), bands, distinct[(table == bands[:, None]).any(axis=0)])
 
 
 def _rows(hashes: np.ndarray) -> np.ndarray:
@@ -128,31 +140,44 @@ def _rows(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes[None, :] ^ seeds[:, None]) >> np.uint64(32)).astype(np.uint32)
 
 
-def _windows(n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and end place of the windows of rows with ``n`` shingles each, in the slice."""
+def _windows(places: np.ndarray, n: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and end place of the windows that hold any of ``places``, in a text with ``n`` shingles."""
     step = max(1, length // 4)
     size = length + step
-    count = np.where(n > 0, 1 + np.maximum(0, -(-(n - size) // step)), 0)
-    first = np.cumsum(n) - n
-    row = np.repeat(np.arange(len(n)), count)
-    start = first[row] + step * (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count))
-    return start, np.minimum(start + size, (first + n)[row])
+    last = max(0, -(-(n - size) // step))
+    low = np.maximum(0, -((size - 1 - places) // step))
+    high = np.minimum(places // step, last)
+    ahead = np.arange(int((high - low).max()) + 1)
+    reach = np.unique((low[:, None] + ahead)[ahead <= (high - low)[:, None]])
+    return step * reach, np.minimum(step * reach + size, n)
+
+
+def _colliding(t: Template, own: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Whether each window of a text's shingles has a band in common with the template."""
+    size = int((stop - start).max())
+    hit = np.zeros(len(start), bool)
+    some = max(1, CELLS // size)
+    for k in range(0, len(start), some):
+        at = np.minimum(start[k : k + some, None] + np.arange(size), stop[k : k + some, None] - 1)
+        least = _rows(own[at.ravel()]).reshape(BANDS, *at.shape).min(axis=2)
+        hit[k : k + some] = (least == t.bands[:, None]).any(axis=0)
+    return hit
 
 
 @dataclass(frozen=True)
 class Index:
-    """The templates with shingles of one width, and where each of their shingles stands in them."""
+    """The templates with shingles of one width, by the shingles that are least in their bands."""
 
     templates: tuple[Template, ...]
-    known: np.ndarray  # the distinct shingles of all, ascending
+    known: np.ndarray  # these shingles of all templates, distinct and ascending
     first: np.ndarray  # of each: its first place in ``of``
     of: np.ndarray  # template numbers
-    rough: np.ndarray  # whether a shingle begins with these bits
+    rough: np.ndarray  # whether one begins with these bits
 
 
 def _index(templates: tuple[Template, ...]) -> Index:
-    hashes = np.concatenate([t.hashes for t in templates])
-    of = np.repeat(np.arange(len(templates)), [len(t.hashes) for t in templates])
+    hashes = np.concatenate([t.least for t in templates])
+    of = np.repeat(np.arange(len(templates)), [len(t.least) for t in templates])
     order = np.argsort(hashes, kind="stable")
     known, first = np.unique(hashes[order], return_index=True)
     rough = np.zeros(1 << ROUGH, bool)
@@ -160,18 +185,48 @@ def _index(templates: tuple[Template, ...]) -> Index:
     return Index(templates, known, np.append(first, len(hashes)), of[order], rough)
 
 
-def _candidates(index: Index, grams: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(row, template number) of the rows that hold enough of a template's shingles, wherever they stand."""
+def _retrieved(index: Index, grams: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(row, template number, places in the slice) where shingles stand that are least in a band of the template."""
     place = np.flatnonzero(index.rough[grams >> np.uint64(64 - ROUGH)])
     at = np.minimum(np.searchsorted(index.known, grams[place]), len(index.known) - 1)
     equal = index.known[at] == grams[place]
-    pairs = np.unique(np.stack([owner[place[equal]], at[equal]]), axis=1)
-    n = np.diff(index.first)[pairs[1]]
-    number = index.of[np.repeat(index.first[pairs[1]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    found, held = np.unique(np.stack([np.repeat(pairs[0], n), number]), axis=1, return_counts=True)
-    sizes = np.array([len(t.hashes) for t in index.templates])
-    enough = 100 * held >= CONTAINED * sizes[found[1]]
-    return zip(*found[:, enough].tolist(), strict=True)
+    place, at = place[equal], at[equal]
+    if not len(place):
+        return
+    n = np.diff(index.first)[at]
+    number = index.of[np.repeat(index.first[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    place = np.repeat(place, n)
+    order = np.lexsort((place, number, owner[place]))
+    place, number = place[order], number[order]
+    row = owner[place]
+    edges = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (number[1:] != number[:-1])]))
+    for a, b in zip(edges, [*edges[1:], len(place)], strict=True):
+        yield int(row[a]), int(number[a]), place[a:b]
+
+
+def _copies(t: Template, own: np.ndarray, start: int, stop: int) -> list[tuple[int, int, int]]:
+    """(first place, last place, shingles held) of the copies between two places of a text's shingles.
+
+    A new copy begins where the template starts again, that is, more than half of it
+    before the furthest place so far. Parts in another order make one copy if
+    only together they hold enough.
+    """
+    at = np.minimum(np.searchsorted(t.hashes, own[start:stop]), len(t.hashes) - 1)
+    inside = np.flatnonzero(t.hashes[at] == own[start:stop])
+    where = t.places[at[inside]]
+    parts, begin, furthest = [], 0, -1
+    for k, place in enumerate(where.tolist()):
+        if place < 0:
+            continue
+        if 2 * (furthest - place) > t.length or t.length <= 2 and k > begin and place <= furthest:
+            parts.append((begin, k))
+            begin, furthest = k, -1
+        furthest = max(furthest, place)
+    parts.append((begin, len(where)))
+    counted = [(a, b, len(np.unique(at[inside[a:b]]))) for a, b in parts]
+    enough = [part for part in counted if 100 * part[2] >= CONTAINED * len(t.hashes)]
+    chosen = enough or [(0, len(where), len(np.unique(at[inside])))]
+    return [(start + int(inside[a]), start + int(inside[b - 1]), held) for a, b, held in chosen]
 
 
 def scan_slice(data: np.ndarray, offsets: np.ndarray, indexes: tuple[Index, ...]) -> list[tuple]:
@@ -186,33 +241,26 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, indexes: tuple[Index, ...]
             continue
         first_gram = np.cumsum(n) - n
         owner = np.repeat(np.arange(len(n)), n)
-        latest, table = -1, np.zeros((BANDS, 0), np.uint32)
-        for r, number in _candidates(index, grams, owner):
+        for r, number, places in _retrieved(index, grams, owner):
             t = index.templates[number]
             own = grams[first_gram[r] : first_gram[r] + n[r]]
-            if r != latest:
-                latest, table = r, np.concatenate([_rows(own), np.zeros((BANDS, 1), np.uint32)], axis=1)
-            start, stop = _windows(n[r : r + 1], t.length)
-            edges = np.stack([start, stop], axis=1).ravel()
-            wanted = _rows(t.hashes).min(axis=1)
-            hit = np.zeros(len(start), bool)
-            for band in range(BANDS):
-                hit |= np.minimum.reduceat(table[band], edges)[::2] == wanted[band]
-            spans: list[list[int]] = []
-            for w in np.flatnonzero(hit):
-                inside = np.isin(own[start[w] : stop[w]], t.hashes)
-                held = len(np.unique(own[start[w] : stop[w]][inside]))
-                if 100 * held < CONTAINED * len(t.hashes):
+            start, stop = _windows(places - first_gram[r], int(n[r]), t.length)
+            hit = _colliding(t, own, start, stop)
+            areas: list[list[int]] = []  # between the outermost shingles held of windows that overlap
+            for a, b in zip(start[hit].tolist(), stop[hit].tolist(), strict=True):
+                held = np.isin(own[a:b], t.hashes)
+                if 100 * len(np.unique(own[a:b][held])) < CONTAINED * len(t.hashes):
                     continue
-                places = start[w] + np.flatnonzero(inside)
-                last = min(places[-1] + width, counts[r]) - 1
-                span = [int(begin[first_word[r] + places[0]]), int(end[first_word[r] + last]), held]
-                if spans and span[0] < spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], span[1])
-                    spans[-1][2] = max(spans[-1][2], held)
+                inner = a + np.flatnonzero(held)
+                if areas and inner[0] < areas[-1][1]:
+                    areas[-1][1] = max(areas[-1][1], int(inner[-1]) + 1)
                 else:
-                    spans.append(span)
-            found += [(r, t.name, a - int(offsets[r]), b - int(offsets[r]), k, len(t.hashes)) for a, b, k in spans]
+                    areas.append([int(inner[0]), int(inner[-1]) + 1])
+            for a, b in areas:
+                for first, last, held in _copies(t, own, a, b):
+                    word = first_word[r] + min(last + width, counts[r]) - 1
+                    span = (int(begin[first_word[r] + first] - offsets[r]), int(end[word] - offsets[r]))
+                    found.append((r, t.name, *span, held, len(t.hashes)))
     return found
 
 
