@@ -893,9 +893,10 @@ def ingest_rejects(spark, sf_dir):
         .when(line == 4, " ")
         .otherwise(F.col("body")),
     ).select("body")
-    matrices = _trade_matrices(spark, sf_dir)
+    pages = stored(pages, "pages")
+    matrices = stored(_trade_matrices(spark, sf_dir), "matrices")
     matrices = matrices.unionByName(landed.non_empty(matrices).select(_damaged(F.col("body")).alias("body")))
-    answers = _series_responses(spark, sf_dir)
+    answers = stored(_series_responses(spark, sf_dir), "answers")
     answers = answers.unionByName(
         answers.select(F.replace("body", F.lit(landed.SUCCESS), F.lit("REQUEST_FAILED")).alias("body"))
     )
