@@ -41,6 +41,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from segrisk.llm.buffers import mix, slices, word_shingles
 from segrisk.llm.components import connected
+from segrisk.llm.rowhash import quoted, row_hash
 from segrisk.session import stored
 
 WIDTH = 5
@@ -347,8 +348,8 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 
     Documents without words are linked with nothing and stay.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    hashes = [F.xxhash64(*columns).alias("_h"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("_c")]
+    columns = [quoted(c) for c in docs.columns]
+    hashes = [row_hash(docs).alias("_h"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("_c")]
     row = F.struct(F.col(key).alias("key"), *hashes)
     found = join(docs.select(row.alias("_row"), F.col(text).alias("_t")), "_t", "_row")
     first = found.filter(F.col("_row") == F.col("component_id")).select("_row._h", "_row._c").distinct()

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segrisk.llm.buffers import mix, prefix_hashes, range_hashes, slices
+from segrisk.llm.rowhash import quoted, row_hash
 from segrisk.llm.suffixes import Texts, repeated_offsets, window_hashes
 from segrisk.session import stored
 
@@ -66,7 +67,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     prefix = prefix_hashes(data)
     at = np.arange(len(data) - gram + 1)
     hashes = range_hashes(prefix, at, at + gram)
-    value = (hashes >> np.uint64(32)).astype(np.uint32)
+    value = np.maximum(hashes >> np.uint64(32), np.uint64(1)).astype(np.uint32)  # 0 is for windows that are not whole
     windows = length - gram + 1
     least = _sliding(value, windows, np.minimum, 0xFFFFFFFF)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
@@ -307,11 +308,11 @@ def keep_unrepeated(docs: DataFrame, text: str = "text", length: int = LENGTH) -
     A character that a cut splits is dropped. ``n_chars``, where present, is set to the new length.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    others = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    others = [quoted(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
     others[docs.columns.index(text)] = F.col(text).isNull().alias("none")
     base = docs.select(
         F.struct(*others).alias("_key"),
-        F.xxhash64(*docs.columns).alias("_row"),
+        row_hash(docs).alias("_row"),
         F.crc32(whole).cast("long").alias("_crc"),
         whole.alias("_text"),
     )

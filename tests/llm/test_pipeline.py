@@ -109,3 +109,14 @@ def test_stages_take_empty_and_null_tables(spark, docs, sf_dir):
             left = stage(spark, start, sf_dir)
             assert left.count() <= 2
     assert np.isfinite(packing.LONGEST)
+
+
+@pytest.mark.parametrize("stage", ["quality_rules", "ngram_jaccard_join", "suffix_array_dedup"])
+def test_stages_take_columns_of_any_name_and_kind(spark, docs, sf_dir, stage):
+    """A dot in a name and a map, beside the rows that the stage returns without them."""
+    odd = docs.withColumn("a.b", F.lit("x")).withColumn("_row", F.create_map(F.col("source"), F.col("doc_id")))
+    kept = STAGE[stage](spark, odd, sf_dir)
+    assert kept.columns == odd.columns
+    rows = kept.collect()
+    assert all(r["a.b"] == "x" and r["_row"] == {r["source"]: r["doc_id"]} for r in rows)
+    assert sorted(tuple(r)[:-2] for r in rows) == rows_of(STAGE[stage](spark, docs, sf_dir))
