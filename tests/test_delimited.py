@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from segrisk.sources import sinks, tables
-from segrisk.sources.delimited import file_lines, numbered_lines, read_delimited, records
+from segrisk.sources.delimited import file_lines, files_of, numbered_lines, read_delimited, records
 from segrisk.schemas import AWARDS
 
 PIECES = ["a", "é", "\n", "\r\n", '"', ",", " ", "\\n", "\\", "日本", ";", "x" * 40, "\n\n", '""', "NA", "\r"]
@@ -118,3 +118,12 @@ def test_other_readers_read_our_files_alike(spark, tmp_path):
         theirs = {r["recipient_name"] for r in csv.DictReader(f)}
     assert theirs == set(names)
     assert {r.recipient_name for r in tables.read_awards(spark, path).collect()} == set(names)
+
+
+def test_first_lines_are_found_without_sorting_all_lines(small_blocks, tmp_path):
+    for name, end in (("a", "\n"), ("b", "\r\n")):
+        written(tmp_path / f"{name}.csv", [name, "text"], [[str(i), "x"] for i in range(900)], end)
+    of_file = files_of(file_lines(small_blocks, str(tmp_path)))
+    assert sorted(r["first"] for r in of_file.collect()) == ["a,text", "b,text\r"]
+    text = of_file._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in text and "Sort" not in text
