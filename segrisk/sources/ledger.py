@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrisk.session import stored
+from segrisk.session import LONG_ROWS, stored
 from segrisk.sources import keyed_store, landed
 from segrisk.sources.versions import POINTER, read_small
 
@@ -71,7 +71,7 @@ def land(
     # The time reaches the scan, so the content of files that were all there before is not read.
     content = files.where(F.col("modified") >= since).select("file", "content")
     read = fresh.join(content, "file").withColumn("digest", F.sha2("content", 256))
-    read = stored(read.withColumn("body", F.decode("content", "UTF-8")).drop("content"), "read")
+    read = stored(read.withColumn("body", F.decode("content", "UTF-8")).drop("content"), "read", **LONG_ROWS)
     changed = read.where(~F.col("digest").eqNullSafe(F.col("_digest")))
     n = changed.count()
     if n:

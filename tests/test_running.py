@@ -1,5 +1,6 @@
 """Concentration kept up to date, and landing of only what is new."""
 
+import datetime
 import json
 import os
 import random
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from segrisk.plans import concentration, running
 from segrisk.sources import keyed_store, landed, ledger
+from segrisk.workload import facts, queries
 
 KIND = "recipient_name string, award_amount double, state string, naics_code string, start_date date"
 
@@ -188,3 +190,13 @@ def test_other_kinds_keep_the_response(spark, tmp_path, kind):
     assert ledger.land(spark, str(tmp_path / "1"), store, kind, buckets=4) == 1
     (row,) = ledger.records(spark, store).collect()
     assert row["response"] == "r.json" and row["year"] == 2022
+
+
+def test_more_awards_make_more_responses_not_longer_ones(spark, tmp_path):
+    """All rows share their order and line number, and lie in one file."""
+    kinds = facts.SCHEMAS["lineitem"].replace("timestamp_ntz", "timestamp")
+    row = spark.createDataFrame([(8, 1, 1, 1, 1.0, 2.5, 0.0, 0.0, "R", "F", datetime.datetime(1997, 1, 2))], kinds)
+    row = row.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+    row.crossJoin(spark.range(70_000)).drop("id").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    held = queries._award_bundles(spark, str(tmp_path)).select(F.json_array_length("body").alias("n")).collect()
+    assert sum(r["n"] for r in held) == 70_000 and len(held) >= 3 and max(r["n"] for r in held) <= 32_768
