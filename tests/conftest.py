@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, app="segrisk-tests", **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "2"})
+    return local_session(8, app="segrisk-tests", **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "2", "spark.sql.maxMetadataStringLength": "1000"})
 
 
 @pytest.fixture(scope="session")
