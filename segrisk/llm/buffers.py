@@ -9,6 +9,7 @@ sums, which regular texts of many hundred bytes can make equal.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ import xxhash
 SLICE = 1 << 19
 # What a batch no longer needs goes back to the system, as workers live on between tasks.
 pa.set_memory_pool(pa.system_memory_pool())
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -53,6 +55,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def give_back() -> None:
+    """What arrays no longer need goes back to the system too, where the C library can do so.
+
+    Else a worker that waits for its next task keeps the most it ever had.
+    """
+    if _trim is not None:
+        _trim(ctypes.c_size_t(0))
+
+
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column, and the offsets of its rows (null: empty)."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -70,6 +81,7 @@ def slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int, np.n
         end = min(n, max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right"))))
         yield at, end, whole[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
+    give_back()
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:

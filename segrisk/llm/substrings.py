@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrisk.llm.buffers import mix, prefix_hashes, range_hashes, slices
+from segrisk.llm.buffers import give_back, mix, prefix_hashes, range_hashes, slices
 from segrisk.llm.rowhash import quoted, row_hash
 from segrisk.llm.suffixes import Texts, repeated_offsets, window_hashes
 from segrisk.session import stored
@@ -41,7 +41,7 @@ GRAM = 32
 SORTED = 1 << 16
 #: Parts that an anchor with more is dealt in.
 SALTS = 64
-#: Surroundings that a task sorts at a time, all of one anchor together.
+#: Surroundings that a task cuts out at a time, and those it sorts at a time, all of one anchor together.
 AT_A_TIME = 8192
 
 
@@ -98,22 +98,21 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes around the wanted anchors of each text."""
+    """Bytes around the wanted anchors of each text, some at a time: they are several times the texts."""
     names = ["key", "around", "n", "kinds", "before", "bytes"]
     for batch in batches:
-        lists = batch.column(1)
-        count = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-        if not count.any():
-            continue
-        wanted = lists.flatten()
-        row = np.repeat(np.arange(len(count)), count).tolist()
-        before = wanted.field("before")
-        start = pc.subtract(wanted.field("place"), before).to_pylist()
-        end = pc.add(wanted.field("place"), wanted.field("after")).to_pylist()
-        raw = batch.column(0).cast(pa.binary()).to_pylist()
-        pieces = pa.array([raw[r][s:e] for r, s, e in zip(row, start, end, strict=True)], pa.binary())
-        columns = [wanted.field(c) for c in names[:4]]
-        yield pa.RecordBatch.from_arrays([*columns, before, pieces], names)
+        for first, after, data, offsets in slices(batch.column(0)):
+            lists = batch.column(1).slice(first, after - first)
+            count = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+            found, begin, raw = lists.flatten(), np.repeat(offsets[:-1], count), data.tobytes()
+            for at in range(0, len(found), AT_A_TIME):
+                wanted = found.slice(at, AT_A_TIME).flatten()
+                wanted = dict(zip((f.name for f in found.type), wanted, strict=True))
+                place, before, size = (wanted[c].to_numpy() for c in ("place", "before", "after"))
+                own = begin[at : at + AT_A_TIME] + place
+                pieces = [raw[s:e] for s, e in zip((own - before).tolist(), (own + size).tolist(), strict=True)]
+                columns = [wanted[c] for c in names[:5]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(pieces, pa.binary())], names)
 
 
 def _texts(rows: pa.Table) -> Texts:
@@ -154,6 +153,8 @@ def _repeated(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iter
             size = len(rows) - last
     if size:
         yield settle(pa.Table.from_batches(waiting))
+    waiting = []
+    give_back()
 
 
 def _found_runs(rows: pa.Table, found: np.ndarray) -> pa.RecordBatch:
@@ -183,33 +184,36 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Itera
             yield pa.RecordBatch.from_arrays(columns, ["key", "around", "back", "window"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], key: str, valid: bool) -> Iterator[pa.RecordBatch]:
+    """The texts without their spans, a slice at a time; ``valid``: as strings, without split characters."""
     names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string() if valid else pa.binary()]
     for batch in batches:
-        out = []
-        lists = batch.column(2)
-        count = pc.list_value_length(lists).fill_null(0).to_pylist()
-        spans = lists.flatten()
-        starts, ends = (spans.field(c).to_pylist() for c in ("start", "end"))
-        found, first = list(zip(starts, ends, strict=True)), 0
-        for raw, k in zip(batch.column(1).cast(pa.binary()).to_pylist(), count, strict=True):
-            parts, at, n = [], 0, 0
-            runs: list[list[int]] = []
-            for span in sorted(found[first : first + k]):
-                if runs and span[0] <= runs[-1][1]:
-                    runs[-1][1] = max(runs[-1][1], span[1])
-                else:
-                    runs.append(list(span))
-            first += k
-            for start, end in runs:
-                parts.append(raw[at:start])
-                at, n = end, n + end - start
-            kept = b"".join([*parts, raw[at:]])
-            out.append((len(raw), n, len(runs), hashlib.sha256(kept).hexdigest(), kept))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-        columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)] if out else []
-        if out:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+        for row, after, data, offsets in slices(batch.column(1)):
+            out = []
+            lists = batch.column(2).slice(row, after - row)
+            count = pc.list_value_length(lists).fill_null(0).to_pylist()
+            spans = lists.flatten()
+            starts, ends = (spans.field(c).to_pylist() for c in ("start", "end"))
+            found, first = list(zip(starts, ends, strict=True)), 0
+            for begin, end, k in zip(offsets[:-1].tolist(), offsets[1:].tolist(), count, strict=True):
+                raw = data[begin:end].tobytes()
+                parts, at, n = [], 0, 0
+                runs: list[list[int]] = []
+                for span in sorted(found[first : first + k]):
+                    if runs and span[0] <= runs[-1][1]:
+                        runs[-1][1] = max(runs[-1][1], span[1])
+                    else:
+                        runs.append(list(span))
+                first += k
+                for start, stop in runs:
+                    parts.append(raw[at:start])
+                    at, n = stop, n + stop - start
+                kept = b"".join([*parts, raw[at:]])
+                left = kept.decode("utf-8", "ignore") if valid else kept
+                out.append((len(raw), n, len(runs), hashlib.sha256(kept).hexdigest(), left))
+            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, after - row), *columns], names)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
@@ -230,8 +234,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     return _remove(base, length).withColumnRenamed("_key", key)
 
 
-def _remove(base: DataFrame, length: int) -> DataFrame:
-    """base: _key (any type), _row and _crc (name a row), _text."""
+def _remove(base: DataFrame, length: int, valid: bool = False) -> DataFrame:
+    """base: _key (any type), _row and _crc (name a row), _text. ``valid``: what is kept is a string."""
     kind = base.schema["_key"].dataType.simpleString()
     found = base.select("_row", "_crc", "_text").mapInArrow(
         lambda batches: _anchor_rows(batches, length),
@@ -289,8 +293,8 @@ def _remove(base: DataFrame, length: int) -> DataFrame:
         base.join(spans, ["_row", "_crc"], "left")
         .select("_key", "_text", "spans")
         .mapInArrow(
-            lambda b: _cut(b, "_key"),
-            f"_key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
+            lambda b: _cut(b, "_key", valid),
+            f"_key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept {'string' if valid else 'binary'}",
         )
     )
 
@@ -317,11 +321,8 @@ def keep_unrepeated(docs: DataFrame, text: str = "text", length: int = LENGTH) -
         whole.alias("_text"),
     )
 
-    @F.arrow_udf("string")
-    def valid(raw: pa.Array) -> pa.Array:
-        return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in raw.to_pylist()], pa.string())
-
-    left = _remove(base, length).select("_key", F.when(~F.col("_key.none"), valid("kept")).alias("_left"))
+    # One function cuts and decodes: a second one beside it would take a Python worker more for every task.
+    left = _remove(base, length, valid=True).select("_key", F.when(~F.col("_key.none"), F.col("kept")).alias("_left"))
     new = []
     for k, c in enumerate(docs.columns):
         if c == text:

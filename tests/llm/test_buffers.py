@@ -98,3 +98,11 @@ def test_packing_reads_added_tokens_as_the_library_does():
     got = [x for ids, n in packing.token_ids(pa.array(texts * 3).slice(1), JSON) for x in np.split(ids, np.cumsum(n)[:-1])]
     wanted = [plain.encode(t or "", add_special_tokens=False).ids for t in (texts * 3)[1:]]
     assert [g.tolist() for g in got] == wanted
+
+
+def test_memory_goes_back_after_each_column(monkeypatch):
+    calls = []
+    monkeypatch.setattr(buffers, "_trim", calls.append)
+    for _ in buffers.slices(pa.array(["ab", None, "c" * 50]), 4):
+        assert not calls
+    assert len(calls) == 1

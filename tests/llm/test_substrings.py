@@ -2,9 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from segrisk.llm import queries, substrings, suffixes
+from segrisk.llm import buffers, queries, substrings, suffixes
 
 
 def brute(texts, length):
@@ -113,3 +114,52 @@ def test_query_equals_brute_force(spark, sf_dir):
     found = {tuple(r)[:5] for r in queries.op8_suffix_dedup(spark, sf_dir).collect()}
     assert found == {(r["doc_id"], *w) for r, w in zip(rows, wanted, strict=True)}
     assert any(f[2] for f in found)
+
+
+def test_surroundings_are_cut_out_some_at_a_time(monkeypatch):
+    """Several times the bytes of the texts, they go out in batches of a bounded number, also those of one long text."""
+    monkeypatch.setattr(substrings, "AT_A_TIME", 7)
+    monkeypatch.setattr(buffers.slices, "__defaults__", (300,))
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcé") for _ in range(n)) for n in (40, 0, 900, 90, 250)]
+    lists = []
+    for k, t in enumerate(texts):
+        places = range(0, len(t.encode()), 9) if k != 3 else None
+        size = len(t.encode())
+        one = lambda p: {"key": p, "around": k, "n": 1, "kinds": 2, "place": p, "before": min(p, 5), "after": min(size - p, 20)}  # noqa: B023, E731
+        lists.append(places and [one(p) for p in places])
+    names = ("key", "around", "n", "kinds", "place", "before", "after")
+    kind = pa.list_(pa.struct([(n, pa.int32() if n in names[4:] else pa.int64()) for n in names]))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(lists, kind)], ["_text", "wanted"]).slice(1)
+    out = list(substrings._surroundings(iter([batch])))
+    assert len(out) > 2 and all(0 < len(b) <= 7 for b in out)
+    wanted = [
+        (w["key"], k, w["before"], texts[k].encode()[w["place"] - w["before"] : w["place"] + w["after"]])
+        for k, own in enumerate(lists) if k for w in own or []
+    ]
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [(r["key"], r["around"], r["before"], r["bytes"]) for r in rows] == wanted
+
+
+@pytest.mark.parametrize("valid", [False, True])
+def test_texts_are_cut_a_slice_at_a_time(monkeypatch, valid):
+    monkeypatch.setattr(buffers.slices, "__defaults__", (100,))
+    texts, spans = ["é" * 60, "", "abcdef" * 30, "x"], [[(3, 9), (1, 4)], None, [(0, 6), (170, 180)], []]
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    found = pa.array([s and [{"start": a, "end": b} for a, b in s] for s in spans], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts), found], ["_key", "_text", "spans"])
+    out = list(substrings._cut(iter([batch, batch.slice(4)]), "_key", valid))
+    assert len(out) > 1
+    rows = pa.Table.from_batches(out).to_pylist()
+    raw = [texts[0].encode()[:1] + texts[0].encode()[9:], b"", (b"abcdef" * 30)[6:170], b"x"]
+    assert [r["kept"] for r in rows] == [b.decode("utf-8", "ignore") if valid else b for b in raw]
+    assert [(r["_key"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in rows] == [(0, 120, 8, 1), (1, 0, 0, 0), (2, 180, 16, 2), (3, 1, 0, 0)]
+    assert [r["kept_sha256"] for r in rows] == [hashlib.sha256(b).hexdigest() for b in raw]
+
+
+def test_cutting_takes_one_worker(spark, sf_dir):
+    """The texts left come from one Python function: a task with two holds two workers, which stay for later stages."""
+    docs = queries.documents(spark, sf_dir)
+    plan = substrings.keep_unrepeated(docs)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert "EvalPython" not in above and "Join" not in above
