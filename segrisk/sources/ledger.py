@@ -14,9 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrisk.session import LONG_ROWS, stored
+from segrisk.session import scratch_path, shuffles_freed, stored
 from segrisk.sources import keyed_store, landed
-from segrisk.sources.versions import POINTER, read_small
+from segrisk.sources.versions import POINTER, delete, read_small
 
 PARSERS = {"awards": landed.parse_awards, "trade": landed.parse_trade, "employment": landed.parse_employment}
 NAME = "response"
@@ -28,8 +28,18 @@ def _listing(spark: SparkSession, folder: str, name: Callable[[Column], Column]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     own = name(F.col("path")) if name else F.regexp_extract("path", "([^/]+)$", 1)
     return files.select(
-        own.alias(NAME), F.col("path").alias("file"), F.col("modificationTime").alias("modified"), F.col("length").alias("size"), "content"
-    )
+        own.alias(NAME), F.col("path").alias("file"), F.col("modificationTime").alias("modified"), F.col("length").alias("size"),
+        F.col("_metadata.file_path").alias("uri"), "content",
+    )
+
+
+def _bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of a delivery, of compressed files (``.gz``) as they were before."""
+    texts = spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
+    return texts.select(
+        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_modification_time").alias("modified"),
+        F.decode(F.col("value").cast("binary"), "UTF-8").alias("body"),
+    )
 
 
 def _has(spark: SparkSession, path: str) -> bool:
@@ -45,16 +55,29 @@ def land(
     ``kind`` is awards, trade or employment. ``name`` says which response a file
     path is; without it, the file's name does. Of several files of one response
     in a delivery the latest counts, the greatest path among equally late ones.
-    Empty files (no content) are no responses.
+    Empty files (no content) are no responses; files may be compressed.
     A response that cannot be read stops the landing, and neither its records nor
     the ledger change; with ``strict`` off it counts as one without records. If a
     landing is cut off, the next one parses the same responses again and replaces
     their records, so each counts once.
     """
+    scratch = scratch_path(spark, "landing")
+    try:
+        with shuffles_freed(spark):
+            return _land(spark, delivery, store, kind, name, strict, buckets, scratch)
+    finally:
+        delete(spark, scratch)
+
+
+def _land(
+    spark: SparkSession, delivery: str, store: str, kind: str, name: Callable[[Column], Column] | None,
+    strict: bool, buckets: int, scratch: str,
+) -> int:
     records_at, ledger_at = f"{store}/records", f"{store}/ledger"
     parse = PARSERS[kind]
     files = _listing(spark, delivery, name)
-    latest = files.drop("content").groupBy(NAME).agg(F.max_by(F.struct("file", "modified", "size"), F.struct("modified", "file")).alias("f"))
+    listed = files.drop("content")
+    latest = listed.groupBy(NAME).agg(F.max_by(F.struct("file", "modified", "size", "uri"), F.struct("modified", "file")).alias("f"))
     offered = latest.select(NAME, "f.*")
     if _has(spark, ledger_at):
         known = keyed_store.read(spark, ledger_at)
@@ -64,18 +87,22 @@ def land(
         fresh = fresh.where(F.col("_name").isNull() | ~(as_is[0] & as_is[1] & as_is[2]))
     else:
         fresh = offered.withColumn("_digest", F.lit(None).cast("string"))
-    fresh = stored(fresh.select(NAME, "file", "modified", "size", "_digest"), "fresh")
+    fresh = stored(fresh.select(NAME, "file", "modified", "size", "uri", "_digest"), "fresh", scratch)
     since = fresh.agg(F.min("modified")).first()[0]
     if since is None:
         return 0
-    # The time reaches the scan, so the content of files that were all there before is not read.
-    content = files.where(F.col("modified") >= since).select("file", "content")
-    read = fresh.join(content, "file").withColumn("digest", F.sha2("content", 256))
-    read = stored(read.withColumn("body", F.decode("content", "UTF-8")).drop("content"), "read", **LONG_ROWS)
+    # The time reaches the scans, so the content of files that were all there before is not read.
+    late = F.col("modified") >= since
+    content = files.where(late).select("file", F.sha2("content", 256).alias("digest"))
+    read = stored(fresh.join(content, "file"), "read", scratch)
     changed = read.where(~F.col("digest").eqNullSafe(F.col("_digest")))
     n = changed.count()
     if n:
-        parsed = stored(parse(changed.select(NAME, "body"), strict=strict, keep=[NAME]), "parsed")
+        # Bodies are read from the delivery, not kept a second time.
+        bodies = _bodies(spark, delivery).where(late).drop("modified").join(changed.select(NAME, "uri"), "uri")
+        parsed = stored(parse(bodies.select(NAME, "body"), strict=strict, keep=[NAME]), "parsed", scratch)
+        if changed.join(_listing(spark, delivery, name), ["uri", "modified", "size"], "left_semi").count() < n:
+            raise RuntimeError(f"{delivery}: files were changed while they were read")
         if not _has(spark, records_at):
             keyed_store.create(parsed.limit(0), records_at, [NAME], buckets)
         keyed_store.replace_keys(spark, records_at, changed.select(NAME), parsed)

@@ -1,15 +1,18 @@
 """Concentration kept up to date, and landing of only what is new."""
 
 import datetime
+import gzip
 import json
 import os
 import random
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from segrisk.plans import concentration, running
+from segrisk.session import shared_folder, shuffles_freed, stored
 from segrisk.sources import keyed_store, landed, ledger
 from segrisk.workload import facts, queries
 
@@ -178,6 +181,72 @@ def test_landing_cut_off_before_the_ledger(spark, tmp_path, monkeypatch):
     assert names(spark, store) == ["a2", "b", "c"]
 
 
+def test_compressed_files_are_read_as_what_they_hold(spark, tmp_path):
+    store, folder = str(tmp_path / "store"), tmp_path / "d e%20"
+    deliver(folder, p1=page("a"))
+    (folder / "p2.json.gz").write_bytes(gzip.compress(page("b", "ö").encode()))
+    assert ledger.land(spark, str(folder), store, "awards", buckets=4) == 2
+    assert names(spark, store) == ["a", "b", "ö"]
+    assert ledger.land(spark, str(folder), store, "awards") == 0
+
+
+def in_shared_folder(spark):
+    return set(os.listdir(shared_folder(spark)))
+
+
+def test_a_landing_leaves_nothing_but_its_store(spark, tmp_path):
+    store, before = str(tmp_path / "store"), in_shared_folder(spark)
+    deliver(tmp_path / "1", p1=page("a"), p2='[{"Recipient Name": "b"')
+    with pytest.raises(Exception, match="unreadable awards response"):
+        ledger.land(spark, str(tmp_path / "1"), store, "awards", buckets=4)
+    assert ledger.land(spark, str(tmp_path / "1"), store, "awards", strict=False, buckets=4) == 2
+    assert in_shared_folder(spark) == before
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_of_a_write_go_with_it(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, as_it_was = shuffle_files(spark), spark.conf.get(setting)
+    kept = spark.range(100).repartition(3, "id")
+    with shuffles_freed(spark):
+        held = stored(spark.range(1000).repartition(5, "id"), "held")
+    assert spark.conf.get(setting) == as_it_was
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert held.count() == 1000 and kept.count() == 100
+
+
+def test_bodies_of_earlier_files_are_not_read(spark, tmp_path):
+    """Their read would fail: they are no compressed files."""
+    folder = tmp_path / "d"
+    deliver(folder, p1=page("a"))
+    (folder / "old.json.gz").write_text("not compressed")
+    os.utime(folder / "old.json.gz", (1_000_000_000, 1_000_000_000))
+    late = ledger._bodies(spark, str(folder)).where(F.col("modified") >= datetime.datetime(2020, 1, 1))
+    assert [r["body"] for r in late.collect()] == [page("a")]
+
+
+def test_files_changed_while_they_are_landed_stop_it(spark, tmp_path, monkeypatch):
+    store, parse = str(tmp_path / "store"), landed.parse_awards
+    deliver(tmp_path / "1", p1=page("a"))
+
+    def slow(bodies, **args):
+        os.utime(tmp_path / "1" / "p1.json", (2_000_000_000, 2_000_000_000))
+        return parse(bodies, **args)
+
+    monkeypatch.setitem(ledger.PARSERS, "awards", slow)
+    with pytest.raises(RuntimeError, match="changed while they were read"):
+        ledger.land(spark, str(tmp_path / "1"), store, "awards", buckets=4)
+    monkeypatch.setitem(ledger.PARSERS, "awards", parse)
+    assert ledger.land(spark, str(tmp_path / "1"), store, "awards", buckets=4) == 1 and names(spark, store) == ["a"]
+
+
 @pytest.mark.parametrize("kind", ["trade", "employment"])
 def test_other_kinds_keep_the_response(spark, tmp_path, kind):
     header = ["CTY_CODE", "CTY_NAME", "ALL_VAL_YR", "E_COMMODITY", "time"]
@@ -200,3 +269,18 @@ def test_more_awards_make_more_responses_not_longer_ones(spark, tmp_path):
     row.crossJoin(spark.range(70_000)).drop("id").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
     held = queries._award_bundles(spark, str(tmp_path)).select(F.json_array_length("body").alias("n")).collect()
     assert sum(r["n"] for r in held) == 70_000 and len(held) >= 3 and max(r["n"] for r in held) <= 32_768
+
+
+def test_deliveries_are_gone_when_they_are_landed(spark, tmp_path):
+    """What stays is the store; of a delivery no more than one lies there at a time, compressed."""
+    kinds = facts.SCHEMAS["lineitem"].replace("timestamp_ntz", "timestamp")
+    day = datetime.datetime(1997, 1, 2)
+    given = [(n, 1, n % 3, n % 7 + 1, 1.0, 2.5, 0.1 if n % 5 == 0 else 0.0, 0.0, "ANR"[n % 3], "F", day) for n in range(700)]
+    made = spark.createDataFrame(given, kinds).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+    made.write.parquet(str(tmp_path / "lineitem.parquet"))
+    before = in_shared_folder(spark)
+    out = rows(queries.delivered_awards(spark, str(tmp_path)))
+    flags = [[g for g in given if g[8] == f] for f in "ANR"]
+    counts = [(g[0][8], len(g), sum(r[6] == 0.0 for r in g), 2.5 * sum(r[6] == 0.0 for r in g)) for g in flags]
+    assert [r[:4] for r in out] == counts and [r[4] for r in out] == [1, 1, 1]
+    assert {n.rsplit("-", 5)[0] for n in in_shared_folder(spark) - before} == {"delivered"}
