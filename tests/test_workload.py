@@ -1,10 +1,12 @@
 """Registered queries against SQL, and the shape of their plans."""
 
+import datetime
 import re
 import subprocess
 import sys
 from pathlib import Path
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
@@ -141,3 +143,52 @@ def test_row_level_run_scans_awards_once(spark, sf_dir):
     text = plan(QUERIES["scored_row_level"](spark, sf_dir))
     scans = [s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", text) if "l_extendedprice" in s]
     assert not scans, "awards are read from the table of recipient totals"
+
+
+@pytest.fixture(scope="module")
+def gaps(spark, tmp_path_factory):
+    """Tables in which some awards have no amount or recipient, some exports no destination or value."""
+    folder = tmp_path_factory.mktemp("gaps")
+    items = [
+        (n, n % 4 + 1, n % 5 + 1, n % 7 + 1, float(n % 9), None if n % 6 == 0 else 100.25 + n, [0.0, 0.1][n % 2], [0.01, 0.0, 0.08][n % 8 // 3],
+         "ANR"[n % 3], "F", datetime.datetime(1997, n % 12 + 1, 2))
+        for n in range(240)
+    ]
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    events = [
+        (n, datetime.datetime(1998, 1, 1), [None, 7, 8, 57][n // 5 % 4], kinds[n % 5], None if n % 11 == 0 else n % 13 / 2, None) for n in range(200)
+    ]
+    made = {
+        "lineitem": items,
+        "events": events,
+        "supplier": [(1, "a", 3, 1.0), (2, "b", 3, 1.0), (3, None, 4, 1.0), (4, "d", 4, -1.0), (5, "e", 5, 1.0)],
+        "part": [(k, "p", "Brand#1", ["ECONOMY", "LARGE", "MEDIUM", "SMALL"][k - 1], 1, 1.0) for k in range(1, 5)],
+    }
+    connection = duckdb.connect()
+    for name, given in made.items():
+        spark.createDataFrame(given, facts.SCHEMAS[name]).write.parquet(f"{folder}/{name}.parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    return str(folder), connection, made
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["unmapped_products", "scored_row_level", "coded_awards_by_key", "panel_metrics", "token_usage", "exported_segments", "manifest_array"],
+)
+def test_query_equals_sql_where_values_are_missing(spark, gaps, name):
+    folder, connection, _ = gaps
+    assert spark_rows(QUERIES[name](spark, folder)) == sql_rows(connection, ORACLE[name])
+
+
+def test_every_given_amount_and_destination_counts(spark, gaps):
+    """Those of any discount, nation and user; an export without a destination is one, of no destination."""
+    folder, _, made = gaps
+    amounts = [r[5] for r in made["lineitem"] if r[5] is not None]
+    by_key = QUERIES["coded_awards_by_key"](spark, folder).collect()
+    assert sum(r["recipient_count"] for r in by_key) == len(amounts)
+    assert sum(r["total_contract_value"] for r in by_key) == pytest.approx(sum(amounts))
+    sold = [r for r in made["events"] if r[3] == "purchase"]
+    (product,) = QUERIES["unmapped_products"](spark, folder).collect()
+    assert product["export_value"] == sum(round(r[4] * 100) for r in sold if r[4] is not None and r[4] >= 1)
+    assert product["country_count"] == len({r[2] for r in sold} - {None}) == 3
+    assert any(r[2] is None and (r[4] or 0) >= 1 for r in sold)
